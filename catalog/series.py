@@ -109,11 +109,12 @@ def tick_indicators_in_blocks(spark, sf):
     """All indicators on raw ticks, where a symbol can hold any share of the rows: numbered in slices, cut into blocks
     of 1024 rows that carry the history they need, so no task sees a whole symbol."""
     rows = ticks(spark, sf).withColumnRenamed("price", "close")
-    numbered = blocks.index_rows(rows, "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"])
-    cut = blocks.with_halo(numbered, 1024, ts.INDICATOR_HALO)
-    by, order = ["symbol", blocks.BLOCK], ["row_index"]
-    out = ts.add_regime(ts.add_indicators(cut, by, order), by=by, order=order, index="row_index")
-    return blocks.drop_halo(out).select(
+
+    def indicators(df, by, order):
+        return ts.add_regime(ts.add_indicators(df, by, order), by=by, order=order, index="row_index")
+
+    out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"], indicators, 1024, ts.INDICATOR_HALO)
+    return out.select(
         "symbol", "ts", "row_index", F.round("sma20", 4).alias("sma20"), F.round("sma50", 4).alias("sma50"),
         F.round("rsi", 4).alias("rsi"), F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"), "signal"
     )
@@ -220,6 +221,15 @@ def running_drawdown(spark, sf):
     return ts.running_drawdown(bars(spark, sf)).select("symbol", "ts", "peak", F.round("drawdown", 6).alias("drawdown"), "breach")
 
 
+@query("tick_drawdown_in_slices", """
+    WITH p AS (SELECT event_id, event_type AS symbol, value, max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS peak FROM events)
+    SELECT event_id, symbol, peak, round((peak - value) / peak, 6) AS drawdown, (peak - value) / peak > 0.15 AS breach FROM p""")
+def tick_drawdown_in_slices(spark, sf):
+    """Drawdown on raw ticks: running peaks in time slices, joined with the peak of all earlier slices."""
+    peaked = blocks.running_max(ticks(spark, sf), "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"], "price", "peak")
+    return ts.fall_from_peak(peaked, "price").select("event_id", "symbol", "peak", F.round("drawdown", 6).alias("drawdown"), "breach")
+
+
 @query("first_drawdown_breach", f"""
     WITH {USER_BARS}, p AS (SELECT symbol, ts, close, max(close) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING) AS peak FROM bars)
     SELECT symbol, min(CASE WHEN (peak - close) / peak > 0.5 THEN ts END) AS first_breach FROM p GROUP BY symbol""")

@@ -7,7 +7,7 @@ of fixed length and repeats the last rows of each block at the head of the next.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -52,3 +52,28 @@ def with_halo(df: DataFrame, block_rows: int, halo_rows: int, index: str = "row_
 
 def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(BLOCK, HALO)
+
+
+def in_blocks(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, compute: Callable[[DataFrame, list[str], list[str]], DataFrame],
+              block_rows: int, halo_rows: int) -> DataFrame:
+    """Run a look-back computation over series of any length. ``compute(df, by, order)`` gets the columns that delimit
+    a block and the order inside it; ``halo_rows`` is how far back it looks. ``row_index`` stays in the result."""
+    cut = with_halo(index_rows(df, key, order, slice_by), block_rows, halo_rows)
+    return drop_halo(compute(cut, [key, BLOCK], ["row_index"]))
+
+
+def running_max(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, value: str, out: str) -> DataFrame:
+    """The largest ``value`` of the key up to each row, without a window over the whole key: the maximum inside the
+    slice, combined with the maximum of all earlier slices, which come from one aggregated row per slice."""
+    sliced = df.withColumn("_slice", slice_by)
+    earlier = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    tops = (
+        sliced.groupBy(key, "_slice").agg(F.max(value).alias("_top")).select(key, "_slice", F.max("_top").over(earlier).alias("_before"))
+    )
+    inside = W.partitionBy(key, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (
+        sliced.withColumn("_inside", F.max(value).over(inside))
+        .join(tops, [key, "_slice"])
+        .withColumn(out, F.greatest("_inside", "_before"))
+        .drop("_slice", "_inside", "_before")
+    )

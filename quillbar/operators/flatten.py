@@ -15,6 +15,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillbar.operators.skew import spread
+
 
 def tick(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -146,19 +148,10 @@ def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str,
               array: str = "item", part: str = "part") -> DataFrame:
     """Flat rows to documents ``(key, part, array)`` of about ``max_items`` elements at most, sorted by ``order``.
 
-    Almost every key fits one document (part 0). A key with more rows is spread evenly over several parts, so no task
-    ever gathers an unbounded group.
+    Almost every key fits one document (part 0). A key with more rows is dealt over several parts, so no task ever
+    gathers an unbounded group.
     """
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    big = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_items)
-        .select(key, F.ceil(F.col("_rows") / max_items).alias("_parts"))
-    )
-    placed = rows.join(big, key, "left").withColumn(
-        part, F.coalesce(F.pmod("_row", "_parts"), F.lit(0)).cast("int")
-    )
+    placed = spread(df, key, max_items, part)
     element = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                        F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in payload.items()]).alias("_v"))
     return (

@@ -82,29 +82,32 @@ def pair_sums(df: DataFrame, group: str, pos: str, value: str, target) -> DataFr
     Groups without a pair are left out.
 
     Rows are reduced to one per (group, value) on the map side, then each value meets its counterpart in one equi-join
-    of reduced rows. Pairs are counted, not listed, so many equal values stay cheap.
+    of reduced rows. Pairs are counted, not listed, so many equal values stay cheap. Only rows whose value is half the
+    target are read a second time, since their partner is the next row of the same value.
     """
-    per_value = df.groupBy(F.col(group).alias("g"), F.col(value).alias("v")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(pos).alias("lo"), F.max(pos).alias("hi")
-    )
-    want = F.lit(target) - F.col("v")
-    a, b = per_value.withColumn("want", want).alias("a"), per_value.alias("b")
-    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.want") == F.col("b.v"))).filter(
-        (F.col("a.v") != F.col("b.v")) | (F.col("a.n") > 1)
-    )
+    rows = df.select(F.col(group).alias("g"), F.col(value).alias("v"), F.col(pos).alias("p"))
+    per_value = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
+    a, b = per_value.withColumn("want", F.lit(target) - F.col("v")).alias("a"), per_value.alias("b")
     same = F.col("a.v") == F.col("b.v")
-    twice = F.when(same, F.col("a.n") * (F.col("a.n") - 1)).otherwise(F.col("a.n") * F.col("b.n"))
-    first = F.struct(F.col("a.lo").alias("i"), F.col("b.hi").alias("j"), F.col("b.v").alias("w"), same.alias("same"))
-    found = met.groupBy(F.col("a.g").alias("g")).agg((F.sum(twice) / 2).cast("bigint").alias("n_pairs"), F.min(first).alias("_f"))
-    nxt = (
-        df.select(F.col(group).alias("g"), F.col(value).alias("v"), F.col(pos).alias("p"))
-        .join(found.select(F.col("g").alias("fg"), "_f.i", "_f.w"), (F.col("g") == F.col("fg")) & (F.col("v") == F.col("w")))
-        .filter("p > i")
-        .groupBy("fg")
-        .agg(F.min("p").alias("next_j"))
+    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.want") == F.col("b.v"))).filter(~same | (F.col("a.n") > 1))
+    ordered = F.when(same, F.col("a.n") * (F.col("a.n") - 1)).otherwise(F.col("a.n") * F.col("b.n"))
+    first = F.struct(F.col("a.lo").alias("i"), F.col("b.lo").alias("next"), F.col("b.hi").alias("last"))
+    found = met.groupBy(F.col("a.g").alias("g")).agg((F.sum(ordered) / 2).cast("bigint").alias("n_pairs"), F.min(first).alias("f"))
+
+    # Where the partner has the same value, its first position is i itself; take the next one.
+    twins = found.filter("f.i = f.next").select(F.col("g").alias("tg"), "f.i")
+    second = (
+        rows.filter(F.col("v") * 2 == F.lit(target))
+        .join(twins, (F.col("g") == F.col("tg")) & (F.col("p") > F.col("i")))
+        .groupBy("tg")
+        .agg(F.min("p").alias("second"))
     )
-    return found.join(nxt, F.col("g") == F.col("fg")).select(
-        F.col("g").alias(group), "n_pairs", F.col("_f.i").alias("first_i"), "next_j", F.col("_f.j").alias("last_j")
+    return found.join(second, F.col("g") == F.col("tg"), "left").select(
+        F.col("g").alias(group),
+        "n_pairs",
+        F.col("f.i").alias("first_i"),
+        F.when(F.col("f.i") == F.col("f.next"), F.col("second")).otherwise(F.col("f.next")).alias("next_j"),
+        F.col("f.last").alias("last_j"),
     )
 
 

@@ -259,9 +259,13 @@ def running_drawdown(df: DataFrame, value: str = "close", limit: float = 0.15, b
                      order: Sequence[str] = ORDER) -> DataFrame:
     """Running peak, relative fall from it, and whether the fall exceeds ``limit``."""
     so_far = series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    peaked = df.withColumn("peak", F.max(value).over(so_far))
+    return fall_from_peak(df.withColumn("peak", F.max(value).over(so_far)), value, limit)
+
+
+def fall_from_peak(df: DataFrame, value: str = "close", limit: float = 0.15) -> DataFrame:
+    """``drawdown`` and ``breach`` from a ``peak`` column; for raw ticks the peak comes from ``blocks.running_max``."""
     fall = (F.col("peak") - F.col(value)) / F.col("peak")
-    return peaked.withColumn("drawdown", fall).withColumn("breach", F.col("drawdown") > limit)
+    return df.withColumn("drawdown", fall).withColumn("breach", F.col("drawdown") > limit)
 
 
 def first_breach(df: DataFrame, by: str = "symbol", ts: str = "ts") -> DataFrame:
