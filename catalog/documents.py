@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import (ITEM_ORDER, ITEM_ORDER_SQL, ORDER_NOTES_SQL, ORDER_SCHEMA, TEXT_DOCUMENTS_SQL, order_documents,
-                            query, table, text_documents)
+                            order_notes, query, table, text_documents)
 from quillbar.functions import scalars, text
 from quillbar.operators import flatten, relational
 from quillbar.plans.flatten_job import FlattenJob, shape
@@ -42,10 +42,8 @@ def _items(docs):
     FROM x""")
 def order_items_numbered(spark, sf):
     """Items numbered within their order, all as text, blanks for an order without items."""
-    rows = _items(order_documents(spark, sf))
-    plain = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
-    cleaned = plain.withColumn("notes", text.clean_printable(F.col("notes")))
-    return text.fill_empty(cleaned)
+    rows = _items(order_documents(spark, sf, text.clean_printable(order_notes())))
+    return text.fill_empty(rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]))
 
 
 @query("xml_roundtrip_orders", TYPED_ITEMS_SQL)

@@ -80,9 +80,9 @@ def close_diff(spark, sf):
     return bars(spark, sf).select("symbol", "ts", F.round(ts.step("close", ts.series_window()), 4).alias("diff"))
 
 
-@query("rsi_14", f"WITH {BARS}, {RSI_SQL} SELECT symbol, ts, round(rsi, 4) AS rsi FROM rsi")
+@query("rsi_14", f"WITH {BARS}, {RSI_SQL} SELECT symbol, ts, round(rsi, 8) AS rsi FROM rsi")
 def rsi_14(spark, sf):
-    return ts.add_rsi(bars(spark, sf)).select("symbol", "ts", F.round("rsi", 4).alias("rsi"))
+    return ts.add_rsi(bars(spark, sf)).select("symbol", "ts", F.round("rsi", 8).alias("rsi"))
 
 
 @query("ema_12_26", f"WITH RECURSIVE {BARS}, {MACD_SQL} SELECT symbol, ts, round(e12, 6) AS ema12, round(e26, 6) AS ema26 FROM macd")
@@ -101,7 +101,7 @@ TICK_BARS_SQL = "bars AS (SELECT event_type AS symbol, ts, value AS close FROM e
 
 @query("tick_indicators_in_blocks", f"""
     WITH RECURSIVE {TICK_BARS_SQL}, {SMA_SQL}, {RSI_SQL}, {MACD_SQL}
-    SELECT sma.symbol, sma.ts, sma.rn AS row_index, round(sma20, 4) AS sma20, round(sma50, 4) AS sma50, round(rsi, 4) AS rsi,
+    SELECT sma.symbol, sma.ts, sma.rn AS row_index, round(sma20, 4) AS sma20, round(sma50, 4) AS sma50, round(rsi, 8) AS rsi,
            round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal,
            CASE WHEN sma.rn <= 20 THEN 0 WHEN coalesce(sma20 > sma50, false) THEN 1 ELSE -1 END AS signal
     FROM sma JOIN rsi USING (symbol, ts) JOIN macd USING (symbol, ts)""")
@@ -116,7 +116,7 @@ def tick_indicators_in_blocks(spark, sf):
     out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"], indicators, 1024, ts.INDICATOR_HALO)
     return out.select(
         "symbol", "ts", "row_index", F.round("sma20", 4).alias("sma20"), F.round("sma50", 4).alias("sma50"),
-        F.round("rsi", 4).alias("rsi"), F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"), "signal"
+        F.round("rsi", 8).alias("rsi"), F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"), "signal"
     )
 
 
@@ -189,7 +189,7 @@ def entry_exit_levels(spark, sf):
     WITH RECURSIVE {bars_sql("user_id").replace("bars AS", "all_bars AS")},
     bars AS (SELECT * FROM all_bars QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) <= 30),
     {RSI_SQL}, {MACD_SQL}, last_row AS (SELECT symbol, max(rn) AS rn FROM macd GROUP BY symbol)
-    SELECT symbol, macd.ts, round(rsi, 4) AS rsi, round(macd, 6) AS macd,
+    SELECT symbol, macd.ts, round(rsi, 8) AS rsi, round(macd, 6) AS macd,
            CASE WHEN rsi < 30 AND macd > 0 THEN 'BUY' WHEN rsi > 70 AND macd < 0 THEN 'SELL' ELSE 'HOLD' END AS signal
     FROM macd JOIN last_row USING (symbol, rn) JOIN rsi USING (symbol, ts) WHERE rn >= 26""")
 def rsi_macd_rule(spark, sf):
@@ -198,7 +198,7 @@ def rsi_macd_rule(spark, sf):
     w = ts.series_window()
     full = ts.add_macd(ts.add_rsi(recent.withColumn("rn", F.row_number().over(w))))
     return full.filter("back = 1 AND rn >= 26").select(
-        "symbol", "ts", F.round("rsi", 4).alias("rsi"), F.round("macd", 6).alias("macd"),
+        "symbol", "ts", F.round("rsi", 8).alias("rsi"), F.round("macd", 6).alias("macd"),
         ts.rsi_macd_rule(F.col("rsi"), F.col("macd")).alias("signal"),
     )
 

@@ -60,7 +60,7 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
 
         def log(out, s, action, ts, price=None, qty=None, note=None, balance=None):
             s["seq"] += 1
-            out.append((s["symbol"], s["seq"], action, ts, price, qty, note, balance))
+            out.append((s["symbol"], s["seq"], action, pd.Timestamp(ts), price, qty, note, balance))
 
         def sell(out, s, action, ts, price):
             s["cash"] += s["qty"] * price
@@ -111,7 +111,7 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
             symbols = pdf["symbol"].to_numpy()
             cuts = np.flatnonzero(symbols[1:] != symbols[:-1]) + 1
             bounds = [0, *cuts.tolist(), len(symbols)]
-            ts, price = pdf["ts"].tolist(), pdf["close"].to_numpy()
+            ts, price = pdf["ts"].to_numpy(), pdf["close"].to_numpy()
             enter, leave = pdf["enter"].to_numpy(), pdf["leave"].to_numpy()
             for a, b in zip(bounds[:-1], bounds[1:]):
                 if state is None or state["symbol"] != symbols[a]:

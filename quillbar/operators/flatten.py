@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillbar.operators.skew import spread
+from quillbar.operators.skew import deal, heavy_parts
 
 
 def tick(name: str) -> str:
@@ -149,16 +149,18 @@ def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str,
     """Flat rows to documents ``(key, part, array)`` of about ``max_items`` elements at most, sorted by ``order``.
 
     Almost every key fits one document (part 0). A key with more rows is dealt over several parts, so no task ever
-    gathers an unbounded group.
+    gathers an unbounded group. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle
+    hold few rows each and only cost time. Without heavy keys the result stays partitioned by ``key`` for later joins.
     """
-    placed = spread(df, key, max_items, part)
-    element = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                       F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in payload.items()]).alias("_v"))
-    return (
-        placed.groupBy(key, part)
-        .agg(F.sort_array(F.collect_list(element)).alias("_sorted"))
-        .select(key, part, F.transform("_sorted", lambda e: e["_v"]).alias(array))
+    heavy = heavy_parts(df, key, max_items)
+    placed, group = (df.repartition(key), [key]) if heavy is None else (deal(df, key, heavy, part), [key, part])
+    element = F.struct(
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in payload.items()]).alias("_v"),
     )
+    nested = placed.groupBy(*group).agg(F.sort_array(F.collect_list(element)).alias("_sorted"))
+    number = F.lit(0) if heavy is None else F.col(part)
+    return nested.select(key, number.alias(part), F.transform("_sorted", lambda e: e["_v"]).alias(array))
 
 
 @dataclass(frozen=True)

@@ -34,21 +34,28 @@ def heavy_keys(df: DataFrame, key: str, above: int) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > above)
 
 
-def spread(df: DataFrame, key: str, max_rows: int, out: str = "part", limit: int = SMALL_LIST) -> DataFrame:
-    """Adds ``out``: 0 for ordinary keys; a key with more than ``max_rows`` rows is dealt evenly over several parts.
+def heavy_parts(df: DataFrame, key: str, max_rows: int, limit: int = SMALL_LIST) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows and the number of parts to deal them into; None when there are none.
 
-    Group by ``(key, out)`` afterwards and no group is much longer than ``max_rows``. Heavy keys are found first. With
-    none, which is the usual case, the column is a constant; a short list of them is broadcast. Only a long list costs
-    a shuffled join, and then rows are redistributed by key and part, so that a hot key does not stay in one task.
+    A short list comes back as a broadcast one, a long list as it is.
     """
     parts = heavy_keys(df, key, max_rows).select(
         F.col(key).alias("_heavy"), F.ceil(F.col("rows") / max_rows).cast("int").alias("_parts")
     )
     local = small_list(parts, limit)
-    if local is not None and local.isEmpty():
-        return df.withColumn(out, F.lit(0))
+    if local is None:
+        return parts
+    return None if local.isEmpty() else F.broadcast(local)
+
+
+def deal(df: DataFrame, key: str, parts: DataFrame, out: str = "part") -> DataFrame:
+    """Adds ``out``: 0 for ordinary keys, while the rows of a key in ``parts`` are dealt evenly over its parts.
+
+    Redistributes by key and part, so that a hot key leaves the one task it may have met the list in; AQE splits that
+    task because a shuffle follows. No group by ``(key, out)`` is then much longer than the agreed maximum.
+    """
     # The id depends on the scan's splits and the row's place in them, so a task that runs again deals the same way.
     dealt = df.withColumn("_row", F.monotonically_increasing_id())
-    joined = dealt.join(parts if local is None else F.broadcast(local), F.col(key) == F.col("_heavy"), "left")
-    placed = joined.withColumn(out, F.coalesce(F.pmod("_row", "_parts"), F.lit(0)).cast("int")).drop("_row", "_heavy", "_parts")
-    return placed.repartition(key, out) if local is None else placed
+    joined = dealt.join(parts, F.col(key) == F.col("_heavy"), "left")
+    placed = joined.withColumn(out, F.coalesce(F.pmod("_row", "_parts"), F.lit(0)).cast("int"))
+    return placed.drop("_row", "_heavy", "_parts").repartition(key, out)

@@ -75,11 +75,36 @@ def with_history(df: DataFrame, minimum: int, by: str = "symbol") -> DataFrame:
 
 # ---- indicators ---------------------------------------------------------------------------------------------------
 
-def sma(value: str | Column, n: int, w) -> Column:
-    """Mean of the last ``n`` rows; null until ``n`` values exist."""
-    frame = w.rowsBetween(-(n - 1), 0)
-    c = F.col(value) if isinstance(value, str) else value
-    return F.when(F.count(c).over(frame) == n, F.avg(c).over(frame))
+def _stride(lengths: Sequence[int]) -> int:
+    """A common divisor of the window lengths that keeps both the frame and the number of frames short."""
+    common, longest = math.gcd(*lengths), max(lengths)
+    return min((d for d in range(1, common + 1) if common % d == 0), key=lambda d: d + longest // d)
+
+
+def rolling_means(df: DataFrame, means: dict[str, tuple[str, int]], by: Sequence[str] = SERIES,
+                  order: Sequence[str] = ORDER) -> DataFrame:
+    """Means of the last ``n`` rows, ``{out: (column, n)}``; null until ``n`` values exist.
+
+    Spark adds up a sliding frame anew for every row, so a long window is put together from short frames: the sum of 50
+    rows is five sums of 10, read back with ``lag``. The number of values in a window is a difference of two running
+    counts.
+    """
+    w = series_window(by, order)
+    so_far = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    lengths: dict[str, list[int]] = {}
+    for column, n in means.values():
+        lengths.setdefault(column, []).append(n)
+    strides = {c: _stride(ns) for c, ns in lengths.items()}
+    frames = {f"_sum_{c}": F.sum(c).over(w.rowsBetween(1 - d, 0)) for c, d in strides.items()}
+    counts = {f"_cnt_{c}": F.count(c).over(so_far) for c in strides}
+    out = {}
+    for name, (c, n) in means.items():
+        total = F.col(f"_sum_{c}")
+        for back in range(strides[c], n, strides[c]):
+            total = total + F.lag(f"_sum_{c}", back).over(w)
+        values = F.col(f"_cnt_{c}") - F.lag(f"_cnt_{c}", n, 0).over(w)
+        out[name] = F.when(values == n, total / n)
+    return df.withColumns({**frames, **counts}).withColumns(out).drop(*frames, *counts)
 
 
 def step(value: str, w) -> Column:
@@ -89,8 +114,7 @@ def step(value: str, w) -> Column:
 
 def add_sma(df: DataFrame, windows: Sequence[int] = (20, 50), value: str = "close", by: Sequence[str] = SERIES,
             order: Sequence[str] = ORDER) -> DataFrame:
-    w = series_window(by, order)
-    return df.withColumns({f"sma{n}": sma(value, n, w) for n in windows})
+    return rolling_means(df, {f"sma{n}": (value, n) for n in windows}, by, order)
 
 
 def add_rsi(df: DataFrame, n: int = 14, value: str = "close", out: str = "rsi", by: Sequence[str] = SERIES,
@@ -99,12 +123,11 @@ def add_rsi(df: DataFrame, n: int = 14, value: str = "close", out: str = "rsi",
 
     No loss at all gives 100; neither gain nor loss gives null.
     """
-    w = series_window(by, order)
     d = F.col("_d")
-    sides = df.withColumn("_d", step(value, w)).withColumns(
+    sides = df.withColumn("_d", step(value, series_window(by, order))).withColumns(
         {"_up": F.when(d > 0, d).otherwise(F.lit(0.0)), "_down": F.when(d < 0, -d).otherwise(F.lit(0.0))}
     )
-    means = sides.withColumns({"_g": sma("_up", n, w), "_l": sma("_down", n, w)})
+    means = rolling_means(sides, {"_g": ("_up", n), "_l": ("_down", n)}, by, order)
     g, l = F.col("_g"), F.col("_l")
     rsi = F.when((l == 0) & (g > 0), F.lit(100.0)).otherwise(100 - 100 / (1 + F.try_divide(g, l)))
     return means.withColumn(out, rsi).drop("_d", "_up", "_down", "_g", "_l")
@@ -224,9 +247,9 @@ def latest_crossover(df: DataFrame, by: str = "symbol", order: Sequence[str] = O
     newest_first = W.partitionBy(by).orderBy(*[F.col(c).desc() for c in order])
     tail = df.withColumn("_back", F.row_number().over(newest_first)).filter(F.col("_back") <= max(minimum, 52))
     w = series_window((by,), order)
-    means = tail.withColumns(
-        {"_s20": sma("close", 20, w), "_s50": sma("close", 50, w), "_rows": F.count(F.lit(1)).over(W.partitionBy(by))}
-    ).withColumns({"_p20": F.lag("_s20").over(w), "_p50": F.lag("_s50").over(w)})
+    means = rolling_means(tail, {"_s20": ("close", 20), "_s50": ("close", 50)}, (by,), order).withColumns(
+        {"_p20": F.lag("_s20").over(w), "_p50": F.lag("_s50").over(w), "_rows": F.count(F.lit(1)).over(W.partitionBy(by))}
+    )
     enough = F.col("_rows") >= minimum
     up = enough & (F.col("_p20") < F.col("_p50")) & (F.col("_s20") > F.col("_s50"))
     down = enough & (F.col("_p20") > F.col("_p50")) & (F.col("_s20") < F.col("_s50"))

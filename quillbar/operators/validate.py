@@ -60,14 +60,20 @@ def field_error(text: Column, rule: FieldRule, email: bool = False) -> Column:
 
 
 def validate(df: DataFrame, spec: TableSpec, record: str = "record", email_fields: Sequence[str] = ()) -> DataFrame:
-    """Adds ``errors`` (an array, empty for a good record) and ``value`` (the typed record)."""
+    """Adds ``errors`` (an array, empty for a good record) and ``value`` (the typed record).
+
+    Both come out of a one-row generator. Filters on them cannot move below it, where each use of a field would parse
+    the record again.
+    """
     parsed = df.withColumn("_m", F.from_json(record, "map<string,string>"))
     texts = {r.name: F.col("_m")[r.name] for r in spec.fields}
     broken = F.array_compact(F.array(*[field_error(texts[r.name], r, r.name in email_fields) for r in spec.fields]))
     whole = F.array(F.struct(F.lit("records").alias("field"), F.lit(NOT_AN_OBJECT).alias("message")))
     errors = F.when(F.col("_m").isNull(), whole).otherwise(broken)
     value = F.struct(*[typed(texts[r.name], r).alias(r.name) for r in spec.fields])
-    return parsed.select(*df.columns, errors.cast(NO_ERRORS).alias("errors"), value.alias("value"))
+    return parsed.select(
+        *df.columns, F.inline(F.array(F.struct(errors.cast(NO_ERRORS).alias("errors"), value.alias("value"))))
+    )
 
 
 def is_good() -> Column:
