@@ -35,8 +35,7 @@ def ohlc_five_minutes(spark, sf):
 @query("bars_lookback", f"WITH {BARS} SELECT * FROM bars WHERE ts >= (SELECT max(ts) FROM bars) - INTERVAL 7 DAY")
 def bars_lookback(spark, sf):
     """Hourly bars of the last seven days. The newest tick bounds the scan, so only recent ticks are aggregated."""
-    recent = tables.lookback(ticks(spark, sf).withColumn("bar", F.window("ts", "1 hour")["start"]), "7 days", "bar")
-    return ts.resample(recent.drop("bar"), "1 hour", tiebreak="event_id")
+    return ts.resample(tables.lookback(ticks(spark, sf), "7 days", grid="1 hour"), "1 hour", tiebreak="event_id")
 
 
 @query("latest_n_bars", f"""

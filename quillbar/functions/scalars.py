@@ -18,6 +18,11 @@ def local_time_text(ts_utc: Column, zone: str = "America/Chicago", standard: str
     return F.concat_ws(" ", F.date_format(local, "yyyy-MM-dd hh:mm a"), name)
 
 
+def parse_timestamp(c: Column, pattern: str | None = None) -> Column:
+    """Text to a timestamp; null when it does not fit."""
+    return F.try_to_timestamp(c, F.lit(pattern)) if pattern else F.try_to_timestamp(c)
+
+
 def timestamp_text(ts: Column, missing: str = "-") -> Column:
     return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(missing))
 

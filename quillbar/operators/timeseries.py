@@ -179,6 +179,11 @@ def add_ema(df: DataFrame, spans: dict[str, int], value: str = "close", by: Sequ
     (1 - a)^-k; across chunks only the last chunk's end value still matters, since a chunk is at least ``ema_reach``
     rows long. Both parts are plain windows on one partitioning, for any series length.
     """
+    unsmoothed = {name: F.col(value) for name, span in spans.items() if span == 1}
+    if unsmoothed:
+        df, spans = df.withColumns(unsmoothed), {n: s for n, s in spans.items() if s != 1}
+    if not spans:
+        return df
     chunk = _chunk_for(list(spans.values()))
     if chunk is None:
         for name, span in spans.items():

@@ -19,6 +19,10 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, skip_header: bool = True) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, skip_header: bool = True, sep: str = ",") -> DataFrame:
     """CSV with declared columns; the header line is skipped, not trusted."""
-    return spark.read.schema(schema).option("header", skip_header).option("enforceSchema", True).csv(path)
+    return spark.read.schema(schema).options(header=skip_header, enforceSchema=True, sep=sep).csv(path)
+
+
+def load_tsv(spark: SparkSession, path: str, schema: T.StructType | str, skip_header: bool = True) -> DataFrame:
+    return load_csv(spark, path, schema, skip_header, sep="\t")

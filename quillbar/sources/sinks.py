@@ -7,9 +7,13 @@ from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
-    """Overwrite a folder of delimited files with a header. One file only on request: it makes the last stage one task."""
+    """Overwrite a folder of delimited files with a header. One file only on request: it makes the last stage one task.
+
+    Blanks at the ends of a value are kept; Spark's writer would drop them.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.option("header", True).option("sep", sep).mode("overwrite").csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.options(header=True, sep=sep, **blanks).mode("overwrite").csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:

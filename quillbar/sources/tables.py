@@ -14,13 +14,17 @@ def list_datasets(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
 
 
-def lookback(df: DataFrame, period: str, ts: str = "ts") -> DataFrame:
-    """Rows of the last ``period`` (``"7 days"``), measured from the newest row.
+def lookback(df: DataFrame, period: str, ts: str = "ts", grid: str | None = None) -> DataFrame:
+    """Rows of the last ``period`` (``"7 days"``), measured from the newest row, or from the start of the ``grid`` bar
+    (``"1 hour"``) that holds it.
 
-    The bound is a scalar subquery: Spark evaluates it first and pushes the result into the scan.
+    The bound is a scalar subquery compared with the bare column: Spark computes it first and hands it to the scan as a
+    constant.
     """
-    newest = df.agg(F.max(ts)).scalar()
-    return df.filter(F.col(ts) >= newest - F.expr(f"INTERVAL {period}"))
+    newest = df.agg(F.max(ts).alias("_newest"))
+    start = F.window("_newest", grid)["start"] if grid else F.col("_newest")
+    bound = newest.select((start - F.expr(f"INTERVAL {period}")).alias("_from"))
+    return df.filter(F.col(ts) >= bound.scalar())
 
 
 def latest_n(df: DataFrame, n: int, key: str = "symbol", order: Sequence[str] = ("ts",), rank: str | None = None) -> DataFrame:

@@ -57,4 +57,4 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 
 def read_small_text(spark: SparkSession, path: str) -> str:
     """The text of one small settings file, read through Spark so that any file system works."""
-    return spark.read.option("wholetext", True).text(path).first()["value"]
+    return spark.read.text(path, wholetext=True).first()["value"]
