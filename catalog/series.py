@@ -105,14 +105,14 @@ TICK_BARS_SQL = "bars AS (SELECT event_type AS symbol, ts, value AS close FROM e
            CASE WHEN sma.rn <= 20 THEN 0 WHEN coalesce(sma20 > sma50, false) THEN 1 ELSE -1 END AS signal
     FROM sma JOIN rsi USING (symbol, ts) JOIN macd USING (symbol, ts)""")
 def tick_indicators_in_blocks(spark, sf):
-    """All indicators on raw ticks, where a symbol can hold any share of the rows: numbered in slices, cut into blocks
-    of 1024 rows that carry the history they need, so no task sees a whole symbol."""
+    """All indicators on raw ticks, where a symbol can hold any share of the rows: numbered in slices, cut into
+    blocks that carry the history they need, so no task sees a whole symbol."""
     rows = ticks(spark, sf).withColumnRenamed("price", "close")
 
     def indicators(df, by, order):
         return ts.add_regime(ts.add_indicators(df, by, order), by=by, order=order, index="row_index")
 
-    out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"], indicators, 1024, ts.INDICATOR_HALO)
+    out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], blocks.time_slices(rows, "symbol"), indicators, 16_384, ts.INDICATOR_HALO)
     return out.select(
         "symbol", "ts", "row_index", F.round("sma20", 4).alias("sma20"), F.round("sma50", 4).alias("sma50"),
         F.round("rsi", 8).alias("rsi"), F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"), "signal"
@@ -225,7 +225,8 @@ def running_drawdown(spark, sf):
     SELECT event_id, symbol, peak, round((peak - value) / peak, 6) AS drawdown, (peak - value) / peak > 0.15 AS breach FROM p""")
 def tick_drawdown_in_slices(spark, sf):
     """Drawdown on raw ticks: running peaks in time slices, joined with the peak of all earlier slices."""
-    peaked = blocks.running_max(ticks(spark, sf), "symbol", ["ts", "event_id"], F.window("ts", "6 hours")["start"], "price", "peak")
+    rows = ticks(spark, sf)
+    peaked = blocks.running_max(rows, "symbol", ["ts", "event_id"], blocks.time_slices(rows, "symbol"), "price", "peak")
     return ts.fall_from_peak(peaked, "price").select("event_id", "symbol", "peak", F.round("drawdown", 6).alias("drawdown"), "breach")
 
 

@@ -17,6 +17,27 @@ BLOCK = "_block"
 HALO = "_halo"
 
 
+def time_slices(df: DataFrame, key: str, ts: str = "ts", max_rows: int = 1_000_000) -> Column:
+    """A time cut for ``index_rows`` and ``running_max``, narrow enough that no (key, slice) exceeds ``max_rows``.
+
+    The width starts from the densest key's average and is halved while some slice is still too long, as in a burst.
+    Each look is a count that is combined on the map side and ends in one number. Rows of one single instant cannot be
+    told apart by time and stay together.
+    """
+    span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) + 1
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), span.alias("span"))
+    row = per_key.agg(F.max("n").alias("most"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max("span").alias("span")).first()
+    if row["most"] is None or row["most"] <= max_rows:
+        return F.lit(0)
+    width = max(1, min(int(row["gap"] * max_rows / 2), row["span"]))
+    while True:
+        cut = F.window(ts, f"{width} microseconds")["start"]
+        longest = df.groupBy(key, cut.alias("cut")).count().agg(F.max("count")).first()[0]
+        if longest <= max_rows or width == 1:
+            return cut
+        width = max(1, width // max(2, longest // max_rows))
+
+
 def index_rows(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, out: str = "row_index") -> DataFrame:
     """The 1-based position of each row within its key, exact, without sorting a whole key in one task.
 

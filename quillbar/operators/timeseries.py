@@ -30,12 +30,20 @@ def _is_true(c: Column) -> Column:
 
 # ---- bars ---------------------------------------------------------------------------------------------------------
 
+def _micros(ts: str) -> Column:
+    """Microseconds since 1970 on the column's own clock; unlike a cast, the same in every session time zone."""
+    c = F.col(ts)
+    day = F.date_diff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    second = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return day * 86_400_000_000 + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * 1_000_000 + second
+
+
 def _tick_rank(ts: str, tiebreak: str | None) -> Column:
     """Order of ticks as one fixed-width value, which keeps the aggregate on the hash path (a struct would sort)."""
     if tiebreak is None:
         return F.col(ts)
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
-    return micros.cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col(tiebreak).cast("decimal(19,0)")
+    shift = F.lit("10000000000000000000").cast("decimal(20,0)")
+    return _micros(ts).cast("decimal(19,0)") * shift + F.col(tiebreak).cast("decimal(19,0)")
 
 
 def resample(ticks: DataFrame, interval: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
@@ -78,7 +86,7 @@ def with_history(df: DataFrame, minimum: int, by: str = "symbol") -> DataFrame:
 def _stride(lengths: Sequence[int]) -> int:
     """A common divisor of the window lengths that keeps both the frame and the number of frames short."""
     common, longest = math.gcd(*lengths), max(lengths)
-    return min((d for d in range(1, common + 1) if common % d == 0), key=lambda d: d + longest // d)
+    return min((d for d in range(1, common + 1) if common % d == 0), key=lambda d: (d + longest // d, -d))
 
 
 def rolling_means(df: DataFrame, means: dict[str, tuple[str, int]], by: Sequence[str] = SERIES,
@@ -97,14 +105,19 @@ def rolling_means(df: DataFrame, means: dict[str, tuple[str, int]], by: Sequence
     strides = {c: _stride(ns) for c, ns in lengths.items()}
     frames = {f"_sum_{c}": F.sum(c).over(w.rowsBetween(1 - d, 0)) for c, d in strides.items()}
     counts = {f"_cnt_{c}": F.count(c).over(so_far) for c in strides}
+    earlier = {
+        f"_sum_{c}_{back}": F.lag(f"_sum_{c}", back).over(w)
+        for c, d in strides.items()
+        for back in range(d, max(lengths[c]), d)
+    } | {f"_cnt_{c}_{n}": F.lag(f"_cnt_{c}", n, 0).over(w) for c, n in means.values()}
     out = {}
     for name, (c, n) in means.items():
         total = F.col(f"_sum_{c}")
         for back in range(strides[c], n, strides[c]):
-            total = total + F.lag(f"_sum_{c}", back).over(w)
-        values = F.col(f"_cnt_{c}") - F.lag(f"_cnt_{c}", n, 0).over(w)
+            total = total + F.col(f"_sum_{c}_{back}")
+        values = F.col(f"_cnt_{c}") - F.col(f"_cnt_{c}_{n}")
         out[name] = F.when(values == n, total / n)
-    return df.withColumns({**frames, **counts}).withColumns(out).drop(*frames, *counts)
+    return df.withColumns({**frames, **counts}).withColumns(earlier).withColumns(out).drop(*frames, *counts, *earlier)
 
 
 def step(value: str, w) -> Column:

@@ -48,6 +48,21 @@ def test_index_rows_in_slices(spark):
     assert all(r.row_index == 1 for r in got if r.k != 0)
 
 
+def test_time_slices_follow_the_densest_burst(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    # Half of the hot key's rows fall into one second, the others are spread over days.
+    seconds = F.when(F.col("n") % 2 == 0, F.col("n") / 6000).otherwise(F.col("n") * 60.0)
+    df = hot(spark).withColumn("ts", start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
+    cut = blocks.time_slices(df, "k", "ts", max_rows=150)
+    sizes = df.groupBy("k", cut.alias("c")).count().agg(F.max("count")).first()[0]
+    assert sizes <= 150
+    got = blocks.index_rows(df, "k", ["ts", "n"], cut).filter("k = 0").orderBy("ts", "n").collect()
+    assert [r.row_index for r in got] == list(range(1, 2001))
+    assert blocks.time_slices(df, "k", "ts")._jc.toString() == "0"
+    same = df.withColumn("ts", start)
+    assert blocks.index_rows(same, "k", ["ts", "n"], blocks.time_slices(same, "k", "ts", 150)).filter("k = 0 AND row_index = 2000").first().n == 5997
+
+
 def test_latest_n_of_a_hot_key(spark):
     got = tables.latest_n(hot(spark), 5, "k", ["n"]).collect()
     assert sorted(r.n for r in got if r.k == 0) == [5985, 5988, 5991, 5994, 5997]
