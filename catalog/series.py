@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog.common import MACD_SQL, RSI_SQL, SMA_SQL, bars, bars_sql, query, table, ticks
 from quillbar.functions import scalars
 from quillbar.operators import backtest, blocks, relational, timeseries as ts
+from quillbar.plans.bars import load_bars
 from quillbar.plans.signal_report import summarize
 from quillbar.session import scratch_path
 from quillbar.sources import tables
@@ -35,7 +36,7 @@ def ohlc_five_minutes(spark, sf):
 @query("bars_lookback", f"WITH {BARS} SELECT * FROM bars WHERE ts >= (SELECT max(ts) FROM bars) - INTERVAL 7 DAY")
 def bars_lookback(spark, sf):
     """Hourly bars of the last seven days. The newest tick bounds the scan, so only recent ticks are aggregated."""
-    return ts.resample(tables.lookback(ticks(spark, sf), "7 days", grid="1 hour"), "1 hour", tiebreak="event_id")
+    return load_bars(ticks(spark, sf), "1 hour", "7 days", tiebreak="event_id")
 
 
 @query("latest_n_bars", f"""

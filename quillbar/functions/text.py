@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 NON_ASCII = r"[^\x00-\x7F]"
 LINE_BREAK = r"[\r\n]"
 NOT_PRINTABLE_RUN = r"[^\x20-\x7E]+"
-OUTER_BLANKS = r"(?U)^\s+|\s+$"
+OUTER_BLANKS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
 
 def drop_non_ascii(c: Column) -> Column:

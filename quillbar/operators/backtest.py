@@ -21,7 +21,8 @@ class TradeRules:
     never shows; ``crossover`` enters when the signal rises to 1 from any lower value.
 
     ``halt_row`` logs a halt. ``qty_places`` rounds the quantity while the cash deduction stays unrounded.
-    ``can_sell=False`` models an account that refuses every sale.
+    ``sizing_cash`` sizes every entry by a fixed account balance instead of the running one. ``can_sell=False`` models an
+    account that refuses every sale.
     """
 
     initial_balance: float = 100_000.0
@@ -32,6 +33,7 @@ class TradeRules:
     entry_mode: str = "edge_eq_1"
     halt_row: bool = False
     qty_places: int | None = None
+    sizing_cash: float | None = None
     can_sell: bool = True
 
     def __post_init__(self):
@@ -86,7 +88,7 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
                         log(out, s, "HALT", ts[i], note="Max drawdown reached. Trading halted.")
                     break
                 if s["qty"] == 0 and enter[i]:
-                    stake = s["cash"] * r.risk_per_trade
+                    stake = (s["cash"] if r.sizing_cash is None else r.sizing_cash) * r.risk_per_trade
                     qty = stake / p if r.qty_places is None else round(stake / p, r.qty_places)
                     if qty > 0:
                         s.update(qty=qty, stop=p * (1 - r.stop_loss), target=p * (1 + r.take_profit))

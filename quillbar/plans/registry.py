@@ -70,7 +70,7 @@ class Registry:
     def resolve(self, name: str | None = None) -> TableSpec:
         """The declared table, or the default when no name is given. An undeclared name is an error."""
         entry = (self.config.get("tables", {}).get(name) if name else self.config.get("default")) or {}
-        for part in ("dataset_id", "table_id"):
+        for part in ("table_id", "dataset_id"):
             if not entry.get(part):
                 raise RegistryError(f"'{part}' is missing in the configuration for table '{name or 'default'}'")
         return TableSpec(entry["dataset_id"], entry["table_id"], tuple(FieldRule.from_dict(f) for f in entry.get("schema", [])))

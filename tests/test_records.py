@@ -69,7 +69,7 @@ def test_missing_required_field(spark, load):
 
 
 def test_unknown_and_incomplete_tables(load):
-    with pytest.raises(RegistryError, match="'dataset_id' is missing in the configuration for table 'orders'"):
+    with pytest.raises(RegistryError, match="'table_id' is missing in the configuration for table 'orders'"):
         load([{"order_id": 1}], "orders")
     with pytest.raises(RegistryError, match="'table_id' is missing in the configuration for table 'half'"):
         load([ANN], "half")

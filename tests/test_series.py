@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillbar.operators import backtest, blocks, timeseries as ts
+from quillbar.plans.bars import load_bars
 from quillbar.plans.signal_report import summarize
 from quillbar.sources import tables
 
@@ -153,10 +154,11 @@ def loop(prices, signals, r):
             break
         enter = edge == 1 if r.entry_mode == "edge_eq_1" else edge > 0 and signals[i] == 1
         if enter and qty == 0:
-            size = cash * r.risk_per_trade / p
+            stake = (cash if r.sizing_cash is None else r.sizing_cash) * r.risk_per_trade
+            size = stake / p
             size = size if r.qty_places is None else round(size, r.qty_places)
             if size > 0:
-                cash -= cash * r.risk_per_trade
+                cash -= stake
                 qty, stop, target = size, p * (1 - r.stop_loss), p * (1 + r.take_profit)
                 log.append(("BUY", i, p, qty))
         if qty > 0 and r.can_sell and (p <= stop or p >= target or edge == -1):
@@ -175,6 +177,7 @@ RULES = [
     backtest.TradeRules(entry_mode="crossover", risk_per_trade=1.0, max_drawdown=0.02, halt_row=True),
     backtest.TradeRules(entry_mode="crossover", risk_per_trade=0.9, max_drawdown=0.05),
     backtest.TradeRules(initial_balance=500.0, qty_places=2, entry_mode="crossover"),
+    backtest.TradeRules(sizing_cash=2000.0, qty_places=6, entry_mode="crossover"),
     backtest.TradeRules(can_sell=False, entry_mode="crossover"),
 ]
 
@@ -227,6 +230,15 @@ def test_latest_crossover_and_summary(spark):
     assert rows["SHORT"].signal == rows["GONE"].signal == "NO DATA"
 
 
+def test_load_bars(spark):
+    rows = [(s, START + dt.timedelta(hours=i), float(i), i) for s in "AB" for i in range(100)]
+    raw = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, price double, event_id bigint")
+    got = load_bars(raw, "2 hours", "1 day", ["A"], tiebreak="event_id").collect()
+    assert {r.symbol for r in got} == {"A"} and len(got) == 13
+    assert sorted((r.open, r.close) for r in got)[-1] == (98.0, 99.0)
+    assert load_bars(raw, "2 hours", tiebreak="event_id").count() == 100
+
+
 def test_drawdown_breach(spark):
     df = ts.running_drawdown(frame(spark, {"A": [100, 120, 110, 100, 130], "B": [10, 11, 12]}))
     first = {r.symbol: r.first_breach for r in ts.first_breach(df).collect()}
