@@ -7,7 +7,8 @@ Python. Feed it bars: their number per symbol is bounded by the time grid, not b
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
     ``bars`` has symbol, ts, close, signal and edge. The first bar of a symbol only starts it; per later bar: value the
     holding, raise the peak, halt on too deep a fall, else enter if flat, then exit if holding.
     """
-    r = rules
+    # Plain values only, so that the workers need no copy of this package.
+    r = SimpleNamespace(**asdict(rules))
 
     def fold(batches):
         import numpy as np

@@ -1,7 +1,7 @@
 """Record checks against a declared table: required, type, length, e-mail, all-or-nothing batches.
 
-A record is JSON text. It is parsed once to a map of texts, which keeps "missing" apart from "wrong type"; every rule is a
-column expression on that map.
+A record is JSON text. It is parsed once into texts, which keeps "missing" apart from "wrong type"; every rule is a column
+expression on those.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillbar.operators.skew import join_list
 from quillbar.plans.registry import FieldRule, TableSpec
@@ -28,6 +29,7 @@ BAD_EMAIL = "Enter a valid email address."
 NOT_AN_OBJECT = "This record must be a JSON object."
 EMAIL = r"^[A-Za-z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"
 NO_ERRORS = "array<struct<field:string,message:string>>"
+MALFORMED = "_malformed"
 
 
 def typed(text: Column, rule: FieldRule) -> Column:
@@ -62,14 +64,18 @@ def field_error(text: Column, rule: FieldRule, email: bool = False) -> Column:
 def validate(df: DataFrame, spec: TableSpec, record: str = "record", email_fields: Sequence[str] = ()) -> DataFrame:
     """Adds ``errors`` (an array, empty for a good record) and ``value`` (the typed record).
 
-    Both come out of a one-row generator. Filters on them cannot move below it, where each use of a field would parse
-    the record again.
+    Every declared field is parsed as text, so that a wrong type is told apart from a missing value. Both columns come
+    out of a one-row generator: filters on them cannot move below it, where each use of a field would parse the record
+    again.
     """
-    parsed = df.withColumn("_m", F.from_json(record, "map<string,string>"))
-    texts = {r.name: F.col("_m")[r.name] for r in spec.fields}
-    broken = F.array_compact(F.array(*[field_error(texts[r.name], r, r.name in email_fields) for r in spec.fields]))
+    fields = T.StructType([T.StructField(r.name, T.StringType()) for r in spec.fields] + [T.StructField(MALFORMED, T.StringType())])
+    parsed = df.withColumn("_m", F.from_json(record, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}))
+    texts = {r.name: F.col("_m").getField(r.name) for r in spec.fields}
+    broken = [field_error(texts[r.name], r, r.name in email_fields) for r in spec.fields]
+    listed = F.concat(*[F.when(e.isNull(), F.array().cast(NO_ERRORS)).otherwise(F.array(e)) for e in broken])
     whole = F.array(F.struct(F.lit("records").alias("field"), F.lit(NOT_AN_OBJECT).alias("message")))
-    errors = F.when(F.col("_m").isNull(), whole).otherwise(broken)
+    no_object = F.col("_m").isNull() | F.col("_m").getField(MALFORMED).isNotNull()
+    errors = F.when(no_object, whole).otherwise(listed)
     value = F.struct(*[typed(texts[r.name], r).alias(r.name) for r in spec.fields])
     return parsed.select(
         *df.columns, F.inline(F.array(F.struct(errors.cast(NO_ERRORS).alias("errors"), value.alias("value"))))

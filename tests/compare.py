@@ -23,7 +23,7 @@ def _plain(value):
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0
     if hasattr(value, "isoformat"):
         return value.isoformat()
     return value
