@@ -115,6 +115,7 @@ def test_word_count_and_top(spark):
     names = spark.createDataFrame([("TX", n, x) for n, x in (("A", 2), ("B", 3), ("C", 3), ("A", 1))] + [("CA", "Z", 99)], "state string, name string, number long")
     top = relational.top_totals(names, F.col("state") == "TX", "name", "number", 2)
     assert [(r.name, r.total) for r in top.collect()] == [("A", 3), ("B", 3)]
+    assert relational.preview(names, 2).count() == 2
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
