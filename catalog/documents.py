@@ -79,11 +79,9 @@ def order_items_pivot(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
     cells = [f"{n}{i}" for i in range(1, 11) for n in ("Product", "Qty")]
-    return (
-        orders.join(wide, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("customer_name"), *cells,
-                F.col("o_orderpriority").alias("notes"))
+    parents = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return parents.join(wide, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("customer_name"), *cells, F.col("o_orderpriority").alias("notes")
     )
 
 

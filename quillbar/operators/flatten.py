@@ -144,15 +144,8 @@ def pivot_rows(df: DataFrame, key: str, order: Sequence[str], fields: dict[str,
     return numbered.groupBy(key).agg(*cells)
 
 
-def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], max_items: int = 1000,
-              array: str = "item", part: str = "part") -> DataFrame:
-    """Flat rows to documents ``(key, part, array)`` of about ``max_items`` elements at most, sorted by ``order``.
-
-    Almost every key fits one document (part 0). A key with more rows is dealt over several parts, so no task ever
-    gathers an unbounded group. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle
-    hold few rows each and only cost time. Without heavy keys the result stays partitioned by ``key`` for later joins.
-    """
-    heavy = heavy_parts(df, key, max_items)
+def _gather(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], heavy: DataFrame | None,
+            array: str, part: str) -> DataFrame:
     placed, group = (df.repartition(key), [key]) if heavy is None else (deal(df, key, heavy, part), [key, part])
     element = F.struct(
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
@@ -163,6 +156,35 @@ def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str,
     return nested.select(key, number.alias(part), F.transform("_sorted", lambda e: e["_v"]).alias(array))
 
 
+def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], max_items: int = 1000,
+              array: str = "item", part: str = "part") -> DataFrame:
+    """Flat rows to documents ``(key, part, array)`` of about ``max_items`` elements at most, sorted by ``order``.
+
+    Almost every key fits one document (part 0). A key with more rows is dealt over several parts, so no task ever
+    gathers an unbounded group. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle
+    hold few rows each and only cost time.
+    """
+    return _gather(df, key, order, payload, heavy_parts(df, key, max_items), array, part)
+
+
+def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, key: str, order: Sequence[str],
+               payload: dict[str, Column | str], max_items: int = 1000, array: str = "item", part: str = "part") -> DataFrame:
+    """Each parent with its rows as an array; null for a parent without rows. ``parent_key`` is unique in ``parents``.
+
+    A parent of a heavy key is repeated once per part, and the join is on key and part: the parts of one hot key then
+    meet their parent in many tasks. Without heavy keys the join reuses the partitioning of the gathered rows.
+    """
+    heavy = heavy_parts(df, key, max_items)
+    docs = _gather(df, key, order, payload, heavy, array, part)
+    if heavy is None:
+        return parents.join(docs, F.col(parent_key) == F.col(key), "left").withColumn(part, F.lit(0)).drop(key)
+    docs = docs.withColumnRenamed(part, "_part")
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    copies = parents.join(heavy, F.col(parent_key) == F.col("_heavy"), "left").withColumn(part, F.explode(F.sequence(F.lit(0), last)))
+    joined = copies.join(docs, (F.col(parent_key) == F.col(key)) & (F.col(part) == F.col("_part")), "left")
+    return joined.filter((F.col(part) == 0) | F.col(key).isNotNull()).drop(key, "_part", "_heavy", "_parts")
+
+
 @dataclass(frozen=True)
 class ArrayPivot:
     """How one array becomes columns: where it is, the column prefix, how many positions, which struct fields."""

@@ -23,6 +23,16 @@ def test_hot_document_is_dealt_over_parts(spark):
     assert docs.filter("k <> 0").count() == 4000 and docs.select(F.sum(F.size("item"))).first()[0] == 6000
 
 
+def test_hot_parent_meets_its_parts(spark):
+    parents = spark.range(-3, 5).withColumnRenamed("id", "pk")
+    for limit, parts in ((100, 20), (100_000, 1)):
+        got = flatten.nest_under(parents, "pk", hot(spark), "k", ["n"], {"n": "n"}, max_items=limit).collect()
+        of_hot = [r for r in got if r.pk == 0]
+        assert len(of_hot) == parts and sorted(e.n for r in of_hot for e in r.item) == list(range(0, 6000, 3))
+        rest = {r.pk: r.item and [e.n for e in r.item] for r in got if r.pk}
+        assert rest == {-3: None, -2: None, -1: None, 1: [1], 2: [2], 3: None, 4: [4]}
+
+
 def test_long_list_of_heavy_keys_takes_the_shuffled_join(spark):
     df = spark.range(40000).select((F.col("id") % 40).alias("k"), F.col("id").alias("n"))
     parts = skew.heavy_parts(df, "k", 100, limit=5)
