@@ -48,9 +48,12 @@ def order_items_numbered(spark, sf):
 
 @query("xml_roundtrip_orders", TYPED_ITEMS_SQL)
 def xml_roundtrip_orders(spark, sf):
-    """Order documents written as XML parts of 1000 records and read back with the declared schema."""
+    """Order documents written as XML parts and read back with the declared schema.
+
+    Parts of 50,000 records are some 35 MB each: the source takes one task per file, so neither too small nor too large.
+    """
     path = scratch_path(spark, "orders-xml")
-    sinks.write_xml(order_documents(spark, sf, F.col("o_orderpriority")), path, "orders", "order")
+    sinks.write_xml(order_documents(spark, sf, F.col("o_orderpriority")), path, "orders", "order", records_per_file=50_000)
     return _items(xml.read_xml(spark, path, "order", ORDER_SCHEMA))
 
 

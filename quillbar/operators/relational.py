@@ -81,18 +81,28 @@ def pair_sums(df: DataFrame, group: str, pos: str, value: str, target) -> DataFr
     ``n_pairs``; ``first_i``, the lowest position in any pair; ``next_j`` and ``last_j``, its first and last partner.
     Groups without a pair are left out.
 
-    Rows are reduced to one per (group, value) on the map side, then each value meets its counterpart in one equi-join
-    of reduced rows. Pairs are counted, not listed, so many equal values stay cheap. Only rows whose value is half the
-    target are read a second time, since their partner is the next row of the same value.
+    A value and its counterpart share the smaller of the two as key, so both sides of a pair meet in one aggregate that
+    is combined on the map side; nothing is joined. Pairs are counted, not listed, so many equal values stay cheap. Only
+    rows whose value is half the target are read a second time, since their partner is the next row of the same value.
+    Values are whole numbers or decimals.
     """
     rows = df.select(F.col(group).alias("g"), F.col(value).alias("v"), F.col(pos).alias("p"))
-    per_value = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi"))
-    a, b = per_value.withColumn("want", F.lit(target) - F.col("v")).alias("a"), per_value.alias("b")
-    same = F.col("a.v") == F.col("b.v")
-    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.want") == F.col("b.v"))).filter(~same | (F.col("a.n") > 1))
-    ordered = F.when(same, F.col("a.n") * (F.col("a.n") - 1)).otherwise(F.col("a.n") * F.col("b.n"))
-    first = F.struct(F.col("a.lo").alias("i"), F.col("b.lo").alias("next"), F.col("b.hi").alias("last"))
-    found = met.groupBy(F.col("a.g").alias("g")).agg((F.sum(ordered) / 2).cast("bigint").alias("n_pairs"), F.min(first).alias("f"))
+    want, v, p = F.lit(target) - F.col("v"), F.col("v"), F.col("p")
+    small, large = v <= want, v > want
+    sides = rows.groupBy("g", F.least(v, want).alias("c")).agg(
+        *[f(F.when(cond, p)).alias(f"{name}_{side}") for side, cond in (("a", small), ("b", large))
+          for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    )
+    twin = F.col("c") * 2 == F.lit(target)
+    pairs = F.when(twin, F.col("n_a") * (F.col("n_a") - 1) / 2).otherwise(F.col("n_a") * F.col("n_b")).cast("bigint")
+
+    def first(i: str, other: str) -> Column:
+        return F.struct(F.col(f"lo_{i}").alias("i"), F.col(f"lo_{other}").alias("next"), F.col(f"hi_{other}").alias("last"))
+
+    earliest = F.when(twin, first("a", "a")).when(F.col("lo_a") < F.col("lo_b"), first("a", "b")).otherwise(first("b", "a"))
+    found = sides.select("g", pairs.alias("n"), earliest.alias("f")).filter("n > 0").groupBy("g").agg(
+        F.sum("n").alias("n_pairs"), F.min("f").alias("f")
+    )
 
     # Where the partner has the same value, its first position is i itself; take the next one.
     twins = found.filter("f.i = f.next").select(F.col("g").alias("tg"), "f.i")

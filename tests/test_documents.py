@@ -1,6 +1,8 @@
 """Flatten, pivot and XML on small documents of our own."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -245,6 +247,19 @@ def test_zip_keeps_the_longer_array(spark):
     assert flatten.flatten_outer(df).count() == 4
 
 
+ARRAYS = st.lists(st.tuples(st.none() | st.lists(st.integers(0, 9), max_size=3), st.none() | st.lists(st.sampled_from("xyz"), max_size=3)), max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ARRAYS)
+def test_flatten_row_counts(spark, rows):
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<string>")
+    sizes = [(len(a or []), len(b or [])) for a, b in rows]
+    assert flatten.flatten_outer(df).count() == sum(max(a, 1) * max(b, 1) for a, b in sizes)
+    assert flatten.flatten_inner(df).count() == sum(a * b for a, b in sizes)
+    assert flatten.flatten_outer(df, "zip").count() == sum(max(a, b, 1) for a, b in sizes)
+
+
 def test_pivot_rows_drops_overflow(spark):
     df = spark.createDataFrame([("k", i, f"p{i}", i * 10) for i in range(1, 13)] + [("one", 1, "q", 5)], "k string, n int, p string, q int")
     rows = {r.k: r for r in flatten.pivot_rows(df, "k", ["n"], {"p": "Product", "q": "Qty"}, 10).collect()}
