@@ -95,6 +95,9 @@ ITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
 ITEM_ORDER_SQL = ", ".join(ITEM_ORDER)
 
 
+MAX_ITEMS = 1000
+
+
 def order_notes() -> Column:
     """Order remarks with blanks at the ends, special characters and, now and then, a line break."""
     k = F.col("o_orderkey")
@@ -110,7 +113,10 @@ ORDER_NOTES_SQL = """CASE WHEN o_orderkey % 10 = 0 THEN '  ' || o_orderpriority
 
 
 def order_documents(spark: SparkSession, sf_dir: str, notes: Column | None = None) -> DataFrame:
-    """One nested document per order: id, customer, items and notes; orders without items have no ``items``."""
+    """One nested document per order: id, customer, items and notes; orders without items have no ``items``.
+
+    ``_part`` counts the documents of an order with very many items.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", (order_notes() if notes is None else notes).alias("notes")
     )
@@ -119,17 +125,18 @@ def order_documents(spark: SparkSession, sf_dir: str, notes: Column | None = Non
     parents = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_name", "notes")
     documents = flatten.nest_under(
         parents, "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey", ITEM_ORDER,
-        {"product": F.concat(F.lit("part-"), F.col("l_partkey")), "qty": F.col("l_quantity").cast("bigint")},
+        {"product": F.concat(F.lit("part-"), F.col("l_partkey")), "qty": F.col("l_quantity").cast("bigint")}, MAX_ITEMS,
     )
     return documents.select(
         F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("id"),
         F.struct(F.col("c_name").alias("name"), F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email")).alias("customer"),
         F.when(F.col("item").isNotNull(), F.struct("item")).alias("items"),
         "notes",
+        F.col("part").alias("_part"),
     )
 
 
-ORDER_SCHEMA = "id string, customer struct<name string, email string>, items struct<item array<struct<product string, qty bigint>>>, notes string"
+ORDER_SCHEMA = "id string, customer struct<name string, email string>, items struct<item array<struct<product string, qty bigint>>>, notes string, _part int"
 
 
 # ---- text documents -----------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import (ITEM_ORDER, ITEM_ORDER_SQL, ORDER_NOTES_SQL, ORDER_SCHEMA, TEXT_DOCUMENTS_SQL, order_documents,
+from catalog.common import (ITEM_ORDER, MAX_ITEMS, ITEM_ORDER_SQL, ORDER_NOTES_SQL, ORDER_SCHEMA, TEXT_DOCUMENTS_SQL, order_documents,
                             order_notes, query, table, text_documents)
 from quillbar.functions import scalars, text
 from quillbar.operators import flatten, relational
@@ -30,6 +30,7 @@ def _items(docs):
         docs, "items", "item", ["product", "qty"],
         [F.col("id").alias("order_id"), F.col("customer.name").alias("customer_name"),
          F.col("customer.email").alias("customer_email"), F.col("notes")],
+        before=F.col("_part") * MAX_ITEMS,
     )
 
 
@@ -102,7 +103,7 @@ def order_items_array_pivot(spark, sf):
     cells = []
     for i in range(10):
         cells += [F.get(items, F.lit(i))["product"].alias(f"Product{i + 1}"), F.get(items, F.lit(i))["qty"].alias(f"Qty{i + 1}")]
-    return order_documents(spark, sf, F.col("o_orderpriority")).select(
+    return order_documents(spark, sf, F.col("o_orderpriority")).filter("_part = 0").select(
         F.col("id").alias("order_id"), F.col("customer.name").alias("customer_name"),
         F.col("customer.email").alias("customer_email"), *cells, "notes"
     )

@@ -74,17 +74,17 @@ def xml_inferred_catalog(spark, sf):
 
 
 @query("load_and_aggregate_tables", """
-    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, o_orderpriority AS name, round(sum(o_totalprice), 2) AS sum_value FROM orders GROUP BY 1, 2""")
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, o_orderpriority AS name, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_value FROM orders GROUP BY 1, 2""")
 def load_and_aggregate_tables(spark, sf):
     """CSV into a table that is truncated first, then a second table created from its grouped sums."""
     db, path = _database(spark), scratch_path(spark, "csv")
     orders = table(spark, sf, "orders")
     sinks.write_csv(orders.select(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("data_value")), path)
-    loaded = files.load_csv(spark, path, "year string, name string, data_value double")
+    loaded = files.load_csv(spark, path, "year string, name string, data_value decimal(18,2)")
     for _ in range(2):
         sinks.truncate_and_load(loaded, f"{db}.values")
     sinks.overwrite_table(relational.sum_by(spark.table(f"{db}.values"), ["year", "name"], "data_value", "sum_value"), f"{db}.sums")
-    return spark.table(f"{db}.sums").withColumn("sum_value", F.round("sum_value", 2))
+    return spark.table(f"{db}.sums").withColumn("sum_value", F.col("sum_value").cast("double"))
 
 
 @query("append_tables", "SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer")
@@ -119,6 +119,7 @@ def request_bodies(spark, sf):
     events = table(spark, sf, "events").select("user_id", "event_id")
     lists = flatten.nest_rows(events, "user_id", ["event_id"], {"event_id": "event_id"}, array="records", max_items=1_000)
     body = F.when(F.col("user_id") % 7 == 0, F.lit('{"records": {"a": 1}}')).otherwise(F.to_json(F.struct(F.lit("t").alias("table_name"), "records")))
+    lists = lists.filter("user_id % 7 <> 0 OR part = 0")
     parsed = parse_request(lists.select("user_id", body.alias("body")))
     return parsed.select("user_id", F.get_json_object("record", "$.event_id").cast("bigint").alias("event_id"), "bad_request")
 

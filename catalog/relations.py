@@ -10,14 +10,14 @@ from quillbar.operators import relational
 
 
 @query("sum_by_year_name", """
-    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, n_name AS name, round(sum(o_totalprice), 2) AS sum_value
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, n_name AS name, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_value
     FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2""")
 def sum_by_year_name(spark, sf):
-    orders = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("year"), "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("value"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("name"))
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    return relational.sum_by(rows, ["year", "name"], "o_totalprice", "sum_value").withColumn("sum_value", F.round("sum_value", 2))
+    return relational.sum_by(rows, ["year", "name"], "value", "sum_value").withColumn("sum_value", F.col("sum_value").cast("double"))
 
 
 @query("top20_names", """

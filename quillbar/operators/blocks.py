@@ -1,6 +1,6 @@
 """Split long series into blocks, so that no window ever needs a whole key in one task.
 
-``index_rows`` numbers the rows of each key exactly, in two levels. ``with_halo`` cuts the numbered series into blocks
+``index_rows`` numbers the rows of each key exactly, in two levels; ``index_by_range`` does so for any distribution. ``with_halo`` cuts the numbered series into blocks
 of fixed length and repeats the last rows of each block at the head of the next. Look-back indicators then run per
 ``(key, block)`` with unchanged formulas, and ``drop_halo`` removes the repeated rows.
 """
@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillbar.operators.skew import join_list
+from quillbar.session import scratch_path
+
 BLOCK = "_block"
 HALO = "_halo"
 
@@ -61,6 +64,34 @@ def index_rows(df: DataFrame, key: str, order: Sequence[str], slice_by: Column,
     )
 
 
+def index_by_range(df: DataFrame, key: str, order: Sequence[str], out: str = "row_index") -> DataFrame:
+    """The 1-based position of each row within its key, exact and even for any distribution: bursts, equal rows, hot keys.
+
+    Rows are sorted by range once and written to the shared scratch folder with their place, which pins the ranges; a
+    lost executor cannot shift them. One aggregated row per (key, range) then gives the offsets. Equal rows are told
+    apart by a row id, so they spread over ranges as well.
+    """
+    path = scratch_path(df.sparkSession, "ranges")
+    sort = [key, *order, "_tie"]
+    (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+        .drop("_tie")
+        .write.parquet(path)
+    )
+    stored = df.sparkSession.read.parquet(path)
+    before = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        stored.groupBy(key, "_range")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+        .select(key, "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    numbered = join_list(stored, offsets, [key, "_range"], "inner")
+    return numbered.withColumn(out, F.col("_before") + F.col("_place") - F.col("_first") + 1).drop("_range", "_place", "_first", "_before")
+
+
 def with_halo(df: DataFrame, block_rows: int, halo_rows: int, index: str = "row_index") -> DataFrame:
     """Blocks of ``block_rows`` rows, each preceded by the last ``halo_rows`` rows of the block before."""
     if not 0 <= halo_rows <= block_rows:

@@ -15,7 +15,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillbar.operators.skew import deal, heavy_parts
+from quillbar.operators.blocks import index_by_range
+from quillbar.operators.skew import heavy_parts
 
 
 def tick(name: str) -> str:
@@ -93,16 +94,21 @@ def project_paths(df: DataFrame, paths: dict[str, str]) -> DataFrame:
 
 
 def explode_items(df: DataFrame, container: str, array: str, fields: Sequence[str], keep: Sequence[Column | str],
-                  number: str = "item_number") -> DataFrame:
+                  number: str = "item_number", before: Column | None = None) -> DataFrame:
     """One row per array element, numbered from 1 in document order.
 
     A row without the container at all stays as one row with nulls; a container without elements gives no row.
+    ``before`` is the number of items in earlier parts of the same document, if it has several.
     """
     items = F.col(f"{tick(container)}.{tick(array)}")
-    exploded = df.select(*keep, F.col(container).isNull().alias("_absent"), F.posexplode_outer(items).alias("_pos", "_item"))
+    skipped = F.lit(0) if before is None else before
+    exploded = df.select(
+        *keep, skipped.alias("_before"), F.col(container).isNull().alias("_absent"), F.posexplode_outer(items).alias("_pos", "_item")
+    )
+    inner = ("_before", "_absent", "_pos", "_item")
     return exploded.filter("_absent OR _pos IS NOT NULL").select(
-        *[c for c in exploded.columns if c not in ("_absent", "_pos", "_item")],
-        (F.col("_pos") + 1).alias(number),
+        *[c for c in exploded.columns if c not in inner],
+        (F.col("_pos") + F.col("_before") + 1).alias(number),
         *[F.col("_item")[f].alias(f) for f in fields],
     )
 
@@ -145,8 +151,15 @@ def pivot_rows(df: DataFrame, key: str, order: Sequence[str], fields: dict[str,
 
 
 def _gather(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], heavy: DataFrame | None,
-            array: str, part: str) -> DataFrame:
-    placed, group = (df.repartition(key), [key]) if heavy is None else (deal(df, key, heavy, part), [key, part])
+            max_items: int, array: str, part: str) -> DataFrame:
+    if heavy is None:
+        placed, group = df.repartition(key), [key]
+    else:
+        is_heavy = F.col(key) == F.col("_heavy")
+        numbered = index_by_range(df.join(heavy, is_heavy, "left_semi"), key, order)
+        cut = numbered.withColumn(part, F.floor((F.col("row_index") - 1) / F.lit(max_items)).cast("int")).drop("row_index")
+        light = df.join(heavy, is_heavy, "left_anti").withColumn(part, F.lit(0))
+        placed, group = light.unionByName(cut).repartition(key, part), [key, part]
     element = F.struct(
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
         F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in payload.items()]).alias("_v"),
@@ -158,13 +171,14 @@ def _gather(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Co
 
 def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], max_items: int = 1000,
               array: str = "item", part: str = "part") -> DataFrame:
-    """Flat rows to documents ``(key, part, array)`` of about ``max_items`` elements at most, sorted by ``order``.
+    """Flat rows to documents ``(key, part, array)`` of at most ``max_items`` elements, sorted by ``order``.
 
-    Almost every key fits one document (part 0). A key with more rows is dealt over several parts, so no task ever
-    gathers an unbounded group. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle
-    hold few rows each and only cost time.
+    Almost every key fits one document (part 0). Only the rows of keys with more are numbered and continue in parts 1,
+    2, ..., so no task ever gathers an unbounded group. Element ``i`` of a part is item ``part * max_items + i`` of its
+    key. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle hold few rows each and
+    only cost time.
     """
-    return _gather(df, key, order, payload, heavy_parts(df, key, max_items), array, part)
+    return _gather(df, key, order, payload, heavy_parts(df, key, max_items), max_items, array, part)
 
 
 def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, key: str, order: Sequence[str],
@@ -175,14 +189,14 @@ def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, key: str, ord
     meet their parent in many tasks. Without heavy keys the join reuses the partitioning of the gathered rows.
     """
     heavy = heavy_parts(df, key, max_items)
-    docs = _gather(df, key, order, payload, heavy, array, part)
+    docs = _gather(df, key, order, payload, heavy, max_items, array, part)
     if heavy is None:
         return parents.join(docs, F.col(parent_key) == F.col(key), "left").withColumn(part, F.lit(0)).drop(key)
     docs = docs.withColumnRenamed(part, "_part")
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     copies = parents.join(heavy, F.col(parent_key) == F.col("_heavy"), "left").withColumn(part, F.explode(F.sequence(F.lit(0), last)))
     joined = copies.join(docs, (F.col(parent_key) == F.col(key)) & (F.col(part) == F.col("_part")), "left")
-    return joined.filter((F.col(part) == 0) | F.col(key).isNotNull()).drop(key, "_part", "_heavy", "_parts")
+    return joined.drop(key, "_part", "_heavy", "_parts")
 
 
 @dataclass(frozen=True)

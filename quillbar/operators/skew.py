@@ -46,17 +46,3 @@ def heavy_parts(df: DataFrame, key: str, max_rows: int, limit: int = SMALL_LIST)
     if local is None:
         return parts
     return None if local.isEmpty() else F.broadcast(local)
-
-
-def deal(df: DataFrame, key: str, parts: DataFrame, out: str = "part") -> DataFrame:
-    """Adds ``out``: 0 for ordinary keys, while the rows of a key in ``parts`` are dealt over its parts by a hash.
-
-    Redistributes by key and part, so that a hot key leaves the one task it may have met the list in; AQE splits that
-    task because a shuffle follows. No group by ``(key, out)`` is then much longer than the agreed maximum.
-    """
-    # The id depends on the scan's splits and the row's place in them, so a task that runs again deals the same way.
-    # Hashed, since rows of one key often come at regular distances.
-    dealt = df.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
-    joined = dealt.join(parts, F.col(key) == F.col("_heavy"), "left")
-    placed = joined.withColumn(out, F.coalesce(F.pmod("_row", "_parts"), F.lit(0)).cast("int"))
-    return placed.drop("_row", "_heavy", "_parts").repartition(key, out)
