@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 NON_ASCII = r"[^\x00-\x7F]"
 LINE_BREAK = r"[\r\n]"
 NOT_PRINTABLE_RUN = r"[^\x20-\x7E]+"
-OUTER_BLANKS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+STRIPPED = r"(?Us)^[\s\x1C-\x1F]*(.*[^\s\x1C-\x1F])"
+BLANKS = "\t\n\x0b\f\r"
 
 
 def drop_non_ascii(c: Column) -> Column:
@@ -34,10 +35,17 @@ def clean_string(c: Column) -> Column:
 
 def clean_printable(c: Column) -> Column:
     """Strip the ends first, then delete runs outside printable ASCII. Not stripped again on purpose."""
-    stripped = F.regexp_replace(c, OUTER_BLANKS, "")
+    stripped = F.regexp_extract(c, STRIPPED, 1)
     return F.coalesce(F.regexp_replace(stripped, NOT_PRINTABLE_RUN, ""), F.lit(""))
 
 
+def words(c: Column) -> Column:
+    """The blank-separated words of a text. Splitting at one plain character is several times faster than at a pattern."""
+    for blank in BLANKS:
+        c = F.replace(c, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(c, " ", -1), "")
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 

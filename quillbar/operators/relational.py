@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillbar.functions.text import words
+
 
 # ---- aggregates ---------------------------------------------------------------------------------------------------
 
@@ -22,8 +24,7 @@ def top_totals(df: DataFrame, where: Column, key: str, value: str, n: int = 20,
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:
     """Occurrences of each blank-separated word. Counts are combined before the shuffle, so frequent words are cheap."""
-    words = df.select(F.explode(F.split(text, r"\s+")).alias("word")).filter("word <> ''")
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_pairs(df: DataFrame, key: str, pairs: Column) -> DataFrame:
