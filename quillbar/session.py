@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "quillbar", master: str | None = None, **conf) -> SparkSession:
-    """A session with AQE on and UTC as the session zone. Extra settings go in ``conf`` (``_`` for ``.``)."""
+    """A session with AQE on and UTC as the session zone. Extra settings: ``**{"spark.driver.memory": "8g"}``."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
@@ -20,7 +20,7 @@ def build_session(app_name: str = "quillbar", master: str | None = None, **conf)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

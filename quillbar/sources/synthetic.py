@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from quillbar.functions.text import drop_quotes, spell_ampersand
 
 # Word lists of our own and the value ranges.
-GENRES = ["Fantasy", "Science Fiction", "Technical", "History", "Mystery", "Romance", "Horror"]
+GENRES = ["Adventure", "Biography", "Drama", "Essay", "Poetry", "Science", "Travel"]
 FIRST = ["Ada", "Bo", "Cleo", "Dov", "Eira", "Finn", "Gus", "Hana"]
 LAST = ["O'Dell", "Park", "Quist", "Rao", "Sole", "Toth"]
 WORDS = ["amber", "bridge", "cinder", "delta", "ember", "fjord", "grove", "harbor", "inlet", "juniper"]
-SPECIAL = " Highly recommendéd! ★"
+SPECIAL = " Très bien, 5 ☆"
 MAX_REVIEWERS = 5
 MAX_VALUES = 4
 DIGEST_MODULUS = 2147483647

@@ -17,11 +17,12 @@ def stream_bars(ticks: DataFrame, interval: str = "1 hour", delay: str = "10 min
     return resample(timed, interval, ts=ts, **columns)
 
 
-def start_bars(bars: DataFrame, path: str, checkpoint: str):
+def start_bars(bars: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Append closed bars below ``path``. By default what is there is taken in and the query ends."""
     return (
         bars.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start(path)
     )

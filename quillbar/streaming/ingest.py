@@ -18,8 +18,9 @@ def read_records(spark: SparkSession, folder: str, files_per_trigger: int | None
 
 
 def start_ingest(records: DataFrame, spec: TableSpec, accepted: str, refused: str, checkpoint: str,
-                 atomic: bool = False):
-    """Start the query; each micro-batch is one batch for ``atomic``.
+                 atomic: bool = False, trigger: dict | None = None):
+    """Start the query; each micro-batch is one batch for ``atomic``. ``trigger`` as in ``DataStreamWriter.trigger``; by
+    default what is there is taken in and the query ends.
 
     Both outputs are written to a folder named after the batch number and replaced on a retry, so a batch that is run
     again after a failure leaves no duplicates. The input is narrow and parsed twice rather than cached.
@@ -33,6 +34,6 @@ def start_ingest(records: DataFrame, spec: TableSpec, accepted: str, refused: st
     return (
         records.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
