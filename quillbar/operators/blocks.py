@@ -68,17 +68,18 @@ def index_by_range(df: DataFrame, key: str, order: Sequence[str], out: str = "ro
     """The 1-based position of each row within its key, exact and even for any distribution: bursts, equal rows, hot keys.
 
     Rows are sorted by range once and written to the shared scratch folder with their place, which pins the ranges; a
-    lost executor cannot shift them. One aggregated row per (key, range) then gives the offsets. Equal rows are told
-    apart by a row id, so they spread over ranges as well.
+    lost executor cannot shift them. One aggregated row per (key, range) then gives the offsets. Rows that agree in
+    ``order`` are told apart by a hash of the whole row, and copies by a row id, so that they spread over ranges as well.
+    Only copies depend on the id, and it does not matter which copy a task that runs again puts where.
     """
     path = scratch_path(df.sparkSession, "ranges")
-    sort = [key, *order, "_tie"]
+    sort = [key, *order, "_hash", "_tie"]
     (
-        df.withColumn("_tie", F.monotonically_increasing_id())
+        df.withColumns({"_hash": F.xxhash64(*df.columns), "_tie": F.monotonically_increasing_id()})
         .repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
-        .drop("_tie")
+        .drop("_hash", "_tie")
         .write.parquet(path)
     )
     stored = df.sparkSession.read.parquet(path)
