@@ -13,10 +13,14 @@ from quillbar.operators import relational
     SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, n_name AS name, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_value
     FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2""")
 def sum_by_year_name(spark, sf):
-    orders = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").cast("string").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("value"))
+    """Orders are summed per customer and year first, so a customer with very many orders joins as a few rows."""
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", F.year("o_orderdate").cast("string").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("value")
+    )
+    per_customer = relational.sum_by(orders, ["o_custkey", "year"], "value", "value")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("name"))
-    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return relational.sum_by(rows, ["year", "name"], "value", "sum_value").withColumn("sum_value", F.col("sum_value").cast("double"))
 
 
@@ -24,10 +28,10 @@ def sum_by_year_name(spark, sf):
     SELECT c_name AS name, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total FROM orders JOIN customer ON c_custkey = o_custkey
     WHERE c_mktsegment = 'BUILDING' GROUP BY c_name ORDER BY total DESC, name LIMIT 20""")
 def top20_names(spark, sf):
-    """Twenty customers of one market segment with the largest order totals, in cents."""
+    """Twenty customers of one market segment with the largest order totals, in cents; summed per customer before the join."""
     orders = table(spark, sf, "orders").select("o_custkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("number"))
     customers = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_mktsegment")
-    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = relational.sum_by(orders, ["o_custkey"], "number", "number").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return relational.top_totals(rows, F.col("c_mktsegment") == "BUILDING", "name", "number", 20)
 
 
