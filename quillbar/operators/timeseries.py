@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SERIES = ("symbol",)
 ORDER = ("ts",)
@@ -30,26 +31,29 @@ def _is_true(c: Column) -> Column:
 
 # ---- bars ---------------------------------------------------------------------------------------------------------
 
-def _micros(ts: str) -> Column:
-    """Microseconds since 1970 on the column's own clock; unlike a cast, the same in every session time zone."""
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970, in an order that does not depend on the session time zone: of the instant for an instant
+    column, of the column's own clock for a wall-clock column."""
     c = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        return F.unix_micros(c)
     day = F.date_diff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
     second = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
     return day * 86_400_000_000 + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * 1_000_000 + second
 
 
-def _tick_rank(ts: str, tiebreak: str | None) -> Column:
+def _tick_rank(df: DataFrame, ts: str, tiebreak: str | None) -> Column:
     """Order of ticks as one fixed-width value, which keeps the aggregate on the hash path (a struct would sort)."""
     if tiebreak is None:
         return F.col(ts)
     shift = F.lit("10000000000000000000").cast("decimal(20,0)")
-    return _micros(ts).cast("decimal(19,0)") * shift + F.col(tiebreak).cast("decimal(19,0)")
+    return _micros(df, ts).cast("decimal(19,0)") * shift + F.col(tiebreak).cast("decimal(19,0)")
 
 
 def resample(ticks: DataFrame, interval: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
              tiebreak: str | None = None) -> DataFrame:
     """Ticks to open/high/low/close bars plus the tick count. Partial aggregation happens before the shuffle."""
-    rank = _tick_rank(ts, tiebreak)
+    rank = _tick_rank(ticks, ts, tiebreak)
     p = F.col(price)
     return (
         ticks.groupBy(F.col(symbol).alias("symbol"), F.window(ts, interval).alias("_w"))

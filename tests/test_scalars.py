@@ -52,6 +52,19 @@ def test_bars_ignore_the_session_zone(spark):
     assert (bar.open, bar.close, bar.volume) == (10.0, 50.0, 3)
 
 
+def test_bars_of_instants_keep_their_order_when_clocks_go_back(spark):
+    # 01:40 twice on the session's clock; the later instant has the earlier wall-clock time.
+    df = spark.createDataFrame([("A", 1730615940, 1.0, 2), ("A", 1730619000, 2.0, 1)], "symbol string, s bigint, price double, event_id bigint")
+    ticks = df.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        bar = ts.resample(ticks, "1 day", tiebreak="event_id").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (bar.open, bar.close, bar.volume) == (1.0, 2.0, 2)
+
+
 def test_timestamps_as_text(spark):
     row = one(
         spark, some=scalars.timestamp_text(ntz("2024-05-06 07:08:09")), none=scalars.timestamp_text(F.lit(None).cast("timestamp")),
