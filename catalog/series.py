@@ -353,7 +353,7 @@ def previous_day_slice(spark, sf):
 
 @query("previous_midnight", "SELECT event_id, date_trunc('day', ts) - INTERVAL 1 DAY AS run_date FROM events")
 def previous_midnight(spark, sf):
-    return table(spark, sf, "events").select("event_id", scalars.previous_midnight(F.col("ts")).cast("timestamp_ntz").alias("run_date"))
+    return table(spark, sf, "events").select("event_id", scalars.previous_midnight(F.col("ts")).alias("run_date"))
 
 
 TICKERS = [

@@ -28,7 +28,8 @@ def timestamp_text(ts: Column, missing: str = "-") -> Column:
 
 
 def previous_midnight(ts: Column) -> Column:
-    return F.date_trunc("day", ts) - F.expr("INTERVAL 1 DAY")
+    """Midnight of the day before, as a wall-clock time."""
+    return F.date_sub(ts.cast("date"), 1).cast("timestamp_ntz")
 
 
 def money(c: Column, places: int = 2) -> Column:
