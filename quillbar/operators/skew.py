@@ -35,7 +35,7 @@ def heavy_keys(df: DataFrame, key: str, above: int) -> DataFrame:
 
 
 def heavy_parts(df: DataFrame, key: str, max_rows: int, limit: int = SMALL_LIST) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows and the number of parts to deal them into; None when there are none.
+    """Keys with more than ``max_rows`` rows and the number of parts they need; None when there are none.
 
     A short list comes back as a broadcast one, a long list as it is.
     """
