@@ -24,8 +24,9 @@ def read_xml(spark: SparkSession, path: str | list[str], row_tag: str, schema: T
 def read_xml_split(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str) -> DataFrame:
     """Read big XML files in parallel: cut the text at each end tag and parse every record on its own.
 
-    Any number of tasks can share one file. A record is held whole in one task, as in any reader. Limits: UTF-8 only; a self-closing row element is not a record; the end tag
-    must not occur inside a comment or CDATA, and the element must not contain itself.
+    Any number of tasks can share one file; a record is held whole by its task. Limits: UTF-8 only; a self-closing row
+    element is not a record; the end tag must not occur inside a comment or CDATA, and the element must not contain
+    itself.
     """
     tag = re.escape(row_tag)
     ddl = schema if isinstance(schema, str) else schema.simpleString()
