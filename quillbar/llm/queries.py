@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, mixing, quality, secrets
+from quillbar.llm import chat, mixing, neardup, quality, scoring, secrets
 from quillbar.llm.common import table
 from quillbar.llm.sql import CHAT_SQL, MIXING_SQL
 
@@ -44,6 +44,16 @@ def span_digest(found: Column, base_kinds: list[str]) -> list[Column]:
     return [*counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(found).alias("spans")]
 
 
+@query("op1_context_tree_score")
+def op1_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(documents(spark, sf_dir))
+
+
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op7_collapse_conversations", CHAT_SQL)
 def op7_collapse_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
