@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, mixing, neardup, quality, scoring, secrets
+from quillbar.llm import chat, language, linededup, mixing, neardup, pii, quality, scoring, secrets
 from quillbar.llm.common import table
 from quillbar.llm.sql import CHAT_SQL, MIXING_SQL
 
@@ -36,10 +36,9 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
-def span_digest(found: Column, base_kinds: list[str]) -> list[Column]:
-    """n_<kind> per base kind, base_sha256 and spans, from an array of (start, place, kind, end) in order."""
-    base = F.filter(found, lambda s: s["kind"].isin(base_kinds))
-    of = lambda kind: F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("bigint")
+def span_digest(found: Column, base_kinds: list[str], base: Column) -> list[Column]:
+    """n_<kind> of the base spans, base_sha256 and spans, from arrays of spans in order."""
+    of = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
     counts = [of(k).alias(f"n_{k}") for k in base_kinds]
     return [*counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(found).alias("spans")]
 
@@ -49,11 +48,32 @@ def op1_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(documents(spark, sf_dir))
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.concat_ws(",", F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"])))
+    found = linededup.duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_units", "n_removed", "removed_chars", spans.alias("removed"))
+
+
 @query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(documents(spark, sf_dir))
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["lang"], s["start"], s["end"])))
+    return found.select("doc_id", "held_out", "lang_pred", "score", spans.alias("spans"))
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.fit(docs), ["doc_id"])
+    return found.select("doc_id", *span_digest(F.col("found"), pii.KINDS, F.filter("found", lambda s: s["base"])))
+
+
 @query("op7_collapse_conversations", CHAT_SQL)
 def op7_collapse_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
@@ -62,7 +82,9 @@ def op7_collapse_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.findings_by_path(documents(spark, sf_dir), path="doc_id", content="text")
-    return found.select(F.col("path").alias("doc_id"), *span_digest(F.col("found"), ["assign", "access", "hex"]))
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    base = F.filter("found", lambda s: s["kind"].isin(kinds))
+    return found.select(F.col("path").alias("doc_id"), *span_digest(F.col("found"), kinds, base))
 
 
 @query("op9_quality_rules")

@@ -326,7 +326,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     by_root = lambda key, rest: F.pmod(F.xxhash64(F.shiftrightunsigned(F.col(key), rest)), F.lit(parts)).alias("part")
     grams = grams.select("key", "n", by_root("key", 8 * (DEPTH - ROOT + 1)))
     roots = grams.groupBy("part").applyInPandas(_roots, "key bigint, n bigint, w array<double>")
-    top = roots.select("*", by_root("key", 8)).groupBy(F.lit(1)).applyInPandas(_top, "part bigint, key bigint, a array<double>, b array<double>")
+    top = roots.select("*", by_root("key", 8)).groupBy().applyInPandas(_top, "part bigint, key bigint, a array<double>, b array<double>")
     model = grams.groupBy("part").cogroup(top.groupBy("part")).applyInPandas(_log_probabilities, "key bigint, value double")
     gram_answers = seen.filter(F.col("kind") == GRAM).select("block", "key").join(model, "key").select("block", F.lit(GRAM).alias("kind"), "key", "value")
 

@@ -131,4 +131,4 @@ def test_probabilities_add_up(spark):
     roots = scoring._roots(frame)
     roots["part"] = 0
     out = scoring._log_probabilities(frame, scoring._top(roots))
-    assert np.exp(out[out.key >> 8 == context].value).sum() == pytest.approx(1.0, abs=1e-9)
+    assert np.exp(out[out.key // 256 == context].value).sum() == pytest.approx(1.0, abs=1e-9)
