@@ -91,11 +91,16 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(stream: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per word. ``ends`` are the positions of the byte after each word; a word starts after the previous end."""
+def span_hashes(stream: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per span of bytes."""
     n = len(stream)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODES[stream] * powers(_BASE, n), out=total[1:])
-    starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1]) if len(ends) else ends
     shift = powers(_BASE_INVERSE, n + 1)[starts]
     return mixed((total[ends] - total[starts]) * shift + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(stream: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per word. ``ends`` are the positions of the byte after each word; a word starts after the previous end."""
+    starts = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1]) if len(ends) else ends
+    return span_hashes(stream, starts, ends)

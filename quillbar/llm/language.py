@@ -204,3 +204,17 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     marked = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds, fold).alias("held_out"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     model = train(marked.filter(~F.col("held_out")))
     return label(marked, model, ["doc_id", "held_out"])
+
+
+def _confident(batches: Iterator[pa.RecordBatch], model: Model, text: str, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(text))], ["text"])
+        for part in _predict(iter([texts]), model):
+            known = [p != "und" and s >= least for p, s in zip(part.column("lang_pred").to_pylist(), part.column("score").to_pylist(), strict=True)]
+            yield batch.slice(0, len(known)).filter(pa.array(known, pa.bool_()))
+            batch = batch.slice(len(known))
+
+
+def confident(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language holds at least ``least`` of the letters, all columns as they are; ``und`` goes."""
+    return docs.mapInArrow(lambda batches: _confident(batches, model, text, least), docs.schema)

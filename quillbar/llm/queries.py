@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, language, linededup, mixing, neardup, pii, quality, scoring, secrets
+from quillbar.llm import chat, decontaminate, language, linededup, mixing, neardup, pii, quality, scoring, secrets
 from quillbar.llm.common import table
 from quillbar.llm.sql import CHAT_SQL, MIXING_SQL
 
@@ -60,6 +60,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op4_cgk_decontamination")
+def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(documents(spark, sf_dir))
