@@ -8,9 +8,9 @@ from catalog.common import (ITEM_ORDER, MAX_ITEMS, ITEM_ORDER_SQL, ORDER_NOTES_S
                             order_notes, query, table, text_documents)
 from quillbar.functions import scalars, text
 from quillbar.operators import flatten, relational
-from quillbar.plans.flatten_job import FlattenJob, shape
+from quillbar.plans.flatten_job import FlattenJob, run, shape
 from quillbar.session import scratch_path
-from quillbar.sources import sinks, synthetic, xml
+from quillbar.sources import files, sinks, synthetic, xml
 
 ITEMS_SQL = f"""
     SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS order_id, c_name AS customer_name,
@@ -66,6 +66,45 @@ def xml_split_scan_orders(spark, sf):
     return _items(xml.read_xml_split(spark, path, "order", ORDER_SCHEMA))
 
 
+@query("xml_split_mixed_elements", """
+    SELECT CAST(p_partkey AS BIGINT) AS _id, CASE WHEN p_partkey % 3 <> 0 THEN p_name END AS name,
+           CASE WHEN p_partkey % 3 <> 0 THEN '<part _id="0">' END AS code FROM part""")
+def xml_split_mixed_elements(spark, sf):
+    """Elements of which every third is self-closing, with the tag named in comments and CDATA, scanned by cutting at the end tag."""
+    path, i = scratch_path(spark, "parts-xml"), F.col("p_partkey")
+    name = F.regexp_replace(F.regexp_replace("p_name", "&", "&amp;"), "<", "&lt;")
+    whole = F.concat(F.lit('<part id="'), i, F.lit('"><!-- not a <part id="5"> --><name>'), name,
+                     F.lit('</name><code><![CDATA[<part _id="0">]]></code></part'), F.when(i % 5 == 0, " >").otherwise(">"))
+    empty = F.concat(F.lit("<!-- <part> --><part id='"), i, F.lit("' note=\"a > b\"/>"))
+    table(spark, sf, "part").select(F.when(i % 3 == 0, empty).otherwise(whole).alias("value")).write.option("lineSep", " ").text(path)
+    return xml.read_xml_split(spark, path, "part", "_id bigint, name string, code string")
+
+
+JOB_COLUMNS = [("id", "order_id"), ("customer.name", "customer"), ("customer.name", "buyer"), ("notes", "notes")]
+
+
+@query("mapping_job_xml_to_tsv", f"""
+    WITH i AS (SELECT l_orderkey, 'part-' || l_partkey AS product, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty,
+                      row_number() OVER (PARTITION BY l_orderkey ORDER BY {ITEM_ORDER_SQL}) AS n FROM lineitem),
+    p AS (SELECT l_orderkey, {", ".join(f'max(CASE WHEN n = {k} THEN product END) AS "item_product-{k}", max(CASE WHEN n = {k} THEN qty END) AS "item_qty-{k}"' for k in range(1, 4))}
+          FROM i GROUP BY l_orderkey)
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS order_id, c_name AS customer, c_name AS buyer, o_orderpriority AS notes,
+           {", ".join(f'"item_product-{k}", "item_qty-{k}"' for k in range(1, 4))}
+    FROM orders LEFT JOIN p ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey""")
+def mapping_job_xml_to_tsv(spark, sf):
+    """The whole mapping job: XML read in parallel with a saved schema, shaped by the mapping, written tab-separated, read back."""
+    root = scratch_path(spark, "mapping-job")
+    docs = order_documents(spark, sf, F.col("o_orderpriority")).filter("_part = 0").drop("_part")
+    sinks.write_xml(docs, f"{root}/xml", "orders", "order", records_per_file=10_000_000)
+    xml.save_schema(spark, docs.schema, f"{root}/schema")
+    mapping = {"flatten_cols": [{"path": a, "alias": b} for a, b in JOB_COLUMNS],
+               "pivot_arrays": [{"path": "items.item", "pivot_prefix": "item", "max_items": 3, "is_struct": True,
+                                 "struct_fields": [{"original": f, "new_suffix": f} for f in ("product", "qty")]}],
+               "source_xml_path": f"{root}/xml", "row_tag": "order", "schema_path": f"{root}/schema", "target_path": f"{root}/tsv"}
+    shaped = run(spark, FlattenJob.from_dict(mapping), split=True)
+    return files.load_tsv(spark, f"{root}/tsv", ", ".join(f"`{c}` string" for c in shaped.columns))
+
+
 @query("order_items_pivot", f"""
     WITH i AS (SELECT l_orderkey, 'part-' || l_partkey AS product, CAST(l_quantity AS BIGINT) AS qty,
                       row_number() OVER (PARTITION BY l_orderkey ORDER BY {ITEM_ORDER_SQL}) AS n FROM lineitem),
@@ -113,7 +152,7 @@ def order_items_array_pivot(spark, sf):
 def project_nested_paths(spark, sf):
     return flatten.project_paths(
         text_documents(spark, sf),
-        {"doc_id": "doc_id", "meta.lang": "language", "meta.size.source": "origin", "meta.size.n_chars": "chars"},
+        [("doc_id", "doc_id"), ("meta.lang", "language"), ("meta.size.source", "origin"), ("meta.size.n_chars", "chars")],
     )
 
 
@@ -168,7 +207,7 @@ PIVOT_STRUCT_SQL = ", ".join(
     WITH {TEXT_DOCUMENTS_SQL} SELECT doc_id, {PIVOT_STRUCT_SQL.format(c="CAST", t="VARCHAR")} FROM docs""")
 def pivot_struct_array(spark, sf):
     return text_documents(spark, sf).select(
-        "doc_id", *flatten.pivot_columns("lines", "line", 4, {"body": "text", "width": "width"})
+        "doc_id", *flatten.pivot_columns("lines", "line", 4, [("body", "text"), ("width", "width")])
     )
 
 
@@ -178,7 +217,7 @@ def pivot_struct_array(spark, sf):
 def pivot_struct_array_typed(spark, sf):
     """Element types kept: the fill turns missing texts into blanks and leaves missing numbers null."""
     wide = text_documents(spark, sf).select(
-        "doc_id", *flatten.pivot_columns("lines", "line", 4, {"body": "text", "width": "width"}, as_text=False)
+        "doc_id", *flatten.pivot_columns("lines", "line", 4, [("body", "text"), ("width", "width")], as_text=False)
     )
     return text.fill_empty(wide)
 
@@ -187,6 +226,7 @@ MAPPING = {
     "flatten_cols": [
         {"path": "doc_id", "alias": "doc_id"},
         {"path": "meta.lang", "alias": "lang"},
+        {"path": "meta.lang", "alias": "language"},
         {"path": "meta.size.source", "alias": "source"},
     ],
     "pivot_arrays": [
@@ -204,11 +244,11 @@ def _clean_sql(c: str) -> str:
 
 @query("config_flatten_job", f"""
     WITH {TEXT_DOCUMENTS_SQL}
-    SELECT doc_id, {_clean_sql("lang")} AS lang, {_clean_sql("source")} AS source,
+    SELECT doc_id, {_clean_sql("lang")} AS lang, {_clean_sql("lang")} AS language, {_clean_sql("source")} AS source,
       {", ".join(f'{_clean_sql(f"lines[{i}]")} AS "line_text-{i}", coalesce(CAST(length(lines[{i}]) AS VARCHAR), {chr(39)*2}) AS "line_width-{i}"' for i in range(1, 4))},
       {", ".join(f'{_clean_sql(f"tags[{i}]")} AS "tag-{i}"' for i in range(1, 3))} FROM docs""")
 def config_flatten_job(spark, sf):
-    """A mapping-driven job: project, pivot two arrays, clean every text."""
+    """A mapping-driven job: project one path twice and others once, pivot two arrays, clean every text."""
     return shape(text_documents(spark, sf), FlattenJob.from_dict(MAPPING))
 
 

@@ -23,10 +23,10 @@ def tick(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _fail_on_clash(names: Sequence[str]) -> None:
+def fail_on_clash(names: Sequence[str]) -> None:
     twice = sorted(n for n, k in Counter(names).items() if k > 1)
     if twice:
-        raise ValueError(f"flattening gives the same column name twice: {twice}")
+        raise ValueError(f"the same column name is given twice: {twice}")
 
 
 def _is_nested(t: T.DataType) -> bool:
@@ -51,7 +51,7 @@ def flatten_outer(df: DataFrame, sibling_arrays: str = "cross") -> DataFrame:
                 arrays.append(f.name)
             else:
                 plain.append((f.name, F.col(tick(f.name))))
-        _fail_on_clash([n for n, _ in plain] + arrays)
+        fail_on_clash([n for n, _ in plain] + arrays)
         kept = [n for n, _ in plain]
         df = df.select(*[c.alias(n) for n, c in plain], *[F.col(tick(a)) for a in arrays])
         if sibling_arrays == "zip" and len(arrays) > 1:
@@ -79,7 +79,7 @@ def flatten_inner(df: DataFrame) -> DataFrame:
         if isinstance(nested.dataType, T.StructType):
             rest = [c for c in df.columns if c != name]
             opened = [f"{name}_{s.name}" for s in nested.dataType.fields]
-            _fail_on_clash(rest + opened)
+            fail_on_clash(rest + opened)
             df = df.select(
                 *map(tick, rest),
                 *[F.col(f"{tick(name)}.{tick(s.name)}").alias(f"{name}_{s.name}") for s in nested.dataType.fields],
@@ -88,9 +88,10 @@ def flatten_inner(df: DataFrame) -> DataFrame:
             df = df.select(*[F.explode(tick(c)).alias(c) if c == name else F.col(tick(c)) for c in df.columns])
 
 
-def project_paths(df: DataFrame, paths: dict[str, str]) -> DataFrame:
-    """Nested paths to top-level columns: ``{"author.name.first": "author_name_first"}``."""
-    return df.select(*[F.col(p).alias(a) for p, a in paths.items()])
+def project_paths(df: DataFrame, paths: Sequence[tuple[str, str]]) -> DataFrame:
+    """Nested paths to top-level columns: ``[("author.name.first", "author_name_first")]``. A path may come twice, a name may not."""
+    fail_on_clash([a for _, a in paths])
+    return df.select(*[F.col(p).alias(a) for p, a in paths])
 
 
 def explode_items(df: DataFrame, container: str, array: str, fields: Sequence[str], keep: Sequence[Column | str],
@@ -113,12 +114,12 @@ def explode_items(df: DataFrame, container: str, array: str, fields: Sequence[st
     )
 
 
-def pivot_columns(array: Column | str, prefix: str, max_items: int, fields: dict[str, str] | None = None,
+def pivot_columns(array: Column | str, prefix: str, max_items: int, fields: Sequence[tuple[str, str]] | None = None,
                   as_text: bool = True) -> list[Column]:
     """Array positions as numbered columns ``prefix-1 .. prefix-n`` or, for structs, ``prefix_suffix-i``.
 
-    ``F.get`` gives null past the end; elements after ``max_items`` are not shown. ``fields`` maps a struct field to
-    its column suffix. Use all the columns in one ``select``.
+    ``F.get`` gives null past the end; elements after ``max_items`` are not shown. ``fields`` lists struct fields with their
+    column suffixes. Use all the columns in one ``select``.
     """
     arr = F.col(array) if isinstance(array, str) else array
 
@@ -131,7 +132,7 @@ def pivot_columns(array: Column | str, prefix: str, max_items: int, fields: dict
         if fields is None:
             out.append(shaped(element).alias(f"{prefix}-{i + 1}"))
         else:
-            out += [shaped(element[f]).alias(f"{prefix}_{suffix}-{i + 1}") for f, suffix in fields.items()]
+            out += [shaped(element[f]).alias(f"{prefix}_{suffix}-{i + 1}") for f, suffix in fields]
     return out
 
 
@@ -206,4 +207,4 @@ class ArrayPivot:
     path: str
     prefix: str
     max_items: int
-    fields: dict[str, str] | None = field(default=None)
+    fields: Sequence[tuple[str, str]] | None = field(default=None)

@@ -21,21 +21,53 @@ def read_xml(spark: SparkSession, path: str | list[str], row_tag: str, schema: T
     return reader.load(path)
 
 
+def _let(value, body):
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _records(piece, row_tag: str):
+    """The row elements in the text before one end tag: self-closing ones, then the one that the end tag closes.
+
+    Comments, CDATA sections and tags are told apart first, so that a tag named in a comment or in CDATA does not count. A piece
+    that cannot be decided fails: it was cut inside a comment or CDATA, or row elements are nested or unclosed.
+    """
+    tag = re.escape(row_tag)
+    inside_tag = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+    pattern = rf"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<{tag}(?=[\s/>]){inside_tag}|[^<]++|<"
+    row = lambda t: F.rlike(t, F.lit(rf"^<{tag}[\s/>]"))
+    self_closing = lambda t: row(t) & t.endswith("/>")
+    opening = lambda t: row(t) & ~t.endswith("/>")
+
+    def decided(tokens):
+        first = F.array_position(F.transform(tokens, opening), True).cast("int")
+        loose = F.array_join(F.filter(tokens, lambda t: ~t.startswith("<![CDATA[")), "")
+        torn = F.rlike(loose, F.lit(r"<!--|-->|<!\[CDATA\[|\]\]>"))
+        many = F.size(F.filter(tokens, opening)) > 1
+        failed = F.raise_error(F.concat(F.lit(f"cannot cut <{row_tag}> elements here: "), F.substring(loose, 1, 200))).cast("array<string>")
+        ahead = F.when(first > 0, F.slice(tokens, 1, first - 1)).otherwise(tokens)
+        closed = F.concat(F.array_join(F.slice(tokens, first, F.size(tokens)), ""), F.lit(f"</{row_tag}>"))
+        found = F.concat(F.filter(ahead, self_closing), F.when(first > 0, F.array(closed)).otherwise(F.array().cast("array<string>")))
+        return F.when(torn | many, failed).otherwise(found)
+
+    tokens = F.filter(F.regexp_extract_all(piece, F.lit(pattern), F.lit(0)), lambda t: ~(t.startswith("<!--") & t.endswith("-->")))
+    return _let(tokens, decided)
+
+
 def read_xml_split(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str) -> DataFrame:
     """Read big XML files in parallel: cut the text at each end tag and parse every record on its own.
 
-    Any number of tasks can share one file; a record is held whole by its task. Limits: UTF-8 only; a self-closing row
-    element is not a record; the end tag must not occur inside a comment or CDATA, and the element must not contain
-    itself.
+    Any number of tasks can share one file; a record is held whole by its task. Self-closing row elements are records; comments are
+    passed over; blanks in an end tag are allowed. UTF-8 only. What cannot be cut for certain (an end tag inside a comment or
+    CDATA, row elements inside row elements, a record without its end) and what cannot be parsed fails the read.
     """
-    tag = re.escape(row_tag)
     ddl = schema if isinstance(schema, str) else schema.simpleString()
     if isinstance(schema, str) and not schema.lower().startswith("struct<"):
         ddl = T.StructType.fromDDL(schema).simpleString()
     text = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    opened = text.select(F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0).alias("_open")).filter("_open <> ''")
-    whole = F.concat("_open", F.lit(f"</{row_tag}>"))
-    return opened.select(F.from_xml(whole, ddl, {"rowTag": row_tag}).alias("_rec")).select("_rec.*")
+    pieces = text.select(F.explode(F.split("value", rf"</{re.escape(row_tag)}\s+>", -1)).alias("_piece"))
+    records = pieces.select(F.explode(_records(F.col("_piece"), row_tag)).alias("_record"))
+    return records.select(F.from_xml("_record", ddl, {"rowTag": row_tag, "mode": "FAILFAST"}).alias("_rec")).select("_rec.*")
 
 
 def infer_schema(spark: SparkSession, path: str, row_tag: str, out: str | None = None, sampling_ratio: float = 1.0) -> T.StructType:

@@ -194,7 +194,7 @@ def test_mapping_job_end_to_end(spark, write, tmp_path):
 def test_typed_pivot_leaves_numbers_null(spark, write):
     df = xml.read_xml(spark, write("b.xml", BOOKS), "book", BOOK)
     wide = text.fill_empty(df.select("_id", *flatten.pivot_columns(
-        "reviewers.reviewer", "reviewers_reviewer", 4, {"_stars": "_stars", "name": "name"}, as_text=False)))
+        "reviewers.reviewer", "reviewers_reviewer", 4, [("_stars", "_stars"), ("name", "name")], as_text=False)))
     row = wide.filter("_id = 'void'").first()
     assert row["reviewers_reviewer__stars-1"] is None and row["reviewers_reviewer_name-1"] == ""
     assert dict(wide.dtypes)["reviewers_reviewer__stars-1"] == "bigint"
@@ -285,3 +285,42 @@ def test_text_functions(spark):
     assert row.clean == "Ab  c" and row.print == "Abc " and row.none == ""
     assert row.pal is True and row.cap == "Jo Van Dyke" and row.up == "BUY"
     assert df.select(text.capitalize_words(F.lit("McD  oN")).alias("x")).first().x == "McD  ON"
+
+
+def both_reads(spark, path, schema):
+    plain = sorted(map(str, xml.read_xml(spark, path, "order", schema).collect()))
+    return plain, sorted(map(str, xml.read_xml_split(spark, path, "order", schema).collect()))
+
+
+PIECES = st.lists(st.sampled_from([
+    '<order k="1"/>', "<order/>", '<order k="2"><id>a</id></order>', "<order><id>b</id></order >", '<!-- <order k="5"> -->', "<other/>",
+    '<order\n k="3"><id><![CDATA[<order k="9"> & ]]></id></order>', "<order k='4' n='a > b'/>", '<order k="6"><!-- <order> --><id>c</id><x/></order>', " \n ",
+]), max_size=8)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(PIECES)
+def test_split_scan_loses_nothing(spark, tmp_path, pieces):
+    path = tmp_path / f"p{abs(hash(tuple(pieces)))}.xml"
+    path.write_text("<orders>" + "".join(pieces) + "</orders>")
+    plain, split = both_reads(spark, str(path), "_k bigint, id string")
+    assert split == plain
+
+
+@pytest.mark.parametrize("body", [
+    "<o><order><id>1</id><!-- </order> --></order></o>", "<o><order><id>1</id><order><id>2</id></order></o>", "<o><order><id><![CDATA[</order>]]></id></order></o>",
+    "<o><order><id>1</order></o>", "<o><order><id>1</id></order><order><id>2</o>",
+])
+def test_split_scan_fails_where_it_cannot_cut(spark, write, body):
+    with pytest.raises(Exception, match="cannot cut|MALFORMED|FAILFAST|malformed"):
+        xml.read_xml_split(spark, write("bad.xml", body), "order", "id string").collect()
+
+
+def test_repeated_paths_stay_and_repeated_names_fail(spark):
+    df = spark.createDataFrame([((1,),)], "a struct<b bigint>")
+    assert flatten.project_paths(df, [("a.b", "x"), ("a.b", "y")]).first().asDict() == {"x": 1, "y": 1}
+    with pytest.raises(ValueError, match="x"):
+        flatten.project_paths(df, [("a.b", "x"), ("a.b", "x")])
+    job = flatten_job.FlattenJob.from_dict({"flatten_cols": [{"path": "a.b", "alias": "x"}, {"path": "a.b", "alias": "x"}]})
+    with pytest.raises(ValueError, match="x"):
+        flatten_job.shape(df, job)
