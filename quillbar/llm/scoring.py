@@ -9,10 +9,11 @@ keeps the training counts of zeros and ones; KT is the Krichevsky-Trofimov estim
 so that a prediction mixes the estimates of all depths, each weighted by what it has coded so far. A context that training
 never reached has no node: its parent predicts there.
 
-How it runs: texts are cut into pieces and blocks of some 32 MB. Each block reports its distinct (context, byte) pairs once;
-equal pairs are summed by Spark; trees are weighted per group of contexts with the same last two bytes, and above that in one small
-table (at most 256^3 rows); each block then gets the log probabilities of its own pairs back and adds them up per text. No model is
-held whole anywhere, and what is shuffled is the distinct pairs per block.
+How it runs: texts are cut into pieces and blocks of some megabytes. Each block reports its distinct (context, byte) pairs and words
+with their training counts, as sorted, packed arrays dealt over parts: pairs by the last ``ROOT`` bytes of their context, words by their hash.
+The arrays of a part are merged, first in groups of blocks, so that a frequent context is summed by many tasks. Trees are weighted per
+part, and above ``ROOT`` in one small table (at most 256^3 rows). Each block then gets the values of its own pairs and words back and adds
+them up per text. No model is held whole anywhere; what is shuffled is the distinct pairs and words per block.
 """
 
 from __future__ import annotations
@@ -24,22 +25,47 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbar.llm.common import Scratch, held_out, word_hashes, words_joined
+from quillbar.llm.common import Scratch, held_out, mixed, word_hashes, words_joined
 
-DEPTH = 4
+DEPTH = 5
 ROOT = 2  # subtrees below contexts of this many bytes are weighted apart
 END = 255  # never a byte of UTF-8
-BLOCK_BYTES = 32 << 20
-PIECE_BYTES = 4 << 20
-CHUNK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+GROUP_BLOCKS = 200  # blocks whose arrays one task merges at a time
+PIECE_BYTES = 2 << 20
+CHUNK_BYTES = 2 << 20
 LN2, LN10 = math.log(2), math.log(10)
 GRAM, TERM = 0, 1
 
 PIECES = "block bigint, uid bigint, doc_id bigint, held_out boolean, lead binary, body binary"
-SEEN = "block bigint, report bigint, kind int, key bigint, n bigint"
+SEEN = "block bigint, part int, n int, keys binary, counts binary"
+SUMS = "part int, n int, keys binary, counts binary"
+VALUES = "part int, n int, keys binary, values binary"
+ANSWERS = "block bigint, part int, n int, keys binary, values binary"
+
+
+# ---- packed arrays -------------------------------------------------------------------------------------------------
+
+def _pack(values: np.ndarray) -> bytes:
+    """The bytes of an array, the first byte of all values, then the second, ..., compressed."""
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T).tobytes(), asbytes=True)
+
+
+def _unpack(blob: bytes, n: int, kind: type = np.int64) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.Codec("zstd").decompress(blob, n * width, asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, n).T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def _unpack_keys(blob: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(blob, n))
 
 
 # ---- blocks of text ------------------------------------------------------------------------------------------------
@@ -114,37 +140,52 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.r_[first, len(keys)])
 
 
-def _block_seen(block: int, report: int, held: list[bool], leads: list[bytes], bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, list] = {GRAM: [], TERM: []}
+def _block_seen(block: int, held: list[bool], leads: list[bytes], bodies: list[bytes], parts: int) -> Iterator[pa.RecordBatch]:
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {k: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for k in (GRAM, TERM)}
     held_of = np.array(held)
     for at, grams, owner, stream in _chunks(leads, bodies):
         terms, term_owner = _terms(stream, owner)
         for kind, keys, of in ((GRAM, grams.view(np.int64), owner), (TERM, terms, term_owner)):
             out = held_of[at + of]
-            for part, known in ((keys[~out], 1), (keys[out], 0)):
-                distinct, n = _runs(part)
-                found[kind].append((distinct, n * known))
-    for kind, parts in found.items():
-        keys, n = _counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), x, t)) for x, t in ((block, np.int64), (report, np.int64), (kind, np.int32))]
-            + [pa.array(keys), pa.array(n.astype(np.int64))], ["block", "report", "kind", "key", "n"])
-
-
-def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, n = zip(found[kind], *((d, c * known) for part, known in ((keys[~out], 1), (keys[out], 0)) for d, c in [_runs(part)]), strict=True)
+            found[kind] = _counted(np.concatenate(own), np.concatenate(n))
+    rows: list[tuple] = []
+    for kind, (keys, n) in found.items():
+        part = _part_of(keys, kind, parts)
+        order = np.argsort(part, kind="stable")
+        keys, n, part = keys[order], n[order], part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+        rows += [(block, int(part[a]), b - a, _pack_keys(keys[a:b]), _pack(n[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["block", "part", "n", "keys", "counts"])
+
+
+def _part_of(keys: np.ndarray, kind: int, parts: int) -> np.ndarray:
+    """Parts 0, 1, ... hold pairs, ``parts``, ``parts`` + 1, ... words."""
+    of = keys >> (8 * (DEPTH - ROOT + 1)) if kind == GRAM else keys
+    return (mixed(of.view(np.uint64)) % np.uint64(parts)).astype(np.int64) + parts * (kind == TERM)
+
+
+def _seen(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """A block's rows follow each other; one that a file split cuts reports twice, which the sums allow."""
-    block, report, held, leads, bodies = None, 0, [], [], []
+    block, held, leads, bodies = None, [], [], []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("block", "uid", "held_out", "lead", "body")]
-        for b, uid, h, lead, body in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("block", "held_out", "lead", "body")]
+        for b, h, lead, body in zip(*columns, strict=True):
             if b != block and bodies:
-                yield from _block_seen(block, report, held, leads, bodies)
+                yield from _block_seen(block, held, leads, bodies, parts)
                 held, leads, bodies = [], [], []
-            if not bodies:
-                block, report = b, uid
+            block = b
             held.append(h), leads.append(lead), bodies.append(body)
     if bodies:
-        yield from _block_seen(block, report, held, leads, bodies)
+        yield from _block_seen(block, held, leads, bodies, parts)
+
+
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The arrays of one part, merged."""
+    keys = np.concatenate([_unpack_keys(k, n) for k, n in zip(pdf["keys"], pdf.n, strict=True)])
+    keys, n = _counted(keys, np.concatenate([_unpack(c, n) for c, n in zip(pdf.counts, pdf.n, strict=True)]))
+    return pd.DataFrame({"part": pdf.part.iloc[:1].to_numpy(), "n": [len(keys)], "keys": [_pack_keys(keys)], "counts": [_pack(n)]})
 
 
 # ---- the weighted tree ---------------------------------------------------------------------------------------------
@@ -228,13 +269,14 @@ def _mixed_estimates(levels: list[_Level], j: int, known: np.ndarray | None) ->
     return a, b
 
 
-def _roots(pdf: pd.DataFrame) -> pd.DataFrame:
+def _roots(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per (context of ``ROOT`` bytes, byte): the training count and ln Pw of the eight nodes."""
-    pdf = pdf.sort_values("key")
-    levels, log_pw = _tree(pdf.key.to_numpy(), pdf.n.to_numpy(), DEPTH, ROOT)
-    top = levels[-1]
-    weights = np.stack([log_pw[j][top.node[j]] for j in range(8)], 1)
-    return pd.DataFrame({"key": top.keys, "n": top.n, "w": list(weights)})
+    for frame in frames:
+        for part, n, keys, counts in frame.itertuples(index=False):
+            levels, log_pw = _tree(_unpack_keys(keys, n), _unpack(counts, n), DEPTH, ROOT)
+            top = levels[-1]
+            weights = np.stack([log_pw[j][top.node[j]] for j in range(8)], 1)
+            yield pd.DataFrame({"part": part, "key": top.keys, "n": top.n, "w": list(weights)})
 
 
 def _top(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -250,20 +292,37 @@ def _top(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": pdf.part.to_numpy(), "key": levels[0].keys, "a": list(np.stack([x[0] for x in both], 1)), "b": list(np.stack([x[1] for x in both], 1))})
 
 
-def _log_probabilities(grams: pd.DataFrame, top: pd.DataFrame) -> pd.DataFrame:
-    """ln of the probability of each (context, byte)."""
-    grams, top = grams.sort_values("key"), top.sort_values("key")
-    if not len(grams):
-        return pd.DataFrame({"key": np.zeros(0, np.int64), "value": np.zeros(0)})
-    levels, _ = _tree(grams.key.to_numpy(), grams.n.to_numpy(), DEPTH, ROOT)
+def _log_probabilities(sums: pd.DataFrame, top: pd.DataFrame) -> pd.DataFrame:
+    """ln of the probability of each (context, byte) of a part, as packed 32-bit floats."""
+    if not len(sums):
+        return pd.DataFrame({c.split()[0]: [] for c in VALUES.split(", ")})
+    part, n, keys, counts = next(sums.itertuples(index=False))
+    top = top.sort_values("key")
+    levels, _ = _tree(_unpack_keys(keys, n), _unpack(counts, n), DEPTH, ROOT)
     a, b = np.stack(top.a.to_list()), np.stack(top.b.to_list())
-    keys = levels[0].keys
-    root = np.searchsorted(top.key.to_numpy(), ((keys >> 8 * (DEPTH - ROOT + 1)) << 8) | (keys & 255))
-    out = np.zeros(len(keys))
+    root = np.searchsorted(top.key.to_numpy(), ((levels[0].keys >> 8 * (DEPTH - ROOT + 1)) << 8) | (levels[0].keys & 255))
+    out = np.zeros(n)
     for j in range(8):
         estimate, _ = _mixed_estimates(levels, j, levels[0].estimate[j])
         out += np.log(a[root, j] + b[root, j] * estimate)
-    return pd.DataFrame({"key": keys, "value": out})
+    return pd.DataFrame({"part": [part], "n": [n], "keys": [keys], "values": [_pack(out.astype(np.float32))]})
+
+
+def _answers(asked: pd.DataFrame, values: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """The values of each block's keys."""
+    if not len(asked):
+        return pd.DataFrame({c.split()[0]: [] for c in ANSWERS.split(", ")})
+    kind = np.float32 if asked.part.iloc[0] < parts else np.int64
+    n = int(values.n.iloc[0])
+    keys, value = _unpack_keys(values["keys"].iloc[0], n), _unpack(values["values"].iloc[0], n, kind)
+    told = [_pack(value[np.searchsorted(keys, _unpack_keys(k, m))]) for k, m in zip(asked["keys"], asked.n, strict=True)]
+    return pd.DataFrame({"block": asked.block, "part": asked.part, "n": asked.n, "keys": asked["keys"], "values": told})
+
+
+def _types(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words with a training count, per part."""
+    for frame in frames:
+        yield pd.DataFrame({"types": [int((_unpack(c, n) > 0).sum()) for c, n in zip(frame.counts, frame.n, strict=True)]})
 
 
 # ---- scores --------------------------------------------------------------------------------------------------------
@@ -271,14 +330,23 @@ def _log_probabilities(grams: pd.DataFrame, top: pd.DataFrame) -> pd.DataFrame:
 SCORED = "uid bigint, doc_id bigint, held_out boolean, n_bytes bigint, n_words bigint, n_known bigint, ln_p double, log10_counts double"
 
 
-def _score(pieces: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+def _told(answers: pd.DataFrame, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a block in order, with their values."""
+    if not len(answers):
+        return np.zeros(0, np.int64), np.zeros(0, kind)
+    keys = np.concatenate([_unpack_keys(k, n) for k, n in zip(answers["keys"], answers.n, strict=True)])
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([_unpack(v, n, kind) for v, n in zip(answers["values"], answers.n, strict=True)])[order]
+
+
+def _score(pieces: pd.DataFrame, answers: pd.DataFrame, parts: int) -> pd.DataFrame:
     """Sums per piece of a block: ln probability of its bytes, and log10(count + 1) of its words."""
     if not len(pieces):
         return pd.DataFrame({c.split()[0]: [] for c in SCORED.split(", ")})
-    gram = answers[answers.kind == GRAM].drop_duplicates("key").sort_values("key")
-    gram_keys, gram_ln = gram.key.to_numpy(), gram.value.to_numpy()
+    gram_keys, gram_ln = _told(answers[answers.part < parts], np.float32)
+    term_keys, term_n = _told(answers[answers.part >= parts], np.int64)
     size = len(pieces)
-    ln_p, terms, owners = np.zeros(size), [], []
+    ln_p, n_words, n_known, log10_counts = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
     held = pieces.held_out.to_numpy(dtype=bool)
     n_bytes = np.zeros(size, np.int64)
     for at, keys, owner, stream in _chunks(list(pieces.lead), list(pieces.body)):
@@ -292,20 +360,16 @@ def _score(pieces: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
             key, piece, times = keys.view(np.int64), owner, np.ones(len(keys), np.int64)
         value = gram_ln[np.searchsorted(gram_keys, key)]
         stop = at + int(owner[-1]) + 1
-        ln_p[at:stop] += np.bincount(piece, value * times, minlength=stop - at)
+        ln_p[at:stop] += np.bincount(piece, value.astype(np.float64) * times, minlength=stop - at)
         n_bytes[at:stop] += np.bincount(owner, minlength=stop - at)
         hashes, of = _terms(stream, owner)
-        terms.append(hashes), owners.append(of + at)
-    hashes, of = np.concatenate(terms), np.concatenate(owners)
-    known, count = _counted(hashes, (~held[of]).astype(np.int64))
-    told = answers[answers.kind == TERM].drop_duplicates("key")
-    count[np.searchsorted(known, told.key.to_numpy())] = told.value.to_numpy().astype(np.int64)
-    each = count[np.searchsorted(known, hashes)] if len(hashes) else np.zeros(0, np.int64)
-    return pd.DataFrame({
-        "uid": pieces.uid.to_numpy(), "doc_id": pieces.doc_id, "held_out": held, "n_bytes": n_bytes,
-        "n_words": np.bincount(of, minlength=size), "n_known": np.bincount(of, each > 0, minlength=size).astype(np.int64),
-        "ln_p": ln_p, "log10_counts": np.bincount(of, np.log10(each + 1.0), minlength=size),
-    })
+        if len(hashes):
+            count = term_n[np.searchsorted(term_keys, hashes)]
+            n_words[at:stop] += np.bincount(of, minlength=stop - at)
+            n_known[at:stop] += np.bincount(of[count > 0], minlength=stop - at)
+            log10_counts[at:stop] += np.bincount(of, np.log10(count + 1.0), minlength=stop - at)
+    return pd.DataFrame({"uid": pieces.uid.to_numpy(), "doc_id": pieces.doc_id, "held_out": held, "n_bytes": n_bytes, "n_words": n_words,
+                         "n_known": n_known, "ln_p": ln_p, "log10_counts": log10_counts})
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
@@ -320,29 +384,27 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     scratch = Scratch(spark, "scoring")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), held_out(doc_id, folds, fold).alias("held_out"), F.col(text).alias("text"))
     pieces = scratch.save(rows.mapInArrow(_pieces, PIECES), "pieces")
-    seen = scratch.save(pieces.mapInArrow(_seen, SEEN), "seen")
-    grams = scratch.save(seen.filter(F.col("kind") == GRAM).groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by_root = lambda key, rest: F.pmod(F.xxhash64(F.shiftrightunsigned(F.col(key), rest)), F.lit(parts)).alias("part")
-    grams = grams.select("key", "n", by_root("key", 8 * (DEPTH - ROOT + 1)))
-    roots = grams.groupBy("part").applyInPandas(_roots, "key bigint, n bigint, w array<double>")
-    top = roots.select("*", by_root("key", 8)).groupBy().applyInPandas(_top, "part bigint, key bigint, a array<double>, b array<double>")
-    model = grams.groupBy("part").cogroup(top.groupBy("part")).applyInPandas(_log_probabilities, "key bigint, value double")
-    gram_answers = seen.filter(F.col("kind") == GRAM).select("block", "key").join(model, "key").select("block", F.lit(GRAM).alias("kind"), "key", "value")
-
-    # Words: a block knows its own counts, so only words whose total differs are told.
-    same = Window.partitionBy("key")
-    words = seen.filter(F.col("kind") == TERM).select(
-        "block", "key", "n", "report", F.sum("n").over(same).alias("total"), F.min("report").over(same).alias("_first"))
-    told = Observation("words")
-    first = (F.col("report") == F.col("_first")) & (F.col("total") > 0)
-    words = words.observe(told, F.sum(first.cast("bigint")).alias("types"))
-    word_answers = scratch.save(words.filter(F.col("total") != F.col("n")).select(
-        "block", F.lit(TERM).alias("kind"), "key", F.col("total").cast("double").alias("value")), "words")
-    types = told.get["types"] or 0
-
-    answers = gram_answers.unionByName(word_answers)
-    scored = pieces.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score, SCORED)
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = scratch.save(pieces.mapInArrow(lambda batches: _seen(batches, parts), SEEN), "seen")
+    groups = seen.select("block").distinct().count() // GROUP_BLOCKS + 1
+    # A context may be in a large share of all pairs, a hashed word's part may not: only pairs are merged in two steps.
+    group = F.when(F.col("part") < parts, F.pmod(F.xxhash64("block"), F.lit(groups))).otherwise(F.lit(0)).alias("group")
+    asked = seen.select("*", group)
+    merged = asked.select("part", "group", "n", "keys", "counts").groupBy("part", "group").applyInPandas(_summed, SUMS)
+    totals = scratch.save((merged.groupBy("part").applyInPandas(_summed, SUMS) if groups > 1 else merged), "totals")
+
+    grams = totals.filter(F.col("part") < parts)
+    top = grams.mapInPandas(_roots, "part int, key bigint, n bigint, w array<double>").groupBy().applyInPandas(
+        _top, "part int, key bigint, a array<double>, b array<double>")
+    model = grams.groupBy("part").cogroup(top.groupBy("part")).applyInPandas(_log_probabilities, VALUES)
+    words = totals.filter(F.col("part") >= parts).select("part", "n", "keys", F.col("counts").alias("values"))
+    last_group = F.when(F.col("part") < parts, F.lit(groups - 1)).otherwise(F.lit(0)).cast("bigint")
+    values = model.unionByName(words).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_group)).alias("group"))
+    types = totals.filter(F.col("part") >= parts).mapInPandas(_types, "types bigint").agg(F.sum("types")).first()[0] or 0
+
+    answers = asked.select("block", "part", "n", "keys", F.col("group").cast("bigint").alias("group")).groupBy("part", "group").cogroup(
+        values.groupBy("part", "group")).applyInPandas(lambda a, v: _answers(a, v, parts), ANSWERS)
+    scored = pieces.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda p, a: _score(p, a, parts), SCORED)
     sums = ["n_bytes", "n_words", "n_known", "ln_p", "log10_counts"]
     scored = scratch.save(scored.groupBy("uid", "doc_id", "held_out").agg(*[F.sum(c).alias(c) for c in sums]), "scores")
     ends, words_in_train = scored.filter(~F.col("held_out")).agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
