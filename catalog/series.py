@@ -91,6 +91,33 @@ def ema_12_26(spark, sf):
     return means.select("symbol", "ts", F.round("ema12", 6).alias("ema12"), F.round("ema26", 6).alias("ema26"))
 
 
+GAPPY_SQL = """gappy AS (SELECT symbol, ts, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY ts) % 5 IN (1, 2) THEN NULL ELSE close END AS close FROM all_bars),
+    bars AS (SELECT * FROM gappy WHERE close IS NOT NULL)"""
+
+
+@query("means_over_gaps", f"""
+    WITH RECURSIVE {BARS.replace("bars AS", "all_bars AS")}, {GAPPY_SQL}, {MACD_SQL}
+    SELECT g.symbol, g.ts, g.close, round(last_value(e12 IGNORE NULLS) OVER w, 6) AS ema12, round(last_value(macd IGNORE NULLS) OVER w, 6) AS macd,
+           round(last_value(macd_signal IGNORE NULLS) OVER w, 6) AS macd_signal
+    FROM gappy g LEFT JOIN macd m ON m.symbol = g.symbol AND m.ts = g.ts WINDOW w AS (PARTITION BY g.symbol ORDER BY g.ts)""")
+def means_over_gaps(spark, sf):
+    """Two closes of five missing: the means run over the others and are carried across the gaps."""
+    place = F.row_number().over(ts.series_window())
+    gappy = bars(spark, sf).withColumn("close", F.when(~(place % 5).isin(1, 2), F.col("close")))
+    means = ts.add_macd(ts.add_ema(gappy, {"ema12": 12}))
+    return means.select("symbol", "ts", "close", *[F.round(c, 6).alias(c) for c in ("ema12", "macd", "macd_signal")])
+
+
+@query("ohlc_missing_ties", """
+    SELECT CAST(event_type AS VARCHAR) AS symbol, date_trunc('hour', ts) AS ts, first(value ORDER BY ts, tie NULLS FIRST) AS open,
+           last(value ORDER BY ts, tie NULLS FIRST) AS close, count(*) AS volume
+    FROM (SELECT *, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id END AS tie FROM events) GROUP BY 1, 2""")
+def ohlc_missing_ties(spark, sf):
+    """Every fourth tick has no tie-break; it still opens or closes its bar."""
+    rows = ticks(spark, sf).withColumn("event_id", F.when(F.col("event_id") % 4 != 0, F.col("event_id")))
+    return ts.resample(rows, "1 hour", tiebreak="event_id").select("symbol", "ts", "open", "close", "volume")
+
+
 @query("macd", f"WITH RECURSIVE {BARS}, {MACD_SQL} SELECT symbol, ts, round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal FROM macd")
 def macd(spark, sf):
     return ts.add_macd(bars(spark, sf)).select("symbol", "ts", F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"))
@@ -106,14 +133,14 @@ TICK_BARS_SQL = "bars AS (SELECT event_type AS symbol, ts, value AS close FROM e
            CASE WHEN sma.rn <= 20 THEN 0 WHEN coalesce(sma20 > sma50, false) THEN 1 ELSE -1 END AS signal
     FROM sma JOIN rsi USING (symbol, ts) JOIN macd USING (symbol, ts)""")
 def tick_indicators_in_blocks(spark, sf):
-    """All indicators on raw ticks, where a symbol can hold any share of the rows: numbered in slices, cut into
+    """All indicators on raw ticks, where a symbol can hold any share of the rows: numbered by range, cut into
     blocks that carry the history they need, so no task sees a whole symbol."""
     rows = ticks(spark, sf).withColumnRenamed("price", "close")
 
     def indicators(df, by, order):
         return ts.add_regime(ts.add_indicators(df, by, order), by=by, order=order, index="row_index")
 
-    out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], blocks.time_slices(rows, "symbol"), indicators, 16_384, ts.INDICATOR_HALO)
+    out = blocks.in_blocks(rows, "symbol", ["ts", "event_id"], indicators, 16_384, ts.INDICATOR_HALO)
     return out.select(
         "symbol", "ts", "row_index", F.round("sma20", 4).alias("sma20"), F.round("sma50", 4).alias("sma50"),
         F.round("rsi", 8).alias("rsi"), F.round("macd", 6).alias("macd"), F.round("macd_signal", 6).alias("macd_signal"), "signal"
@@ -225,9 +252,9 @@ def running_drawdown(spark, sf):
     WITH p AS (SELECT event_id, event_type AS symbol, value, max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS peak FROM events)
     SELECT event_id, symbol, peak, round((peak - value) / peak, 6) AS drawdown, (peak - value) / peak > 0.15 AS breach FROM p""")
 def tick_drawdown_in_slices(spark, sf):
-    """Drawdown on raw ticks: running peaks in time slices, joined with the peak of all earlier slices."""
+    """Drawdown on raw ticks: running peaks by range, joined with the peak of all earlier ranges."""
     rows = ticks(spark, sf)
-    peaked = blocks.running_max(rows, "symbol", ["ts", "event_id"], blocks.time_slices(rows, "symbol"), "price", "peak")
+    peaked = blocks.running_max(rows, "symbol", ["ts", "event_id"], "price", "peak")
     return ts.fall_from_peak(peaked, "price").select("event_id", "symbol", "peak", F.round("drawdown", 6).alias("drawdown"), "breach")
 
 
@@ -240,8 +267,15 @@ def first_drawdown_breach(spark, sf):
 
 # ---- the fold -----------------------------------------------------------------------------------------------------
 
-def fold_sql(source: str, enter: str, stake: float = 0.02, stop: float = 0.03, target: float = 0.05, fall: float = 0.15) -> str:
-    """The same rules as a recursive query, one bar per step."""
+def fold_sql(source: str, enter: str, stake: float = 0.02, stop: float = 0.03, target: float = 0.05, fall: float = 0.15, per_symbol: bool = False) -> str:
+    """The same rules as a recursive query, one bar per step; ``per_symbol`` takes decimal places and the held quantity from ``places``."""
+    own = "(SELECT {} FROM places WHERE places.symbol = {}.symbol)"
+    size = f"cash * {stake} / p"
+    if per_symbol:
+        known = own.format("places", "w")
+        size = f"coalesce(CASE {known} WHEN 6 THEN round({size}, 6) WHEN 2 THEN round({size}, 2) WHEN 0 THEN round({size}, 0) END, {size})"
+    may = f"qty1 <= coalesce({own.format('held', 'v')}, qty1)" if per_symbol else "true"
+    may_last = f"qty <= coalesce({own.format('held', 'ends')}, qty)" if per_symbol else "true"
     return f"""
     signals AS (SELECT symbol, ts, close, rn, signal, signal - lag(signal) OVER (PARTITION BY symbol ORDER BY ts) AS edge FROM {source}),
     steps AS (SELECT symbol, ts, CAST(close AS DOUBLE) AS p, rn, coalesce({enter}, false) AS enter, coalesce(edge = -1, false) AS leave FROM signals),
@@ -252,25 +286,26 @@ def fold_sql(source: str, enter: str, stake: float = 0.02, stop: float = 0.03, t
       UNION ALL
       SELECT symbol, rn, ts, p, CASE WHEN sells THEN cash1 + qty1 * p ELSE cash1 END, peak1, CASE WHEN sells THEN 0 ELSE qty1 END,
              stop1, target1, halted1, buys, sells, qty1
-      FROM (SELECT *, NOT halted1 AND qty1 > 0 AND (p <= stop1 OR p >= target1 OR leave) AS sells
-        FROM (SELECT *, CASE WHEN buys THEN cash - cash * {stake} ELSE cash END AS cash1, CASE WHEN buys THEN cash * {stake} / p ELSE qty END AS qty1,
+      FROM (SELECT *, NOT halted1 AND qty1 > 0 AND {may} AND (p <= stop1 OR p >= target1 OR leave) AS sells
+        FROM (SELECT *, CASE WHEN buys THEN cash - cash * {stake} ELSE cash END AS cash1, CASE WHEN buys THEN {size} ELSE qty END AS qty1,
                      CASE WHEN buys THEN p * (1 - {stop}) ELSE stop END AS stop1, CASE WHEN buys THEN p * (1 + {target}) ELSE target END AS target1
           FROM (SELECT *, NOT halted1 AND qty = 0 AND enter AS buys
             FROM (SELECT *, halted OR (peak1 - worth) / peak1 > {fall} AS halted1
               FROM (SELECT *, greatest(peak, worth) AS peak1
                 FROM (SELECT s.symbol, s.rn, s.ts, s.p, s.enter, s.leave, f.cash, f.peak, f.qty, f.stop, f.target, f.halted, f.cash + f.qty * s.p AS worth
-                      FROM fold f JOIN steps s ON s.symbol = f.symbol AND s.rn = f.rn + 1))))))),
+                      FROM fold f JOIN steps s ON s.symbol = f.symbol AND s.rn = f.rn + 1)))) AS w) AS v)),
     ends AS (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY rn DESC) = 1),
     moves AS (
       SELECT symbol, rn, 0 AS kind, 'HALT' AS action, ts, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS DOUBLE) AS qty, 'Max drawdown reached. Trading halted.' AS note
         FROM fold WHERE halted QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY rn) = 1
       UNION ALL SELECT symbol, rn, 1, 'BUY', ts, p, moved, NULL FROM fold WHERE bought
       UNION ALL SELECT symbol, rn, 2, 'SELL', ts, p, moved, NULL FROM fold WHERE sold
-      UNION ALL SELECT symbol, rn, 3, 'FINAL SELL', ts, p, qty, NULL FROM ends WHERE qty > 0)"""
+      UNION ALL SELECT symbol, rn, 3, 'FINAL SELL', ts, p, qty, NULL FROM ends WHERE qty > 0 AND {may_last})"""
 
 
 CROSS_FOLD = f"{BARS}, {SMA_SQL}, {REGIME_SQL}, " + fold_sql("regime", "edge > 0 AND signal = 1", fall=0.05)
 MULTI_FOLD = f"{BARS}, {SMA_SQL}, {RSI_SQL}, {MACD_SQL}, {MULTI_SQL}, " + fold_sql("multi", "edge = 1", target=0.06)
+LITERAL_FOLD = f"{BARS}, {SMA_SQL}, {REGIME_SQL}, " + fold_sql("regime", "edge = 1")
 BALANCE_SQL = "round(cash + qty * p, 4)"
 
 
@@ -303,7 +338,8 @@ def trade_stats(spark, sf):
 
 
 @query("literal_two_state_stats", f"""
-    WITH {BARS} SELECT symbol, CAST(0 AS BIGINT) AS trades, CAST(100000 AS DOUBLE) AS final_balance FROM bars GROUP BY symbol""")
+    WITH RECURSIVE {LITERAL_FOLD}
+    SELECT ends.symbol, (SELECT count(*) FROM moves WHERE moves.symbol = ends.symbol AND kind > 0) AS trades, {BALANCE_SQL} AS final_balance FROM ends""")
 def literal_two_state_stats(spark, sf):
     """The two-state signal with the literal rule never trades."""
     return backtest.trade_stats(backtest.simulate(ts.add_edge(ts.add_regime(ts.add_sma(bars(spark, sf))))))
@@ -311,15 +347,26 @@ def literal_two_state_stats(spark, sf):
 
 @query("equity_curve", f"""
     WITH RECURSIVE {CROSS_FOLD}
-    SELECT symbol, ts, round(cash, 4) AS cash, round(cash + qty * p, 4) AS equity FROM fold
-    WHERE rn < (SELECT max(rn) FROM ends WHERE ends.symbol = fold.symbol)""")
+    SELECT symbol, ts, round(CASE WHEN rn = (SELECT max(rn) FROM ends WHERE ends.symbol = fold.symbol) THEN cash + qty * p ELSE cash END, 4) AS cash,
+           round(cash + qty * p, 4) AS equity FROM fold""")
 def equity_curve(spark, sf):
-    """Balance and marked value on every bar but the last, which closes the account."""
-    w = ts.series_window()
+    """Balance and marked value on every bar; the last one closes the account."""
     curve = backtest.equity_curve(bars(spark, sf), backtest.trade_log(_crossover_run(spark, sf)))
-    return curve.withColumn("last", F.lead("ts").over(w).isNull()).filter("NOT last").select(
-        "symbol", "ts", F.round("cash", 4).alias("cash"), F.round("equity", 4).alias("equity")
-    )
+    return curve.select("symbol", "ts", F.round("cash", 4).alias("cash"), F.round("equity", 4).alias("equity"))
+
+
+MIXED_FOLD = f"{BARS}, {SMA_SQL}, {REGIME_SQL}, places(symbol, places, held) AS (VALUES ('click', 6, 1e9), ('view', 2, 3.0), ('purchase', 0, 1e9), ('signup', 2, 0.0)), " + \
+    fold_sql("regime", "edge > 0 AND signal = 1", fall=0.05, per_symbol=True)
+
+
+@query("trade_log_mixed_assets", f"""
+    WITH RECURSIVE {MIXED_FOLD}
+    SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY rn, kind) AS INTEGER) AS seq, action, ts, price, qty, note FROM moves""")
+def trade_log_mixed_assets(spark, sf):
+    """Decimal places and the held quantity differ by symbol in one run: some sales are refused."""
+    facts = spark.createDataFrame([("click", 6, 1e9), ("view", 2, 3.0), ("purchase", 0, 1e9), ("signup", 2, 0.0)], "symbol string, qty_places int, held_qty double")
+    rows = ts.add_edge(ts.add_regime(ts.add_sma(bars(spark, sf)))).join(facts, "symbol", "left")
+    return backtest.trade_log(backtest.simulate(rows, backtest.TradeRules(entry_mode="crossover", halt_row=True, max_drawdown=0.05)))
 
 
 # ---- sizing, time, streaming --------------------------------------------------------------------------------------
@@ -328,10 +375,13 @@ def equity_curve(spark, sf):
     SELECT event_id, asset_type, qty, CASE WHEN asset_type = 'crypto' THEN qty ELSE trunc(qty) END AS order_qty
     FROM (SELECT event_id, asset_type, CASE WHEN asset_type = 'crypto' THEN CAST(round(raw, 6) AS DOUBLE) ELSE CAST(round(raw, 2) AS DOUBLE) END AS qty
       FROM (SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN 'crypto' ELSE 'stock' END AS asset_type,
-                   CAST(CAST(CAST(10000 AS DOUBLE) * 0.02 / value AS VARCHAR) AS DECIMAL(38, 18)) AS raw FROM events WHERE value > 0))""")
+                   CAST(CAST(CAST(10000 AS DOUBLE) * 0.02 / value AS VARCHAR) AS DECIMAL(38, 18)) AS raw
+            FROM (SELECT * REPLACE (CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value) FROM events)))""")
 def position_sizing(spark, sf):
     kind = F.when(F.col("event_type").isin("click", "view"), "crypto").otherwise("stock")
-    sized = table(spark, sf, "events").filter("value > 0").select(
+    """Every ninth price is zero, which sizes to null."""
+    priced = table(spark, sf, "events").withColumn("value", F.when(F.col("event_id") % 9 == 0, 0.0).otherwise(F.col("value")))
+    sized = priced.select(
         "event_id", kind.alias("asset_type"), ts.position_size(F.lit(10000.0), 0.02, F.col("value"), kind).alias("qty")
     )
     return sized.withColumn("order_qty", ts.order_quantity(F.col("qty"), F.col("asset_type")))

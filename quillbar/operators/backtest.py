@@ -23,7 +23,8 @@ class TradeRules:
 
     ``halt_row`` logs a halt. ``qty_places`` rounds the quantity while the cash deduction stays unrounded.
     ``sizing_cash`` sizes every entry by a fixed account balance instead of the running one. ``can_sell=False`` models an
-    account that refuses every sale.
+    account that refuses every sale. Columns ``qty_places`` and ``held_qty`` of the bars say both per symbol: decimal places, and
+    what the account holds; a sale goes through only up to that quantity.
     """
 
     initial_balance: float = 100_000.0
@@ -45,8 +46,10 @@ class TradeRules:
 def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
     """All log rows plus one ``END`` row per symbol with the final balance.
 
-    ``bars`` has symbol, ts, close, signal and edge. The first bar of a symbol only starts it; per later bar: value the
-    holding, raise the peak, halt on too deep a fall, else enter if flat, then exit if holding.
+    ``bars`` has symbol, ts, close, signal and edge, and maybe qty_places and held_qty, constant per symbol; null falls back
+    to the rules. The first bar of a symbol only starts it; per later bar: value the holding, raise the peak, halt on too deep
+    a fall, else enter if flat, then exit if holding. Bars without a close are passed over, and a price of zero or less is
+    never entered.
     """
     # Plain values only, so that the workers need no copy of this package.
     r = SimpleNamespace(**asdict(rules))
@@ -58,9 +61,13 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
         columns = ["symbol", "seq", "action", "ts", "price", "qty", "note", "balance"]
         state = None
 
-        def start(symbol):
+        def start(symbol, places, held):
             return {"symbol": symbol, "cash": r.initial_balance, "peak": r.initial_balance, "qty": 0.0, "stop": 0.0,
-                    "target": 0.0, "halted": False, "seq": 0, "seen": 0, "ts": None, "price": None}
+                    "target": 0.0, "halted": False, "seq": 0, "seen": 0, "ts": None, "price": None,
+                    "places": r.qty_places if pd.isna(places) else int(places), "held": np.inf if pd.isna(held) else float(held)}
+
+        def may_sell(s):
+            return r.can_sell and s["held"] >= s["qty"]
 
         def log(out, s, action, ts, price=None, qty=None, note=None, balance=None):
             s["seq"] += 1
@@ -72,7 +79,7 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
             s["qty"] = 0.0
 
         def finish(out, s):
-            if s["qty"] > 0 and r.can_sell:
+            if s["qty"] > 0 and may_sell(s):
                 sell(out, s, "FINAL SELL", s["ts"], s["price"])
             log(out, s, "END", s["ts"], balance=s["cash"])
 
@@ -89,14 +96,14 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
                     if r.halt_row:
                         log(out, s, "HALT", ts[i], note="Max drawdown reached. Trading halted.")
                     break
-                if s["qty"] == 0 and enter[i]:
+                if s["qty"] == 0 and enter[i] and p > 0:
                     stake = (s["cash"] if r.sizing_cash is None else r.sizing_cash) * r.risk_per_trade
-                    qty = stake / p if r.qty_places is None else round(stake / p, r.qty_places)
+                    qty = stake / p if s["places"] is None else round(stake / p, s["places"])
                     if qty > 0:
                         s.update(qty=qty, stop=p * (1 - r.stop_loss), target=p * (1 + r.take_profit))
                         s["cash"] -= stake
                         log(out, s, "BUY", ts[i], p, qty)
-                if s["qty"] > 0 and r.can_sell and (p <= s["stop"] or p >= s["target"] or leave[i]):
+                if s["qty"] > 0 and may_sell(s) and (p <= s["stop"] or p >= s["target"] or leave[i]):
                     sell(out, s, "SELL", ts[i], p)
                     i += 1
                 elif s["qty"] > 0:
@@ -117,11 +124,12 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
             bounds = [0, *cuts.tolist(), len(symbols)]
             ts, price = pdf["ts"].to_numpy(), pdf["close"].to_numpy()
             enter, leave = pdf["enter"].to_numpy(), pdf["leave"].to_numpy()
+            places, held = pdf["qty_places"].to_numpy(), pdf["held_qty"].to_numpy()
             for a, b in zip(bounds[:-1], bounds[1:]):
                 if state is None or state["symbol"] != symbols[a]:
                     if state is not None:
                         finish(out, state)
-                    state = start(symbols[a])
+                    state = start(symbols[a], places[a], held[a])
                 advance(out, state, ts[a:b], price[a:b], enter[a:b], leave[a:b])
             if out:
                 yield pd.DataFrame(out, columns=columns)
@@ -137,7 +145,8 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
         F.col("close").cast("double").alias("close"),
         F.coalesce(rises, F.lit(False)).alias("enter"),
         F.coalesce(F.col("edge") == -1, F.lit(False)).alias("leave"),
-    )
+        *[(F.col(c) if c in bars.columns else F.lit(None)).cast("double").alias(c) for c in ("qty_places", "held_qty")],
+    ).filter(F.col("close").isNotNull() & ~F.isnan("close"))
     return rows.repartition("symbol").sortWithinPartitions("symbol", "ts").mapInPandas(fold, LOG_SCHEMA)
 
 

@@ -1,6 +1,6 @@
 """Split long series into blocks, so that no window ever needs a whole key in one task.
 
-``index_rows`` numbers the rows of each key exactly, in two levels; ``index_by_range`` does so for any distribution. ``with_halo`` cuts the numbered series into blocks
+``index_by_range`` numbers the rows of each key exactly, for any distribution; ``index_rows`` does so in slices that the caller gives. ``with_halo`` cuts the numbered series into blocks
 of fixed length and repeats the last rows of each block at the head of the next. Look-back indicators then run per
 ``(key, block)`` with unchanged formulas, and ``drop_halo`` removes the repeated rows.
 """
@@ -20,57 +20,35 @@ BLOCK = "_block"
 HALO = "_halo"
 
 
-def time_slices(df: DataFrame, key: str, ts: str = "ts", max_rows: int = 1_000_000) -> Column:
-    """A time cut for ``index_rows`` and ``running_max``, narrow enough that no (key, slice) exceeds ``max_rows``.
-
-    The width starts from the densest key's average and is halved while some slice is still too long, as in a burst.
-    Each look is a count that is combined on the map side and ends in one number. Rows of one single instant cannot be
-    told apart by time and stay together.
-    """
-    span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) + 1
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), span.alias("span"))
-    row = per_key.agg(F.max("n").alias("most"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max("span").alias("span")).first()
-    if row["most"] is None or row["most"] <= max_rows:
-        return F.lit(0)
-    width = max(1, min(int(row["gap"] * max_rows / 2), row["span"]))
-    while True:
-        cut = F.window(ts, f"{width} microseconds")["start"]
-        longest = df.groupBy(key, cut.alias("cut")).count().agg(F.max("count")).first()[0]
-        if longest <= max_rows or width == 1:
-            return cut
-        width = max(1, width // max(2, longest // max_rows))
-
-
 def index_rows(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, out: str = "row_index") -> DataFrame:
     """The 1-based position of each row within its key, exact, without sorting a whole key in one task.
 
     ``slice_by`` must grow with ``order`` (for a series, the time cut to a width that holds a moderate number of rows).
     Rows are ranked inside ``(key, slice)``; slice sizes, pre-aggregated on the map side, give each slice its offset.
-    The rank and the join share one shuffle on ``(key, slice)``. Keys must not be null.
+    The rank and the join share one shuffle on ``(key, slice)``. Null is a key like any other.
     """
     sliced = df.withColumn("_slice", slice_by)
     before = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(key, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(F.col(key).alias("_key"), F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     rank = F.row_number().over(W.partitionBy(key, "_slice").orderBy(*order))
     return (
         sliced.withColumn("_rank", rank)
-        .join(offsets, [key, "_slice"])
+        .join(offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_of")))
         .withColumn(out, F.col("_before") + F.col("_rank"))
-        .drop("_slice", "_rank", "_before")
+        .drop("_slice", "_rank", "_before", "_key", "_of")
     )
 
 
-def index_by_range(df: DataFrame, key: str, order: Sequence[str], out: str = "row_index") -> DataFrame:
-    """The 1-based position of each row within its key, exact and even for any distribution: bursts, equal rows, hot keys.
+def _ranged(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The rows sorted by range, once, with ``_range`` and ``_place`` in it, from the shared scratch folder.
 
-    Rows are sorted by range once and written to the shared scratch folder with their place, which pins the ranges; a
-    lost executor cannot shift them. One aggregated row per (key, range) then gives the offsets. Rows that agree in
-    ``order`` are told apart by a hash of the whole row, and copies by a row id, so that they spread over ranges as well.
-    Only copies depend on the id, and it does not matter which copy a task that runs again puts where.
+    Writing pins the ranges; a lost executor cannot shift them. Rows that agree in ``order`` are told apart by a hash of the
+    whole row, and copies by a row id, so that they spread over ranges as well. Only copies depend on the id, and it does not
+    matter which copy a task that runs again puts where.
     """
     path = scratch_path(df.sparkSession, "ranges")
     sort = [key, *order, "_hash", "_tie"]
@@ -82,14 +60,28 @@ def index_by_range(df: DataFrame, key: str, order: Sequence[str], out: str = "ro
         .drop("_hash", "_tie")
         .write.parquet(path)
     )
-    stored = df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _with_earlier(stored: DataFrame, key: str, earlier: DataFrame) -> DataFrame:
+    """Joins one row per (``_key``, ``_of``) to the rows of that key and range; null is a key like any other."""
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of"))
+    return join_list(stored, earlier, same, "inner").drop("_key", "_of")
+
+
+def index_by_range(df: DataFrame, key: str, order: Sequence[str], out: str = "row_index") -> DataFrame:
+    """The 1-based position of each row within its key, exact and even for any distribution: bursts, equal rows, hot and null keys.
+
+    One aggregated row per (key, range) gives the offsets.
+    """
+    stored = _ranged(df, key, order)
     before = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         stored.groupBy(key, "_range")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
-        .select(key, "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(F.col(key).alias("_key"), F.col("_range").alias("_of"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    numbered = join_list(stored, offsets, [key, "_range"], "inner")
+    numbered = _with_earlier(stored, key, offsets)
     return numbered.withColumn(out, F.col("_before") + F.col("_place") - F.col("_first") + 1).drop("_range", "_place", "_first", "_before")
 
 
@@ -107,26 +99,21 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(BLOCK, HALO)
 
 
-def in_blocks(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, compute: Callable[[DataFrame, list[str], list[str]], DataFrame],
+def in_blocks(df: DataFrame, key: str, order: Sequence[str], compute: Callable[[DataFrame, list[str], list[str]], DataFrame],
               block_rows: int, halo_rows: int) -> DataFrame:
     """Run a look-back computation over series of any length. ``compute(df, by, order)`` gets the columns that delimit
     a block and the order inside it; ``halo_rows`` is how far back it looks. ``row_index`` stays in the result."""
-    cut = with_halo(index_rows(df, key, order, slice_by), block_rows, halo_rows)
+    cut = with_halo(index_by_range(df, key, order), block_rows, halo_rows)
     return drop_halo(compute(cut, [key, BLOCK], ["row_index"]))
 
 
-def running_max(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, value: str, out: str) -> DataFrame:
+def running_max(df: DataFrame, key: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """The largest ``value`` of the key up to each row, without a window over the whole key: the maximum inside the
-    slice, combined with the maximum of all earlier slices, which come from one aggregated row per slice."""
-    sliced = df.withColumn("_slice", slice_by)
-    earlier = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    tops = (
-        sliced.groupBy(key, "_slice").agg(F.max(value).alias("_top")).select(key, "_slice", F.max("_top").over(earlier).alias("_before"))
-    )
-    inside = W.partitionBy(key, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        sliced.withColumn("_inside", F.max(value).over(inside))
-        .join(tops, [key, "_slice"])
-        .withColumn(out, F.greatest("_inside", "_before"))
-        .drop("_slice", "_inside", "_before")
-    )
+    range, combined with the maximum of all earlier ranges, which come from one aggregated row per range."""
+    stored = _ranged(df, key, order)
+    earlier = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    tops = stored.groupBy(key, "_range").agg(F.max(value).alias("_top")).select(
+        F.col(key).alias("_key"), F.col("_range").alias("_of"), F.max("_top").over(earlier).alias("_before"))
+    inside = W.partitionBy(key, "_range").orderBy("_place").rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = _with_earlier(stored.withColumn("_inside", F.max(value).over(inside)), key, tops)
+    return joined.withColumn(out, F.greatest("_inside", "_before")).drop("_range", "_place", "_inside", "_before")

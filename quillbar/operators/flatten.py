@@ -156,7 +156,7 @@ def _gather(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Co
     if heavy is None:
         placed, group = df.repartition(key), [key]
     else:
-        is_heavy = F.col(key) == F.col("_heavy")
+        is_heavy = F.col(key).eqNullSafe(F.col("_heavy"))
         numbered = index_by_range(df.join(heavy, is_heavy, "left_semi"), key, order)
         cut = numbered.withColumn(part, F.floor((F.col("row_index") - 1) / F.lit(max_items)).cast("int")).drop("row_index")
         light = df.join(heavy, is_heavy, "left_anti").withColumn(part, F.lit(0))
@@ -170,11 +170,12 @@ def _gather(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Co
     return nested.select(key, number.alias(part), F.transform("_sorted", lambda e: e["_v"]).alias(array))
 
 
-def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], max_items: int = 1000,
+def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str, Column | str], max_items: int,
               array: str = "item", part: str = "part") -> DataFrame:
     """Flat rows to documents ``(key, part, array)`` of at most ``max_items`` elements, sorted by ``order``.
 
-    Almost every key fits one document (part 0). Only the rows of keys with more are numbered and continue in parts 1,
+    Almost every key fits one document (part 0). A key with more rows gives several documents with the same ``key``: whoever counts
+    documents counts those with ``part = 0``. Null is a key like any other. Only the rows of keys with more are numbered and continue in parts 1,
     2, ..., so no task ever gathers an unbounded group. Element ``i`` of a part is item ``part * max_items + i`` of its
     key. Rows are shuffled as they are and gathered afterwards: arrays built before the shuffle hold few rows each and
     only cost time.
@@ -183,9 +184,11 @@ def nest_rows(df: DataFrame, key: str, order: Sequence[str], payload: dict[str,
 
 
 def nest_under(parents: DataFrame, parent_key: str, df: DataFrame, key: str, order: Sequence[str],
-               payload: dict[str, Column | str], max_items: int = 1000, array: str = "item", part: str = "part") -> DataFrame:
+               payload: dict[str, Column | str], max_items: int, array: str = "item", part: str = "part") -> DataFrame:
     """Each parent with its rows as an array; null for a parent without rows. ``parent_key`` is unique in ``parents``.
 
+    A parent with more than ``max_items`` rows comes back once per part, with the same ``parent_key``: count parents by ``part = 0``.
+
     A parent of a heavy key is repeated once per part, and the join is on key and part: the parts of one hot key then
     meet their parent in many tasks. Without heavy keys the join reuses the partitioning of the gathered rows.
     """

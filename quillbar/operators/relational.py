@@ -34,22 +34,16 @@ def distinct_pairs(df: DataFrame, key: str, pairs: Column) -> DataFrame:
 
 # ---- lookups ------------------------------------------------------------------------------------------------------
 
-# Widest lookup list that is sent to every task; longer ones go through a normal join.
-LIST_LIMIT = 10_000
-
-
 def ticker_list(spark, tickers: Sequence[dict]) -> DataFrame:
-    """The declared ticker map (data symbol, order symbol, asset type) as a DataFrame; a driver-side list of fixed size."""
-    if len(tickers) > LIST_LIMIT:
-        raise ValueError(f"{len(tickers)} tickers; read longer lists from a table")
+    """The declared ticker map (data symbol, order symbol, asset type) as a DataFrame. Read long maps from a table instead."""
     return spark.createDataFrame(
         [(t["data"], t["order"], t["type"]) for t in tickers], "symbol string, order_symbol string, asset_type string"
     )
 
 
 def map_symbols(df: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Order symbol and asset type by data symbol. ``tickers`` comes from ``ticker_list``, whose length is checked."""
-    return df.join(F.broadcast(tickers), "symbol")
+    """Order symbol and asset type by data symbol, for a ticker map of any length: Spark broadcasts a small one by its bytes."""
+    return df.join(tickers, "symbol")
 
 
 def every_ticker(tickers: DataFrame, summary: DataFrame, missing: str = "NO DATA") -> DataFrame:

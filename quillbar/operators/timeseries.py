@@ -43,18 +43,26 @@ def _micros(df: DataFrame, ts: str) -> Column:
 
 
 def _tick_rank(df: DataFrame, ts: str, tiebreak: str | None) -> Column:
-    """Order of ticks as one fixed-width value, which keeps the aggregate on the hash path (a struct would sort)."""
+    """Order of ticks as one fixed-width value, which keeps the aggregate on the hash path (a struct would sort).
+
+    A tick without a tie-break comes before the others of its instant.
+    """
     if tiebreak is None:
         return F.col(ts)
-    shift = F.lit("10000000000000000000").cast("decimal(20,0)")
-    return _micros(df, ts).cast("decimal(19,0)") * shift + F.col(tiebreak).cast("decimal(19,0)")
+    shift = F.lit("20000000000000000000").cast("decimal(20,0)")
+    first = F.lit("-9300000000000000000").cast("decimal(19,0)")
+    return _micros(df, ts).cast("decimal(18,0)") * shift + F.coalesce(F.col(tiebreak).cast("decimal(19,0)"), first)
 
 
 def resample(ticks: DataFrame, interval: str, symbol: str = "symbol", ts: str = "ts", price: str = "price",
              tiebreak: str | None = None) -> DataFrame:
-    """Ticks to open/high/low/close bars plus the tick count. Partial aggregation happens before the shuffle."""
+    """Ticks to open/high/low/close bars plus the tick count. Partial aggregation happens before the shuffle.
+
+    A NaN price counts as missing. Ticks without a price count in ``volume`` only.
+    """
     rank = _tick_rank(ticks, ts, tiebreak)
-    p = F.col(price)
+    p = F.when(~F.isnan(F.col(price).cast("double")), F.col(price))
+    rank = F.when(p.isNotNull(), rank)
     return (
         ticks.groupBy(F.col(symbol).alias("symbol"), F.window(ts, interval).alias("_w"))
         .agg(
@@ -80,9 +88,9 @@ def history_gate(df: DataFrame, minimum: int, by: str = "symbol") -> DataFrame:
 
 
 def with_history(df: DataFrame, minimum: int, by: str = "symbol") -> DataFrame:
-    """Only the rows of series that are long enough. The lengths are pre-aggregated; the join side has one row a series."""
-    enough = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= minimum).select(by)
-    return df.join(enough, by, "left_semi")
+    """Only the rows of series that are long enough, counted over the partitioning that the indicators need anyway."""
+    counted = df.withColumn("_rows", F.count(F.lit(1)).over(W.partitionBy(by)))
+    return counted.filter(F.col("_rows") >= minimum).drop("_rows")
 
 
 # ---- indicators ---------------------------------------------------------------------------------------------------
@@ -159,24 +167,26 @@ def _rate(span: int) -> float:
     return -math.log1p(-2 / (span + 1))
 
 
-def _chunked(df: DataFrame, chunk: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Adds the row position ``_i``, its chunk ``_c`` and the place inside the chunk ``_k``."""
-    position = F.row_number().over(series_window(by, order)) - 1
+def _chunked(df: DataFrame, value: str, chunk: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds the position ``_i`` among the rows that have a value (a row without one shares that of the last before it, -1 at
+    the head), its chunk ``_c`` and the place inside the chunk ``_k``."""
+    position = F.count(value).over(series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)) - 1
     return df.withColumn("_i", position).withColumns(
-        {"_c": F.floor(F.col("_i") / F.lit(chunk)), "_k": F.pmod("_i", F.lit(chunk))}
+        {"_c": F.floor(F.col("_i") / F.lit(chunk)), "_k": F.pmod("_i", F.lit(chunk)), "_has": F.col(value).isNotNull()}
     )
 
 
 def _ema_in_chunks(df: DataFrame, spans: dict[str, int], value: str, chunk: int, by: Sequence[str]) -> DataFrame:
-    inside = W.partitionBy(*by, "_c").orderBy("_k").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # A range frame: rows without a value stand at the same place as the row that they repeat.
+    inside = W.partitionBy(*by, "_c").orderBy("_k").rangeBetween(W.unboundedPreceding, W.currentRow)
     chunk_before = W.partitionBy(*by).orderBy("_c").rangeBetween(-1, -1)
-    x, k = F.col(value), F.col("_k")
+    x, k = F.when(F.col("_has"), F.col(value)), F.col("_k")
     local, ends, whole = {}, {}, {}
     for name, span in spans.items():
         rate = _rate(span)
         weighted = F.when(F.col("_i") == 0, x).otherwise(x * (2 / (span + 1))) * F.exp(k * rate)
         local[f"_in_{name}"] = F.sum(weighted).over(inside) * F.exp(-k * rate)
-        ends[f"_end_{name}"] = F.sum(F.when(k == chunk - 1, F.col(f"_in_{name}"))).over(chunk_before)
+        ends[f"_end_{name}"] = F.max(F.when(F.col("_has") & (k == chunk - 1), F.col(f"_in_{name}"))).over(chunk_before)
         carried = F.coalesce(F.col(f"_end_{name}"), F.lit(0.0)) * F.exp(-(k + 1) * rate)
         whole[name] = F.col(f"_in_{name}") + carried
     return df.withColumns(local).withColumns(ends).withColumns(whole).drop(*local, *ends)
@@ -190,13 +200,16 @@ def _chunk_for(spans: Sequence[int]) -> int | None:
 
 def add_ema(df: DataFrame, spans: dict[str, int], value: str = "close", by: Sequence[str] = SERIES,
             order: Sequence[str] = ORDER) -> DataFrame:
-    """Exponential means y = a x + (1 - a) y', a = 2 / (span + 1), starting at the first value. ``value`` is not null.
+    """Exponential means y = a x + (1 - a) y', a = 2 / (span + 1), starting at the first value.
+
+    Rows without a value do not count: they carry the last mean, and null before the first value.
 
     The recurrence is an affine map, so it splits: inside a chunk of rows it is a running sum of values scaled by
     (1 - a)^-k; across chunks only the last chunk's end value still matters, since a chunk is at least ``ema_reach``
     rows long. Both parts are plain windows on one partitioning, for any series length.
     """
-    unsmoothed = {name: F.col(value) for name, span in spans.items() if span == 1}
+    so_far = series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    unsmoothed = {name: F.last(value, ignorenulls=True).over(so_far) for name, span in spans.items() if span == 1}
     if unsmoothed:
         df, spans = df.withColumns(unsmoothed), {n: s for n, s in spans.items() if s != 1}
     if not spans:
@@ -206,21 +219,22 @@ def add_ema(df: DataFrame, spans: dict[str, int], value: str = "close", by: Sequ
         for name, span in spans.items():
             df = add_ema(df, {name: span}, value, by, order)
         return df
-    return _ema_in_chunks(_chunked(df, chunk, by, order), spans, value, chunk, by).drop("_i", "_c", "_k")
+    return _ema_in_chunks(_chunked(df, value, chunk, by, order), spans, value, chunk, by).drop("_i", "_c", "_k", "_has")
 
 
 def add_macd(df: DataFrame, value: str = "close", fast: int = 12, slow: int = 26, signal: int = 9,
              by: Sequence[str] = SERIES, order: Sequence[str] = ORDER) -> DataFrame:
-    """``macd`` = fast minus slow exponential mean; ``macd_signal`` = exponential mean of ``macd``."""
+    """``macd`` = fast minus slow exponential mean; ``macd_signal`` = exponential mean of ``macd``, over the rows with a value."""
     chunk = _chunk_for([fast, slow, signal])
     line = F.col("_fast") - F.col("_slow")
     if chunk is None:
         means = add_ema(df, {"_fast": fast, "_slow": slow}, value, by, order).withColumn("macd", line)
-        return add_ema(means, {"macd_signal": signal}, "macd", by, order).drop("_fast", "_slow")
-    placed = _chunked(df, chunk, by, order)
+        means = means.withColumn("_line", F.when(F.col(value).isNotNull(), F.col("macd")))
+        return add_ema(means, {"macd_signal": signal}, "_line", by, order).drop("_fast", "_slow", "_line")
+    placed = _chunked(df, value, chunk, by, order)
     means = _ema_in_chunks(placed, {"_fast": fast, "_slow": slow}, value, chunk, by).withColumn("macd", line)
     both = _ema_in_chunks(means, {"macd_signal": signal}, "macd", chunk, by)
-    return both.drop("_fast", "_slow", "_i", "_c", "_k")
+    return both.drop("_fast", "_slow", "_i", "_c", "_k", "_has")
 
 
 def add_indicators(df: DataFrame, by: Sequence[str] = SERIES, order: Sequence[str] = ORDER) -> DataFrame:
@@ -308,8 +322,11 @@ def running_drawdown(df: DataFrame, value: str = "close", limit: float = 0.15, b
 
 
 def fall_from_peak(df: DataFrame, value: str = "close", limit: float = 0.15) -> DataFrame:
-    """``drawdown`` and ``breach`` from a ``peak`` column; for raw ticks the peak comes from ``blocks.running_max``."""
-    fall = (F.col("peak") - F.col(value)) / F.col("peak")
+    """``drawdown`` and ``breach`` from a ``peak`` column; for raw ticks the peak comes from ``blocks.running_max``.
+
+    Both are null at a peak of zero.
+    """
+    fall = F.try_divide(F.col("peak") - F.col(value), F.col("peak"))
     return df.withColumn("drawdown", fall).withColumn("breach", F.col("drawdown") > limit)
 
 
@@ -318,8 +335,8 @@ def first_breach(df: DataFrame, by: str = "symbol", ts: str = "ts") -> DataFrame
 
 
 def position_size(cash: Column, risk: float, price: Column, asset_type: Column) -> Column:
-    """Quantity that risks ``risk`` of ``cash``: 6 decimals for crypto, 2 for stock."""
-    raw = cash * risk / price
+    """Quantity that risks ``risk`` of ``cash``: 6 decimals for crypto, 2 for stock; null at a price of zero."""
+    raw = F.try_divide(cash * risk, price)
     return F.when(asset_type == "crypto", F.round(raw, 6)).otherwise(F.round(raw, 2))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillbar.operators.skew import join_list
 from quillbar.plans.registry import FieldRule, TableSpec
 
 # Error texts and limits.
@@ -90,12 +89,13 @@ def mark_batches(validated: DataFrame, batch: str = "batch_id", atomic: bool = T
     """Adds ``accepted``. With ``atomic`` one bad record rejects its whole batch.
 
     Bad batches are found by an aggregate, then joined back. A window over the batch would pull a huge batch into one
-    task; here only the ids of bad batches meet the rows.
+    task; here only the ids of bad batches meet the rows, and AQE splits or broadcasts by size. Nothing runs before the result
+    is asked for. ``validated`` is read twice: write it down first if it is expensive, as ``load_records`` does.
     """
     if not atomic:
         return validated.withColumn("accepted", is_good())
     bad = validated.filter(~is_good()).groupBy(F.col(batch).alias("_bad")).agg(F.lit(True).alias("_hit"))
-    joined = join_list(validated, bad, F.col(batch).eqNullSafe(F.col("_bad")), "left")
+    joined = validated.join(bad, F.col(batch).eqNullSafe(F.col("_bad")), "left")
     return joined.withColumn("accepted", F.col("_hit").isNull()).drop("_bad", "_hit")
 
 

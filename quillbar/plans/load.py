@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillbar.operators import validate as v
 from quillbar.plans.registry import Registry
+from quillbar.session import scratch_path
 from quillbar.sources import sinks
 
 
@@ -16,12 +17,16 @@ def load_records(batch: DataFrame, registry: Registry, table: str | None = None,
                  record: str = "record", batch_id: str | None = None, email_fields: Sequence[str] = ()) -> DataFrame:
     """Append the accepted records and return the refused ones with their errors.
 
-    Without ``batch_id`` the whole input is one batch. The registry is asked first, so a wrong table starts no job.
+    Without ``batch_id`` the whole input is one batch. The registry is asked first, so a wrong table starts no job. Each record
+    is parsed once: the checked rows are written to the shared scratch folder, and bad batches, accepted and refused rows are
+    taken from there.
     """
     spec = registry.resolve(table)
     spark = batch.sparkSession
     rows = batch if batch_id else batch.withColumn("_batch", F.lit(0))
-    marked = v.mark_batches(v.validate(rows, spec, record, email_fields), batch_id or "_batch", atomic)
+    staged = scratch_path(spark, "checked")
+    v.validate(rows, spec, record, email_fields).write.parquet(staged)
+    marked = v.mark_batches(spark.read.parquet(staged), batch_id or "_batch", atomic)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{spec.dataset}`")
     sinks.ensure_table(spark, spec.full_name, spec.spark_schema())
     sinks.append_table(v.accepted_rows(marked), spec.full_name)
@@ -29,14 +34,45 @@ def load_records(batch: DataFrame, registry: Registry, table: str | None = None,
 
 
 def parse_request(body: DataFrame, text: str = "body") -> DataFrame:
-    """Request bodies to one row per record. ``bad_request`` tells that ``records`` is missing or not a list."""
+    """Request bodies to one row per record.
+
+    A body that is not a JSON object, or whose ``records`` is there but not a list, gives one row with ``bad_request``. An empty, null or
+    missing list is a request without records and gives no row.
+    """
     table = F.get_json_object(text, "$.table_name")
-    raw = F.get_json_object(text, "$.records")
-    is_list = F.coalesce(F.substring(raw, 1, 1) == "[", F.lit(False))
-    records = F.when(is_list, F.from_json(raw, "array<string>"))
+    is_object = F.coalesce(F.substring(F.ltrim(F.get_json_object(text, "$")), 1, 1) == "{", F.lit(False))
+    listed = F.from_json(text, "struct<records: array<string>>")["records"]
+    bad = ~is_object | (F.get_json_object(text, "$.records").isNotNull() & listed.isNull())
+    records = F.when(bad, F.array(F.lit(None).cast("string"))).otherwise(F.coalesce(listed, F.array().cast("array<string>")))
     return body.select(
         *[c for c in body.columns if c != text],
         table.alias("table_name"),
-        (~is_list).alias("bad_request"),
-        F.explode_outer(records).alias("record"),
+        bad.alias("bad_request"),
+        F.explode(records).alias("record"),
     )
+
+
+UNKNOWN_TABLE = "unknown table"
+BAD_REQUEST = "records must be a list"
+
+
+def load_requests(bodies: DataFrame, registry: Registry, request: str = "request_id", text: str = "body") -> DataFrame:
+    """Load request bodies into the tables that they name; a body without ``table_name`` goes to the default table.
+
+    A body is all or nothing. Returned are the refused rows: ``request``, ``table_name``, ``record``, ``errors``, the last with the field and
+    message of each broken rule, or one message for an unknown table or a bad body. One pass per registered table; their
+    number is that of the settings, not of the data.
+    """
+    parsed = parse_request(bodies.select(request, text), text)
+    named = [n for n in registry.names()]
+    known = F.col("table_name").isin(named) | (F.col("table_name").isNull() if registry.default else F.lit(False))
+    known = F.coalesce(known, F.lit(False)) if not registry.default else known
+    why = F.when(F.col("bad_request"), F.lit(BAD_REQUEST)).otherwise(F.lit(UNKNOWN_TABLE))
+    message = F.array(F.struct(F.when(F.col("bad_request"), F.lit("records")).otherwise(F.lit("table_name")).alias("field"), why.alias("message")))
+    columns = [request, "table_name", "record", "errors"]
+    refused = parsed.filter(F.col("bad_request") | ~known).select(request, "table_name", "record", message.cast(v.NO_ERRORS).alias("errors"))
+    for name in [*named, *([None] if registry.default else [])]:
+        mine = F.col("table_name").isNull() if name is None else F.col("table_name") == name
+        rows = parsed.filter(~F.col("bad_request") & mine)
+        refused = refused.unionByName(load_records(rows, registry, name, batch_id=request).select(*columns))
+    return refused

@@ -67,6 +67,16 @@ class Registry:
             raise RuntimeError("a YAML registry needs PyYAML; the same layout works as JSON") from e
         return cls(yaml.safe_load(text))
 
+    def names(self) -> list[str]:
+        """The declared tables that are complete."""
+        return [n for n, e in self.config.get("tables", {}).items() if e and e.get("table_id") and e.get("dataset_id")]
+
+    @property
+    def default(self) -> bool:
+        """Whether there is a default table."""
+        entry = self.config.get("default") or {}
+        return bool(entry.get("table_id") and entry.get("dataset_id"))
+
     def resolve(self, name: str | None = None) -> TableSpec:
         """The declared table, or the default when no name is given. An undeclared name is an error."""
         entry = (self.config.get("tables", {}).get(name) if name else self.config.get("default")) or {}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,17 +34,33 @@ def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, records_per
     )
 
 
+def _aside(df: DataFrame, table: str, fmt: str) -> str:
+    """Write the rows to a new table beside ``table`` and name it."""
+    name = f"{table}__{uuid.uuid4().hex}"
+    df.write.format(fmt).saveAsTable(name)
+    return name
+
+
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Create or replace a managed table from a query."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(table)
+    """Create or replace a managed table from a query.
+
+    The rows are written aside and the tables are swapped by name, so a write that fails leaves the old table as it was. ``df``
+    may read the table itself. Readers that come between the drop and the rename find no table.
+    """
+    spark, name = df.sparkSession, _aside(df, table, fmt)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
 
 
 def truncate_and_load(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace the rows of ``table`` and keep its definition; create it if it is missing."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
-    else:
-        overwrite_table(df, table, fmt)
+    """Replace the rows of ``table`` and keep its definition; create it if it is missing. The rows are computed before any old
+    one goes."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return overwrite_table(df, table, fmt)
+    name = _aside(df.select(*spark.table(table).columns), table, fmt)
+    spark.table(name).write.mode("overwrite").insertInto(table)
+    spark.sql(f"DROP TABLE {name}")
 
 
 def append_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillbar.operators import validate as v
-from quillbar.plans.load import load_records, parse_request
+from quillbar.plans.load import load_records, load_requests, parse_request
 from quillbar.plans.registry import Registry, RegistryError
 from quillbar.sources import files, sinks, tables
 
@@ -117,12 +117,50 @@ def test_email_rule(spark, registry):
 
 
 def test_request_bodies(spark):
-    bodies = [json.dumps({"table_name": "users", "records": [ANN, BEN]}), json.dumps({"records": {"a": 1}}), json.dumps({"table_name": "users"})]
+    bodies = [json.dumps({"table_name": "users", "records": [ANN, BEN]}), json.dumps({"records": {"a": 1}}), json.dumps({"table_name": "users"}),
+              json.dumps({"table_name": "users", "records": []}), json.dumps({"records": "[1]"}), "no json", "[1]", '{"records": null}', None, '"text"']
     df = spark.createDataFrame(list(enumerate(bodies)), "batch_id int, body string")
     rows = parse_request(df).collect()
     good = [r for r in rows if r.batch_id == 0]
     assert len(good) == 2 and json.loads(good[0].record) == ANN and good[0].table_name == "users"
-    assert all(r.bad_request and r.record is None for r in rows if r.batch_id > 0)
+    assert {r.batch_id for r in rows if r.bad_request} == {1, 4, 5, 6, 8, 9} and all(r.record is None for r in rows if r.batch_id > 0)
+    assert {r.batch_id for r in rows} == {0, 1, 4, 5, 6, 8, 9}
+
+
+def test_requests_reach_their_tables(spark, load, registry):
+    """A good body, one with a bad record, an unknown table, an empty list, a bad body, the default table, another table."""
+    mouse = {"product_id": "p1", "name": "Mouse", "price": 9.5, "in_stock": True}
+    bodies = [{"table_name": "users", "records": [ANN, BEN]}, {"table_name": "users", "records": [ANN, {"name": "No age", "email": "x"}]},
+              {"table_name": "nowhere", "records": [ANN]}, {"table_name": "users", "records": []}, {"table_name": "users", "records": 5},
+              {"records": [BEN]}, {"table_name": "products", "records": [mouse]}, {"table_name": "half", "records": [ANN]}]
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "request_id int, body string")
+    refused = load_requests(df, registry).collect()
+    assert sorted(r.request_id for r in refused) == [1, 1, 2, 4, 7]
+    assert {r.errors[0].message for r in refused if r.request_id in (2, 7)} == {"unknown table"}
+    assert [r.name for r in spark.table("shop.people").orderBy("name").collect()] == ["Ann", "Ben"]
+    assert spark.table("shop.fallback").count() == 1 and spark.table("shop.goods").first().price == 9.5
+
+
+def test_marking_batches_starts_no_job(spark, registry):
+    df = spark.createDataFrame([("b", json.dumps(ANN))], "batch_id string, record string")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    v.mark_batches(v.validate(df, registry.resolve("users")))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+
+def test_failed_overwrite_keeps_the_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keep_db")
+    try:
+        sinks.overwrite_table(spark.range(3), "keep_db.t")
+        broken = spark.range(5).select((F.col("id") + F.raise_error(F.lit("stop")).cast("bigint")).alias("id"))
+        for write in (sinks.overwrite_table, sinks.truncate_and_load):
+            with pytest.raises(Exception, match="stop"):
+                write(broken, "keep_db.t")
+            assert spark.table("keep_db.t").count() == 3
+        sinks.overwrite_table(spark.table("keep_db.t").filter("id > 0"), "keep_db.t")
+        assert spark.table("keep_db.t").count() == 2
+    finally:
+        spark.sql("DROP DATABASE keep_db CASCADE")
 
 
 def test_records_are_parsed_once(spark, registry):

@@ -94,7 +94,7 @@ def test_ema_with_rates_far_apart(spark):
 def test_blocks_equal_whole_series(spark):
     df = frame(spark, {"HOT": walk(3000, 5), "B": walk(40, 6), "C": walk(1, 7)})
     whole = ts.add_indicators(df).toPandas().sort_values(["symbol", "ts"]).reset_index(drop=True)
-    cut = blocks.in_blocks(df, "symbol", ["ts"], F.date_trunc("day", "ts"), lambda d, by, o: ts.add_indicators(d, by, o), 800, ts.INDICATOR_HALO)
+    cut = blocks.in_blocks(df, "symbol", ["ts"], lambda d, by, o: ts.add_indicators(d, by, o), 800, ts.INDICATOR_HALO)
     cut = cut.toPandas().sort_values(["symbol", "ts"]).reset_index(drop=True)
     assert len(cut) == len(whole)
     close_to(cut, whole[["sma20", "sma50", "rsi", "macd", "macd_signal"]])
@@ -108,7 +108,7 @@ def test_halo_must_fit(spark):
 
 def test_running_max_in_slices(spark):
     df = frame(spark, {"HOT": walk(500, 11), "B": walk(30, 12)})
-    got = blocks.running_max(df, "symbol", ["ts"], F.date_trunc("day", "ts"), "close", "peak").toPandas().sort_values(["symbol", "ts"])
+    got = blocks.running_max(df, "symbol", ["ts"], "close", "peak").toPandas().sort_values(["symbol", "ts"])
     assert (got.groupby("symbol")["close"].cummax() == got["peak"]).all()
 
 
@@ -258,3 +258,43 @@ def test_previous_day_is_pushed_down(spark, out):
     df = tables.previous_day(spark.read.parquet(out), dt.datetime(2024, 1, 3, 9, 30))
     assert df.count() == 24
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in df._jdf.queryExecution().executedPlan().toString()
+
+
+GAPS = st.lists(st.one_of(st.none(), st.floats(1, 100)), min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(GAPS, st.integers(1, 4))
+def test_means_pass_over_missing_values(spark, closes, span):
+    """As pandas on the values that are there, carried across the gaps; the chunk edges fall on and beside gaps."""
+    import pandas as pd
+
+    closes = closes * 20
+    rows = [("a", i, c) for i, c in enumerate(closes)]
+    df = spark.createDataFrame(rows, "symbol string, ts int, close double")
+    got = [(r.e, r.macd, r.macd_signal) for r in ts.add_macd(ts.add_ema(df, {"e": span}), fast=2, slow=3, signal=2).orderBy("ts").collect()]
+    there = pd.Series(closes, dtype=float).dropna()
+    mean = lambda s, n: s.ewm(span=n, adjust=False).mean()
+    macd = mean(there, 2) - mean(there, 3)
+    want = [s.reindex(range(len(closes))).ffill() for s in (mean(there, span), macd, mean(macd, 2))]
+    for i, row in enumerate(got):
+        for g, w in zip(row, (s[i] for s in want)):
+            assert (g is None) == bool(pd.isna(w)) and (g is None or abs(g - w) < 1e-8 * max(1, abs(w)) + 1e-9)
+
+
+def test_missing_ties_and_prices(spark):
+    rows = [(1, None, 1.0), (1, 2, 5.0), (2, None, 9.0), (2, -5, 7.0), (3, 3, float("nan")), (3, 4, None)]
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, 0, s), t, p) for s, t, p in rows], "symbol string, ts timestamp_ntz, id bigint, price double")
+    bar = ts.resample(df, "1 hour", tiebreak="id").first()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (1.0, 9.0, 1.0, 7.0, 6)
+
+
+def test_zeros_give_null_and_no_entry(spark):
+    df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, -1.0), ("a", 3, 0.0)], "symbol string, ts int, close double")
+    assert {(r.drawdown, r.breach) for r in ts.running_drawdown(df).collect()} == {(None, None)}
+    sizes = df.select(ts.position_size(F.lit(100.0), 0.1, F.col("close"), F.lit("stock")).alias("q")).collect()
+    assert {r.q for r in sizes} == {None, -10.0}
+    days = [dt.datetime(2024, 1, d) for d in range(1, 6)]
+    bars = spark.createDataFrame([("a", d, c, 1, 1) for d, c in zip(days, (1.0, 0.0, None, 2.0, 2.0))], "symbol string, ts timestamp_ntz, close double, signal int, edge int")
+    log = backtest.trade_log(backtest.simulate(bars)).collect()
+    assert [(r.action, r.price) for r in log] == [("BUY", 2.0), ("FINAL SELL", 2.0)]

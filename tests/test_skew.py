@@ -65,19 +65,25 @@ def test_index_rows_in_slices(spark):
     assert all(r.row_index == 1 for r in got if r.k != 0)
 
 
-def test_time_slices_follow_the_densest_burst(spark):
-    start = F.lit("2024-01-01").cast("timestamp_ntz")
-    # Half of the hot key's rows fall into one second, the others are spread over days.
-    seconds = F.when(F.col("n") % 2 == 0, F.col("n") / 6000).otherwise(F.col("n") * 60.0)
-    df = hot(spark).withColumn("ts", start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
-    cut = blocks.time_slices(df, "k", "ts", max_rows=150)
-    sizes = df.groupBy("k", cut.alias("c")).count().agg(F.max("count")).first()[0]
-    assert sizes <= 150
-    got = blocks.index_rows(df, "k", ["ts", "n"], cut).filter("k = 0").orderBy("ts", "n").collect()
-    assert [r.row_index for r in got] == list(range(1, 2001))
-    assert blocks.time_slices(df, "k", "ts")._jc.toString() == "0"
-    same = df.withColumn("ts", start)
-    assert blocks.index_rows(same, "k", ["ts", "n"], blocks.time_slices(same, "k", "ts", 150)).filter("k = 0 AND row_index = 2000").first().n == 5997
+def test_null_keys_stay(spark):
+    df = hot(spark, 900).withColumn("k", F.when(F.col("k") != 0, F.col("k")))
+    for got in (blocks.index_by_range(df, "k", ["n"]), blocks.index_rows(df, "k", ["n"], F.floor(F.col("n") / 100))):
+        assert sorted(r.row_index for r in got.filter("k IS NULL").collect()) == list(range(1, 301)) and got.count() == 900
+    peaks = blocks.running_max(df, "k", ["n"], "n", "peak")
+    assert peaks.count() == 900 and peaks.filter("peak <> n").count() == 0
+    docs = flatten.nest_rows(df, "k", ["n"], {"n": "n"}, max_items=20)
+    assert docs.agg(F.max(F.size("item"))).first()[0] == 20 and docs.filter("k IS NULL").count() == 15
+
+
+def test_one_instant_and_one_burst_stay_even(spark):
+    """Three quarters of the rows at one instant, a burst beside it: every range holds its share."""
+    instant = F.when(F.col("id") % 4 != 0, 7).when(F.col("id") < 40_000, 8 + F.col("id") % 10).otherwise(F.col("id"))
+    df = spark.range(200_000).select(F.lit(1).alias("k"), instant.alias("ts"), F.col("id").alias("n"))
+    got = blocks.index_by_range(df, "k", ["ts"])
+    assert got.agg(F.countDistinct("row_index"), F.max("row_index")).first()[:] == (200_000, 200_000)
+    sizes = [r["count"] for r in blocks._ranged(df, "k", ["ts"]).groupBy("_range").count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert blocks.running_max(df, "k", ["ts", "n"], "n", "peak").filter("ts = 7").agg(F.max("peak")).first()[0] == 199_999
 
 
 def test_latest_n_of_a_hot_key(spark):
@@ -136,9 +142,7 @@ def test_word_count_and_top(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
-def test_ticker_list_has_a_limit(spark):
-    import pytest
-
-    many = [{"data": str(i), "order": "o", "type": "stock"} for i in range(relational.LIST_LIMIT + 1)]
-    with pytest.raises(ValueError):
-        relational.ticker_list(spark, many)
+def test_long_ticker_lists_are_joined(spark):
+    many = relational.ticker_list(spark, [{"data": str(i), "order": f"o{i}", "type": "stock"} for i in range(20_000)])
+    got = relational.map_symbols(spark.range(0, 30_000, 3).select(F.col("id").cast("string").alias("symbol")), many)
+    assert got.count() == 6667 and got.filter("order_symbol <> concat('o', symbol)").count() == 0
