@@ -1,10 +1,11 @@
 """Near-duplicate groups by b-bit MinHash, confirmed on the full shingle sets.
 
 1. Every document gives its set of five-word shingles (64-bit hashes), a fingerprint of the set, ``BANDS`` band keys of ``ROWS`` minima each,
-   and the low ``BITS`` bits of all minima, packed in bit planes.
+   and a packed signature: the hashes fall into ``BINS`` bins by their top bits, and of the minimum of each bin one low bit is kept, beside
+   one bit that tells whether the bin has any.
 2. Documents with equal sets are one class from there on, so exact copies cost one row, however many.
 3. Classes that share a band key are candidates. Each bucket first links its members to its smallest and its largest one; groups of
-   near copies fall into one component that way. What then shares a bucket across components is compared by the packed signatures,
+   near copies fall into few components that way. What then shares a bucket across components is compared by the packed signatures,
    inside the join, and only pairs whose collision-corrected estimate comes near the limit leave it. So no bucket emits all its
    pairs, and no pair that shares a bucket goes untested unless its documents are already connected.
 4. Every pair is confirmed on the full sets before it links.
@@ -24,17 +25,18 @@ from quillbar.llm.common import Scratch, mixed, word_hashes, words_joined
 from quillbar.llm.graph import components
 
 SHINGLE = 5
-BANDS, ROWS, BITS = 32, 4, 4
+BANDS, ROWS, BINS = 32, 4, 2048
 MINIMA = BANDS * ROWS
-# Pairs at similarity 0.75 have an estimate with a standard deviation of 0.04; this is six of them below.
-LEAST_ESTIMATE = 0.5
+# At similarity 0.75 the estimate has a standard deviation of at most 0.013; this is five of them below. Where under SMALL bins are
+# filled, one minimum more or less counts more.
+LEAST_ESTIMATE, SMALL, LEAST_OF_SMALL = 0.685, 100, 0.5
 CHUNK_BYTES = 4 << 20
 
 _RNG = np.random.default_rng(75)
 _FACTORS = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64)
 _PLACES = [np.uint64(x) for x in _RNG.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]
-SKETCH = "uid bigint, doc_id bigint, tag bigint, n bigint, h1 bigint, h2 bigint, planes array<bigint>, bands array<bigint>"
+SKETCH = "uid bigint, doc_id bigint, tag bigint, n bigint, h1 bigint, h2 bigint, bits array<bigint>, bands array<bigint>"
 
 
 def _word_hashes_of(texts: list[bytes | None]) -> Iterator[np.ndarray]:
@@ -82,39 +84,49 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def bit_planes(least: np.ndarray) -> np.ndarray:
-    """The low bits of the minima: plane after plane, 64 minima to a number."""
-    low = mixed(least)
-    planes = [np.packbits(((low >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(BITS)]
-    return np.concatenate(planes).view(np.int64)
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """Bits of the filled bins, then the low bit of each bin's minimum. ``shingles`` are in order, so the first of a bin is its minimum."""
+    bins = (shingles >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
+    bits = np.zeros((2, BINS), np.uint8)
+    bits[0, bins[first]] = 1
+    bits[1, bins[first]] = mixed(shingles[first]) & np.uint64(1)
+    return np.packbits(bits).view(np.int64)
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """Similarity from two arrays of bit planes: the share of equal minima, corrected for those whose low bits agree by chance."""
-    words = MINIMA // 64
-    differing = None
+def likely(a: Column, b: Column) -> Column:
+    """Whether the similarity estimated from two signatures comes near the limit."""
+    estimated, filled = estimate(a, b)
+    return F.when(filled < SMALL, estimated >= LEAST_OF_SMALL).otherwise(estimated >= LEAST_ESTIMATE)
+
+
+def estimate(a: Column, b: Column) -> tuple[Column, Column]:
+    """(similarity, filled bins) by counts of bits. Of the bins that both fill, those with other minima agree in the low bit half
+    of the time, so equal minima are twice the agreeing bins less the common ones."""
+    words = BINS // 64
+    total = lambda parts: sum(parts[1:], parts[0])
+    filled, common, agreeing = [], [], []
     for w in range(words):
-        any_bit = None
-        for k in range(BITS):
-            x = F.get(a, F.lit(k * words + w)).bitwiseXOR(F.get(b, F.lit(k * words + w)))
-            any_bit = x if any_bit is None else any_bit.bitwiseOR(x)
-        differing = F.bit_count(any_bit) if differing is None else differing + F.bit_count(any_bit)
-    chance = 2.0**-BITS
-    return (1 - differing / float(MINIMA) - chance) / (1 - chance)
+        in_a, in_b = F.get(a, F.lit(w)), F.get(b, F.lit(w))
+        both = in_a.bitwiseAND(in_b)
+        differ = F.get(a, F.lit(words + w)).bitwiseXOR(F.get(b, F.lit(words + w)))
+        filled.append(F.bit_count(in_a.bitwiseOR(in_b)))
+        common.append(F.bit_count(both))
+        agreeing.append(F.bit_count(both.bitwiseAND(F.bitwise_not(differ))))
+    return F.try_divide(2 * total(agreeing) - total(common), total(filled)), total(filled)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     uid = TaskContext.get().partitionId() << 33
     for batch in batches:
-        n, h1, h2, planes, bands, sizes = [], [], [], [], [], []
+        n, h1, h2, signatures, bands, sizes = [], [], [], [], [], []
         for words in _word_hashes_of(batch.column("text").cast(pa.binary()).to_pylist()):
             shingles = shingle_set(words)
             n.append(len(shingles))
             h1.append(shingles.sum(dtype=np.uint64))
             h2.append(mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
             if len(shingles):
-                least = minima(shingles)
-                planes.append(bit_planes(least)), bands.append(band_keys(least))
+                signatures.append(signature(shingles)), bands.append(band_keys(minima(shingles)))
             sizes.append(min(1, len(shingles)))
         count = len(n)
         if not count:
@@ -122,11 +134,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         flat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
         lists = [pa.ListArray.from_arrays(pa.array(ends * np.int32(width)), flat(parts))
-                 for width, parts in ((MINIMA // 64 * BITS, planes), (BANDS, bands))]
+                 for width, parts in ((BINS // 32, signatures), (BANDS, bands))]
         numbers = [pa.array(np.arange(uid, uid + count)), batch.column("doc_id"), batch.column("tag"), pa.array(np.array(n, np.int64))]
         hashes = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (h1, h2)]
         uid += count
-        yield pa.RecordBatch.from_arrays([*numbers, *hashes, *lists], ["uid", "doc_id", "tag", "n", "h1", "h2", "planes", "bands"])
+        yield pa.RecordBatch.from_arrays([*numbers, *hashes, *lists], ["uid", "doc_id", "tag", "n", "h1", "h2", "bits", "bands"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -159,7 +171,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     sketches = scratch.save(keyed.mapInArrow(_sketch, SKETCH), "sketches")
     one = ["n", "h1", "h2"]
     classes = scratch.save(sketches.filter("n > 0").groupBy(*one).agg(F.min("uid").alias("node"), F.min("doc_id").alias("least")), "classes")
-    chosen = sketches.select("uid", "doc_id", "tag", "planes", "bands").join(classes.select(F.col("node").alias("uid")), "uid")
+    chosen = sketches.select("uid", "doc_id", "tag", "bits", "bands").join(classes.select(F.col("node").alias("uid")), "uid")
     reps = scratch.save(chosen, "reps")
 
     buckets = reps.select(F.col("uid").alias("node"), F.explode("bands").alias("band"))
@@ -168,9 +180,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     star = members.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
     pairs = scratch.save(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
 
-    known = reps.select(F.col("uid").alias("node"), "doc_id", "tag", "planes")
+    known = reps.select(F.col("uid").alias("node"), "doc_id", "tag", "bits")
     side = lambda name, *more: known.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in more])
-    near = estimate(F.col("planes_a"), F.col("planes_b")) >= LEAST_ESTIMATE
+    near = likely(F.col("bits_a"), F.col("bits_b"))
     wanted = members.select("node").distinct().join(known.select("node", "doc_id", "tag"), "node")
     found = keyed.join(wanted.withColumnRenamed("doc_id", "_id"), (F.col("_id").eqNullSafe(F.col("doc_id"))) & (keyed.tag == wanted.tag)).select("node", "text")
     texts = scratch.save(found.dropDuplicates(["node"]), "texts")
@@ -181,15 +193,16 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         return candidates.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(
             lambda batches: _confirm(batches, percent), "a bigint, b bigint")
 
-    likely = pairs.join(side("a", "planes"), "a").join(side("b", "planes"), "b").filter(near).select("a", "b")
-    links = scratch.save(confirmed(likely), "links")
+    right = side("b", "bits").withColumnRenamed("b", "_b")
+    tested = pairs.join(side("a", "bits"), "a").join(right, (F.col("b") == F.col("_b")) & near).select("a", "b")
+    links = scratch.save(confirmed(tested), "links")
     labels = components(links, scratch)
 
     # Buckets that still hold several components: every pair across them that was not tested yet.
     labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     several = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
-    open_rows = labelled.join(several, "band").join(known.select("node", "planes"), "node")
-    half = lambda name: open_rows.select("band", F.col("node").alias(name), F.col("label").alias(f"label_{name}"), F.col("planes").alias(f"planes_{name}"))
+    open_rows = labelled.join(several, "band").join(known.select("node", "bits"), "node")
+    half = lambda name: open_rows.select("band", F.col("node").alias(name), F.col("label").alias(f"label_{name}"), F.col("bits").alias(f"bits_{name}"))
     across = half("a").join(half("b"), (half("a").band == half("b").band) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near)
     rest = scratch.save(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
     more = scratch.save(confirmed(rest), "more")

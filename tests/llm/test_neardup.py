@@ -77,16 +77,18 @@ def test_estimate_is_close(spark):
     from pyspark.sql import functions as F
 
     rng = np.random.default_rng(3)
-    a = rng.integers(0, 2**63, 700, dtype=np.uint64)
+    number = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
     rows = []
-    for share in (0.0, 0.3, 0.75, 1.0):
-        common = int(700 * 2 * share / (1 + share))
-        b = np.concatenate([a[:common], rng.integers(0, 2**63, 700 - common, dtype=np.uint64)])
-        planes = [neardup.bit_planes(neardup.minima(np.unique(x))).tolist() for x in (a, b)]
-        rows.append((share, *planes))
-    df = spark.createDataFrame(rows, "share double, a array<bigint>, b array<bigint>")
-    for r in df.select("share", neardup.estimate(F.col("a"), F.col("b")).alias("e")).collect():
-        assert abs(r.share - r.e) < 0.15
+    for n in (60, 700, 9000):
+        a = number(n)
+        for share in (0.0, 0.3, 0.75, 1.0):
+            common = int(n * 2 * share / (1 + share))
+            b = np.concatenate([a[:common], number(n - common)])
+            rows.append((n, common / (2 * n - common), *[neardup.signature(np.unique(x)).tolist() for x in (a, b)]))
+    df = spark.createDataFrame(rows, "n int, share double, a array<bigint>, b array<bigint>")
+    value, _ = neardup.estimate(F.col("a"), F.col("b"))
+    for r in df.select("n", "share", value.alias("e"), neardup.likely(F.col("a"), F.col("b")).alias("near")).collect():
+        assert abs(r.share - r.e) < 0.07 and (r.near or r.share < 0.75) and not (r.near and r.share < 0.45)
 
 
 def test_keep_one(spark):
