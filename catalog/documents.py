@@ -326,6 +326,11 @@ def _pick_sql(words: list[str], n: str) -> str:
     return f"[{listed}][{n} + 1]"
 
 
+def _values_sql(count: str, salt: int) -> str:
+    picked = _pick_sql(synthetic.WORDS, _draw_sql("(i * 8 + x)", salt, 10))
+    return f"coalesce(array_to_string(list_transform(range(1, CAST({count} AS BIGINT) + 1), lambda x: {picked}), ','), '')"
+
+
 def _review_sql() -> str:
     s = "i * 8 + n"
     body = " || ' ' || ".join(_pick_sql(synthetic.WORDS, _draw_sql(s, k, 10)) for k in (21, 22, 23)) + " || ' and more'"
@@ -336,21 +341,22 @@ def _review_sql() -> str:
 
 @query("synthetic_catalog", f"""
     WITH p AS (SELECT CAST(p_partkey AS BIGINT) AS i FROM part),
-    b AS (SELECT i, {_pick_sql(synthetic.WORDS, _draw_sql("i", 4, 10))} AS title_tail, {_pick_sql(synthetic.GENRES, _draw_sql("i", 5, 7))} AS genre,
+    b AS (SELECT i, {_pick_sql(synthetic.FIRST, _draw_sql("i", 1, 8))} AS first, {_pick_sql([w.replace(chr(39), '') for w in synthetic.LAST], _draw_sql("i", 2, 6))} AS last,
+                 {_pick_sql([w.title() for w in synthetic.WORDS], _draw_sql("i", 3, 10))} || ' ' || {_pick_sql(synthetic.WORDS, _draw_sql("i", 4, 10))} AS title, {_pick_sql(synthetic.GENRES, _draw_sql("i", 5, 7))} AS genre,
                  ({_draw_sql("i", 6, 9201)} + 799) / 100.0 AS price,
                  strftime(DATE '2000-01-01' + CAST({_draw_sql("i", 7, 9000)} AS INTEGER), '%Y-%m-%d') AS publish_date,
                  {_draw_sql("i", 8, 6)} AS k, {_draw_sql("i", 9, 5)} AS v1, {_draw_sql("i", 11, 5)} AS v2 FROM p),
     r AS (SELECT *, unnest(CASE WHEN k = 0 THEN [NULL] ELSE range(1, k + 1) END) AS n FROM b)
-    SELECT 'bk' || (i + 101) AS book_id, title_tail, genre, CAST(price AS DOUBLE) AS price, publish_date,
-           CAST(v1 AS INTEGER) AS n_first, CAST(v2 AS INTEGER) AS n_second, {_review_sql()}
+    SELECT 'bk' || (i + 101) AS book_id, first, last, title, genre, CAST(price AS DOUBLE) AS price, publish_date,
+           {_values_sql("v1", 10)} AS first_values, {_values_sql("v2", 12)} AS second_values, {_review_sql()}
     FROM r""")
 def synthetic_catalog(spark, sf):
     """One book per part, flattened to one row per review."""
     books = synthetic.synthetic_catalog(table(spark, sf, "part").select("p_partkey"), "p_partkey")
-    flat = books.select("_id", "title", "genre", "price", "publish_date", "onemorecolumn", "secondcoloum",
+    flat = books.select("_id", "author", "title", "genre", "price", "publish_date", "onemorecolumn", "secondcoloum",
                         F.explode_outer("reviewers.reviewer").alias("r"))
     return flat.select(
-        F.col("_id").alias("book_id"), F.element_at(F.split("title", " "), -1).alias("title_tail"), "genre", "price", "publish_date",
-        F.size("onemorecolumn.col1").alias("n_first"), F.size("secondcoloum.col1").alias("n_second"),
+        F.col("_id").alias("book_id"), F.col("author.name.first").alias("first"), F.col("author.name.last").alias("last"), "title", "genre", "price", "publish_date",
+        F.array_join("onemorecolumn.col1", ",").alias("first_values"), F.array_join("secondcoloum.col1", ",").alias("second_values"),
         F.col("r._stars").alias("stars"), F.col("r.name").alias("reviewer"), F.col("r.comment").alias("comment"),
     )

@@ -10,7 +10,8 @@ from catalog.common import ORACLES, query, table, text_documents
 from catalog.records import ALL_SQL, RECORDS_SQL, SPEC, records
 from quillbar.functions import scalars, text
 from quillbar.operators import flatten, relational
-from quillbar.plans.load import load_records, parse_request
+from quillbar.operators import validate as v
+from quillbar.plans.load import load_records, load_requests, parse_request
 from quillbar.plans.registry import Registry
 from quillbar.session import scratch_path
 from quillbar.sources import files, sinks, synthetic, xml
@@ -23,18 +24,18 @@ def _database(spark) -> str:
     return name
 
 
-@query("csv_fixed_load", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal FROM customer")
+@query("csv_fixed_load", "SELECT * REPLACE (CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS INTEGER) AS c_nationkey) FROM customer")
 def csv_fixed_load(spark, sf):
     """CSV out with a header, in with declared columns; the key stays text."""
     path = scratch_path(spark, "csv")
-    sinks.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
-    return files.load_csv(spark, path, "c_custkey string, c_name string, c_acctbal double")
+    sinks.write_csv(table(spark, sf, "customer"), path)
+    return files.load_csv(spark, path, "c_custkey string, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
 
 
-@query("csv_inferred_load", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal FROM customer")
+@query("csv_inferred_load", "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_nationkey AS INTEGER) AS c_nationkey) FROM customer")
 def csv_inferred_load(spark, sf):
     path = scratch_path(spark, "csv")
-    sinks.write_csv(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
+    sinks.write_csv(table(spark, sf, "customer"), path)
     return files.read_csv(spark, path)
 
 
@@ -63,12 +64,12 @@ def xml_inferred_catalog(spark, sf):
     sinks.write_xml(books, f"{root}/xml", "catalog", "book")
     xml.infer_schema(spark, f"{root}/xml", "book", f"{root}/schema")
     back = xml.read_xml(spark, f"{root}/xml", "book", xml.load_schema(spark, f"{root}/schema"))
-    flat = back.select("_id", "title", "genre", "price", "publish_date", "onemorecolumn", "secondcoloum",
+    flat = back.select("_id", "author", "title", "genre", "price", "publish_date", "onemorecolumn", "secondcoloum",
                        F.explode_outer("reviewers.reviewer").alias("r"))
     return flat.select(
-        F.col("_id").alias("book_id"), F.element_at(F.split("title", " "), -1).alias("title_tail"), "genre", "price",
+        F.col("_id").alias("book_id"), F.col("author.name.first").alias("first"), F.col("author.name.last").alias("last"), "title", "genre", "price",
         F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
-        F.greatest(F.size("onemorecolumn.col1"), F.lit(0)).alias("n_first"), F.greatest(F.size("secondcoloum.col1"), F.lit(0)).alias("n_second"),
+        *[F.coalesce(F.array_join(f"{c}.col1", ","), F.lit("")).alias(n) for c, n in (("onemorecolumn", "first_values"), ("secondcoloum", "second_values"))],
         F.col("r._stars").alias("stars"), F.col("r.name").alias("reviewer"), F.col("r.comment").alias("comment"),
     )
 
@@ -99,7 +100,7 @@ def append_tables(spark, sf):
 
 @query("checked_load", f"""
     WITH {RECORDS_SQL}, e AS ({ALL_SQL})
-    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active
+    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active, CAST(joined AS TIMESTAMP) AS joined
     FROM r WHERE batch_id NOT IN (SELECT batch_id FROM r JOIN e USING (k))""")
 def checked_load(spark, sf):
     """Records of many batches into a declared table; a batch with one bad record stays out."""
@@ -107,7 +108,55 @@ def checked_load(spark, sf):
     schema = [{"name": f.name, "field_type": f.type, "mode": "REQUIRED" if f.required else "NULLABLE"} for f in SPEC.fields]
     registry = Registry({"tables": {"members": {"dataset_id": db, "table_id": "members", "schema": schema}}})
     load_records(records(spark, sf), registry, "members", batch_id="batch_id")
-    return spark.table(f"{db}.members").drop("joined")
+    return spark.table(f"{db}.members").withColumn("joined", F.col("joined").cast("timestamp_ntz"))
+
+
+WRONG_AGE = v.WRONG_TYPE["INTEGER"]
+REQUEST_TABLES = """q AS (SELECT c_custkey AS k, c_name, c_custkey % 4 AS t FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0),
+    r AS (SELECT k, t, c_name AS name, CASE WHEN k % 11 = 0 THEN NULL ELSE k % 90 END AS age FROM q UNION ALL SELECT k, t, c_name || '-2', 1 FROM q),
+    good AS (SELECT * FROM r WHERE k NOT IN (SELECT k FROM r WHERE age IS NULL))"""
+
+
+@query("requests_to_tables", f"""
+    WITH {REQUEST_TABLES}
+    SELECT CASE t WHEN 0 THEN 'members' WHEN 1 THEN 'goods' ELSE 'fallback' END AS loaded_into, name, CAST(age AS BIGINT) AS age, CAST(NULL AS BIGINT) AS request_id, CAST(NULL AS VARCHAR) AS message
+    FROM good WHERE t < 3
+    UNION ALL SELECT 'refused', NULL, NULL, c_custkey, 'records must be a list' FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 <> 0
+    UNION ALL SELECT 'refused', NULL, NULL, k, 'unknown table' FROM r WHERE t = 3
+    UNION ALL SELECT 'refused', NULL, NULL, k, CASE WHEN age IS NULL THEN '{WRONG_AGE}' END FROM r WHERE t < 3 AND k IN (SELECT k FROM r WHERE age IS NULL)""")
+def requests_to_tables(spark, sf):
+    """Bodies for two tables, the default table and an unknown one; some empty, some without a list, some with one bad record."""
+    db, k = _database(spark), F.col("c_custkey")
+    columns = [{"name": "name", "field_type": "STRING", "mode": "REQUIRED"}, {"name": "age", "field_type": "INTEGER", "mode": "REQUIRED"}]
+    spec = lambda name: {"dataset_id": db, "table_id": name, "schema": columns}
+    registry = Registry({"default": spec("fallback"), "tables": {"members": spec("members"), "goods": spec("goods")}})
+    age = F.when(k % 11 == 0, F.lit("old")).otherwise((k % 90).cast("string"))
+    records = F.to_json(F.array(F.struct(F.col("c_name").alias("name"), age.alias("age")), F.struct(F.concat("c_name", F.lit("-2")).alias("name"), F.lit("1").alias("age"))))
+    listed = F.when(k % 5 == 0, F.lit("[]")).when(k % 7 == 0, F.lit('"none"')).otherwise(records)
+    named = F.when(k % 4 == 0, '"table_name": "members", ').when(k % 4 == 1, '"table_name": "goods", ').when(k % 4 == 3, '"table_name": "nowhere", ').otherwise("")
+    bodies = table(spark, sf, "customer").select(k.alias("request_id"), F.concat(F.lit("{"), named, F.lit('"records": '), listed, F.lit("}")).alias("body"))
+    refused = load_requests(bodies, registry).select(
+        F.lit("refused").alias("loaded_into"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("age"), "request_id",
+        F.get(F.transform("errors", lambda e: e["message"]), F.lit(0)).alias("message"))
+    for name in ("members", "goods", "fallback"):
+        rows = spark.table(f"{db}.{name}").select(F.lit(name).alias("loaded_into"), "name", "age")
+        refused = refused.unionByName(rows, allowMissingColumns=True)
+    return refused
+
+
+@query("json_multiline_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_multiline_scan(spark, sf):
+    """Customers in JSON arrays that run over many lines, a hundred to a file."""
+    path = scratch_path(spark, "json")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    arrays = rows.groupBy(F.floor(F.col("c_custkey") / 100)).agg(F.collect_list(F.struct(*rows.columns)).alias("all"))
+    arrays.select(F.to_json("all", {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_json(spark, path, schema=rows.schema)
+
+
+@query("shouted_names", "SELECT c_custkey, upper(trim('  ' || c_name || ' ', ' ')) AS shouted FROM customer")
+def shouted_names(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", text.shout(F.concat(F.lit("  "), "c_name", F.lit(" "))).alias("shouted"))
 
 
 @query("request_bodies", """

@@ -27,7 +27,7 @@ FIELDS = {
     "email": "CASE WHEN k % 23 = 0 THEN 'broken.at.example' ELSE concat(lower(c_name), '@example.com') END",
     "balance": "CASE WHEN k % 17 = 0 THEN 'n/a' WHEN k % 6 = 0 THEN NULL ELSE CAST(k % 1000 AS {text}) END",
     "active": "CASE WHEN k % 5 = 0 THEN 'yes' WHEN k % 3 = 0 THEN 'true' ELSE 'false' END",
-    "joined": "CASE WHEN k % 19 = 0 THEN 'not a date' ELSE '2024-01-15 00:00:00' END",
+    "joined": "CASE WHEN k % 19 = 0 THEN 'not a date' ELSE concat('2024-01-', lpad(CAST(k % 28 + 1 AS {text}), 2, '0'), ' 06:30:00') END",
 }
 
 
@@ -89,21 +89,21 @@ def validate_batch_atomic(spark, sf):
 
 @query("validate_record_split", f"""
     WITH {RECORDS_SQL}, e AS ({ALL_SQL})
-    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active
+    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active, CAST(joined AS TIMESTAMP) AS joined
     FROM r WHERE k NOT IN (SELECT k FROM e)""")
 def validate_record_split(spark, sf):
     """Record by record: the typed values of the good ones."""
     marked = v.mark_batches(v.validate(records(spark, sf), SPEC), atomic=False)
-    return v.accepted_rows(marked).drop("joined")
+    return v.accepted_rows(marked).withColumn("joined", F.col("joined").cast("timestamp_ntz"))
 
 
 @query("stream_checked_ingest", f"""
     WITH {RECORDS_SQL}, e AS ({ALL_SQL})
-    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active
+    SELECT name, CAST(age AS BIGINT) AS age, email, CAST(balance AS DOUBLE) AS balance, CAST(active AS BOOLEAN) AS active, CAST(joined AS TIMESTAMP) AS joined
     FROM r WHERE k NOT IN (SELECT k FROM e)""")
 def stream_checked_ingest(spark, sf):
     """The same records as arriving JSON-line files: stream, check, append, read the accepted table."""
     root = scratch_path(spark, "ingest")
     records(spark, sf).select("record").write.text(f"{root}/in")
     ingest.start_ingest(ingest.read_records(spark, f"{root}/in"), SPEC, f"{root}/good", f"{root}/bad", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/good").drop("joined", "batch_id")
+    return spark.read.parquet(f"{root}/good").drop("batch_id").withColumn("joined", F.col("joined").cast("timestamp_ntz"))
