@@ -22,6 +22,7 @@ SLOTS = 1 << 16  # hashed n-grams
 PENALTY = 6.0
 SMOOTH = 0.5
 CHUNK_WORDS = 1 << 20
+RUN_CHARS = 4 << 20  # of text that is labelled together
 # First code points of script ranges (Unicode blocks), with the script that starts there.
 RANGES = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
           (0x0900, "indic"), (0x0E00, "thai"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"), (0x1E00, "latin"), (0x1F00, "greek"),
@@ -161,7 +162,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
     for whole_batch in batches:
         every = whole_batch.column("text").to_pylist()
-        for first, stop in _runs_of(every, 8 << 20):
+        for first, stop in _runs_of(every, RUN_CHARS):
             found = [[(m.group(), *m.span()) for m in _WORD.finditer(t.lower() if len(t.lower()) == len(t) else t)] if t else [] for t in every[first:stop]]
             index: dict[str, int] = {}
             ids = np.fromiter((index.setdefault(w, len(index)) for words in found for w, _, _ in words), np.int64)
