@@ -85,16 +85,17 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone.append([{"start": a, "stop": b} for a, b in out])
             kept.append([{"start": a, "stop": b} for a, b in rest])
             chars.append(sum(b - a for a, b in out))
-        same = [batch.column(c) for c in ("doc_id", "tag", "n_units", "n_removed")]
+        same = [batch.column(c) for c in ("doc_id", "tag", "n_units", "n_removed", "first_docs")]
         yield pa.RecordBatch.from_arrays([*same, pa.array(chars, pa.int64()), pa.array(gone, kind), pa.array(kept, kind)],
-                                         ["doc_id", "tag", "n_units", "n_removed", "removed_chars", "removed", "kept"])
+                                         ["doc_id", "tag", "n_units", "n_removed", "first_docs", "removed_chars", "removed", "kept"])
 
 
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", line_words: int = LINE_WORDS,
                sentence_words: int = SENTENCE_WORDS) -> DataFrame:
-    """``doc_id, tag, n_units, n_removed, removed_chars, removed, kept`` per row of ``docs``.
+    """``doc_id, tag, n_units, n_removed, first_docs, removed_chars, removed, kept`` per row of ``docs``.
 
-    ``removed`` and ``kept`` are arrays of (start, stop) that together make up the text; ``tag`` is xxhash64 of the text. Null and empty texts
+    ``removed`` and ``kept`` are arrays of (start, stop) that together make up the text; ``first_docs`` are the documents that keep the
+    removed units; ``tag`` is xxhash64 of the text. Null and empty texts
     have no units. Null ids rank after all others and equal among themselves: their units go only where a document with an id
     has them too. Rows with equal ids rank equal. Other columns are ignored. Empty input: empty result.
     """
@@ -106,13 +107,14 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", line
     first = spans.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
     first = scratch.save(first, "first")
     extra = spans.join(first, ["d1", "d2"]).filter(F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("first")))
-    removed = extra.groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    removed = extra.groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"), F.array_sort(F.collect_set("first")).alias("first_docs"))
     counts = found.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("tag").alias("tag"), F.max("n_chars").alias("n_chars"), F.count("start").alias("n_units"))
     none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    per = counts.join(removed, "uid", "left").select("doc_id", "tag", "n_chars", "n_units", F.coalesce("spans", none).alias("spans"))
+    per = counts.join(removed, "uid", "left").select("doc_id", "tag", "n_chars", "n_units", F.coalesce("spans", none).alias("spans"),
+                                                          F.coalesce("first_docs", F.array().cast("array<bigint>")).alias("first_docs"))
     per = per.select("*", F.size("spans").cast("bigint").alias("n_removed"))
     span = "array<struct<start:int,stop:int>>"
-    return per.mapInArrow(_finished, f"doc_id bigint, tag bigint, n_units bigint, n_removed bigint, removed_chars bigint, removed {span}, kept {span}")
+    return per.mapInArrow(_finished, f"doc_id bigint, tag bigint, n_units bigint, n_removed bigint, first_docs array<bigint>, removed_chars bigint, removed {span}, kept {span}")
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:

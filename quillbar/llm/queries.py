@@ -50,9 +50,10 @@ def op1_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_substring_dedup")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose units, with the spans that go and the documents that keep them."""
     spans = F.concat_ws(",", F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"])))
-    found = linededup.duplicates(documents(spark, sf_dir))
-    return found.select("doc_id", "n_units", "n_removed", "removed_chars", spans.alias("removed"))
+    found = linededup.duplicates(documents(spark, sf_dir)).filter("n_removed > 0")
+    return found.select("doc_id", "n_units", "n_removed", "first_docs", "removed_chars", spans.alias("removed"))
 
 
 @query("op3_minhash_near_dedup")

@@ -35,6 +35,8 @@ def test_matches_a_plain_pass(spark):
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string").repartition(3)
     got = sorted([(r.doc_id, r.n_removed, [(s.start, s.stop) for s in r.removed]) for r in linededup.duplicates(df).collect()], key=str)
     assert got == expected(ROWS)
+    by_id = {r.doc_id: r.first_docs for r in linededup.duplicates(df).collect() if r.n_removed}
+    assert by_id[3] == [1, 2] and by_id[None] == [2] and by_id[6] == [6]
     assert [g for g in got if g[0] == 1][0][1] == 0 and [g for g in got if g[0] == 3][0][1] >= 3
 
 
