@@ -28,7 +28,7 @@ EDITS = 0.2  # of the item's words, rounded down
 MIN_WORDS = 8  # shorter items are not told from chance and are left out
 CHUNK_BYTES = 4 << 20
 ITEM_BYTES = 16 << 20  # of item text that one pass over the documents carries
-MERGE_EVERY = 6
+MERGE_STEPS = {3 * 2**k - 1 for k in range(30)}
 
 _BLANKED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _SLOTS = 1 << 16
@@ -51,21 +51,21 @@ def window_size(n_words: int) -> int:
     return 1 << (n_words.bit_length() - 1)
 
 
-def _bits(words: np.ndarray, walk: int, step: int, kept: dict) -> np.ndarray:
-    """The random bit of (walk, step, word); 64 steps share a hash, which ``kept`` holds."""
-    if kept.get("of") != step // 64:
-        kept |= {"of": step // 64, "hash": mixed(words + np.uint64((walk * 4096 + step // 64) * 2 + 1))}
-    return (kept["hash"] >> np.uint64(step % 64)).astype(np.uint8) & np.uint8(1)
+def _step_hash(words: np.ndarray, walk: int, step: int) -> np.ndarray:
+    """The random bits of 64 steps of a walk, per word."""
+    return mixed(words + np.uint64((walk * 4096 + step // 64) * 2 + 1))
 
 
 def embedding(words: np.ndarray, walk: int, steps: int, size: int) -> np.ndarray:
     """Places that the walk reads from the start of ``words``, ``size`` for all steps behind the window."""
-    kept, place, out = {}, 0, np.full(steps, size)
+    place, out = 0, np.full(steps, size)
     for step in range(steps):
         if place >= min(size, len(words)):
             break
+        if step % 64 == 0:
+            bits = _step_hash(words, walk, step)
         out[step] = place
-        place += int(_bits(words, walk, step, kept)[place])
+        place += int(bits[place] >> np.uint64(step % 64)) & 1
     return out
 
 
@@ -133,38 +133,36 @@ class Index:
         found_at, found_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if not n or not self.ids:
             return found_at[0], found_item[0]
-        numbers = np.r_[numbers, np.uint64(0)]  # where walks end behind the last word
+        numbers = np.r_[numbers, np.uint64(0)].astype(np.int32)  # the last is where walks end, behind all words
+        every_number = np.arange(len(self.vocabulary) + 2).astype(np.uint64)
+        first_key = _next_key(np.zeros(len(every_number), np.uint64), every_number)
         for walk, tables in enumerate(self.walks):
-            kept: dict = {}
             place, group = np.arange(n, dtype=np.int32), None  # of each walk; the walk of each window
             alive: list = [None] * len(tables)  # windows left, and their keys
             done = [0] * len(tables)
             for step in range(1 + max(int(t.steps[-1]) for t in tables)):
+                if step % 64 == 0:
+                    bits = np.r_[_step_hash(words, walk, step), np.uint64(0)]
                 for k, table in enumerate(tables):
                     if done[k] == SAMPLES or table.steps[done[k]] != step:
                         continue
-                    if alive[k] is None:
-                        # Walks pass or fail together while none is behind its window, which takes at least ``size`` steps.
-                        key = _next_key(np.zeros(len(place), np.uint64), numbers[place])
-                        if step < table.size:
-                            good = table.slots[0][key % np.uint64(_SLOTS)] & (numbers[place] > 0)
-                            windows = np.flatnonzero(good if group is None else good[group])
-                            key = key[windows if group is None else group[windows]]
-                        else:
-                            windows = np.arange(n)
-                            key = np.zeros(n, np.uint64)
+                    slots = table.slots[done[k]]
+                    if alive[k] is None and step < table.size:
+                        # No walk has left its window yet, so windows of one walk pass or fail together.
+                        good = (slots[first_key % np.uint64(_SLOTS)] & (every_number > 0))[numbers[place]]
+                        windows = np.flatnonzero(good if group is None else good[group])
+                        key = first_key[numbers[place[windows if group is None else group[windows]]]]
                     else:
-                        windows, key = alive[k]
-                    if alive[k] is not None or step >= table.size:
+                        windows, key = (np.arange(n), np.zeros(n, np.uint64)) if alive[k] is None else alive[k]
                         at = place[windows if group is None else group[windows]]
-                        symbol = np.where(at - windows >= table.size, np.uint64(1), numbers[at])
+                        symbol = np.where(at - windows >= table.size, 1, numbers[at]).astype(np.uint64)
                         key = _next_key(key, symbol)
-                        good = table.slots[done[k]][key % np.uint64(_SLOTS)] & (symbol > 0)
+                        good = slots[key % np.uint64(_SLOTS)] & (symbol > 0)
                         windows, key = windows[good], key[good]
                     alive[k] = (windows, key)
                     done[k] += 1
-                place = place + np.r_[_bits(words, walk, step, kept), np.uint8(0)][place]
-                if step % MERGE_EVERY == MERGE_EVERY - 1:
+                place = place + ((bits[place] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int32)
+                if step in MERGE_STEPS:
                     first = np.r_[True, place[1:] != place[:-1]]
                     number = np.cumsum(first, dtype=np.int32) - 1
                     group, place = (number if group is None else number[group]), place[first]
