@@ -52,7 +52,7 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.steps += 1
         path = f"{self.root}/{name}-{self.steps}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
