@@ -21,8 +21,8 @@ from quillbar.llm.common import held_out, mixed
 SLOTS = 1 << 16  # hashed n-grams
 PENALTY = 6.0
 SMOOTH = 0.5
-CHUNK_WORDS = 1 << 20
-RUN_CHARS = 4 << 20  # of text that is labelled together
+CHUNK_WORDS = 1 << 16  # distinct words of a language that a task counts before it turns them into n-grams
+RUN_CHARS, RUN_TEXTS = 2 << 20, 512  # of text that is labelled together
 # First code points of script ranges (Unicode blocks), with the script that starts there.
 RANGES = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
           (0x0900, "indic"), (0x0E00, "thai"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"), (0x1E00, "latin"), (0x1F00, "greek"),
@@ -70,7 +70,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total[SLOTS + script_of(w)] += n
 
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for lang, text in ((x["lang"], x["text"]) for at in range(0, batch.num_rows, RUN_TEXTS) for x in batch.slice(at, RUN_TEXTS).to_pylist()):
             words = seen.setdefault(lang, {})
             for w in _WORD.findall((text or "").lower()):
                 words[w] = words.get(w, 0) + 1
@@ -160,7 +160,7 @@ def _runs_of(texts: list[str | None], least: int) -> Iterator[tuple[int, int]]:
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
-    for whole_batch in batches:
+    for whole_batch in (batch.slice(at, RUN_TEXTS) for batch in batches for at in range(0, batch.num_rows, RUN_TEXTS)):
         every = whole_batch.column("text").to_pylist()
         for first, stop in _runs_of(every, RUN_CHARS):
             found = [[(m.group(), *m.span()) for m in _WORD.finditer(t.lower() if len(t.lower()) == len(t) else t)] if t else [] for t in every[first:stop]]
