@@ -3,9 +3,10 @@
 Text becomes words: ASCII letters in lower case, other ASCII characters but digits as blanks. The CGK embedding reads a window of
 words with a pointer: step j writes the word under it and moves on by a random bit of (step, word). Two windows at a small edit
 distance fall into step again after each edit, so their embeddings agree at most steps. Each table samples ``SAMPLES`` steps and
-matches windows whose words there equal an item's. ``WALKS`` independent walks with ``TABLES`` tables each bring the chance of missing
-an item with a tenth of its words edited to some percent, that of missing an unchanged one to zero. A pair of window and item
-that matches in a table is confirmed by exact edit distance.
+matches windows whose words there equal an item's. ``WALKS`` independent walks with ``TABLES`` tables each never miss an unchanged item,
+but more and more of longer items with up to ``EDITS`` of their words edited. So each item is also cut into one piece more than
+the edits it may have: an edit touches one piece at most, so a piece stays whole in every occurrence that counts, and no edits within the limit
+hide an item. A pair of window and item that matches in a table or a piece is confirmed by exact edit distance.
 
 Every word of every document starts a window. Walks that meet stay together, so walks are merged as they go, and a table drops a
 window at the first sampled word that no item has there.
@@ -88,8 +89,23 @@ def _next_key(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mixed(key * np.uint64(0x9E3779B97F4A7C15) + symbol + np.uint64(1))
 
 
+def allowed_edits(n_words: int) -> int:
+    return int(EDITS * n_words)
+
+
+@dataclass
+class Pieces:
+    """The items' pieces of one length by key: the item, and where the piece starts in it."""
+
+    length: int
+    slots: np.ndarray
+    keys: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
+
+
 class Index:
-    """Items and the tables of all walks."""
+    """Items, the tables of all walks, and the pieces."""
 
     def __init__(self, items: list[tuple[int, str]]):
         found = [(i, item_words(t)) for i, t in items]
@@ -117,6 +133,45 @@ class Index:
                     table.keys, table.items = key[order], own[order]
                     tables.append(table)
             self.walks.append(tables)
+        self.pieces = self._pieces()
+
+    def _pieces(self) -> list[Pieces]:
+        cut: dict[int, list[tuple[int, int]]] = {}
+        for k, words in enumerate(self.words):
+            n, parts = len(words), allowed_edits(len(words)) + 1
+            for part in range(parts):
+                start, stop = part * n // parts, (part + 1) * n // parts
+                cut.setdefault(stop - start, []).append((k, start))
+        out = []
+        for length, places in sorted(cut.items()):
+            items, offsets = np.array(places, np.int64).T
+            keys = np.zeros(len(places), np.uint64)
+            for i in range(length):
+                keys = _next_key(keys, self.numbers(np.array([self.words[k][o + i] for k, o in places], np.uint64)))
+            slots = np.zeros(1 << max(16, len(keys).bit_length() + 4), bool)
+            slots[keys % np.uint64(len(slots))] = True
+            order = np.argsort(keys, kind="stable")
+            out.append(Pieces(length, slots, keys[order], items[order], offsets[order]))
+        return out
+
+    def whole_pieces(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(where the item would start, item, where the piece starts) of each piece among the words with these numbers."""
+        windows, done = np.flatnonzero(numbers > 1), 0
+        key = np.zeros(len(windows), np.uint64)
+        for pieces in self.pieces:
+            for i in range(done, pieces.length):
+                inside = windows + i < len(numbers)
+                windows, key = windows[inside], key[inside]
+                symbol = numbers[windows + i]
+                known = symbol > 1
+                windows, key = windows[known], _next_key(key[known], symbol[known].astype(np.uint64))
+            done = pieces.length
+            hit = pieces.slots[key % np.uint64(len(pieces.slots))]
+            at, own = windows[hit], key[hit]
+            low, high = np.searchsorted(pieces.keys, own, "left"), np.searchsorted(pieces.keys, own, "right")
+            times = high - low
+            which = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            yield np.repeat(at, times) - pieces.offsets[which], pieces.items[which], np.repeat(at, times)
 
     def numbers(self, words: np.ndarray, behind: np.ndarray | None = None) -> np.ndarray:
         """Number of each word: 2, 3, ... in the items' vocabulary, 0 for others, 1 behind the window."""
@@ -189,6 +244,28 @@ def best_match(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return int(row[end] >> 32), int(row[end] & (unit - 1)), end
 
 
+def _ranges(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, from, to): stretches of words that hold all that candidates may match, in order per text and item."""
+    if not index.ids or not len(words):
+        return
+    windows, items = index.candidates(words)
+    found = [(windows, items, windows), *index.whole_pieces(index.numbers(words))]
+    starts, items, places = (np.concatenate(c) for c in zip(*found, strict=True))
+    if not len(starts):
+        return
+    owners = np.searchsorted(first, places, "right") - 1
+    n_words = np.array([len(w) for w in index.words])[items]
+    allowed = np.array([allowed_edits(len(w)) for w in index.words])[items]
+    low, high = np.maximum(first[owners], starts - allowed), np.minimum(first[owners + 1], starts + n_words + 2 * allowed)
+    order = np.lexsort((low, items, owners))
+    owners, items, low, high = (c[order] for c in (owners, items, low, high))
+    new = np.r_[True, (owners[1:] != owners[:-1]) | (items[1:] != items[:-1]) | (low[1:] > low[:-1] + n_words[order][1:])]
+    # Neighbouring candidates share a stretch.
+    group = np.flatnonzero(new)
+    for at, stop in zip(group.tolist(), np.r_[group[1:], len(new)].tolist(), strict=True):
+        yield int(owners[at]), int(items[at]), int(low[at]), int(high[at:stop].max())
+
+
 def matches(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, first byte, last byte) of each item found in each text, its closest occurrence."""
     blanked = [t.translate(_BLANKED) for t in texts]
@@ -197,16 +274,12 @@ def matches(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, int, i
     words, starts, ends = words_of(stream)
     first = np.searchsorted(starts, offsets)  # of the words of each text
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    windows, items = index.candidates(words)
-    owners = np.searchsorted(first, windows, "right") - 1
-    for start, k, owner in zip(windows.tolist(), items.tolist(), owners.tolist(), strict=True):
-        item = index.words[k]
-        allowed = int(EDITS * len(item))
-        met = best.get((owner, k))
-        if met and (met[0] == 0 or start < met[2]):
+    for owner, k, low, high in _ranges(index, words, first):
+        item, met = index.words[k], best.get((owner, k))
+        if met and met[0] == 0:
             continue
-        low, high = max(int(first[owner]), start - allowed), min(int(first[owner + 1]), start + len(item) + 2 * allowed)
         near = words[low:high]
+        allowed = allowed_edits(len(item))
         if (~np.isin(item, near)).sum() > allowed:
             continue
         edits, a, b = best_match(item, near)

@@ -67,6 +67,29 @@ def test_matches_every_position(spark):
             assert share or r.edits == 0
 
 
+def test_no_match_is_missed_at_the_limit():
+    for n in (9, 15, 40, 100, 200):
+        items = [(i, prose(n)) for i in range(12)]
+        index = dc.Index([(i, " ".join(w)) for i, w in items])
+        docs = [prose(20) + edited(w, int(dc.EDITS * n)) + prose(20) for _, w in items for _ in range(2)]
+        got = {(d, index.ids[k]): edits for d, k, edits, *_ in dc.matches(index, [" ".join(w).encode() for w in docs])}
+        for d, words in enumerate(docs):
+            least = plain_distance(items[d // 2][1], words)
+            assert least <= int(dc.EDITS * n) and got[d, d // 2] == least
+
+
+def test_a_chunk_without_candidates():
+    index = dc.Index([(1, " ".join(prose(40)))])
+    assert list(dc.matches(index, [b"nothing here", b"", b"at all"])) == [] and list(dc.matches(index, [b"", b" . "])) == []
+
+
+def test_every_fifth_word_edited(spark):
+    """The walks' worst case: no long stretch is left as it was."""
+    item = [f"item{i}" for i in range(200)]
+    words = [f"other{i}" if i % 5 == 2 else w for i, w in enumerate(item)]
+    assert run(spark, [(1, " ".join(item))], [(1, " ".join(prose(40) + words + prose(40))), (2, " ".join(words[:150]))]).keys() == {(1, 1)}
+
+
 def test_walks_of_windows_equal_walks_of_items():
     words = np.array([RNG.getrandbits(64) for _ in range(200)], np.uint64)
     index = dc.Index([(7, "a b c d e f g h i j k l m n o p q r s t")])
