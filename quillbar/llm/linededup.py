@@ -1,7 +1,10 @@
 """Remove lines and sentences that an earlier ranked document already has, by digests of normalised units.
 
 A unit is a line, or a sentence inside a line of several: a passage that was pasted into the middle of a line still repeats whole
-sentences. Units are compared in lower case with one space between words. Of equal units the first one in the document with the
+sentences. A sentence too short for that counts together with its neighbours: the shortest runs of adjacent sentences from it onwards and
+up to it that have enough words. So sentences that repeat in the same order are units whatever their length. Passages that start and end
+inside longer sentences hold none of these, so lines are cut a second time by content, at each word whose hash, with that of the word
+before, is the least of its neighbourhood: inside a copy the cuts fall between the same words, and runs of these stretches are units too. Units are compared in lower case with one space between words. Of equal units the first one in the document with the
 smallest id stays; all others are removed. Spans are code point offsets into the original text, end exclusive.
 """
 
@@ -9,39 +12,84 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbar.llm.common import Scratch
+from quillbar.llm.common import Scratch, mixed
 
 # Shorter units repeat by chance.
 LINE_WORDS = 5
 SENTENCE_WORDS = 8
+NEIGHBOURS = 6  # words on each side among which a cut has the least hash
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"[^.!?]+[.!?]*")
+_SENTENCE = re.compile(r"[^.!?。！？｡]+[.!?。！？｡]*")
+_WORD = re.compile(r"\S+")
+# Scripts without blanks: so many characters count as a word.
+_UNSPACED = [(2, re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")),
+             (4, re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"))]
 UNIT = "uid bigint, doc_id bigint, tag bigint, n_chars int, start int, stop int, again boolean, d1 bigint, d2 bigint"
 
 
+def n_words(text: str) -> int:
+    """Words between blanks, or by the characters of scripts without blanks where that is more."""
+    blanked = len(text.split())
+    return blanked if text.isascii() else max(blanked, sum(len(p.findall(text)) // n for n, p in _UNSPACED))
+
+
+def _runs(sizes: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of each sentence with enough words, and of the shortest runs with enough that start or end at each other one."""
+    for k, size in enumerate(sizes):
+        if size >= least:
+            yield k, k
+        elif size:
+            for way in (1, -1):
+                at, total = k, size
+                while total < least and 0 <= at + way < len(sizes):
+                    at += way
+                    total += sizes[at]
+                if total >= least:
+                    yield min(k, at), max(k, at)
+
+
+def _cuts(text: str, line: tuple[int, int], least: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Spans of the words of a line, and the numbers of those where it is cut by content; none in lines of under two units."""
+    found = list(_WORD.finditer(text, *line))
+    words = [m[0] for m in found]
+    if len(words) < 2 * least:
+        return [], []
+    codes = [zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) for w in words]
+    pairs = np.array(codes[1:], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.array(codes[:-1], np.uint64)
+    pairs = mixed(pairs)
+    least_near = np.lib.stride_tricks.sliding_window_view(pairs, 2 * NEIGHBOURS + 1).min(1) if len(pairs) > 2 * NEIGHBOURS else pairs[:0]
+    cuts = np.flatnonzero(pairs[NEIGHBOURS:len(pairs) - NEIGHBOURS] == least_near) + NEIGHBOURS + 1 if len(least_near) else []
+    return ([m.span() for m in found], list(map(int, cuts))) if len(cuts) > 1 else ([], [])
+
+
 def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(start, stop, digest) of the lines and sentences with enough words, without the blanks around them."""
+    """(start, stop, digest) of the lines, and of runs of sentences and of stretches between cuts, with enough words, without the blanks around
+    them, each span once."""
 
-    def unit(start: int, stop: int, least: int):
+    def unit(start: int, stop: int):
         body = text[start:stop]
-        words = body.lower().split()
-        if len(words) >= least:
-            start += len(body) - len(body.lstrip())
-            digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            yield start, start + len(body.strip()), digest
+        start += len(body) - len(body.lstrip())
+        digest = hashlib.blake2b(" ".join(body.lower().split()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        return start, start + len(body.strip()), digest
 
     for line in _LINE.finditer(text):
-        yield from unit(*line.span(), line_words)
-        parts = [s.span() for s in _SENTENCE.finditer(text, *line.span())]
-        for start, stop in parts if len(parts) > 1 else ():
-            yield from unit(start, stop, sentence_words)
+        whole = [line.span()] if n_words(line[0]) >= line_words else []
+        sentences = [m.span() for m in _SENTENCE.finditer(text, *line.span())]
+        sizes = [n_words(text[a:b]) for a, b in sentences] if len(sentences) > 1 else []
+        spans = whole + [(sentences[a][0], sentences[b][1]) for a, b in _runs(sizes, sentence_words)]
+        places, cuts = _cuts(text, line.span(), sentence_words)
+        spans += [(places[cuts[a]][0], places[cuts[b + 1] - 1][1]) for a, b in _runs([y - x for x, y in zip(cuts, cuts[1:])], sentence_words)]
+        # In order of their starts, so that of equal units the first place is the one that stays.
+        yield from sorted({unit(*s) for s in set(spans)})
 
 
 def _units(batches: Iterator[pa.RecordBatch], line_words: int, sentence_words: int) -> Iterator[pa.RecordBatch]:

@@ -50,5 +50,36 @@ def test_spans_make_up_the_text_and_removal(spark):
         assert all(a[1] == b[0] for a, b in zip(every, every[1:])) and (not every or every[0][0] == 0)
 
 
+def removed(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.stop] for s in r.removed] for r in linededup.duplicates(df).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_short_sentences_count_with_their_neighbours(spark):
+    passage = "It rained all day. Nobody came. We waited for hours! Then night fell? The long road home was dark and very quiet. So be it."
+    first, second = f"One begins so. {passage} One ends", f"Another start of a line. {passage} Another end of it"
+    assert removed(spark, first, second, "Nobody came. Others did. It rained all day.") == [[], [passage], []]
+    # A line that ends in a blank, or is one run, is no repeat of its own sentence.
+    assert removed(spark, "one two three four five six seven eight. ", "One two three four. Five six seven eight.") == [[], []]
+    assert removed(spark, "so it goes on. so it goes on. so it goes on.") == [["so it goes on. so it goes on."]]
+
+
+def test_passages_inside_longer_sentences(spark):
+    """No whole sentence repeats; all but the edges go, and nothing goes from the first document."""
+    passage = " ".join(f"word{i * 7919 % 1000}" for i in range(80))
+    around = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcd"]
+    first, second, third = removed(spark, f"{around[0]} {passage} {around[1]}.", f"Short one. {around[2]} {passage} {around[3]}", f"{passage[:40]} other words")
+    gone = " ".join(second)
+    assert first == third == [] and gone in passage and len(gone.split()) >= 40
+
+
+def test_scripts_without_blanks(spark):
+    chinese, thai = "今天天气很好我们一起去公园散步吧", "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะกันเถอะ"
+    got = removed(spark, f"{chinese}\n{thai}", f"甲乙。{chinese}。丙丁", f"{thai}\n你好", "你好")
+    assert got[0] == got[3] == [] and got[2] == [thai]
+    assert removed(spark, f"开始。{chinese}。结束", f"甲乙。{chinese}。丙丁") == [[], [f"{chinese}。"]]
+
+
 def test_empty(spark):
     assert linededup.duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
