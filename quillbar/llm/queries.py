@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, decontaminate, language, linededup, mixing, neardup, pii, quality, scoring, secrets
+from quillbar.llm import chat, decontaminate, language, linededup, mixing, neardup, periodic, pii, quality, scoring, secrets
 from quillbar.llm.common import table
 from quillbar.llm.sql import CHAT_SQL, MIXING_SQL
 
@@ -108,3 +108,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(documents(spark, sf_dir), text=periodic.with_planted_runs())
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("most"), r["start"].alias("start"), r["period"].alias("period"))))
+    found = found.withColumn("longest", longest).withColumn("length", -F.col("longest.most"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "longest.start", "length", "longest.period",
+                        F.expr("1000 * length div longest.period").alias("exponent_milli"),
+                        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
