@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, decontaminate, language, linededup, mixing, neardup, periodic, pii, quality, scoring, secrets
+from quillbar.llm import chat, decontaminate, language, linededup, mixing, mtree, neardup, periodic, pii, quality, scoring, secrets
 from quillbar.llm.common import table
-from quillbar.llm.sql import CHAT_SQL, MIXING_SQL
+from quillbar.llm.sql import CHAT_SQL, MIXING_SQL, TOP_K_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "longest.start", "length", "longest.period",
                         F.expr("1000 * length div longest.period").alias("exponent_milli"),
                         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op12_mtree_top_k", TOP_K_SQL)
+def op12_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)

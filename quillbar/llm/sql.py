@@ -29,3 +29,14 @@ r AS (SELECT *, CASE WHEN sure >= 2 THEN NULL WHEN p > 0 THEN u / (1 - u) * (1 -
 s AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, q IS NULL ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM r)
 SELECT doc_id, size, source_size, target,
   CAST(size * (sure + CASE WHEN q IS NULL OR size = 0 THEN 0 WHEN done + size / 2.0::DOUBLE < rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM s"""
+
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, row_number() OVER () AS place, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.place, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.place <> c.place WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
