@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbar.llm import chat, decontaminate, language, linededup, mixing, mtree, neardup, periodic, pii, quality, scoring, secrets
+from quillbar.llm import chat, collocations, decontaminate, language, linededup, mixing, mtree, neardup, periodic, pii, quality, scoring, secrets
 from quillbar.llm.common import table
-from quillbar.llm.sql import CHAT_SQL, MIXING_SQL, TOP_K_SQL
+from quillbar.llm.sql import CHAT_SQL, MIXING_SQL, PHRASE_SQL, TOP_K_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_mtree_top_k", TOP_K_SQL)
 def op12_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op13_phrase_collocations", PHRASE_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))

@@ -40,3 +40,27 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, array_to_string(unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i : i + m - 1])), ' ') AS phrase
+          FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, phrase, count(*) AS a FROM grams GROUP BY lang, phrase HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE contains(phrase, ' ')),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, len(w))) AS k FROM c),
+scored AS (
+    SELECT t.lang, t.phrase, t.a, t.k, x.a AS l, y.a AS r, CAST(2000000::HUGEINT * t.a // (x.a::HUGEINT + y.a) AS BIGINT) AS score
+    FROM cuts t JOIN f x ON x.lang = t.lang AND x.phrase = array_to_string(t.w[1 : t.k], ' ')
+    JOIN f y ON y.lang = t.lang AND y.phrase = array_to_string(t.w[t.k + 1 : len(t.w)], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+spans AS (SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM (SELECT *, unnest(range(2, len(w))) AS m FROM c)),
+longer AS (SELECT lang, array_to_string(w[s : s + m - 1], ' ') AS phrase, max(a) AS longer FROM spans GROUP BY 1, 2),
+ranked AS (
+    SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, b.l, b.r, b.score
+    FROM best b LEFT JOIN longer USING (lang, phrase) WHERE longer.longer IS NULL OR 100::HUGEINT * longer.longer < 80::HUGEINT * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
