@@ -1,7 +1,7 @@
 """Phrases that occur together more often than their parts: frequent n-grams by mergeable Misra-Gries summaries, then exact counts.
 
-1. Every n-gram of one to ``longest`` words, with its language, has a 64-bit hash. The hashes fall into partitions by their top bits; inside
-   a partition the next 32 bits are the key. Map tasks sum equal keys of some megabytes of text and ship packed arrays.
+1. Every n-gram of one to ``longest`` words, with its language, has a 64-bit hash. The hashes fall into partitions by their upper half; inside
+   a partition the lower half is the key. Map tasks sum equal keys of some megabytes of text and ship packed arrays.
 2. One task per partition merges the arrays into a Misra-Gries summary: beyond its capacity, the count of the first key that finds no
    room is taken off all. What was taken off in total is the error, at most mass / capacity; capacities exceed mass / threshold, and a
    summary whose error would still reach the threshold grows instead. So every n-gram with ``least`` occurrences survives. n-grams
@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from quillbar.llm.common import Scratch, mixed, word_hashes
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CAPACITY = 1 << 20  # counters of a summary; partitions are made for half of the mass that this serves
 LEAST_PARTITIONS = 64
 MOST_BITS = 1 << 28  # 32 MB
@@ -95,19 +95,9 @@ class Grams:
         return pc.cast(pa.array(phrases, pa.binary()), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
 
 
-class Parts:
-    """Cuts the space of hashes into ``n`` partitions and 32-bit keys in each."""
-
-    def __init__(self, n: int):
-        self.n = n
-        self.edges = np.array([-(-(p << 64) // n) for p in range(n)], np.uint64)
-        self.shift = np.uint64(max(0, (-(-(1 << 64) // n)).bit_length() - 32))
-
-    def of(self, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Partition and key of each hash; the hashes are in order."""
-        counts = np.diff(np.r_[np.searchsorted(ordered, self.edges), len(ordered)])
-        part = np.repeat(np.arange(self.n, dtype=np.uint64), counts)
-        return part, ((ordered - self.edges[part.astype(np.int64)]) >> self.shift).astype(np.uint32)
+def parts_of(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The partition of each hash, which grows with the hash, and its key there."""
+    return (hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32), hashes.astype(np.uint32)
 
 
 def places(part: np.ndarray | int, keys: np.ndarray, bits: int) -> np.ndarray:
@@ -119,13 +109,13 @@ def _texts_of(batch: pa.RecordBatch) -> tuple[list[bytes | None], list[str]]:
     return batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()
 
 
-def _summed(batches: Iterator[pa.RecordBatch], parts: Parts, longest: int) -> Iterator[pa.RecordBatch]:
+def _summed(batches: Iterator[pa.RecordBatch], parts: int, longest: int) -> Iterator[pa.RecordBatch]:
     """Per partition and stretch: the keys met once, the others, and their counts, as packed arrays."""
     for batch in batches:
         for stretch in _stretches(*_texts_of(batch)):
             hashes, counts = np.unique(Grams(*stretch, longest).hashes, return_counts=True)
-            part, keys = parts.of(hashes)
-            edges = np.searchsorted(part, np.arange(parts.n + 1, dtype=np.uint64))
+            part, keys = parts_of(hashes, parts)
+            edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
             once, rows = counts == 1, []
             for p in np.flatnonzero(np.diff(edges)).tolist():
                 own = slice(edges[p], edges[p + 1])
@@ -219,20 +209,21 @@ def bit_map(survivors: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], parts: Parts, longest: int, known: Broadcast, bits: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], parts: int, longest: int, known: Broadcast, bits: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
     """Occurrences per stretch of the n-grams that the map lets through, from the partitions ``low`` to ``high``; a null phrase counts the words."""
     flags = np.frombuffer(known.value, np.uint8)
     for batch in batches:
         for stretch in _stretches(*_texts_of(batch)):
             grams = Grams(*stretch, longest)
-            hashes, first, counts = np.unique(grams.hashes, return_index=True, return_counts=True)
-            part, keys = parts.of(hashes)
+            part, keys = parts_of(grams.hashes, parts)
             at = places(part, keys, bits)
             met = (flags[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1
             passed = np.flatnonzero((met == 1) & (part >= low) & (part < high))
-            which = first[passed]
+            del part, keys, at, met
+            _, first, counts = np.unique(grams.hashes[passed], return_index=True, return_counts=True)
+            which = passed[first]
             langs = pa.array(grams.langs, pa.string())
-            columns = [langs.take(pa.array(grams.lang[grams.firsts[which]])), grams.texts(which), pa.array(counts[passed])]
+            columns = [langs.take(pa.array(grams.lang[grams.firsts[which]])), grams.texts(which), pa.array(counts)]
             if low == 0:
                 n = np.bincount(grams.lang, minlength=len(grams.langs))
                 columns = [pa.concat_arrays(x) for x in zip(columns, [langs, pa.nulls(len(n), pa.string()), pa.array(n)], strict=True)]
@@ -244,7 +235,7 @@ def frequent(docs: DataFrame, scratch: Scratch, text: str = "text", lang: str =
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     # A word and its blank are two bytes at least, so this many n-grams at most.
     mass = longest * ((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2 + 1)
-    parts = Parts(max(LEAST_PARTITIONS, -(-2 * mass // (capacity * least))))
+    parts = max(LEAST_PARTITIONS, -(-2 * mass // (capacity * least)))
 
     def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _surviving(batches, capacity, least)
@@ -256,7 +247,7 @@ def frequent(docs: DataFrame, scratch: Scratch, text: str = "text", lang: str =
     bits = min(MOST_BITS, 1 << max(16, (64 * -(-n // passes)).bit_length()))
     counted = None
     for i in range(passes):
-        low, high = i * parts.n // passes, (i + 1) * parts.n // passes
+        low, high = i * parts // passes, (i + 1) * parts // passes
         known = docs.sparkSession.sparkContext.broadcast(bit_map(survivors.filter((F.col("part") >= low) & (F.col("part") < high)), bits))
         some = rows.mapInArrow(lambda b, known=known, low=low, high=high: _counted(b, parts, longest, known, bits, low, high), "lang string, phrase string, a bigint")
         some = some.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).filter(F.col("phrase").isNull() | (F.col("a") >= least))
