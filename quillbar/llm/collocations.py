@@ -26,8 +26,8 @@ from pyspark.sql.window import Window
 
 from quillbar.llm.common import Scratch, mixed, word_hashes
 
-CHUNK_BYTES = 4 << 20
-CAPACITY = 1 << 20  # counters of a summary; partitions are made for half of the mass that this serves
+CHUNK_BYTES = 2 << 20
+CAPACITY = 1 << 19  # counters of a summary; partitions are made for half of the mass that this serves
 LEAST_PARTITIONS = 64
 MOST_BITS = 1 << 28  # 32 MB
 PAGES = 64  # of the bit map, put together in as many tasks
