@@ -102,7 +102,9 @@ def ordered(docs: DataFrame, rules: list[Rule], sample_rows: int = 500, seed: in
     if not total:
         return list(rules)
     scratch = Scratch(docs.sparkSession, "quality")
-    sample = scratch.save(docs.sample(min(1.0, sample_rows / total), seed).coalesce(1), "sample")
+    # Drawn by as many tasks as read the table; only the rows drawn come together in one.
+    drawn = scratch.save(docs.sample(min(1.0, sample_rows / total), seed), "sample")
+    sample = drawn.coalesce(1)
     empty, rates = sample.count(), []
     for rule in rules:
         for _ in range(2):
@@ -110,7 +112,7 @@ def ordered(docs: DataFrame, rules: list[Rule], sample_rows: int = 500, seed: in
             failed = sample.filter(rule.fails).count()
             cost = time.perf_counter() - start
         rates.append((failed + 0.5) / (empty + 1) / max(cost, 1e-6))
-    scratch.drop(sample)
+    scratch.drop(drawn)
     return [rule for _, rule in sorted(zip(rates, rules, strict=True), key=lambda x: (-x[0], x[1].name))]
 
 
@@ -125,7 +127,8 @@ def cascade(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = 500) -> DataFrame:
     """``docs`` with ``rejected_by`` (a failing rule's name, null for a document to keep).
 
-    Empty and null texts fail ``no_words``; ties and repeated rows are judged alike; an existing ``rejected_by`` is replaced.
+    Empty and null texts fail ``no_words``; ties and repeated rows are judged alike; a text of any length is judged whole; an existing
+    ``rejected_by`` is replaced. Empty input: empty result.
     """
     rules = ordered(docs, standard_rules(text) if rules is None else rules, sample_rows)
     return docs.drop("rejected_by").select("*", cascade(rules).alias("rejected_by"))

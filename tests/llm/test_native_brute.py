@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 
 from quillbar.llm import queries
 
@@ -71,3 +72,33 @@ def test_quality_counts(spark, folder):
     assert Counter(tuple(r)[:7] for r in rows) == Counter(quality_row(*x) for x in texts(spark, folder))
     assert not any(r.kept for r in rows if r.base_failed)
     assert sum(r.kept for r in rows) > 0.8 * sum(not r.base_failed for r in rows)
+
+
+def rejected(text):
+    """The standard rules in plain Python: whether any of them fails."""
+    n_letters, n_upper = len(regex.findall(r"\p{L}", text)), len(regex.findall(r"\p{Lu}", text))
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    chars = sum(map(len, words))
+    lines = text.split("\n")
+    worded = [x for x in lines if re.search(r"[^\x20\x09-\x0D]", x)]
+    dotted = sum(bool(re.search("(?:\\.\\.\\.|\u2026)[ \t\n\x0b\f\r]*$", x)) for x in lines)
+    return (not words or n_letters < 0.5 * chars or len(re.findall(r"[#*$%&|<>]", text)) > 0.2 * len(words) or chars > 40 * len(words)
+            or len(worded) >= 4 and len(worded) - len(set(worded)) > 0.5 * len(worded)
+            or len(text) >= 100 and n_upper > 0.7 * n_letters or text.count("!") > 0.5 * len(words)
+            or len(lines) >= 4 and dotted > 0.5 * len(lines))
+
+
+def test_quality_verdicts(spark, folder):
+    got = Counter((r.doc_id, r.kept) for r in queries.QUERIES["op9_quality_rules"](spark, folder).collect())
+    assert got == Counter((d, not quality_row(d, t)[-1] and not rejected(t)) for d, t in texts(spark, folder))
+
+
+def test_sampling_reads_the_table_in_many_tasks(spark, folder):
+    """No task of one reads the table: the sample is drawn where the rows are."""
+    from quillbar.llm import quality
+
+    docs = spark.range(0, 4000, 1, 8).selectExpr("id", "repeat('word ', 20) AS text")
+    tasks = spark.sparkContext.accumulator(0)
+    counted = docs.rdd.mapPartitions(lambda rows: (tasks.add(1), rows)[1]).toDF(docs.schema)
+    quality.ordered(counted, quality.standard_rules()[:2], sample_rows=100)
+    assert tasks.value == 16  # eight to count, eight to draw
