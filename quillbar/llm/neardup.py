@@ -4,10 +4,11 @@
    and a packed signature: the hashes fall into ``BINS`` bins by their top bits, and of the minimum of each bin one low bit is kept, beside
    one bit that tells whether the bin has any.
 2. Documents with equal sets are one class from there on, so exact copies cost one row, however many.
-3. Classes that share a band key are candidates. Each bucket first links its members to its smallest and its largest one; groups of
-   near copies fall into few components that way. What then shares a bucket across components is compared by the packed signatures,
-   inside the join, and only pairs whose collision-corrected estimate comes near the limit leave it. So no bucket emits all its
-   pairs, and no pair that shares a bucket goes untested unless its documents are already connected.
+3. Classes that share a band key are candidates. Each bucket first links its members to its smallest and its largest one, large buckets
+   also to drawn ones as long as that links any; groups of near copies fall into few components that way. What then shares a bucket
+   across components is compared inside the join: by the packed signatures, whose collision-corrected estimate must come near the
+   limit, then by the full sets. So only links leave the join, and no pair that shares a bucket goes untested unless its documents
+   are already connected.
 4. Every pair is confirmed on the full sets before it links.
 """
 
@@ -31,6 +32,7 @@ MINIMA = BANDS * ROWS
 # filled, one minimum more or less counts more.
 LEAST_ESTIMATE, SMALL, LEAST_OF_SMALL = 0.685, 100, 0.5
 CHUNK_BYTES = 4 << 20
+LARGE_BUCKET = 64
 
 _RNG = np.random.default_rng(75)
 _FACTORS = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,26 +96,29 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def likely(a: Column, b: Column) -> Column:
-    """Whether the similarity estimated from two signatures comes near the limit."""
-    estimated, filled = estimate(a, b)
-    return F.when(filled < SMALL, estimated >= LEAST_OF_SMALL).otherwise(estimated >= LEAST_ESTIMATE)
-
-
-def estimate(a: Column, b: Column) -> tuple[Column, Column]:
-    """(similarity, filled bins) by counts of bits. Of the bins that both fill, those with other minima agree in the low bit half
-    of the time, so equal minima are twice the agreeing bins less the common ones."""
-    words = BINS // 64
-    total = lambda parts: sum(parts[1:], parts[0])
-    filled, common, agreeing = [], [], []
+def _bit_counts(a: Column, b: Column) -> tuple[Column, Column]:
+    """(bins with equal minima by estimate, filled bins) of two signatures. Of the bins that both fill, those with other minima agree in
+    the low bit half of the time, so equal minima are twice the agreeing bins less the common ones."""
+    words, equal, filled = BINS // 64, [], []
     for w in range(words):
         in_a, in_b = F.get(a, F.lit(w)), F.get(b, F.lit(w))
         both = in_a.bitwiseAND(in_b)
         differ = F.get(a, F.lit(words + w)).bitwiseXOR(F.get(b, F.lit(words + w)))
+        equal.append(2 * F.bit_count(both.bitwiseAND(F.bitwise_not(differ))) - F.bit_count(both))
         filled.append(F.bit_count(in_a.bitwiseOR(in_b)))
-        common.append(F.bit_count(both))
-        agreeing.append(F.bit_count(both.bitwiseAND(F.bitwise_not(differ))))
-    return F.try_divide(2 * total(agreeing) - total(common), total(filled)), total(filled)
+    return sum(equal[1:], equal[0]), sum(filled[1:], filled[0])
+
+
+def likely(a: Column, b: Column) -> Column:
+    """Whether the similarity estimated from two signatures comes near the limit."""
+    equal, filled = _bit_counts(a, b)
+    return equal >= F.when(filled < SMALL, LEAST_OF_SMALL).otherwise(LEAST_ESTIMATE) * filled
+
+
+def estimate(a: Column, b: Column) -> tuple[Column, Column]:
+    """(similarity, filled bins) by counts of bits."""
+    equal, filled = _bit_counts(a, b)
+    return F.try_divide(equal, filled), filled
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,17 +146,19 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*numbers, *hashes, *lists], ["uid", "doc_id", "tag", "n", "h1", "h2", "bits", "bands"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, right = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b"))
-        kept, last, of_last = [], None, None
-        for x, y in zip(left, right, strict=True):
-            if x != last:
-                last, of_last = x, shingle_set(next(_word_hashes_of([x])))
-            other = shingle_set(next(_word_hashes_of([y])))
-            both = len(np.intersect1d(of_last, other, assume_unique=True))
-            kept.append(100 * both >= percent * (len(of_last) + len(other) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+        for at in range(0, len(batch), 256):
+            part = batch.slice(at, 256)
+            sets = [shingle_set(words).view(np.int64) for words in _word_hashes_of(part.column("text").cast(pa.binary()).to_pylist())]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "shingles"])
+
+
+def linked(a: Column, b: Column, percent: int) -> Column:
+    """Whether 100 * |A and B| >= ``percent`` * |A or B|, for two sets as arrays."""
+    return (100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (F.size(a) + F.size(b))
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -185,27 +192,44 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     near = likely(F.col("bits_a"), F.col("bits_b"))
     wanted = members.select("node").distinct().join(known.select("node", "doc_id", "tag"), "node")
     found = keyed.join(wanted.withColumnRenamed("doc_id", "_id"), (F.col("_id").eqNullSafe(F.col("doc_id"))) & (keyed.tag == wanted.tag)).select("node", "text")
-    texts = scratch.save(found.dropDuplicates(["node"]), "texts")
+    sets = scratch.save(found.dropDuplicates(["node"]).mapInArrow(_sets, "node bigint, shingles array<bigint>"), "sets")
+    exact = linked(F.col("set_a"), F.col("set_b"), percent)
 
-    def confirmed(candidates: DataFrame) -> DataFrame:
-        """Candidates ``a, b`` whose full sets are similar enough."""
-        of = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
-        return candidates.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(
-            lambda batches: _confirm(batches, percent), "a bigint, b bigint")
+    def tested(candidates: DataFrame) -> DataFrame:
+        """Candidates ``a, b`` that are links: by the estimate, then by their full sets."""
+        right = side("b", "bits").withColumnRenamed("b", "_b")
+        likely_ones = candidates.join(side("a", "bits"), "a").join(right, (F.col("b") == F.col("_b")) & near).select("a", "b")
+        of = lambda name, key: sets.select(F.col("node").alias(key), F.col("shingles").alias(f"set_{name}"))
+        return likely_ones.join(of("a", "a"), "a").join(of("b", "_b"), (F.col("b") == F.col("_b")) & exact).select("a", "b")
 
-    right = side("b", "bits").withColumnRenamed("b", "_b")
-    tested = pairs.join(side("a", "bits"), "a").join(right, (F.col("b") == F.col("_b")) & near).select("a", "b")
-    links = scratch.save(confirmed(tested), "links")
+    links = scratch.save(tested(pairs), "links")
     labels = components(links, scratch)
 
-    # Buckets that still hold several components: every pair across them that was not tested yet.
-    labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    several = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band")
-    open_rows = labelled.join(several, "band").join(known.select("node", "bits"), "node")
-    half = lambda name: open_rows.select("band", F.col("node").alias(name), F.col("label").alias(f"label_{name}"), F.col("bits").alias(f"bits_{name}"))
-    across = half("a").join(half("b"), (half("a").band == half("b").band) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near)
-    rest = scratch.save(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
-    more = scratch.save(confirmed(rest), "more")
+    def still_open() -> DataFrame:
+        """Members of the buckets that hold several components."""
+        labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+        several = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y")
+        return scratch.save(labelled.join(several.select("band", "n"), "band"), "open")
+
+    # Large buckets first: all their members against one of them that is drawn anew each time, as long as that links any.
+    open_rows, turn = still_open(), 0
+    while True:
+        drawn = F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn)))
+        large = open_rows.filter(F.col("n") > LARGE_BUCKET)
+        pivots = large.groupBy("band").agg(drawn.alias("pivot"))
+        star = large.join(pivots, "band").filter("label <> pivot.label").select("node", F.col("pivot.node").alias("other"))
+        new = scratch.save(tested(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()), "links")
+        if not new.limit(1).count():
+            break
+        links, turn = links.unionByName(new), turn + 1
+        labels = components(links, scratch)
+        open_rows = still_open()
+
+    # Every pair across the components of a bucket. The full sets are compared inside the join, so that only links leave it.
+    rows = open_rows.join(known.select("node", "bits"), "node").join(sets.select("node", F.col("shingles").alias("set")), "node")
+    half = lambda name: rows.select("band", F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("label", "bits", "set")])
+    across = half("a").join(half("b"), (half("a").band == half("b").band) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & exact)
+    more = scratch.save(across.select("a", "b").distinct(), "more")
     if more.limit(1).count():
         labels = components(links.unionByName(more), scratch)
 

@@ -98,3 +98,24 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in neardup.keep_one(df).collect()) == [1, 2, 4, 5, 6]
     assert neardup.keep_one(df).columns == df.columns
     assert neardup.keep_one(df.limit(0)).count() == 0
+
+
+def test_large_bucket_of_chains_and_cliques(spark):
+    """Copies that share most of a text: some near each other but far from the bucket's ends, some just below the limit."""
+    rng = random.Random(8)
+    base = rng.choices(WORDS, k=160)
+    rows = []
+    for centre in range(4):
+        own = list(base)
+        for at in range(centre, 160, 23):
+            own[at] = f"c{centre}x{at}"
+        for _ in range(45):
+            text = list(own)
+            for at in rng.sample(range(160), rng.choice([0, 1, 2, 3])):
+                text[at] = rng.choice(WORDS)
+            rows.append(" ".join(text))
+    rng.shuffle(rows)
+    rows = [*enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.groups(df).collect())
+    assert got == sorted(expected(rows))
