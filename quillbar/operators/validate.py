@@ -81,6 +81,43 @@ def validate(df: DataFrame, spec: TableSpec, record: str = "record", email_field
     )
 
 
+RULES = "array<struct<name:string,type:string,required:boolean>>"
+
+
+def rule_list(spec: TableSpec) -> Column:
+    """The fields of a table as data."""
+    rules = [F.struct(F.lit(r.name).alias("name"), F.lit(r.type).alias("type"), F.lit(r.required).alias("required")) for r in spec.fields]
+    return F.array(*rules).cast(RULES)
+
+
+def broken_rule(text: Column, kind: Column, required: Column) -> Column:
+    """The message of the first rule that ``text`` breaks, with the rule as data; null when it is fine."""
+    wrong = [F.when((kind == k) & typed(text, FieldRule("", k, False)).isNull(), F.lit(m)) for k, m in WRONG_TYPE.items()]
+    long = F.when((kind == "STRING") & (F.length(text) > MAX_TEXT), F.lit(TOO_LONG))
+    return F.when(text.isNull(), F.when(required, F.lit(REQUIRED))).otherwise(F.coalesce(*wrong, long))
+
+
+def check_record(record: Column, rules: Column) -> Column:
+    """``{errors, texts}`` of JSON text under a list of rules, whichever table they come from: ``texts`` are the declared fields in order.
+
+    The record is parsed into a map of texts, so one expression serves any number of tables. Of a name that a record has twice the
+    last value counts.
+    """
+    def last(entries: Column, name: Column) -> Column:
+        return F.element_at(F.filter(entries, lambda e: e["key"] == name), -1)["value"]
+
+    def checked(entries: Column) -> Column:
+        texts = F.transform(rules, lambda r: F.when(F.exists(entries, lambda e: e["key"] == r["name"]), last(entries, r["name"])))
+        told = F.transform(rules, lambda r: F.struct(r["name"].alias("field"), broken_rule(
+            F.when(F.exists(entries, lambda e: e["key"] == r["name"]), last(entries, r["name"])), r["type"], r["required"]).alias("message")))
+        whole = F.array(F.struct(F.lit("records").alias("field"), F.lit(NOT_AN_OBJECT).alias("message"))).cast(NO_ERRORS)
+        errors = F.when(entries.isNull(), whole).otherwise(F.filter(told, lambda e: e["message"].isNotNull()).cast(NO_ERRORS))
+        return F.struct(errors.alias("errors"), texts.alias("texts"))
+
+    entries = F.map_entries(F.from_json(record, "map<string,string>"))
+    return F.get(F.transform(F.array(entries), checked), F.lit(0))
+
+
 def is_good() -> Column:
     return F.size("errors") == 0
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -75,6 +76,89 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType, fmt: str
     return True
 
 
+class SchemaDrift(ValueError):
+    """A declaration that an existing table cannot take without losing values."""
+
+
+# What a declared type can replace without loss; any type can become text.
+_WIDER = {
+    "bigint": ("tinyint", "smallint", "int"),
+    "int": ("tinyint", "smallint"),
+    "double": ("tinyint", "smallint", "int", "float"),
+    "float": ("tinyint", "smallint"),
+    "timestamp": ("date",),
+}
+
+
+def drift(spark: SparkSession, table: str, schema: T.StructType) -> tuple[list[T.StructField], dict[str, T.DataType]]:
+    """What ``table`` lacks against ``schema``: (columns to add, columns to widen with their new types); none for a missing table.
+
+    Names are compared without case. A column that the table alone has stays. A type that would narrow a column raises ``SchemaDrift``,
+    and so does a new column that must not be null, as long as the table has rows without it.
+    """
+    if not spark.catalog.tableExists(table):
+        return [], {}
+    there = {f.name.lower(): f for f in spark.table(table).schema.fields}
+    added, widened = [], {}
+    for field in schema.fields:
+        old = there.get(field.name.lower())
+        if old is None:
+            added.append(field)
+        elif old.dataType != field.dataType:
+            was, now = old.dataType.simpleString(), field.dataType.simpleString()
+            if was in _WIDER.get(now, ()) or (now == "string" and isinstance(old.dataType, T.AtomicType)):
+                widened[old.name] = field.dataType
+            elif not (now in _WIDER.get(was, ()) or was == "string"):
+                raise SchemaDrift(f"{table}.{old.name} is {was} and cannot become {now}")
+            else:
+                raise SchemaDrift(f"{table}.{old.name} is {was}; {now} would narrow it")
+    needed = [f.name for f in added if not f.nullable]
+    if needed and not spark.table(table).isEmpty():
+        raise SchemaDrift(f"{table} has rows without {', '.join(needed)}")
+    return added, widened
+
+
+def reconcile_table(spark: SparkSession, table: str, schema: T.StructType, fmt: str = "parquet") -> bool:
+    """Create ``table``, or bring it up to ``schema``: new columns are added, null in the old rows; wider types rewrite the table once,
+    aside, with a swap by name. True when anything changed."""
+    added, widened = drift(spark, table, schema)
+    if ensure_table(spark, table, schema, fmt):
+        return True
+    if widened:
+        old = spark.table(table)
+        wider = [F.col(f"`{c}`").cast(widened[c]).alias(c) if c in widened else F.col(f"`{c}`") for c in old.columns]
+        overwrite_table(old.select(*wider, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]), table, fmt)
+    elif added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return bool(added or widened)
+
+
+def append_rows(df: DataFrame, table: str, fmt: str = "parquet") -> None:
+    """Append by name: columns that ``df`` lacks are null, and values take the table's types."""
+    have = {c.lower(): c for c in df.columns}
+    fields = df.sparkSession.table(table).schema.fields
+    values = [F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None) for f in fields]
+    append_table(df.select(*[x.cast(f.dataType).alias(f.name) for x, f in zip(values, fields, strict=True)]), table, fmt)
+
+
+def load_day(df: DataFrame, table: str, day: str, fmt: str = "parquet") -> None:
+    """Replace the days of ``df`` in a table that is partitioned by the column ``day``; other days are not touched.
+
+    A day that is loaded again leaves one copy. The table is created on the first load. A load without rows changes nothing.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.limit(0).write.format(fmt).partitionBy(day).saveAsTable(table)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def has_rows(df: DataFrame) -> bool:
     """Stops at the first row instead of counting them all."""
     return not df.isEmpty()

@@ -141,6 +141,81 @@ def test_requests_reach_their_tables(spark, load, registry):
     assert spark.table("shop.fallback").count() == 1 and spark.table("shop.goods").first().price == 9.5
 
 
+def test_fifty_tables_in_one_pass(spark):
+    """Bodies are read once and parsed once, whatever the number of registered tables."""
+    schema = columns(("name", "STRING", "REQUIRED"), ("age", "INTEGER", "NULLABLE"))
+    many = Registry({"tables": {f"t{i}": {"dataset_id": "many", "table_id": f"t{i}", "schema": schema if i % 2 else PEOPLE} for i in range(50)}})
+    spark.sql("DROP DATABASE IF EXISTS many CASCADE")
+    try:
+        bodies = [(i, json.dumps({"table_name": f"t{i % 7}", "records": [dict(ANN, age=i), BEN]})) for i in range(100)]
+        bodies += [(200, json.dumps({"table_name": "t3", "records": [ANN, {"age": 1}]})), (201, "[")]
+        seen = spark.sparkContext.accumulator(0)
+        df = spark.createDataFrame(bodies, "request_id int, body string")
+        counted = df.rdd.map(lambda r: (seen.add(1), tuple(r))[1]).toDF(df.schema)
+        refused = load_requests(counted, many)
+        assert sorted((r.request_id, len(r.errors)) for r in refused.collect()) == [(200, 0), (200, 1), (201, 1)]
+        assert seen.value == len(bodies)
+        assert sum(spark.table(f"many.t{i}").count() for i in range(7)) == 200 and spark.table("many.t49").isEmpty()
+        from quillbar.plans.load import stage_requests
+        plan = stage_requests(df, [many.resolve(n) for n in many.names()], many.names(), "request_id", "body")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField(table_name") == 1 and plan.count("from_json(MapType") + plan.count("entries") >= 1
+    finally:
+        spark.sql("DROP DATABASE many CASCADE")
+
+
+def test_rules_as_data_agree_with_rules_as_columns(spark, registry):
+    texts = ["null", '"x"', '"29.99"', "30", '"true"', "true", '"2020-01-02 03:04:05"', '""', '"' + "n" * 256 + '"', '{"a":1}', "[1]"]
+    fields = columns(*[(f"{k}{m[0]}".lower(), k, m) for k in ("STRING", "INTEGER", "FLOAT", "BOOLEAN", "TIMESTAMP", "GEOGRAPHY") for m in ("REQUIRED", "NULLABLE")])
+    spec = Registry({"default": {"dataset_id": "d", "table_id": "t", "schema": fields}}).resolve()
+    rows = ["{" + ", ".join(f'"{f.name}": {t}' for f in spec.fields) + "}" for t in texts] + ["{}", "[]", "5", "no", '{"a"', None, '{"stringr": "a", "stringr": "b"}']
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, record string")
+    one = v.validate(df, spec).orderBy("i").collect()
+    other = df.withColumn("c", v.check_record(F.col("record"), v.rule_list(spec))).orderBy("i").collect()
+    assert [[tuple(e) for e in r.errors] for r in one] == [[tuple(e) for e in r.c.errors] for r in other]
+    typed = df.withColumn("c", v.check_record(F.col("record"), v.rule_list(spec))).select(
+        "i", "c.errors", F.struct(*[v.typed(F.get("c.texts", F.lit(k)), r).alias(r.name) for k, r in enumerate(spec.fields)]).alias("value")).orderBy("i").collect()
+    assert [r.value for r in one if not r.errors] == [r.value for r in typed if not r.errors]
+
+
+def test_a_registry_that_grows(spark, load):
+    """A new column, a wider type, a narrower type."""
+    load([ANN], "users")
+    wider = {"tables": {"users": {"dataset_id": "shop", "table_id": "people", "schema": [*PEOPLE[:1], {"name": "age", "field_type": "STRING", "mode": "REQUIRED"}, PEOPLE[2],
+                                                                                         {"name": "city", "field_type": "STRING", "mode": "NULLABLE"}]}}}
+    df = spark.createDataFrame([(json.dumps(dict(BEN, city="Ulm")),)], "record string")
+    more = {"tables": {"users": dict(wider["tables"]["users"], schema=[*PEOPLE, wider["tables"]["users"]["schema"][-1]])}}
+    load_records(df, Registry(more), "users")
+    assert {(r.name, r.age, r.city) for r in spark.table("shop.people").collect()} == {("Ann", 28, None), ("Ben", 35, "Ulm")}
+    load_records(df, Registry(wider), "users")
+    assert {(r.name, r.age, r.city) for r in spark.table("shop.people").collect()} == {("Ann", "28", None), ("Ben", "35", "Ulm")}
+    body = spark.createDataFrame([(1, json.dumps({"table_name": "users", "records": [ANN]}))], "request_id int, body string")
+    for narrow in (lambda: load_records(df, Registry(more), "users"), lambda: load_requests(body, Registry(more))):
+        with pytest.raises(sinks.SchemaDrift, match="narrow"):
+            narrow()
+    assert spark.table("shop.people").count() == 3
+    load_requests(body, Registry({"tables": {"users": {"dataset_id": "shop", "table_id": "people", "schema": PEOPLE[:1]}}}))
+    assert spark.table("shop.people").filter("age IS NULL").count() == 1
+    must = {"tables": {"users": dict(wider["tables"]["users"], schema=[*wider["tables"]["users"]["schema"], {"name": "zip", "field_type": "STRING", "mode": "REQUIRED"}])}}
+    with pytest.raises(sinks.SchemaDrift, match="rows without zip"):
+        load_records(df, Registry(must), "users")
+
+
+def test_load_by_day(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS days_db")
+    try:
+        t, rows = "days_db.t", lambda day, n: spark.range(n).select(F.lit(day).cast("date").alias("day"), "id")
+        for n in (2, 3):
+            sinks.load_day(rows("2024-01-01", n), t, "day")
+        sinks.load_day(rows("2024-01-02", 4), t, "day")
+        sinks.load_day(rows("2024-01-01", 5), t, "day")
+        sinks.load_day(rows("2024-01-01", 0), t, "day")
+        assert {(str(r.day), r["count"]) for r in spark.table(t).groupBy("day").count().collect()} == {("2024-01-01", 5), ("2024-01-02", 4)}
+        plan = spark.table(t).filter("day = DATE'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in plan
+    finally:
+        spark.sql("DROP DATABASE days_db CASCADE")
+
+
 def test_marking_batches_starts_no_job(spark, registry):
     df = spark.createDataFrame([("b", json.dumps(ANN))], "batch_id string, record string")
     before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
