@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillbar.operators import timeseries
 from quillbar.operators.skew import join_list
 from quillbar.session import scratch_path
 
@@ -112,8 +113,73 @@ def running_max(df: DataFrame, key: str, order: Sequence[str], value: str, out:
     range, combined with the maximum of all earlier ranges, which come from one aggregated row per range."""
     stored = _ranged(df, key, order)
     earlier = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    tops = stored.groupBy(key, "_range").agg(F.max(value).alias("_top")).select(
+    tops = stored.groupBy(key, "_range").agg(F.max(timeseries.present(value)).alias("_top")).select(
         F.col(key).alias("_key"), F.col("_range").alias("_of"), F.max("_top").over(earlier).alias("_before"))
     inside = W.partitionBy(key, "_range").orderBy("_place").rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = _with_earlier(stored.withColumn("_inside", F.max(value).over(inside)), key, tops)
+    joined = _with_earlier(stored.withColumn("_inside", F.max(timeseries.present(value)).over(inside)), key, tops)
     return joined.withColumn(out, F.greatest("_inside", "_before")).drop("_range", "_place", "_inside", "_before")
+
+
+def ema_in_blocks(df: DataFrame, key: str, order: Sequence[str], spans: dict[str, int], value: str = "price", block_rows: int = 16_384) -> DataFrame:
+    """Exponential means ``{out: span}`` over series of any length and spans of any length, without a halo.
+
+    Over a block of rows the mean is an affine map of the mean before it: y -> keep^n y + end, with n values in the block. Inside blocks
+    the means are scaled running sums; blocks are short enough (``block_rows`` at most) for the scale to stay in a double's range.
+    One row per block holds its map; these are applied in order, a few numbers per key, and each block gets the mean that it
+    starts from. No history is cut off. Rows without a value (null or NaN) carry the last mean; there is none before the first value.
+    Null is a key like any other. ``row_index`` stays in the result.
+    """
+    if any(s < 1 for s in spans.values()):
+        raise ValueError("a span is at least 1")
+    names, rates = list(spans), [float(timeseries._rate(s)) if s > 1 else None for s in spans.values()]
+    width = min([block_rows, *[int(600 / r) for r in rates if r]])
+    numbered = index_by_range(df, key, order)
+    x = timeseries.present(F.col(value).cast("double"))
+    inside = W.partitionBy(key, BLOCK).orderBy("row_index").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cut = numbered.withColumn(BLOCK, F.floor((F.col("row_index") - 1) / F.lit(width))).withColumn("_n", F.count(x).over(inside))
+    scaled = {}
+    for i, (span, rate) in enumerate(zip(spans.values(), rates, strict=True)):
+        if rate is None:
+            scaled[f"in_{i}"] = F.coalesce(F.last(x, ignorenulls=True).over(inside), F.lit(0.0))
+        else:
+            total = F.sum(x * F.lit(2 / (span + 1)) * F.exp((F.col("_n") - 1) * rate)).over(inside)
+            scaled[f"in_{i}"] = F.coalesce(total * F.exp((1 - F.col("_n")) * rate), F.lit(0.0))
+    local = cut.withColumns(scaled)
+    # A key may be null or of any type; its text and nullness only have to keep keys apart while the maps are folded.
+    mark = F.struct(F.col(key).isNull(), F.col(key)).cast("string")
+    maps = local.groupBy(key, BLOCK).agg(F.max("_n").alias("_n"), F.min_by(x, F.when(x.isNotNull(), F.col("row_index"))).alias("_first"),
+                                         *[F.max_by(f"in_{i}", "row_index").alias(f"end_{i}") for i in range(len(names))])
+    maps = maps.withColumn("_mark", mark).drop(key)
+    keeps = [1 - 2 / (s + 1) for s in spans.values()]
+    # Plain values only, so that the workers need no copy of this package.
+    ends, befores = [f"end_{i}" for i in range(len(names))], [f"before_{i}" for i in range(len(names))]
+
+    def fold(batches):
+        """Per block, in order: the means at the end of the block before. Block 0 starts a key; its own first value stands for the history."""
+        import pandas as pd
+
+        before = [None] * len(keeps)
+        for pdf in batches:
+            out = []
+            for place, n, first, *own in zip(pdf["_block"], pdf["_n"], pdf["_first"], *[pdf[e] for e in ends]):
+                if place == 0:
+                    before = [None] * len(keeps)
+                known = before[0] is not None
+                if n and not known:
+                    before = [first] * len(keeps)
+                out.append([known, *before])
+                if n:
+                    before = [end + keep**n * b for end, keep, b in zip(own, keeps, before)]
+            told = pd.DataFrame(out, columns=["_known", *befores]).astype(dict.fromkeys(befores, "float64"))
+            yield pd.concat([pdf["_mark"].rename("_key").reset_index(drop=True), pdf["_block"].rename("_of").reset_index(drop=True), told], axis=1)
+
+    fields = "_key string, _of bigint, _known boolean, " + ", ".join(f"before_{i} double" for i in range(len(names)))
+    starts = maps.repartition("_mark").sortWithinPartitions("_mark", BLOCK).mapInPandas(fold, fields)
+    joined = local.withColumn("_mark", mark).join(starts, (F.col("_mark") == F.col("_key")) & (F.col(BLOCK) == F.col("_of"))).drop("_mark", "_key", "_of")
+    means = {}
+    for i, (name, keep) in enumerate(zip(names, keeps, strict=True)):
+        mean = F.col(f"in_{i}") + F.pow(F.lit(keep), F.col("_n")) * F.col(f"before_{i}")
+        if keep == 0:
+            mean = F.when(F.col("_n") > 0, F.col(f"in_{i}")).otherwise(F.col(f"before_{i}"))
+        means[name] = F.when(F.col("_known") | (F.col("_n") > 0), mean)
+    return joined.withColumns(means).drop(BLOCK, "_n", "_known", *scaled, *[f"before_{i}" for i in range(len(names))])

@@ -4,7 +4,7 @@ Every indicator takes ``by``, the columns that delimit one series. Bars sit on a
 bounded by span / interval however many ticks it has, and ``by=("symbol",)`` is enough. For raw ticks or other series
 without such a bound use ``blocks.with_halo`` and ``by=("symbol", "_block")``; results are the same.
 
-Missing values are null, never NaN, and a comparison with null counts as false.
+Missing values are null, never NaN, and a comparison with null counts as false. A NaN that comes in counts as missing.
 """
 
 from __future__ import annotations
@@ -29,6 +29,12 @@ def _is_true(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def present(value: str | Column) -> Column:
+    """The value, with NaN as null."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.when(~F.isnan(c.cast("double")), c)
+
+
 # ---- bars ---------------------------------------------------------------------------------------------------------
 
 def _micros(df: DataFrame, ts: str) -> Column:
@@ -115,8 +121,8 @@ def rolling_means(df: DataFrame, means: dict[str, tuple[str, int]], by: Sequence
     for column, n in means.values():
         lengths.setdefault(column, []).append(n)
     strides = {c: _stride(ns) for c, ns in lengths.items()}
-    frames = {f"_sum_{c}": F.sum(c).over(w.rowsBetween(1 - d, 0)) for c, d in strides.items()}
-    counts = {f"_cnt_{c}": F.count(c).over(so_far) for c in strides}
+    frames = {f"_sum_{c}": F.sum(present(c)).over(w.rowsBetween(1 - d, 0)) for c, d in strides.items()}
+    counts = {f"_cnt_{c}": F.count(present(c)).over(so_far) for c in strides}
     earlier = {
         f"_sum_{c}_{back}": F.lag(f"_sum_{c}", back).over(w)
         for c, d in strides.items()
@@ -133,8 +139,8 @@ def rolling_means(df: DataFrame, means: dict[str, tuple[str, int]], by: Sequence
 
 
 def step(value: str, w) -> Column:
-    """Difference to the row before; null on the first row."""
-    return F.col(value) - F.lag(value).over(w)
+    """Difference to the row before; null on the first row and where either value is missing."""
+    return present(value) - F.lag(present(value)).over(w)
 
 
 def add_sma(df: DataFrame, windows: Sequence[int] = (20, 50), value: str = "close", by: Sequence[str] = SERIES,
@@ -170,9 +176,9 @@ def _rate(span: int) -> float:
 def _chunked(df: DataFrame, value: str, chunk: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Adds the position ``_i`` among the rows that have a value (a row without one shares that of the last before it, -1 at
     the head), its chunk ``_c`` and the place inside the chunk ``_k``."""
-    position = F.count(value).over(series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)) - 1
+    position = F.count(present(value)).over(series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)) - 1
     return df.withColumn("_i", position).withColumns(
-        {"_c": F.floor(F.col("_i") / F.lit(chunk)), "_k": F.pmod("_i", F.lit(chunk)), "_has": F.col(value).isNotNull()}
+        {"_c": F.floor(F.col("_i") / F.lit(chunk)), "_k": F.pmod("_i", F.lit(chunk)), "_has": present(value).isNotNull()}
     )
 
 
@@ -209,7 +215,7 @@ def add_ema(df: DataFrame, spans: dict[str, int], value: str = "close", by: Sequ
     rows long. Both parts are plain windows on one partitioning, for any series length.
     """
     so_far = series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    unsmoothed = {name: F.last(value, ignorenulls=True).over(so_far) for name, span in spans.items() if span == 1}
+    unsmoothed = {name: F.last(present(value), ignorenulls=True).over(so_far) for name, span in spans.items() if span == 1}
     if unsmoothed:
         df, spans = df.withColumns(unsmoothed), {n: s for n, s in spans.items() if s != 1}
     if not spans:
@@ -229,7 +235,7 @@ def add_macd(df: DataFrame, value: str = "close", fast: int = 12, slow: int = 26
     line = F.col("_fast") - F.col("_slow")
     if chunk is None:
         means = add_ema(df, {"_fast": fast, "_slow": slow}, value, by, order).withColumn("macd", line)
-        means = means.withColumn("_line", F.when(F.col(value).isNotNull(), F.col("macd")))
+        means = means.withColumn("_line", F.when(present(value).isNotNull(), F.col("macd")))
         return add_ema(means, {"macd_signal": signal}, "_line", by, order).drop("_fast", "_slow", "_line")
     placed = _chunked(df, value, chunk, by, order)
     means = _ema_in_chunks(placed, {"_fast": fast, "_slow": slow}, value, chunk, by).withColumn("macd", line)
@@ -293,7 +299,7 @@ def latest_crossover(df: DataFrame, by: str = "symbol", order: Sequence[str] = O
     last = means.filter("_back = 1")
     if drop_short:
         last = last.filter(enough)
-    return last.select(by, *order, F.col("close").alias("price"), signal.alias("signal"))
+    return last.select(by, *order, present("close").alias("price"), signal.alias("signal"))
 
 
 def rsi_macd_rule(rsi: Column, macd: Column) -> Column:
@@ -304,7 +310,7 @@ def rsi_macd_rule(rsi: Column, macd: Column) -> Column:
 def entry_levels(df: DataFrame, signal: str = "signal", price: str = "price", stop: float = 0.03,
                  target: float = 0.06) -> DataFrame:
     """Entry, stop and target around ``price``; a HOLD has only the entry. Rounded to cents."""
-    s, p = F.col(signal), F.col(price)
+    s, p = F.col(signal), present(price)
     return df.withColumns(
         {
             "entry": F.round(p, 2),
@@ -316,9 +322,9 @@ def entry_levels(df: DataFrame, signal: str = "signal", price: str = "price", st
 
 def running_drawdown(df: DataFrame, value: str = "close", limit: float = 0.15, by: Sequence[str] = SERIES,
                      order: Sequence[str] = ORDER) -> DataFrame:
-    """Running peak, relative fall from it, and whether the fall exceeds ``limit``."""
+    """Running peak, relative fall from it, and whether the fall exceeds ``limit``. A missing value keeps the peak and has no fall."""
     so_far = series_window(by, order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return fall_from_peak(df.withColumn("peak", F.max(value).over(so_far)), value, limit)
+    return fall_from_peak(df.withColumn("peak", F.max(present(value)).over(so_far)), value, limit)
 
 
 def fall_from_peak(df: DataFrame, value: str = "close", limit: float = 0.15) -> DataFrame:
@@ -326,7 +332,7 @@ def fall_from_peak(df: DataFrame, value: str = "close", limit: float = 0.15) ->
 
     Both are null at a peak of zero.
     """
-    fall = F.try_divide(F.col("peak") - F.col(value), F.col("peak"))
+    fall = F.try_divide(F.col("peak") - present(value), F.col("peak"))
     return df.withColumn("drawdown", fall).withColumn("breach", F.col("drawdown") > limit)
 
 
@@ -336,7 +342,7 @@ def first_breach(df: DataFrame, by: str = "symbol", ts: str = "ts") -> DataFrame
 
 def position_size(cash: Column, risk: float, price: Column, asset_type: Column) -> Column:
     """Quantity that risks ``risk`` of ``cash``: 6 decimals for crypto, 2 for stock; null at a price of zero."""
-    raw = F.try_divide(cash * risk, price)
+    raw = F.try_divide(cash * risk, present(price))
     return F.when(asset_type == "crypto", F.round(raw, 6)).otherwise(F.round(raw, 2))
 
 

@@ -324,3 +324,41 @@ def test_repeated_paths_stay_and_repeated_names_fail(spark):
     job = flatten_job.FlattenJob.from_dict({"flatten_cols": [{"path": "a.b", "alias": "x"}, {"path": "a.b", "alias": "x"}]})
     with pytest.raises(ValueError, match="x"):
         flatten_job.shape(df, job)
+
+
+# ---- one JSON file by many tasks ----------------------------------------------------------------------------------
+
+HARD_JSON = [{"id": i, "t": t, "in": {"x": [{"y": i}, {"y": t}], "z": {}}, "list": [[1, 2], []]} for i, t in enumerate(
+    ["plain", "a } b", "{[\"", "\\", "\\\\\" }", "é ☂ }}", "line\nbreak", "", "]]}}", '"}", {"id": 9', None, "tab\t}", "\\\"}{"] * 7)]
+JSON_SCHEMA = "id bigint, t string, in struct<x: array<struct<y: string>>, z: struct<a: int>>, list array<array<int>>"
+
+
+@pytest.mark.parametrize("shape", ["pretty", "one line", "objects", "single", "no end of line", "empty array"])
+def test_json_split_reads_what_the_plain_reader_reads(spark, tmp_path, shape):
+    import json
+
+    from quillbar.sources import files, json_split
+
+    text = {"pretty": json.dumps(HARD_JSON, indent=2, ensure_ascii=False) + "\n", "one line": json.dumps(HARD_JSON), "objects": "\n".join(json.dumps(r, indent=1) for r in HARD_JSON[:1]),
+            "single": json.dumps(HARD_JSON[4], indent=3) + " ", "no end of line": "\n \t" + json.dumps(HARD_JSON, indent=1), "empty array": "[ ]\n"}[shape]
+    (tmp_path / "one.json").write_text(text)
+    (tmp_path / "two.json").write_text(json.dumps(HARD_JSON[:2]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    plain = files.read_json(spark, str(tmp_path), schema=JSON_SCHEMA).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = json_split.read_json_split(spark, str(tmp_path), JSON_SCHEMA)
+        parts = json_split._pieces(spark, str(tmp_path)).rdd.getNumPartitions()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain))
+        assert parts > (10 if shape in ("pretty", "one line") else 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}, {"a": 2', '[{"a": 1}, 5]', '{"a": {"b": 1}', 'words', '[{"a": "x}]'])
+def test_json_split_fails_on_what_it_cannot_cut(spark, tmp_path, text):
+    from quillbar.sources import json_split
+
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="cannot cut|MALFORMED|JSON"):
+        json_split.read_json_split(spark, str(tmp_path / "bad.json"), "a string").collect()

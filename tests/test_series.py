@@ -298,3 +298,51 @@ def test_zeros_give_null_and_no_entry(spark):
     bars = spark.createDataFrame([("a", d, c, 1, 1) for d, c in zip(days, (1.0, 0.0, None, 2.0, 2.0))], "symbol string, ts timestamp_ntz, close double, signal int, edge int")
     log = backtest.trade_log(backtest.simulate(bars)).collect()
     assert [(r.action, r.price) for r in log] == [("BUY", 2.0), ("FINAL SELL", 2.0)]
+
+
+# ---- missing values and long spans --------------------------------------------------------------------------------
+
+def test_nan_counts_as_missing(spark):
+    import math
+    import random
+
+    rng = random.Random(5)
+    closes = [None if i % 9 == 4 else 50 + rng.random() * 9 for i in range(160)]
+    closes[0] = None
+    frame = lambda xs: spark.createDataFrame([("s", i, x, "stock") for i, x in enumerate(xs)], "symbol string, ts int, close double, kind string")
+    nulls, nans = frame(closes), frame([math.nan if x is None else x for x in closes])
+
+    def everything(df):
+        out = ts.running_drawdown(ts.add_ema(ts.add_indicators(df), {"e1": 1, "e5": 5}))
+        out = out.withColumn("diff", ts.step("close", ts.series_window())).withColumn("size", ts.position_size(F.lit(1e5), 0.02, F.col("close"), F.col("kind")))
+        return [str(r) for r in ts.entry_levels(out.withColumn("signal", F.lit("BUY")), price="close").drop("close").orderBy("ts").collect()]
+
+    assert everything(nans) == everything(nulls)
+    assert not any("nan" in r for r in everything(nans))
+    last = [ts.latest_crossover(df).drop("price").collect() for df in (nulls, nans)]
+    assert last[0] == last[1]
+    peaks = [str(blocks.running_max(df, "symbol", ["ts"], "close", "peak").select("ts", "peak").orderBy("ts").collect()) for df in (nulls, nans)]
+    assert peaks[0] == peaks[1] and "nan" not in peaks[0]
+
+
+@pytest.mark.parametrize("block_rows", [16_384, 37])
+def test_ema_in_blocks_is_the_recurrence(spark, block_rows):
+    import random
+
+    rng = random.Random(3)
+    series = {"a": 3000, "b": 1, None: 90, "gap": 200}
+    rows = [(k, i, None if k == "gap" and (i < 70 or i % 3) else float("nan") if i % 17 == 3 else 100 * rng.random()) for k, n in series.items() for i in range(n)]
+    spans = {"e1": 1, "e2": 2, "e26": 26, "e20000": 20_000}
+    want = {}
+    for k in series:
+        y = dict.fromkeys(spans)
+        for key, i, x in rows:
+            if key == k:
+                if x is not None and x == x:
+                    y = {n: x if y[n] is None else 2 / (s + 1) * x + (1 - 2 / (s + 1)) * y[n] for n, s in spans.items()}
+                want[(k, i)] = tuple(y.values())
+    df = spark.createDataFrame(rows, "symbol string, ts int, price double").repartition(5)
+    got = {(r.symbol, r.ts): tuple(r[n] for n in spans) for r in blocks.ema_in_blocks(df, "symbol", ["ts"], spans, block_rows=block_rows).collect()}
+    assert got.keys() == want.keys()
+    for at, values in want.items():
+        assert got[at] == pytest.approx(values, rel=1e-12) if values[0] is not None else got[at] == values, at
