@@ -11,10 +11,11 @@ from catalog.records import ALL_SQL, RECORDS_SQL, SPEC, records
 from quillbar.functions import scalars, text
 from quillbar.operators import flatten, relational
 from quillbar.operators import validate as v
+from quillbar.plans import kept_sums
 from quillbar.plans.load import load_records, load_requests, parse_request
 from quillbar.plans.registry import Registry
 from quillbar.session import scratch_path
-from quillbar.sources import files, sinks, synthetic, xml
+from quillbar.sources import files, json_split, sinks, synthetic, xml
 
 
 def _database(spark) -> str:
@@ -179,3 +180,85 @@ def parsed_timestamps(spark, sf):
     """Timestamps from text; what does not parse is null."""
     shown = F.when(F.col("o_orderkey") % 5 == 0, F.lit("soon")).otherwise(scalars.timestamp_text(F.col("o_orderdate")))
     return table(spark, sf, "orders").select("o_orderkey", scalars.parse_timestamp(shown).cast("timestamp_ntz").alias("parsed"))
+
+
+@query("json_split_scan", """
+    SELECT c_custkey, c_name || CASE c_custkey % 4 WHEN 0 THEN ' } "{[' WHEN 1 THEN ' \\' WHEN 2 THEN ' ]]}' || chr(10) ELSE '' END AS note, c_acctbal FROM customer""")
+def json_split_scan(spark, sf):
+    """All customers in one JSON array over many lines, with braces, marks and escapes in strings, cut by many tasks."""
+    path, k = scratch_path(spark, "json"), F.col("c_custkey")
+    more = F.when(k % 4 == 0, F.lit(' } "{[')).when(k % 4 == 1, F.lit(" \\")).when(k % 4 == 2, F.lit(" ]]}\n")).otherwise("")
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", more).alias("note"), "c_acctbal")
+    # One file as the thing to read, so one task writes it: an element a row, with the array's brackets and commas.
+    texts = rows.orderBy("c_custkey").select(F.to_json(F.struct(*rows.columns), {"pretty": "true"}).alias("value")).coalesce(1)
+    i, n = F.monotonically_increasing_id(), rows.count()
+    texts.select(F.concat(F.when(i == 0, "[\n").otherwise(",\n"), "value", F.when(i == n - 1, "\n]").otherwise(""))).write.text(path)
+    return json_split.read_json_split(spark, path, rows.schema)
+
+
+@query("xml_merged_schema", """
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS code, CAST(l_linenumber AS BIGINT) AS line, CASE WHEN l_linenumber > 3 THEN l_shipmode END AS mode,
+           CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey % 7 AS DOUBLE) ELSE o_orderkey % 7 + 0.5 END AS weight
+    FROM orders JOIN (SELECT *, l_returnflag AS l_shipmode FROM lineitem) ON o_orderkey = l_orderkey WHERE l_linenumber <= 5""")
+def xml_merged_schema(spark, sf):
+    """Orders in two sets of files: with single items and whole weights in one, with repeated items and broken weights in the other. One
+    merged schema reads them back whole; codes with leading zeros stay text."""
+    path, k = scratch_path(spark, "xml"), F.col("l_orderkey")
+    items = table(spark, sf, "lineitem").filter("l_linenumber <= 5").select(k, F.struct(F.col("l_linenumber").alias("line"), F.when(F.col("l_linenumber") > 3, F.col("l_returnflag")).alias("mode")).alias("i"))
+    # At most five items to an order.
+    orders = items.join(table(spark, sf, "orders").select("o_orderkey"), k == F.col("o_orderkey")).groupBy(k).agg(F.array_sort(F.collect_list("i")).alias("item"))
+    weight = F.when(k % 3 == 0, (k % 7).cast("string")).otherwise((k % 7 + 0.5).cast("string"))
+    shown = orders.select(k.alias("k"), F.lpad(k.cast("string"), 8, "0").alias("code"), weight.alias("weight"), "item")
+    single = (F.size("item") == 1) & (F.col("k") % 3 == 0)
+    sinks.write_xml(shown.filter(single).select("code", "weight", F.get("item", F.lit(0)).alias("item")), f"{path}/single", "orders", "order")
+    sinks.write_xml(shown.filter(~single).drop("k"), f"{path}/many", "orders", "order")
+    schema = xml.merged_schema(spark, f"{path}/*", "order")
+    return xml.read_xml(spark, f"{path}/*", "order", schema).select("code", F.explode("item").alias("i"), "weight").select("code", "i.line", "i.mode", "weight")
+
+
+@query("grown_table_load", """
+    SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 1 THEN c_acctbal END AS c_acctbal, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer""")
+def grown_table_load(spark, sf):
+    """A table that was made for half of the rows, then gets one more column and two wider types from its declaration."""
+    name, rows = f"{_database(spark)}.t", table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    old = rows.filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("int").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"))
+    new = rows.filter("c_custkey % 2 = 1").withColumns({"c_custkey": F.col("c_custkey").cast("bigint"), "c_nationkey": F.col("c_nationkey").cast("string")})
+    for part in (old, new):
+        sinks.reconcile_table(spark, name, part.schema)
+        sinks.append_rows(part, name)
+    return spark.table(name).select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+
+
+@query("load_by_day", "SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
+def load_by_day(spark, sf):
+    """Events by day, each day replaced as a whole: every third day is loaded a second time."""
+    name, rows = f"{_database(spark)}.t", table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
+    sinks.load_day(rows, name, "day")
+    sinks.load_day(rows.filter(F.dayofyear("day") % 3 == 0), name, "day")
+    return spark.table(name).withColumn("day", F.col("day").cast("string"))
+
+
+@query("kept_sums", """
+    SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS sum_value, count(value) AS n_value, max(CAST(value AS DECIMAL(18, 4)))::DOUBLE AS max_value, count(*) AS rows
+    FROM events GROUP BY 1""")
+def kept_sums_by_type(spark, sf):
+    """Sums per type from the kept sums of each day, added in three steps, one day set of them twice."""
+    name = f"{_database(spark)}.sums"
+    rows = table(spark, sf, "events").select(F.col("ts").cast("date").alias("day"), "event_type", F.col("value").cast("decimal(18,4)").alias("value"))
+    for step in (0, 1, 2, 1):
+        kept_sums.add_days(rows.filter(F.dayofyear("day") % 3 == step), name, "day", ["event_type"], {"value": "value"})
+    sums = kept_sums.totals(spark, name, ["event_type"], ["value"])
+    return sums.select("event_type", F.col("sum_value").cast("double").alias("sum_value"), "n_value", F.col("max_value").cast("double").alias("max_value"), "rows")
+
+
+@query("row_probes", """
+    SELECT 'orders' AS name, true AS has_rows, least(5, count(*)) AS shown FROM orders
+    UNION ALL SELECT 'orders before 1900', count(*) > 0, least(5, count(*)) FROM orders WHERE year(o_orderdate) < 1900
+    UNION ALL SELECT 'nation', count(*) > 0, least(5, count(*)) FROM nation""")
+def row_probes(spark, sf):
+    """Whether tables hold rows, and how many a preview shows."""
+    orders = table(spark, sf, "orders")
+    probed = {"orders": orders, "orders before 1900": orders.filter(F.year("o_orderdate") < 1900), "nation": table(spark, sf, "nation")}
+    parts = [relational.preview(df, 5).agg(F.count(F.lit(1)).alias("shown")).select(F.lit(n).alias("name"), F.lit(sinks.has_rows(df)).alias("has_rows"), "shown")
+             for n, df in probed.items()]
+    return parts[0].union(parts[1]).union(parts[2])

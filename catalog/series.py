@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 from catalog.common import MACD_SQL, RSI_SQL, SMA_SQL, bars, bars_sql, query, table, ticks
 from quillbar.functions import scalars
 from quillbar.operators import backtest, blocks, relational, timeseries as ts
-from quillbar.plans.bars import load_bars
+from quillbar.plans.bars import load_bars, store_bars
 from quillbar.plans.signal_report import summarize
 from quillbar.session import scratch_path
 from quillbar.sources import tables
-from quillbar.streaming import bars as live
+from quillbar.streaming import bars as live, signals
 
 BARS = bars_sql()
 USER_BARS = bars_sql("user_id")
@@ -431,3 +432,59 @@ def stream_hourly_bars(spark, sf):
     out = scratch_path(spark, "live-bars")
     live.start_bars(live.stream_bars(rows, tiebreak="event_id"), f"{out}/data", f"{out}/state").awaitTermination()
     return spark.read.parquet(f"{out}/data").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("indicators_with_nan_closes", f"""
+    WITH {BARS.replace("bars AS", "all_bars AS")}, bars AS (SELECT symbol, ts, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY ts) % 40 <> 7 THEN close END AS close FROM all_bars),
+    {SMA_SQL}, {RSI_SQL},
+    p AS (SELECT symbol, ts, max(close) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING) AS peak FROM bars)
+    SELECT sma.symbol, sma.ts, round(sma20, 4) AS sma20, round(sma50, 4) AS sma50, round(rsi, 6) AS rsi, peak, round((peak - close) / peak, 6) AS drawdown, (peak - close) / peak > 0.15 AS breach
+    FROM sma JOIN rsi ON rsi.symbol = sma.symbol AND rsi.ts = sma.ts JOIN p ON p.symbol = sma.symbol AND p.ts = sma.ts""")
+def indicators_with_nan_closes(spark, sf):
+    """Every fortieth close is NaN: it counts as missing and poisons nothing after it."""
+    holes = bars(spark, sf).withColumn("close", F.when(F.row_number().over(ts.series_window()) % 40 == 7, F.lit(float("nan"))).otherwise(F.col("close")))
+    out = ts.running_drawdown(ts.add_rsi(ts.add_sma(holes)))
+    return out.select("symbol", "ts", F.round("sma20", 4).alias("sma20"), F.round("sma50", 4).alias("sma50"), F.round("rsi", 6).alias("rsi"), "peak", F.round("drawdown", 6).alias("drawdown"), "breach")
+
+
+@query("tick_ema_in_blocks", """
+    WITH RECURSIVE t AS (SELECT event_id, event_type AS symbol, value AS x, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+    e AS (
+      SELECT event_id, symbol, rn, x AS short, x AS long FROM t WHERE rn = 1
+      UNION ALL
+      SELECT t.event_id, t.symbol, t.rn, 2.0/27 * t.x + 25.0/27 * e.short, 2.0/20001 * t.x + 19999.0/20001 * e.long FROM e JOIN t ON t.symbol = e.symbol AND t.rn = e.rn + 1)
+    SELECT event_id, symbol, round(short, 6) AS short, round(long, 6) AS long FROM e""")
+def tick_ema_in_blocks(spark, sf):
+    """Means of spans 26 and 20,000 over raw ticks: one affine map per block, applied in order."""
+    means = blocks.ema_in_blocks(ticks(spark, sf), "symbol", ["ts", "event_id"], {"short": 26, "long": 20_000})
+    return means.select("event_id", "symbol", F.round("short", 6).alias("short"), F.round("long", 6).alias("long"))
+
+
+SIGNAL_SQL = "CASE WHEN rn <= 20 THEN 0 WHEN sma20 > sma50 THEN 1 ELSE -1 END"
+
+
+@query("stored_bar_signals", f"""
+    WITH {BARS}, {SMA_SQL}, g AS (SELECT *, {SIGNAL_SQL} AS signal FROM sma)
+    SELECT symbol, ts, round(sma20, 4) AS sma20, signal, signal - lag(signal) OVER (PARTITION BY symbol ORDER BY ts) AS edge FROM g""")
+def stored_bar_signals(spark, sf):
+    """Signals on bars kept in buckets by symbol: no shuffle after the store is written."""
+    name = f"check_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    store_bars(bars(spark, sf), f"{name}.bars", 8)
+    out = ts.add_edge(ts.add_regime(ts.add_sma(spark.table(f"{name}.bars"))))
+    return out.select("symbol", "ts", F.round("sma20", 4).alias("sma20"), "signal", "edge")
+
+
+@query("stream_signals", f"""
+    WITH {BARS}, {SMA_SQL}, g AS (SELECT *, {SIGNAL_SQL} AS signal FROM sma)
+    SELECT symbol, ts, round(sma50, 4) AS sma50, signal, signal - lag(signal) OVER (PARTITION BY symbol ORDER BY ts) AS edge FROM g""")
+def stream_signals(spark, sf):
+    """Signals of arriving bars: the earlier half is taken in, the query ends, and a new one goes on from the checkpoint with the rest."""
+    out, whole = scratch_path(spark, "live-signals"), bars(spark, sf).select("symbol", F.col("ts").cast("timestamp").alias("ts"), "close")
+    middle = whole.agg(F.expr("timestamp_micros(bigint((unix_micros(min(ts)) + unix_micros(max(ts))) / 2))").alias("m"))
+    for side in (F.col("ts") <= middle.scalar(), F.col("ts") > middle.scalar()):
+        whole.filter(side).write.mode("append").parquet(f"{out}/bars")
+        arriving = spark.readStream.schema(whole.schema).parquet(f"{out}/bars")
+        live.start_bars(signals.stream_signals(arriving), f"{out}/data", f"{out}/state").awaitTermination()
+    told = spark.read.parquet(f"{out}/data")
+    return told.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), F.round("sma50", 4).alias("sma50"), "signal", "edge")

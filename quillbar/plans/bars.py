@@ -22,3 +22,12 @@ def load_bars(ticks: DataFrame, interval: str = "1 hour", period: str | None = N
     if period is not None:
         ticks = lookback(ticks, period, ts, grid=interval)
     return resample(ticks, interval, ts=ts, **columns)
+
+
+def store_bars(bars: DataFrame, table: str, buckets: int) -> None:
+    """Write bars to a table in ``buckets`` buckets by symbol, sorted by symbol and time, one file each.
+
+    What reads the table per symbol (indicators, signals, the fold's sort) needs no shuffle. Choose buckets so that one holds some
+    hundred megabytes; an existing table is replaced.
+    """
+    (bars.repartition(buckets, "symbol").write.bucketBy(buckets, "symbol").sortBy("symbol", "ts").mode("overwrite").saveAsTable(table))

@@ -91,3 +91,62 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 def read_small_text(spark: SparkSession, path: str) -> str:
     """The text of one small settings file, read through Spark so that any file system works."""
     return spark.read.text(path, wholetext=True).first()["value"]
+
+
+# Kinds of text from the narrowest on; a number with a leading zero or plus is a code and stays text.
+_KINDS = [
+    ("bigint", r"^-?(0|[1-9][0-9]{0,17})$"),
+    ("double", r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"),
+    ("boolean", r"^(true|false)$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+]
+
+
+def _leaves(kind: T.DataType, value) -> list:
+    """(path, all texts) of each leaf below ``value``: a column of that type."""
+    if isinstance(kind, T.StructType):
+        return [((f.name, *path), texts) for f in kind.fields for path, texts in _leaves(f.dataType, value[f.name])]
+    if isinstance(kind, T.ArrayType):
+        def nth(i: int):
+            return lambda v: _leaves(kind.elementType, v)[i][1]
+
+        found = _leaves(kind.elementType, F.lit(None))
+        return [((None, *path), F.flatten(F.transform(value, nth(i)))) for i, (path, _) in enumerate(found)]
+    return [((), F.array(value))]
+
+
+def _with_kinds(kind: T.DataType, path: tuple, found: dict) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _with_kinds(f.dataType, (*path, f.name), found)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_with_kinds(kind.elementType, (*path, None), found))
+    return found[path]
+
+
+def merged_schema(spark: SparkSession, path: str | list[str], row_tag: str) -> T.StructType:
+    """The least schema that holds every record of all files, for reading them as one table.
+
+    A tag that repeats anywhere is an array everywhere; a tag that has children or attributes anywhere is a struct. A leaf is bigint, double,
+    boolean or date if all its texts are, bigint and double together double, any other mix text, and so is a number written with a leading zero. A
+    leaf without any text is text. Files are read twice, by tasks; one row of flags reaches the driver.
+    """
+    shape = spark.read.format("xml").option("rowTag", row_tag).option("inferSchema", False).load(path).schema
+    rows = read_xml(spark, path, row_tag, shape)
+    leaves = [(p, texts) for f in shape.fields for p, texts in (((f.name, *rest), t) for rest, t in _leaves(f.dataType, F.col(f"`{f.name}`")))]
+    if not leaves:
+        return shape
+
+    def flags(texts):
+        there = F.filter(texts, lambda t: t.isNotNull() & (t != ""))
+        like = lambda pattern: lambda t: F.rlike(F.trim(t), F.lit(pattern))
+        fits = [F.bool_and(F.forall(there, like(r))) for _, r in _KINDS[:3]]
+        day = F.bool_and(F.forall(there, lambda t: F.rlike(t, F.lit(_KINDS[3][1])) & t.try_cast("date").isNotNull()))
+        return F.struct(F.bool_or(F.size(there) > 0), *fits, day)
+
+    told = rows.agg(*[flags(t).alias(f"f{i}") for i, (_, t) in enumerate(leaves)]).first()
+    found = {}
+    for i, (p, _) in enumerate(leaves):
+        met, *fits = told[f"f{i}"]
+        name = next((k for (k, _), ok in zip(_KINDS, fits, strict=True) if ok), "string") if met else "string"
+        found[p] = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "string": T.StringType()}[name]
+    return _with_kinds(shape, (), found)

@@ -362,3 +362,19 @@ def test_json_split_fails_on_what_it_cannot_cut(spark, tmp_path, text):
     (tmp_path / "bad.json").write_text(text)
     with pytest.raises(Exception, match="cannot cut|MALFORMED|JSON"):
         json_split.read_json_split(spark, str(tmp_path / "bad.json"), "a string").collect()
+
+
+def test_merged_schema(spark, tmp_path):
+    """A child that repeats in one file only, a child with attributes in one file only, leading zeros, mixed numbers, empty leaves."""
+    from quillbar.sources import xml
+
+    (tmp_path / "a.xml").write_text("<r><o id='1'><code>001</code><n>5</n><item><q>1</q></item><tag>x</tag><day>2024-01-02</day><none/><ok>true</ok></o></r>")
+    (tmp_path / "b.xml").write_text("<r><o id='2'><code>12</code><n>2.5</n><item><q>2</q></item><item><q>3</q><w>a</w></item><tag k='1'>y</tag><day>2024-01-03</day><ok>false</ok></o></r>")
+    (tmp_path / "c.xml").write_text("<r><o id='3'><n>7</n><day>soon</day></o></r>")
+    schema = xml.merged_schema(spark, str(tmp_path), "o")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
+    assert kinds["_id"] == "bigint" and kinds["code"] == "string" and kinds["n"] == "double" and kinds["day"] == "string" and kinds["ok"] == "boolean" and kinds["none"] == "string"
+    assert kinds["item"] == "array<struct<q:bigint,w:string>>"
+    rows = {r._id: r for r in xml.read_xml(spark, str(tmp_path), "o", schema).collect()}
+    assert [(i.q, i.w) for i in rows[1].item] == [(1, None)] and [(i.q, i.w) for i in rows[2].item] == [(2, None), (3, "a")] and rows[3].item is None
+    assert rows[1].code == "001" and rows[2].n == 2.5 and rows[2].ok is False

@@ -346,3 +346,37 @@ def test_ema_in_blocks_is_the_recurrence(spark, block_rows):
     assert got.keys() == want.keys()
     for at, values in want.items():
         assert got[at] == pytest.approx(values, rel=1e-12) if values[0] is not None else got[at] == values, at
+
+
+def test_stored_bars_need_no_shuffle(spark):
+    from quillbar.plans.bars import store_bars
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bars_db")
+    try:
+        rows = spark.range(2000).selectExpr("concat('s', id % 7) AS symbol", "timestamp_seconds(id * 60) AS ts", "cast(id % 31 + id % 7 AS double) AS close")
+        store_bars(rows, "bars_db.b", 4)
+        made = lambda df: ts.add_edge(ts.add_regime(ts.add_indicators(df)))
+        stored = made(spark.table("bars_db.b"))
+        assert stored._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+        assert sorted(map(str, stored.collect())) == sorted(map(str, made(rows).collect()))
+    finally:
+        spark.sql("DROP DATABASE bars_db CASCADE")
+
+
+def test_kept_sums_read_the_new_day_only(spark):
+    from quillbar.plans import kept_sums
+    from quillbar.sources import sinks
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS sums_db")
+    try:
+        rows = spark.range(900).selectExpr("date_add(DATE'2024-01-01', cast(id % 3 AS int)) AS day", "id % 11 AS k", "cast(id AS decimal(18,2)) AS v")
+        sinks.load_day(rows, "sums_db.raw", "day")
+        for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-02"):
+            new = spark.table("sums_db.raw").filter(F.col("day") == F.lit(day).cast("date"))
+            plan = new._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(day" in plan
+            kept_sums.add_days(new, "sums_db.sums", "day", ["k"], {"v": "v"})
+        got = {tuple(r) for r in kept_sums.totals(spark, "sums_db.sums", ["k"], ["v"]).collect()}
+        assert got == {tuple(r) for r in rows.groupBy("k").agg(F.sum("v"), F.count("v"), F.min("v"), F.max("v"), F.count(F.lit(1))).collect()}
+    finally:
+        spark.sql("DROP DATABASE sums_db CASCADE")

@@ -86,3 +86,31 @@ def test_retried_batch_leaves_no_duplicates(spark, tmp_path):
             shutil.copytree(state, state2, ignore=shutil.ignore_patterns("commits"))
             state = state2
     assert spark.read.parquet(good).count() == 1
+
+
+def test_signals_go_on_after_a_restart(spark, tmp_path):
+    """The stream, stopped in the middle, gives what the whole series gives at once."""
+    import random
+
+    from quillbar.operators import timeseries as ts
+    from quillbar.streaming.bars import start_bars
+    from quillbar.streaming.signals import stream_signals
+
+    rng = random.Random(6)
+    rows = [(s, i * 3600, None if i % 23 == 5 else float("nan") if i % 37 == 9 else 100 + 20 * rng.random() + (i // 40 % 2) * 15) for s in ("a", "b") for i in range(170)]
+    bars = spark.createDataFrame(rows, "symbol string, at bigint, close double").selectExpr("symbol", "timestamp_seconds(at) AS ts", "close")
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for part in ("at < 200000", "at >= 200000 AND at < 201000", "at >= 201000", "at = 3600"):
+        bars.withColumn("at", F.unix_timestamp("ts")).filter(part).drop("at").repartition(3).write.mode("append").parquet(source)
+        stream = stream_signals(spark.readStream.schema(bars.schema).parquet(source))
+        start_bars(stream, out, state).awaitTermination()
+    batch = ts.add_multifactor(ts.add_edge(ts.add_regime(ts.add_indicators(bars))), "multifactor")
+    names = ["sma20", "sma50", "rsi", "macd", "macd_signal", "signal", "edge", "multifactor"]
+    want = {(r.symbol, r.ts): [r[n] for n in names] for r in batch.collect()}
+    got = {(r.symbol, r.ts): [r[n] for n in names] for r in spark.read.parquet(out).collect()}
+    assert got.keys() == want.keys() and spark.read.parquet(out).count() == len(rows)
+    for at, values in want.items():
+        for a, b in zip(got[at], values):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9), (at, got[at], values)
+    last = {r.symbol: r.signal for r in ts.latest_crossover(bars).collect()}
+    assert last == {r.symbol: r.action for r in spark.read.parquet(out).filter(F.col("ts") == F.timestamp_seconds(F.lit(169 * 3600))).collect()}
