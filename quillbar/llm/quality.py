@@ -78,15 +78,18 @@ def standard_rules(text: str = "text") -> list[Rule]:
     count = lambda pattern: F.regexp_count(body, F.lit(pattern))
     length = F.length(body)
     lines = F.split(body, "\n", -1)
+    letters = length - F.length(F.regexp_replace(body, r"\p{L}+", ""))
+    # What a text must hold to fail is asked before anything is counted.
+    holds = lambda pattern: F.rlike(body, F.lit(pattern))
     return [
         Rule("no_words", ~F.rlike(body, F.lit(WORD))),
-        Rule("few_letters", count(r"\p{L}") < 0.5 * (length - count(BLANK))),
-        Rule("symbols", _share(count(SYMBOLS), count(WORD), 0.2)),
-        Rule("long_words", length - count(BLANK) > 40 * count(WORD)),
+        Rule("few_letters", letters < 0.5 * (length - count(BLANK))),
+        Rule("symbols", holds(SYMBOLS) & _share(count(SYMBOLS), count(WORD), 0.2)),
+        Rule("long_words", holds(r"[^\x20\x09-\x0D]{41}") & (length - count(BLANK) > 40 * count(WORD))),
         Rule("repeated_lines", let(F.filter(lines, lambda x: F.rlike(x, F.lit(WORD))), lambda a: (
             F.size(a) >= 4) & (F.size(a) - F.size(F.array_distinct(a)) > 0.5 * F.size(a)))),
-        Rule("shouting", (length >= 100) & (count(r"\p{Lu}") > 0.7 * count(r"\p{L}"))),
-        Rule("exclaiming", count(r"!") > 0.5 * count(WORD)),
+        Rule("shouting", (length >= 100) & (count(r"\p{Lu}") > 0.7 * letters)),
+        Rule("exclaiming", body.contains("!") & (count(r"!") > 0.5 * count(WORD))),
         Rule("ellipsis_lines", let(lines, lambda a: (F.size(a) >= 4) & (
             F.size(F.filter(a, lambda x: F.rlike(x, F.lit(r"(?:\.\.\.|…)\s*$")))) > 0.5 * F.size(a)))),
     ]
