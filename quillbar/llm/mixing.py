@@ -47,12 +47,38 @@ def _uniform(identity: list[Column], seed: str) -> Column:
     return (digits + 0.5) / float(2**52)
 
 
+def by_length(size: Column) -> Column:
+    """An appetite for longer documents: 1 below 50 words, 2 below 500, else 3."""
+    return F.when(size >= 500, 3.0).when(size >= 50, 2.0).otherwise(1.0)
+
+
+def _rates(narrow: DataFrame, sources: DataFrame, stop: int) -> DataFrame:
+    """``_s, _per``: the factor on the appetite at which a source's expected copies, ``stop`` at most for each document, make up its target.
+
+    By falling appetite, documents at ``stop`` are a prefix, so running sums over the levels of the appetite give the factor. One
+    row per source and level passes the windows.
+    """
+    levels = narrow.groupBy("source", "_x").agg(F.sum("size").alias("s"))
+    same = F.col("source").eqNullSafe(F.col("_t"))
+    levels = levels.join(sources.select(F.col("source").alias("_t"), "target", "source_size"), same).drop("_t")
+    whole = Window.partitionBy("source")
+    above = whole.orderBy(F.col("_x").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.sum(F.col("s") * F.col("_x")).over(whole) - F.coalesce(F.sum(F.col("s") * F.col("_x")).over(above), F.lit(0.0))
+    rate = F.try_divide(F.col("target") - float(stop) * F.coalesce(F.sum("s").over(above), F.lit(0)), left)
+    rated = levels.select("source", "source_size", "_x", rate.alias("rate"))
+    found = F.max_by("rate", F.when(F.col("rate") * F.col("_x") < stop, F.col("_x")))
+    # Every document at ``stop``: any large factor.
+    per = F.when(F.max("source_size") == 0, 0.0).otherwise(F.coalesce(F.when(F.min(F.col("rate") * F.col("_x")) < stop, found), F.lit(1e300)))
+    return rated.groupBy("source").agg(per.alias("_per")).withColumnRenamed("source", "_s")
+
+
 def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, stop: int = 2, text: str = "text",
         appetite: Column | None = None, seed: str = "mix") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (size times copies).
 
-    A document expects target / source_size copies, times its ``appetite`` relative to the mean of its source, at most
-    ``stop``. The whole part is certain. The fraction p is an inclusion probability: documents are ranked by
+    A document expects copies in proportion to its ``appetite`` (positive, of few different values, such as ``by_length``; it may use the
+    column ``size``), at most ``stop``, and so many that a source's expected words are its target; without an appetite all documents
+    of a source expect the same. The whole part is certain. The fraction p is an inclusion probability: documents are ranked by
     (u / (1 - u)) / (p / (1 - p)) with u from an MD5 of ``doc_id``, and the sample is the head of that order whose words
     come nearest to what the certain copies leave of the target. The end of the sample is found from sums per rank bucket
     and then inside one bucket, so no source is ever sorted whole, and each row is decided on its own against its
@@ -64,14 +90,12 @@ def mix(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, s
     """
     made = ["size", "source_size", "target", "copies", "taken"]
     own = [c for c in docs.columns if c not in made]
-    base = docs.select(*own, word_size(text).alias("size"), (F.lit(1.0) if appetite is None else appetite).alias("_x"))
+    base = docs.select(*own, word_size(text).alias("size")).select("*", (F.lit(1.0) if appetite is None else appetite.cast("double")).alias("_x"))
     key = [_uniform([F.col("doc_id")], seed).alias("_u"), F.xxhash64(whole(text)).alias("_tie")]
     narrow = Scratch(docs.sparkSession, "mixing").save(base.select("source", "size", "_x", *key), "sizes")
     sources = source_targets(narrow, list(weights), share, stop)
-    means = narrow.groupBy("source").agg(F.try_divide(F.sum(F.col("size") * F.col("_x")), F.sum("size")).alias("_mean"))
-    sources = sources.join(means.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("source").alias("_source"), "source_size", "target",
-        F.try_divide(F.col("target"), F.col("source_size") * F.col("_mean")).alias("_per"))
+    rates = _rates(narrow, sources, stop)
+    sources = sources.join(rates, F.col("source").eqNullSafe(F.col("_s")), "left").select(F.col("source").alias("_source"), "source_size", "target", "_per")
 
     def ranked(rows: DataFrame) -> DataFrame:
         expected = F.least(F.lit(float(stop)), F.coalesce(F.col("_per") * F.col("_x"), F.lit(0.0)))

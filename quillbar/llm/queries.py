@@ -107,7 +107,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mix_sources", MIXING_SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, appetite=mixing.by_length(F.col("size"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op11_periodic_runs")

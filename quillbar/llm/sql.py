@@ -15,14 +15,20 @@ FROM n JOIN kept k ON n.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY 1, 2"""
 MIXING_SQL = r"""
 WITH docs AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
               (CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM documents),
+liked AS (SELECT *, CASE WHEN size >= 500 THEN 3.0::DOUBLE WHEN size >= 50 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS x FROM docs),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
 w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w, source_size * 2.0::DOUBLE AS cap FROM per),
 lev AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0.0::DOUBLE)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0.0::DOUBLE)) AS level
   FROM w WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 fill AS (SELECT *, w * level >= cap AS is_full FROM lev),
 tgt AS (SELECT source, source_size, CASE WHEN is_full THEN cap ELSE w * (SELECT first(level ORDER BY cap / w, source NULLS LAST) FROM fill WHERE NOT is_full) END AS target FROM fill),
-e AS (SELECT d.*, t.source_size, t.target, least(2.0::DOUBLE, coalesce(t.target / nullif(t.source_size * 1.0::DOUBLE, 0), 0.0::DOUBLE)) AS e
-  FROM docs d JOIN tgt t ON d.source IS NOT DISTINCT FROM t.source),
+levels AS (SELECT source, x, CAST(sum(size) AS DOUBLE) AS s FROM liked GROUP BY source, x),
+rated AS (SELECT l.source, l.x, (t.target - 2.0::DOUBLE * coalesce(sum(l.s) OVER above, 0.0::DOUBLE))
+    / nullif(sum(l.s * l.x) OVER (PARTITION BY l.source) - coalesce(sum(l.s * l.x) OVER above, 0.0::DOUBLE), 0) AS rate
+  FROM levels l JOIN tgt t ON l.source IS NOT DISTINCT FROM t.source WINDOW above AS (PARTITION BY l.source ORDER BY l.x DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+factor AS (SELECT source, coalesce(arg_max(rate, x) FILTER (WHERE rate * x < 2), 1e300::DOUBLE) AS per FROM rated GROUP BY source),
+e AS (SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size = 0 THEN 0.0::DOUBLE ELSE least(2.0::DOUBLE, f.per * d.x) END AS e
+  FROM liked d JOIN tgt t ON d.source IS NOT DISTINCT FROM t.source JOIN factor f ON d.source IS NOT DISTINCT FROM f.source),
 q AS (SELECT *, CAST(floor(e) AS BIGINT) AS sure, e - floor(e) AS p FROM e),
 r AS (SELECT *, CASE WHEN sure >= 2 THEN NULL WHEN p > 0 THEN u / (1 - u) * (1 - p) / p ELSE 1e300 * u END AS q,
   target - sum(size * sure) OVER (PARTITION BY source) AS rest FROM q),
