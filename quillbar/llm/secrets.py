@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillbar.llm.common import computed_once, let, whole
+from quillbar.llm.common import Scratch, computed_once, let, whole
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,8 @@ def unseen_blobs(blobs: DataFrame, rules: list[SecretRule], ledger: DataFrame |
 def scan(versions: DataFrame, rules: list[SecretRule] | None = None, ledger: DataFrame | None = None, path: str = "path",
          content: str = "content") -> DataFrame:
     """New ledger rows: (``blob_id``, ``rule_key``, ``kind``, ``found``: array of (start, end)), one per blob and rule version that
-    ``ledger`` does not have, those without findings included. Append them to the ledger for the next scan.
+    ``ledger`` does not have, those without findings included. Append them to the ledger for the next scan. Null contents are empty, texts
+    of any length are scanned whole, repeated contents once. Empty input: empty result.
     """
     rules = RULES if rules is None else rules
     todo = unseen_blobs(blob_versions(versions, path, content), rules, ledger)
@@ -118,17 +119,36 @@ def _ledger_rows(found: DataFrame, rules: list[SecretRule]) -> DataFrame:
         F.expr("transform(filter(found, x -> x.kind = kind), x -> struct(x.start as start, x.end as end))").alias("found"))
 
 
-def findings_by_path(versions: DataFrame, rules: list[SecretRule] | None = None, path: str = "path", content: str = "content",
-                     salts: int = 16) -> DataFrame:
-    """(``path``, ``blob_id``, ``found``): every version with the spans of its content, an empty array where nothing was found.
+def findings(versions: DataFrame, ledger: DataFrame, rules: list[SecretRule] | None = None, path: str = "path", content: str = "content",
+             salts: int = 16) -> DataFrame:
+    """(``path``, ``blob_id``, ``found``): every version with the spans that ``ledger`` has for its content under ``rules``, an empty array
+    where there are none.
 
     Only blobs with findings are joined back. Their rows are narrow and repeated ``salts`` times, so that the paths of one
-    blob are spread over as many tasks. Repeated rows each come back; null paths stay.
+    blob are spread over as many tasks. Repeated rows each come back; null paths stay. Rows of the ledger for other contents or
+    rule versions do not count. Empty input: empty result.
+    """
+    rules = RULES if rules is None else rules
+    spans_type = "array<struct<start:int,place:int,kind:string,end:int>>"
+    place = F.element_at(F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))]), F.col("rule_key"))
+    told = ledger.filter(F.col("rule_key").isin([r.key for r in rules]) & (F.size("found") > 0)).select(
+        "blob_id", F.transform("found", lambda s: F.struct(s["start"].alias("start"), place.alias("place"), F.col("kind"), s["end"].alias("end"))).alias("found"))
+    # As many rows to a blob as there are rules.
+    per = told.distinct().groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("found"))).cast(spans_type).alias("found"))
+    per = per.select("blob_id", "found", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    paths = blob_versions(versions, path, content).select("path", "blob_id", F.pmod(F.xxhash64("path"), F.lit(salts)).cast("int").alias("salt"))
+    joined = paths.join(per, ["blob_id", "salt"], "left")
+    return joined.select("path", "blob_id", F.coalesce("found", F.expr(f"cast(array() as {spans_type})")).alias("found"))
+
+
+def findings_by_path(versions: DataFrame, rules: list[SecretRule] | None = None, path: str = "path", content: str = "content",
+                     salts: int = 16, ledger: DataFrame | None = None) -> DataFrame:
+    """(``path``, ``blob_id``, ``found``) as in ``findings``, from ``ledger`` and a scan of what it does not have yet.
+
+    The unseen (blob, rule version) pairs are scanned and written down as new ledger rows in the shared scratch folder; all paths then get
+    their spans from the ledger and these rows, paths new to a known blob included. Null contents are empty, a text of any length is
+    scanned whole. Without a ledger, or with an empty one, every blob is new.
     """
     rules = RULES if rules is None else rules
-    blobs = blob_versions(versions, path, content)
-    found = scanned(unseen_blobs(blobs, rules, None), rules).filter(F.size("found") > 0)
-    found = found.select("blob_id", "found", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    paths = blobs.select("path", "blob_id", F.pmod(F.xxhash64("path"), F.lit(salts)).cast("int").alias("salt"))
-    joined = paths.join(found, ["blob_id", "salt"], "left")
-    return joined.select("path", "blob_id", F.coalesce("found", F.expr("cast(array() as array<struct<start:int,place:int,kind:string,end:int>>)")).alias("found"))
+    new = Scratch(versions.sparkSession, "secrets").save(scan(versions, rules, ledger, path, content), "ledger")
+    return findings(versions, new if ledger is None else ledger.select(*new.columns).unionByName(new), rules, path, content, salts)
