@@ -33,8 +33,9 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their copies."""
-    return mixing.mix(docs).filter("copies > 0")
+    """The documents that the mix takes, with their copies; longer ones are likelier. Null and blank texts have no words, so that they
+    neither fill a target nor are drawn for one."""
+    return mixing.mix(docs, appetite=mixing.by_length(F.col("size"))).filter("copies > 0")
 
 
 STAGES = [
