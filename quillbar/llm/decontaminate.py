@@ -3,8 +3,8 @@
 Text becomes words: ASCII letters in lower case, other ASCII characters but digits as blanks. The CGK embedding reads a window of
 words with a pointer: step j writes the word under it and moves on by a random bit of (step, word). Two windows at a small edit
 distance fall into step again after each edit, so their embeddings agree at most steps. Each table samples ``SAMPLES`` steps and
-matches windows whose words there equal an item's. ``WALKS`` independent walks with ``TABLES`` tables each never miss an unchanged item,
-but more and more of longer items with up to ``EDITS`` of their words edited. So each item is also cut into one piece more than
+matches windows whose words there equal an item's. Walks and tables grow with the window (``walks_of``, ``tables_of``), so that they alone find nine of ten
+items with up to ``EDITS`` of their words edited, and every unchanged one. For the rest each item is also cut into one piece more than
 the edits it may have: an edit touches one piece at most, so a piece stays whole in every occurrence that counts, and no edits within the limit
 hide an item. A pair of window and item that matches in a table or a piece is confirmed by exact edit distance.
 
@@ -26,7 +26,7 @@ from quillbar.llm.common import mixed, span_hashes
 
 SAMPLES, TABLES, WALKS = 4, 4, 4
 EDITS = 0.2  # of the item's words, rounded down
-MIN_WORDS = 8  # shorter items are not told from chance and are left out
+MIN_WORDS = 8  # shorter items are found as they are only, and do not make a document unclean by default
 CHUNK_BYTES = 2 << 20
 ITEM_BYTES = 16 << 20  # of item text that one pass over the documents carries
 MERGE_STEPS = {3 * 2**k - 1 for k in range(30)}
@@ -35,11 +35,34 @@ _BLANKED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or
 _SLOTS = 1 << 16
 
 
+def tables_of(size: int) -> int:
+    """Tables of a walk for windows of ``size`` words, so that the walks alone find nine of ten items with all the edits allowed: an edit more
+    leaves a sampled step in place less often."""
+    return TABLES * max(1, size // 16) * WALKS // walks_of(size)
+
+
+def walks_of(size: int) -> int:
+    return WALKS * (2 if size >= 64 else 1)
+
+
+def _single(stream: np.ndarray) -> np.ndarray:
+    """Which bytes begin a character of a script without blanks (kana, Chinese, Thai, Lao, Burmese, Khmer); each is a word, of three bytes."""
+    after = np.r_[stream[1:], np.uint8(0)]
+    return ((stream >= 0xE3) & (stream <= 0xE9)) | ((stream == 0xE0) & (after >= 0xB8) & (after <= 0xBB)) | (
+        (stream == 0xE1) & ((after <= 0x82) & (after >= 0x80) | (after == 0x9E) | (after == 0x9F)))
+
+
 def words_of(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of each word of a blanked byte stream."""
     inside = np.r_[False, stream != 32, False]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
+    if len(stream) and stream.max() >= 0xE0:
+        alone = np.flatnonzero(_single(stream))
+        if len(alone):
+            behind = np.minimum(alone + 3, len(stream))
+            starts = np.unique(np.concatenate([starts, alone, behind[(behind < len(stream)) & (stream[np.minimum(behind, len(stream) - 1)] != 32)]]))
+            ends = np.minimum(np.r_[starts[1:], len(stream)], ends[np.searchsorted(ends, starts, "right")])
     return span_hashes(stream, starts, ends), starts, ends
 
 
@@ -90,7 +113,8 @@ def _next_key(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 
 
 def allowed_edits(n_words: int) -> int:
-    return int(EDITS * n_words)
+    """Short items are told from chance only as they are."""
+    return int(EDITS * n_words) if n_words >= MIN_WORDS else 0
 
 
 @dataclass
@@ -107,20 +131,23 @@ class Pieces:
 class Index:
     """Items, the tables of all walks, and the pieces."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least_words: int = 1):
         found = [(i, item_words(t)) for i, t in items]
-        found = [(i, w) for i, w in found if len(w) >= MIN_WORDS]
+        found = [(i, w) for i, w in found if len(w) >= least_words]
         self.ids, self.words = [i for i, _ in found], [w for _, w in found]
         self.vocabulary = np.unique(np.concatenate(self.words)) if found else np.zeros(0, np.uint64)
         sizes = np.array([window_size(len(w)) for w in self.words], int)
         rng = np.random.default_rng(11)
         self.walks: list[list[Table]] = []
-        for walk in range(WALKS):
+        large = np.unique(sizes[sizes >= MIN_WORDS])
+        for walk in range(max(map(walks_of, large.tolist()), default=0)):
             tables = []
-            for size in np.unique(sizes):
+            for size in large:
+                if walk >= walks_of(int(size)):
+                    continue
                 own = np.flatnonzero(sizes == size)
                 places = [embedding(self.words[k][:size], walk, _steps(size), size) for k in own]
-                for _ in range(TABLES):
+                for _ in range(tables_of(int(size))):
                     table = Table(int(size), np.sort(rng.choice(_steps(size), SAMPLES, replace=False)))
                     key = np.zeros(len(own), np.uint64)
                     for step in table.steps:
@@ -195,7 +222,7 @@ class Index:
             place, group = np.arange(n, dtype=np.int32), None  # of each walk; the walk of each window
             alive: list = [None] * len(tables)  # windows left, and their keys
             done = [0] * len(tables)
-            for step in range(1 + max(int(t.steps[-1]) for t in tables)):
+            for step in range(1 + max((int(t.steps[-1]) for t in tables), default=-1)):
                 if step % 64 == 0:
                     bits = np.r_[_step_hash(words, walk, step), np.uint64(0)]
                 for k, table in enumerate(tables):
@@ -320,13 +347,13 @@ def _clean(batches: Iterator[pa.RecordBatch], index: Index, text: str) -> Iterat
         yield batch.filter(pa.array(keep))
 
 
-def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Index]:
-    """The items, in blocks of about ``ITEM_BYTES`` of text, so that what the driver holds and tasks get is bounded."""
+def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", least_words: int = 1) -> Iterator[Index]:
+    """The items of ``least_words`` words or more, in blocks of about ``ITEM_BYTES`` of text, so that what the driver holds and tasks get is bounded."""
     items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = size // ITEM_BYTES + 1
     for block in range(blocks):
-        yield Index(sorted(((r.i, r.t) for r in items.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).collect()), key=str))
+        yield Index(sorted(((r.i, r.t) for r in items.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block).collect()), key=str), least_words)
 
 
 FOUND = "doc_id bigint, item_id bigint, edits int, n_item_words int, start int, end int"
@@ -335,8 +362,9 @@ FOUND = "doc_id bigint, item_id bigint, edits int, n_item_words int, start int,
 def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, edits, n_item_words, start, end`` of each item found in each row of ``docs``, at its closest occurrence.
 
-    Offsets are code points, end exclusive. Null and empty texts and items match nothing; items with under ``MIN_WORDS`` words are left out;
-    equal items and repeated rows are reported each. An empty side gives no rows.
+    Offsets are code points, end exclusive. Null and empty texts and items match nothing; items with under ``MIN_WORDS`` words are found
+    where all their words stand in order, unedited; a character of a script without blanks is a word. Equal items and repeated
+    rows are reported each. An empty side gives no rows.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     out = None
@@ -346,8 +374,9 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item is found, all columns as they are."""
-    for index in item_blocks(benchmark):
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", least_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` in which no item of ``least_words`` words or more is found, all columns as they are. A few words stand in clean
+    documents too, so shorter items count only if asked for. Null and empty texts stay, and so do repeated rows; without items all rows stay."""
+    for index in item_blocks(benchmark, least_words=least_words):
         docs = docs.mapInArrow(lambda batches, index=index: _clean(batches, index, text), docs.schema)
     return docs

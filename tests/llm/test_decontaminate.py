@@ -78,6 +78,35 @@ def test_no_match_is_missed_at_the_limit():
             assert least <= int(dc.EDITS * n) and got[d, d // 2] == least
 
 
+def test_the_walks_alone_find_nine_of_ten():
+    """With all the edits allowed, before the pieces are asked; the pieces find the rest (the test above)."""
+    found = total = 0
+    for n in (9, 15, 20, 30, 40, 60, 100, 200):
+        items = [(i, prose(n)) for i in range(60)]
+        index = dc.Index([(i, " ".join(w)) for i, w in items])
+        hits = 0
+        for k, (_, w) in enumerate(items):
+            words = dc.item_words(" ".join(prose(20) + edited(w, int(dc.EDITS * n)) + prose(20)))
+            hits += k in set(index.candidates(words)[1].tolist())
+        assert hits >= 0.8 * len(items), n
+        found, total = found + hits, total + len(items)
+    assert found >= 0.9 * total
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    chinese, thai = "今天天气很好我们一起去公园散步吧", "วันนี้อากาศดีมาก"
+    items = [(1, "forty two"), (2, "rare"), (3, chinese), (4, thai), (5, "two six four nine ten"), (6, "东西")]
+    other = chinese[:6] + "坏" + chinese[7:]
+    docs = [(1, "The answer is Forty, two!"), (2, "forty and two; rarely"), (3, f"他说{chinese}。abc"), (4, f"x{other}y"), (5, f"คำ {thai}ครับ"), (6, "two six four nine eleven"),
+            (7, "A RARE thing: two six. Four nine ten"), (8, "东 西 é東西")]
+    got = run(spark, items, docs)
+    assert set(got) == {(1, 1), (3, 3), (4, 3), (5, 4), (7, 2), (7, 5), (8, 6)}
+    assert (got[3, 3].start, got[3, 3].end, got[3, 3].edits) == (2, 2 + len(chinese), 0) and got[4, 3].edits == 1
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert sorted(r.doc_id for r in dc.clean(df, bench).collect()) == [1, 2, 6, 7, 8]
+    assert sorted(r.doc_id for r in dc.clean(df, bench, least_words=1).collect()) == [2, 6]
+
+
 def test_a_chunk_without_candidates():
     index = dc.Index([(1, " ".join(prose(40)))])
     assert list(dc.matches(index, [b"nothing here", b"", b"at all"])) == [] and list(dc.matches(index, [b"", b" . "])) == []
