@@ -1,18 +1,17 @@
-"""Remove lines and sentences that an earlier ranked document already has, by digests of normalised units.
-
-A unit is a line, or a sentence inside a line of several: a passage that was pasted into the middle of a line still repeats whole
-sentences. A sentence too short for that counts together with its neighbours: the shortest runs of adjacent sentences from it onwards and
-up to it that have enough words. So sentences that repeat in the same order are units whatever their length. Passages that start and end
-inside longer sentences hold none of these, so lines are cut a second time by content, at each word whose hash, with that of the word
-before, is the least of its neighbourhood: inside a copy the cuts fall between the same words, and runs of these stretches are units too. Units are compared in lower case with one space between words. Of equal units the first one in the document with the
-smallest id stays; all others are removed. Spans are code point offsets into the original text, end exclusive.
+"""Remove lines, sentences and stretches that an earlier ranked document already has, by digests of normalised units.
+
+The units of a text do not overlap. A line is cut at the ends of sentences, and inside a sentence by content: at each word whose hash, with that
+of the word before, is the least of its neighbourhood within the sentence, so that the cuts of a passage that starts and ends inside longer
+sentences fall between the same words in every copy. A unit of enough words is known by its own words. A shorter one is known by the shortest run of
+units of its line with enough words that starts with it, else that ends with it, else by its line, and by its place in there: it is a
+repeat only where its neighbours repeat with it. So each unit has one digest, equal digests mean equal words, and of the units with one digest
+the first one in the document with the smallest id stays, whole: no other digest can remove it. All others go. Lines with fewer words than a sentence
+needs are one unit, very short lines none. Words compare in lower case whatever blanks are between them; scripts without blanks count by
+characters. Spans are code point offsets into the original text, end exclusive.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,104 +20,168 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbar.llm.common import Scratch, mixed
+from quillbar.llm.common import Scratch, mixed, powers, span_hashes
 
 # Shorter units repeat by chance.
 LINE_WORDS = 5
 SENTENCE_WORDS = 8
 NEIGHBOURS = 6  # words on each side among which a cut has the least hash
-_LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"[^.!?。！？｡]+[.!?。！？｡]*")
-_WORD = re.compile(r"\S+")
-# Scripts without blanks: so many characters count as a word.
-_UNSPACED = [(2, re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")),
-             (4, re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"))]
-UNIT = "uid bigint, doc_id bigint, tag bigint, n_chars int, start int, stop int, again boolean, d1 bigint, d2 bigint"
-
-
-def n_words(text: str) -> int:
-    """Words between blanks, or by the characters of scripts without blanks where that is more."""
-    blanked = len(text.split())
-    return blanked if text.isascii() else max(blanked, sum(len(p.findall(text)) // n for n, p in _UNSPACED))
-
-
-def _runs(sizes: list[int], least: int) -> Iterator[tuple[int, int]]:
-    """(first, last) of each sentence with enough words, and of the shortest runs with enough that start or end at each other one."""
-    for k, size in enumerate(sizes):
-        if size >= least:
-            yield k, k
-        elif size:
-            for way in (1, -1):
-                at, total = k, size
-                while total < least and 0 <= at + way < len(sizes):
-                    at += way
-                    total += sizes[at]
-                if total >= least:
-                    yield min(k, at), max(k, at)
-
-
-def _cuts(text: str, line: tuple[int, int], least: int) -> tuple[list[tuple[int, int]], list[int]]:
-    """Spans of the words of a line, and the numbers of those where it is cut by content; none in lines of under two units."""
-    found = list(_WORD.finditer(text, *line))
-    words = [m[0] for m in found]
-    if len(words) < 2 * least:
-        return [], []
-    codes = [zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) for w in words]
-    pairs = np.array(codes[1:], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.array(codes[:-1], np.uint64)
-    pairs = mixed(pairs)
-    least_near = np.lib.stride_tricks.sliding_window_view(pairs, 2 * NEIGHBOURS + 1).min(1) if len(pairs) > 2 * NEIGHBOURS else pairs[:0]
-    cuts = np.flatnonzero(pairs[NEIGHBOURS:len(pairs) - NEIGHBOURS] == least_near) + NEIGHBOURS + 1 if len(least_near) else []
-    return ([m.span() for m in found], list(map(int, cuts))) if len(cuts) > 1 else ([], [])
-
-
-def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(start, stop, digest) of the lines, and of runs of sentences and of stretches between cuts, with enough words, without the blanks around
-    them, each span once."""
-
-    def unit(start: int, stop: int):
-        body = text[start:stop]
-        start += len(body) - len(body.lstrip())
-        digest = hashlib.blake2b(" ".join(body.lower().split()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        return start, start + len(body.strip()), digest
-
-    for line in _LINE.finditer(text):
-        whole = [line.span()] if n_words(line[0]) >= line_words else []
-        sentences = [m.span() for m in _SENTENCE.finditer(text, *line.span())]
-        sizes = [n_words(text[a:b]) for a, b in sentences] if len(sentences) > 1 else []
-        spans = whole + [(sentences[a][0], sentences[b][1]) for a, b in _runs(sizes, sentence_words)]
-        places, cuts = _cuts(text, line.span(), sentence_words)
-        spans += [(places[cuts[a]][0], places[cuts[b + 1] - 1][1]) for a, b in _runs([y - x for x, y in zip(cuts, cuts[1:])], sentence_words)]
-        # In order of their starts, so that of equal units the first place is the one that stays.
-        yield from sorted({unit(*s) for s in set(spans)})
+# Characters of text that are cut at a time; a longer line is cut by itself.
+STRETCH = 1 << 20
+# Scripts without blanks: each character is a token, and so many quarters of a word. Punctuation of full width counts nothing.
+_WORD = 4
+_UNSPACED = [(2, 0x3040, 0x30FF), (2, 0x3400, 0x4DBF), (2, 0x4E00, 0x9FFF), (2, 0xF900, 0xFAFF), (2, 0x20000, 0x3FFFF),
+             (1, 0x0E00, 0x0EFF), (1, 0x1000, 0x109F), (1, 0x1780, 0x17FF),
+             (0, 0x3001, 0x303F), (0, 0xFF01, 0xFF0F), (0, 0xFF1A, 0xFF20), (0, 0xFF5B, 0xFF65)]
+_ENDERS = np.array([ord(c) for c in ".!?。！？｡"], np.uint32)
+_BLANK = np.array([chr(c).isspace() for c in range(0x3001)])
+_PAIR, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_PAIR_INVERSE = np.uint64(pow(int(_PAIR), -1, 2**64))
+UNIT = "uid bigint, doc_id bigint, tag bigint, n_chars int, start int, stop int, reach int, again boolean, d1 bigint, d2 bigint"
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+
+
+def _tokens(text: str) -> tuple[np.ndarray, ...]:
+    """Starts, ends, quarters of words, whether it ends a sentence, hash and line of each token."""
+    # The only letter whose small form is longer.
+    text = text.replace("İ", "i").lower()
+    stream = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    if text.isascii():
+        codes, at = stream, None
+        quarters = None
+        blank = _BLANK[codes]
+        edge = np.concatenate([[True], blank, [True]])
+        opens, closes = ~blank & edge[:-2], ~blank & edge[2:]
+    else:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = np.append(np.flatnonzero((stream & 0xC0) != 0x80), len(stream))
+        blank = _BLANK[np.minimum(codes, 0x3000)] & (codes <= 0x3000)
+        quarters = np.full(len(codes), _WORD, np.int8)
+        for quarter, low, high in _UNSPACED:
+            quarters[(codes >= low) & (codes <= high)] = quarter
+        edge = np.concatenate([[True], blank | (quarters < _WORD), [True]])
+        opens, closes = ~blank & (edge[:-2] | edge[1:-1]), ~blank & (edge[2:] | edge[1:-1])
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    weights = np.full(len(starts), _WORD, np.int64) if quarters is None else quarters[starts].astype(np.int64)
+    hashes = span_hashes(stream, starts, ends) if at is None else span_hashes(stream, at[starts], at[ends])
+    return starts, ends, weights, np.isin(codes[ends - 1], _ENDERS), hashes, np.searchsorted(np.flatnonzero(codes == 10), starts)
+
+
+def _first_of_each(labels: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.ones(min(1, len(labels)), bool), labels[1:] != labels[:-1]])
+
+
+def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> tuple[np.ndarray, ...]:
+    """Start and stop of each unit, without the blanks around it, where the next unit of its line starts, and its digest in two halves."""
+    starts, ends, weights, closing, hashes, line = _tokens(text)
+    n, need = len(starts), _WORD * sentence_words
+    if not n:
+        return tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    lines = _first_of_each(line)
+    cuts = lines.copy()
+    cuts[1:] |= closing[:-1] & (weights[1:] > 0)
+    width = 2 * NEIGHBOURS + 1
+    if n > width:
+        sentence = np.cumsum(cuts)
+        pairs = mixed(hashes[1:] * _PAIR + hashes[:-1])
+        least = np.lib.stride_tricks.sliding_window_view(pairs, width).min(1)
+        inside = sentence[:-width] == sentence[width:]
+        cuts[NEIGHBOURS + 1:n - NEIGHBOURS] |= (pairs[NEIGHBOURS:len(pairs) - NEIGHBOURS] == least) & inside
+    so_far = np.concatenate([[0], np.cumsum(weights)])
+    of_line = np.cumsum(lines) - 1
+    line_at = np.flatnonzero(lines)
+    line_end = np.append(line_at[1:], n)
+    in_line = so_far[line_end] - so_far[line_at]
+    first = np.flatnonzero(lines | cuts & (in_line >= need)[of_line])
+    last = np.append(first[1:], n)
+    home = of_line[first]
+
+    # The run each unit is known by.
+    onward = np.searchsorted(so_far[last], so_far[first] + need)
+    fits = np.minimum(onward, len(first) - 1)
+    ahead = (onward < len(first)) & (home[fits] == home)
+    back = np.searchsorted(so_far[first], so_far[last] - need, "right") - 1
+    behind = (back >= 0) & (home[np.maximum(back, 0)] == home)
+    run_at = np.where(ahead, first, np.where(behind, first[np.maximum(back, 0)], line_at[home]))
+    run_end = np.where(ahead, last[fits], np.where(behind, last, line_end[home]))
+    place = mixed(((run_end - run_at) * 3 + (first - run_at) * 5).astype(np.uint64) * _PLACE + (last - first).astype(np.uint64))
+    digests = []
+    for values in (hashes, mixed(hashes ^ _PLACE)):
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * powers(_PAIR, n), out=total[1:])
+        digests.append(mixed((total[run_end] - total[run_at]) * powers(_PAIR_INVERSE, n)[run_at] + place))
+    stop = ends[last - 1]
+    reach = np.where(np.append(home[1:] == home[:-1], False), np.append(starts[first[1:]], 0), stop)
+    counts = in_line[home] >= _WORD * line_words
+    return tuple(x[counts] for x in (starts[first], stop, reach, *digests))
+
+
+def _stretches(texts: list[str]) -> Iterator[tuple[int, int, str]]:
+    """(number of the text, offset, part), cut at line ends into parts of STRETCH characters; a longer line stays whole."""
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            stop = len(text) if len(text) - at <= STRETCH else text.find("\n", at + STRETCH) + 1 or len(text)
+            yield k, at, text[at:stop]
+            at = stop
+
+
+def _units_of(texts: list[str], line_words: int, sentence_words: int) -> tuple[np.ndarray, ...]:
+    """The number of its text and ``units`` of each unit of all texts, in order; offsets into its own text."""
+    found, held, size = [], [], 0
+
+    def cut():
+        lengths = np.array([len(part) + 1 for _, _, part in held])
+        begins = np.cumsum(lengths) - lengths
+        start, stop, reach, d1, d2 = units("\n".join(part for _, _, part in held), line_words, sentence_words)
+        which = np.searchsorted(begins, start, "right") - 1
+        shift = (np.array([at for _, at, _ in held]) - begins)[which]
+        found.append((np.array([k for k, _, _ in held])[which], start + shift, stop + shift, reach + shift, d1, d2))
+
+    for part in _stretches(texts):
+        held.append(part)
+        size += len(part[2])
+        if size >= STRETCH:
+            cut()
+            held, size = [], 0
+    if held:
+        cut()
+    if not found:
+        return tuple(np.zeros(0, kind) for kind in (np.int64,) * 4 + (np.uint64,) * 2)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _units(batches: Iterator[pa.RecordBatch], line_words: int, sentence_words: int) -> Iterator[pa.RecordBatch]:
     uid = TaskContext.get().partitionId() << 33
     names = [c.split()[0] for c in UNIT.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
     for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for doc_id, tag, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "text")), strict=True):
-            text = text or ""
-            rows = [(uid, doc_id, tag, len(text), None, None, None, None, None)]
-            met = set()
-            for start, stop, digest in units(text, line_words, sentence_words):
-                rows.append((uid, doc_id, tag, None, start, stop, digest in met, int.from_bytes(digest[:8], "big", signed=True),
-                             int.from_bytes(digest[8:], "big", signed=True)))
-                met.add(digest)
-            for column, values in zip(out, zip(*rows, strict=True), strict=True):
-                column.extend(values)
-            uid += 1
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        n, doc_id = len(texts), batch.column("doc_id")
+        nothing = [pa.nulls(n, kind) for kind in _KINDS[4:]]
+        columns = [pa.array(np.arange(uid, uid + n)), doc_id, batch.column("tag"), pa.array([len(t) for t in texts], pa.int32()), *nothing]
+        yield pa.RecordBatch.from_arrays(columns, names)
+        which, start, stop, reach, d1, d2 = _units_of(texts, line_words, sentence_words)
+        order = np.lexsort((start, d2, d1, which))
+        same = [x[order][1:] == x[order][:-1] for x in (which, d1, d2)]
+        again = np.zeros(len(which), bool)
+        again[order[1:]] = same[0] & same[1] & same[2]
+        units_n = len(which)
+        columns = [pa.array(uid + which), doc_id.take(pa.array(which)), pa.nulls(units_n, pa.int64()), pa.nulls(units_n, pa.int32()),
+                   *[pa.array(x.astype(np.int32)) for x in (start, stop, reach)], pa.array(again), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names)
+        uid += n
+
+
+def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans (start, stop, reach) as few (start, stop): what lies up to a span's reach are blanks, which go where both sides go."""
     out: list[tuple[int, int]] = []
-    for start, stop in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(stop, out[-1][1]))
+    far = -1
+    for start, stop, reach in sorted(spans):
+        if start <= far:
+            out[-1] = (out[-1][0], stop)
         else:
             out.append((start, stop))
+        far = reach
     return out
 
 
@@ -127,7 +190,7 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gone, kept, chars = [], [], []
         for n, spans in zip(batch.column("n_chars").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            out = merged([(s["start"], s["stop"]) for s in spans])
+            out = merged([(s["start"], s["stop"], s["reach"]) for s in spans])
             edges = [0, *(x for s in out for x in s), n]
             rest = [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
             gone.append([{"start": a, "stop": b} for a, b in out])
@@ -155,9 +218,9 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", line
     first = spans.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
     first = scratch.save(first, "first")
     extra = spans.join(first, ["d1", "d2"]).filter(F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("first")))
-    removed = extra.groupBy("uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"), F.array_sort(F.collect_set("first")).alias("first_docs"))
+    removed = extra.groupBy("uid").agg(F.collect_list(F.struct("start", "stop", "reach")).alias("spans"), F.array_sort(F.collect_set("first")).alias("first_docs"))
     counts = found.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("tag").alias("tag"), F.max("n_chars").alias("n_chars"), F.count("start").alias("n_units"))
-    none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
+    none = F.expr("cast(array() as array<struct<start:int,stop:int,reach:int>>)")
     per = counts.join(removed, "uid", "left").select("doc_id", "tag", "n_chars", "n_units", F.coalesce("spans", none).alias("spans"),
                                                           F.coalesce("first_docs", F.array().cast("array<bigint>")).alias("first_docs"))
     per = per.select("*", F.size("spans").cast("bigint").alias("n_removed"))
