@@ -310,9 +310,9 @@ LITERAL_FOLD = f"{BARS}, {SMA_SQL}, {REGIME_SQL}, " + fold_sql("regime", "edge =
 BALANCE_SQL = "round(cash + qty * p, 4)"
 
 
-def _crossover_run(spark, sf):
+def _crossover_run(spark, sf, marks=False):
     rows = ts.add_edge(ts.add_regime(ts.add_sma(bars(spark, sf))))
-    return backtest.simulate(rows, backtest.TradeRules(entry_mode="crossover", halt_row=True, max_drawdown=0.05))
+    return backtest.simulate(rows, backtest.TradeRules(entry_mode="crossover", halt_row=True, max_drawdown=0.05), marks)
 
 
 @query("trade_log", f"""
@@ -352,7 +352,7 @@ def literal_two_state_stats(spark, sf):
            round(cash + qty * p, 4) AS equity FROM fold""")
 def equity_curve(spark, sf):
     """Balance and marked value on every bar; the last one closes the account."""
-    curve = backtest.equity_curve(bars(spark, sf), backtest.trade_log(_crossover_run(spark, sf)))
+    curve = backtest.marked_curve(_crossover_run(spark, sf, marks=True))
     return curve.select("symbol", "ts", F.round("cash", 4).alias("cash"), F.round("equity", 4).alias("equity"))
 
 

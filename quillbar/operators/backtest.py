@@ -43,9 +43,12 @@ class TradeRules:
             raise ValueError("entry_mode is 'edge_eq_1' or 'crossover'")
 
 
-def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
+def simulate(bars: DataFrame, rules: TradeRules = TradeRules(), marks: bool = False) -> DataFrame:
     """All log rows plus one ``END`` row per symbol with the final balance.
 
+    With ``marks`` also a ``BAR`` row per bar, without a number: its close, the quantity held after it, and the cash as balance; the
+    last one comes after the final sale.
+
     ``bars`` has symbol, ts, close, signal and edge, and maybe qty_places and held_qty, constant per symbol; null falls back
     to the rules. The first bar of a symbol only starts it; per later bar: value the holding, raise the peak, halt on too deep
     a fall, else enter if flat, then exit if holding. Bars without a close are passed over, and a price of zero or less is
@@ -82,13 +85,28 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
             if s["qty"] > 0 and may_sell(s):
                 sell(out, s, "FINAL SELL", s["ts"], s["price"])
             log(out, s, "END", s["ts"], balance=s["cash"])
+            if marks:
+                out.append((s["symbol"], None, "BAR", pd.Timestamp(s["ts"]), s["price"], s["qty"], None, s["cash"]))
+
+        def mark(s, ts, price, steps):
+            """The bars up to the last one, which waits for what follows; a step is (place, cash, quantity from there on)."""
+            places = np.array([i for i, _, _ in steps])
+            at = np.searchsorted(places, np.arange(len(price)), "right") - 1
+            cash, qty = (np.array([step[k] for step in steps])[at] for k in (1, 2))
+            if s["seen"] > 0:
+                ts, price = np.append(s["ts"], ts), np.append(s["price"], price)
+                cash, qty = np.append(s["marked"][0], cash), np.append(s["marked"][1], qty)
+            s["marked"] = cash[-1], qty[-1]
+            rows = pd.DataFrame({"symbol": s["symbol"], "ts": ts[:-1], "price": price[:-1], "qty": qty[:-1], "balance": cash[:-1]})
+            return rows.assign(seq=None, action="BAR", note=None)[columns]
 
         def advance(out, s, ts, price, enter, leave):
             n = len(price)
             entries = np.flatnonzero(enter)
+            steps = [(0, s["cash"], s["qty"])]
             i = 1 if s["seen"] == 0 else 0
             while i < n and not s["halted"]:
-                p = float(price[i])
+                p, here = float(price[i]), i
                 worth = s["cash"] + (s["qty"] * p if s["qty"] > 0 else 0.0)
                 s["peak"] = max(s["peak"], worth)
                 if (s["peak"] - worth) / s["peak"] > r.max_drawdown:
@@ -112,8 +130,12 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
                     # Flat: worth and peak stand still, so the next row that can matter is the next entry.
                     at = np.searchsorted(entries, i + 1)
                     i = int(entries[at]) if at < len(entries) else n
+                if marks and (s["cash"], s["qty"]) != steps[-1][1:]:
+                    steps.append((here, s["cash"], s["qty"]))
+            marked = mark(s, ts, price, steps) if marks else None
             s["seen"] += n
             s["ts"], s["price"] = ts[-1], float(price[-1])
+            return marked
 
         for pdf in batches:
             if pdf.empty:
@@ -130,7 +152,9 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
                     if state is not None:
                         finish(out, state)
                     state = start(symbols[a], places[a], held[a])
-                advance(out, state, ts[a:b], price[a:b], enter[a:b], leave[a:b])
+                marked = advance(out, state, ts[a:b], price[a:b], enter[a:b], leave[a:b])
+                if marks and len(marked):
+                    yield marked
             if out:
                 yield pd.DataFrame(out, columns=columns)
         if state is not None:
@@ -151,7 +175,7 @@ def simulate(bars: DataFrame, rules: TradeRules = TradeRules()) -> DataFrame:
 
 
 def trade_log(simulated: DataFrame) -> DataFrame:
-    return simulated.filter("action <> 'END'").drop("balance")
+    return simulated.filter("action NOT IN ('END', 'BAR')").drop("balance")
 
 
 def final_balance(simulated: DataFrame) -> DataFrame:
@@ -161,11 +185,17 @@ def final_balance(simulated: DataFrame) -> DataFrame:
 def trade_stats(simulated: DataFrame) -> DataFrame:
     """Number of log rows and final balance per symbol."""
     return simulated.groupBy("symbol").agg(
-        F.count(F.when(F.col("action") != "END", 1)).alias("trades"),
-        F.max("balance").alias("final_balance"),
+        F.count(F.when(~F.col("action").isin("END", "BAR"), 1)).alias("trades"),
+        F.max(F.when(F.col("action") == "END", F.col("balance"))).alias("final_balance"),
     )
 
 
+def marked_curve(simulated: DataFrame) -> DataFrame:
+    """``symbol, ts, close, cash, qty, equity`` per bar, as the fold met them, from a run with ``marks``; holds for rounded quantities too."""
+    rows = simulated.filter("action = 'BAR'").select("symbol", "ts", F.col("price").alias("close"), F.col("balance").alias("cash"), "qty")
+    return rows.withColumn("equity", F.col("cash") + F.col("qty") * F.col("close"))
+
+
 def equity_curve(bars: DataFrame, log: DataFrame, initial_balance: float = 100_000.0) -> DataFrame:
     """Cash plus the marked-to-market holding per bar, rebuilt from the log by running sums over bars.
 

@@ -217,6 +217,29 @@ def test_equity_curve_ends_at_the_balance(spark):
         assert math.isclose(r.equity, want[r.symbol], rel_tol=1e-9) and abs(r.qty) < 1e-9
 
 
+def test_the_fold_marks_every_bar(spark):
+    """The curve of the fold equals the one rebuilt from the log, over several batches per symbol, and is read from one scan."""
+    rows = ts.add_edge(ts.add_regime(ts.add_sma(frame(spark, {"A": walk(400, 21, 4.0), "B": walk(300, 22, 4.0), "C": [5.0]}))))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for rules in (backtest.TradeRules(entry_mode="crossover"), backtest.TradeRules(entry_mode="crossover", max_drawdown=0.002, halt_row=True)):
+            run = backtest.simulate(rows, rules, marks=True)
+            plain = backtest.simulate(rows, rules)
+            want = {(r.symbol, r.ts): r for r in backtest.equity_curve(rows, backtest.trade_log(plain)).collect()}
+            got = backtest.marked_curve(run).collect()
+            assert len(got) == len(want) == 701
+            for r in got:
+                w = want[r.symbol, r.ts]
+                assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-6) for a, b in ((r.cash, w.cash), (r.qty, w.qty), (r.equity, w.equity)))
+            assert sorted(backtest.trade_log(run).collect(), key=str) == sorted(backtest.trade_log(plain).collect(), key=str)
+            assert sorted(backtest.trade_stats(run).collect()) == sorted(backtest.trade_stats(plain).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    plan = backtest.marked_curve(run)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Join" not in plan
+
+
 def test_latest_crossover_and_summary(spark):
     up = [100.0] * 59 + [1.0] * 0
     cross = [100 - 0.01 * i for i in range(79)] + [200.0]
