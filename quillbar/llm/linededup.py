@@ -209,6 +209,7 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", line
     removed units; ``tag`` is xxhash64 of the text. Null and empty texts
     have no units. Null ids rank after all others and equal among themselves: their units go only where a document with an id
     has them too. Rows with equal ids rank equal. Other columns are ignored. Empty input: empty result.
+    Very long texts are worked off line by line, some STRETCH characters at a time; only a single longer line is held as a whole.
     """
     scratch = Scratch(docs.sparkSession, "linededup")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).alias("text"))
