@@ -9,17 +9,19 @@ keeps the training counts of zeros and ones; KT is the Krichevsky-Trofimov estim
 so that a prediction mixes the estimates of all depths, each weighted by what it has coded so far. A context that training
 never reached has no node: its parent predicts there.
 
-How it runs: texts are cut into pieces and blocks of some megabytes. Each block reports its distinct (context, byte) pairs and words
-with their training counts, as sorted, packed arrays dealt over parts: pairs by the last ``ROOT`` bytes of their context, words by their hash.
-The arrays of a part are merged, first in groups of blocks, so that a frequent context is summed by many tasks. Trees are weighted per
-part, and above ``ROOT`` in one small table (at most 256^3 rows). Each block then gets the values of its own pairs and words back and adds
-them up per text. No model is held whole anywhere; what is shuffled is the distinct pairs and words per block.
+How it runs: texts are cut into pieces and blocks of some megabytes, one compressed row each. Each block reports its distinct (context,
+byte) pairs and words with their training counts, as sorted, packed arrays dealt over parts: pairs by the last ``root`` bytes of their
+context, words by their hash. The arrays of a part are merged ``GROUP_BLOCKS`` at a time, in as many rounds as it takes, so that no task sees
+more. Trees are weighted per part, some subtrees at a time; above ``root``, one task per last byte, and one table of at most 256^2 rows for
+the rest. The values go back the way the counts came: each merged array asks the one it went into, each block its group, and a block adds
+them up per text. No model is held whole anywhere; what is shuffled is the distinct pairs and words per block. Parts grow with the root
+of the number of blocks, as the arrays are blocks times parts; how long ``root`` is changes who works, not the result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,21 +32,22 @@ from pyspark.sql import functions as F
 
 from quillbar.llm.common import Scratch, held_out, mixed, word_hashes, words_joined
 
-DEPTH = 5
-ROOT = 2  # subtrees below contexts of this many bytes are weighted apart
+DEPTH = 7  # a pair of context and byte fills 64 bits
+LONG_ROOT_BLOCKS = 256  # subtrees below contexts of 2 bytes are weighted apart, from so many blocks on below 3
 END = 255  # never a byte of UTF-8
 BLOCK_BYTES = 16 << 20
-GROUP_BLOCKS = 200  # blocks whose arrays one task merges at a time
+GROUP_BLOCKS = 200  # arrays of a part that one task merges
+SLICE = 1 << 17  # pairs whose trees a task weighs at a time; longer only by one subtree
 PIECE_BYTES = 2 << 20
 CHUNK_BYTES = 2 << 20
 LN2, LN10 = math.log(2), math.log(10)
 GRAM, TERM = 0, 1
 
-PIECES = "block bigint, uid bigint, doc_id bigint, held_out boolean, lead binary, body binary"
-SEEN = "block bigint, part int, n int, keys binary, counts binary"
-SUMS = "part int, n int, keys binary, counts binary"
-VALUES = "part int, n int, keys binary, values binary"
-ANSWERS = "block bigint, part int, n int, keys binary, values binary"
+BLOCKS = "block bigint, uid array<bigint>, doc_id array<bigint>, held_out array<boolean>, sizes array<bigint>, body binary"
+SEEN = "id bigint, part int, n int, keys binary, counts binary"
+VALUES = "id bigint, part int, n int, keys binary, values binary"
+ROOTS = "part int, key bigint, n bigint, w array<double>"
+SHARES = "key bigint, a array<double>, b array<double>"
 
 
 # ---- packed arrays -------------------------------------------------------------------------------------------------
@@ -80,23 +83,42 @@ def _cut(symbols: bytes) -> Iterator[bytes]:
         at = stop
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, uid, block, filled = TaskContext.get().partitionId() << 32, 0, 0, 0
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block: the pieces with their leads, one after the other, compressed."""
+    names = ("uid", "doc_id", "held_out", "sizes")
+    part, uid, block, filled, body = TaskContext.get().partitionId() << 32, 0, 0, 0, []
+    rows: dict[str, list] = {k: [] for k in names}
+
+    def flushed() -> pa.RecordBatch:
+        joined = pa.Codec("zstd", 3).compress(b"".join(body), asbytes=True)
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+        lists = [pa.array([rows[k]], pa.list_(kind)) for k, kind in zip(names, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([part | block], pa.int64()), *lists, pa.array([joined], pa.binary())], ["block", *names, "body"])
+
     for batch in batches:
-        rows = {k: [] for k in ("block", "uid", "doc_id", "held_out", "lead", "body")}
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        texts = batch.column("text").cast(pa.binary())
         for doc_id, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts, strict=True):
             lead = bytes([END]) * DEPTH
-            for piece in _cut(words_joined(text) + bytes([END])):
+            for piece in _cut(words_joined(text.as_py()) + bytes([END])):
                 if filled > BLOCK_BYTES:
-                    block, filled = block + 1, 0
-                for key, value in zip(rows, (part | block, part | uid, doc_id, held, lead, piece), strict=True):
+                    yield flushed()
+                    block, filled, body, rows = block + 1, 0, [], {k: [] for k in names}
+                for key, value in zip(names, (part | uid, doc_id, held, len(piece)), strict=True):
                     rows[key].append(value)
+                body += [lead, piece]
                 filled += len(piece)
                 lead = (lead + piece)[-DEPTH:]
             uid += 1
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
+    if body:
+        yield flushed()
+
+
+def _opened(sizes: list[int], body: bytes) -> tuple[list[bytes], list[bytes]]:
+    """Leads and bodies of the pieces of a block."""
+    full = pa.Codec("zstd").decompress(body, sum(sizes) + DEPTH * len(sizes), asbytes=True)
+    ends = np.cumsum(np.asarray(sizes, np.int64) + DEPTH)
+    starts = ends - sizes
+    return [full[a - DEPTH:a] for a in starts], [full[a:b] for a, b in zip(starts, ends, strict=True)]
 
 
 def _chunks(leads: list[bytes], bodies: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -140,52 +162,50 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.r_[first, len(keys)])
 
 
-def _block_seen(block: int, held: list[bool], leads: list[bytes], bodies: list[bytes], parts: int) -> Iterator[pa.RecordBatch]:
+def _block_seen(held: np.ndarray, leads: list[bytes], bodies: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per kind, the distinct keys of a block in order, with their training counts."""
     found: dict[int, tuple[np.ndarray, np.ndarray]] = {k: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for k in (GRAM, TERM)}
-    held_of = np.array(held)
     for at, grams, owner, stream in _chunks(leads, bodies):
         terms, term_owner = _terms(stream, owner)
         for kind, keys, of in ((GRAM, grams.view(np.int64), owner), (TERM, terms, term_owner)):
-            out = held_of[at + of]
+            out = held[at + of]
             own, n = zip(found[kind], *((d, c * known) for part, known in ((keys[~out], 1), (keys[out], 0)) for d, c in [_runs(part)]), strict=True)
             found[kind] = _counted(np.concatenate(own), np.concatenate(n))
-    rows: list[tuple] = []
-    for kind, (keys, n) in found.items():
-        part = _part_of(keys, kind, parts)
-        order = np.argsort(part, kind="stable")
-        keys, n, part = keys[order], n[order], part[order]
-        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
-        rows += [(block, int(part[a]), b - a, _pack_keys(keys[a:b]), _pack(n[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["block", "part", "n", "keys", "counts"])
+    return found
 
 
-def _part_of(keys: np.ndarray, kind: int, parts: int) -> np.ndarray:
+def _part_of(keys: np.ndarray, kind: int, parts: int, root: int) -> np.ndarray:
     """Parts 0, 1, ... hold pairs, ``parts``, ``parts`` + 1, ... words."""
-    of = keys >> (8 * (DEPTH - ROOT + 1)) if kind == GRAM else keys
+    of = keys >> (8 * (DEPTH - root + 1)) if kind == GRAM else keys
     return (mixed(of.view(np.uint64)) % np.uint64(parts)).astype(np.int64) + parts * (kind == TERM)
 
 
-def _seen(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """A block's rows follow each other; one that a file split cuts reports twice, which the sums allow."""
-    block, held, leads, bodies = None, [], [], []
+def _dealt(keys: np.ndarray, kind: int, parts: int, root: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places of its keys in order)."""
+    part = _part_of(keys, kind, parts, root)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield int(part[a]), order[a:b]
+
+
+def _seen(batches: Iterator[pa.RecordBatch], parts: int, root: int) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("block", "held_out", "lead", "body")]
-        for b, h, lead, body in zip(*columns, strict=True):
-            if b != block and bodies:
-                yield from _block_seen(block, held, leads, bodies, parts)
-                held, leads, bodies = [], [], []
-            block = b
-            held.append(h), leads.append(lead), bodies.append(body)
-    if bodies:
-        yield from _block_seen(block, held, leads, bodies, parts)
-
-
-def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The arrays of one part, merged."""
+        for i in range(batch.num_rows):
+            block, held, sizes, body = (batch.column(c)[i].as_py() for c in ("block", "held_out", "sizes", "body"))
+            rows: list[tuple] = []
+            for kind, (keys, n) in _block_seen(np.array(held), *_opened(sizes, body)).items():
+                rows += [(block, part, len(at), _pack_keys(keys[at]), _pack(n[at])) for part, at in _dealt(keys, kind, parts, root)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["id", "part", "n", "keys", "counts"])
+
+
+def _summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The arrays of one part and group, merged."""
     keys = np.concatenate([_unpack_keys(k, n) for k, n in zip(pdf["keys"], pdf.n, strict=True)])
     keys, n = _counted(keys, np.concatenate([_unpack(c, n) for c, n in zip(pdf.counts, pdf.n, strict=True)]))
-    return pd.DataFrame({"part": pdf.part.iloc[:1].to_numpy(), "n": [len(keys)], "keys": [_pack_keys(keys)], "counts": [_pack(n)]})
+    return pd.DataFrame({"id": [key[1]], "part": [key[0]], "n": [len(keys)], "keys": [_pack_keys(keys)], "counts": [_pack(n)]})
 
 
 # ---- the weighted tree ---------------------------------------------------------------------------------------------
@@ -202,6 +222,12 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - math.log(math.pi) - _lgamma(zeros + ones + 1.0)
 
 
+def _shortened(keys: np.ndarray, by: int) -> np.ndarray:
+    """Pairs whose contexts lose their oldest bytes. A context of ``DEPTH`` bytes reaches the sign, shorter ones do not."""
+    context = (keys.view(np.uint64) >> np.uint64(8 * (by + 1))).view(np.int64)
+    return (context << 8) | (keys & 255)
+
+
 class _Level:
     """(context of d bytes, byte) entries in order, and, per bit, the nodes they pass."""
 
@@ -222,7 +248,7 @@ class _Level:
 
     def shorter(self) -> _Level:
         """The level with one context byte less; notes the parent entry of each entry here."""
-        keys, self.parent = np.unique(((self.keys >> 16) << 8) | (self.keys & 255), return_inverse=True)
+        keys, self.parent = np.unique(_shortened(self.keys, 1), return_inverse=True)
         return _Level(keys, np.bincount(self.parent, self.n).astype(np.int64))
 
     def weigh(self, below: _Level | None, log_pw_below: list[np.ndarray] | None) -> list[np.ndarray]:
@@ -269,54 +295,101 @@ def _mixed_estimates(levels: list[_Level], j: int, known: np.ndarray | None) ->
     return a, b
 
 
-def _roots(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per (context of ``ROOT`` bytes, byte): the training count and ln Pw of the eight nodes."""
+def _slices(keys: np.ndarray, root: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole subtrees below contexts of ``root`` bytes."""
+    context = keys >> (8 * (DEPTH - root + 1))
+    starts, at = np.r_[np.flatnonzero(context[1:] != context[:-1]) + 1, len(keys)], 0
+    while at < len(keys):
+        fitting = int(np.searchsorted(starts, at + SLICE, "right")) - 1
+        stop = int(starts[fitting]) if fitting >= 0 and starts[fitting] > at else int(starts[np.searchsorted(starts, at, "right")])
+        yield at, stop
+        at = stop
+
+
+def _roots(frames: Iterator[pd.DataFrame], root: int) -> Iterator[pd.DataFrame]:
+    """Per (context of ``root`` bytes, byte): the training count and ln Pw of the eight nodes."""
     for frame in frames:
-        for part, n, keys, counts in frame.itertuples(index=False):
-            levels, log_pw = _tree(_unpack_keys(keys, n), _unpack(counts, n), DEPTH, ROOT)
-            top = levels[-1]
-            weights = np.stack([log_pw[j][top.node[j]] for j in range(8)], 1)
-            yield pd.DataFrame({"part": part, "key": top.keys, "n": top.n, "w": list(weights)})
-
-
-def _top(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per (context of ``ROOT`` bytes, byte): a and b of the eight decisions, from the levels above."""
-    pdf = pdf.sort_values("key")
-    weights, first = np.stack(pdf.w.to_list()), _Level(pdf.key.to_numpy(), pdf.n.to_numpy())
-    log_pw = []
-    for j in range(8):
-        start = np.flatnonzero(np.r_[True, first.node[j][1:] != first.node[j][:-1]])
-        log_pw.append(weights[start, j])
-    levels, _ = _tree(pdf.key.to_numpy(), pdf.n.to_numpy(), ROOT, 0, log_pw)
+        for part, n, packed, counts in zip(frame.part, frame.n, frame["keys"], frame.counts, strict=True):
+            keys, counted = _unpack_keys(packed, n), _unpack(counts, n)
+            for a, b in _slices(keys, root):
+                levels, log_pw = _tree(keys[a:b], counted[a:b], DEPTH, root)
+                yield _level_rows(levels[-1], log_pw).assign(part=part)[["part", "key", "n", "w"]]
+
+
+def _level_rows(level: _Level, log_pw: list[np.ndarray]) -> pd.DataFrame:
+    weights = np.stack([log_pw[j][level.node[j]] for j in range(8)], 1)
+    return pd.DataFrame({"key": level.keys, "n": level.n, "w": list(weights)})
+
+
+def _upwards(rows: pd.DataFrame, longest: int, shortest: int) -> tuple[list[_Level], list[np.ndarray]]:
+    """The tree above rows of (context of ``longest`` bytes, byte) with their ln Pw; ``rows`` are in order."""
+    weights, first = np.stack(rows.w.to_list()), _Level(rows.key.to_numpy(), rows.n.to_numpy())
+    starts = [np.flatnonzero(np.r_[True, first.node[j][1:] != first.node[j][:-1]]) for j in range(8)]
+    return _tree(rows.key.to_numpy(), rows.n.to_numpy(), longest, shortest, [weights[starts[j], j] for j in range(8)])
+
+
+def _to_one(rows: pd.DataFrame, root: int) -> pd.DataFrame:
+    """Of all rows of one last byte: the same per (that byte, byte)."""
+    levels, log_pw = _upwards(rows.sort_values("key"), root, 1)
+    return _level_rows(levels[-1], log_pw)
+
+
+def _shares(levels: list[_Level]) -> tuple[np.ndarray, np.ndarray]:
     both = [_mixed_estimates(levels, j, None) for j in range(8)]
-    return pd.DataFrame({"part": pdf.part.to_numpy(), "key": levels[0].keys, "a": list(np.stack([x[0] for x in both], 1)), "b": list(np.stack([x[1] for x in both], 1))})
+    return np.stack([x[0] for x in both], 1), np.stack([x[1] for x in both], 1)
+
+
+def _to_none(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of all rows of one context byte: a and b of the eight decisions, from the root of the tree."""
+    levels, _ = _upwards(rows.sort_values("key"), 1, 0)
+    a, b = _shares(levels)
+    return pd.DataFrame({"key": levels[0].keys, "a": list(a), "b": list(b)})
 
 
-def _log_probabilities(sums: pd.DataFrame, top: pd.DataFrame) -> pd.DataFrame:
+def _top(rows: pd.DataFrame, ones: pd.DataFrame, root: int) -> pd.DataFrame:
+    """Of all rows of one last byte: a and b of the eight decisions, from all levels above."""
+    if not len(rows):
+        return pd.DataFrame({"part": [], "key": [], "a": [], "b": []})
+    rows, ones = rows.sort_values("key"), ones.sort_values("key")
+    levels, _ = _upwards(rows, root, 1)
+    a, b = _shares(levels)
+    keys = rows.key.to_numpy()
+    above = np.searchsorted(ones.key.to_numpy(), _shortened(keys, root - 1))
+    a_above, b_above = np.stack(ones.a.to_list())[above], np.stack(ones.b.to_list())[above]
+    return pd.DataFrame({"part": rows.part.to_numpy(), "key": keys, "a": list(a_above + b_above * a), "b": list(b_above * b)})
+
+
+def _log_probabilities(sums: pd.DataFrame, top: pd.DataFrame, root: int) -> pd.DataFrame:
     """ln of the probability of each (context, byte) of a part, as packed 32-bit floats."""
     if not len(sums):
         return pd.DataFrame({c.split()[0]: [] for c in VALUES.split(", ")})
-    part, n, keys, counts = next(sums.itertuples(index=False))
-    top = top.sort_values("key")
-    levels, _ = _tree(_unpack_keys(keys, n), _unpack(counts, n), DEPTH, ROOT)
-    a, b = np.stack(top.a.to_list()), np.stack(top.b.to_list())
-    root = np.searchsorted(top.key.to_numpy(), ((levels[0].keys >> 8 * (DEPTH - ROOT + 1)) << 8) | (levels[0].keys & 255))
+    top, n = top.sort_values("key"), int(sums.n.iloc[0])
+    a, b, top_keys = np.stack(top.a.to_list()), np.stack(top.b.to_list()), top.key.to_numpy()
+    keys, counts = _unpack_keys(sums["keys"].iloc[0], n), _unpack(sums.counts.iloc[0], n)
     out = np.zeros(n)
-    for j in range(8):
-        estimate, _ = _mixed_estimates(levels, j, levels[0].estimate[j])
-        out += np.log(a[root, j] + b[root, j] * estimate)
-    return pd.DataFrame({"part": [part], "n": [n], "keys": [keys], "values": [_pack(out.astype(np.float32))]})
+    for low, high in _slices(keys, root):
+        own = keys[low:high]
+        levels, _ = _tree(own, counts[low:high], DEPTH, root)
+        above = np.searchsorted(top_keys, _shortened(own, DEPTH - root))
+        for j in range(8):
+            estimate, _ = _mixed_estimates(levels, j, levels[0].estimate[j])
+            out[low:high] += np.log(a[above, j] + b[above, j] * estimate)
+    return pd.DataFrame({"id": sums.id, "part": sums.part, "n": [n], "keys": sums["keys"], "values": [_pack(out.astype(np.float32))]})
+
 
+def _answering(parts: int, bare: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    return lambda asked, values: _answers(asked, values, parts, bare)
 
-def _answers(asked: pd.DataFrame, values: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """The values of each block's keys."""
+
+def _answers(asked: pd.DataFrame, values: pd.DataFrame, parts: int, bare: bool) -> pd.DataFrame:
+    """The values of the keys of each array that went into one merged array; ``bare`` leaves the keys out."""
     if not len(asked):
-        return pd.DataFrame({c.split()[0]: [] for c in ANSWERS.split(", ")})
+        return pd.DataFrame({c.split()[0]: [] for c in VALUES.split(", ")})
     kind = np.float32 if asked.part.iloc[0] < parts else np.int64
     n = int(values.n.iloc[0])
     keys, value = _unpack_keys(values["keys"].iloc[0], n), _unpack(values["values"].iloc[0], n, kind)
     told = [_pack(value[np.searchsorted(keys, _unpack_keys(k, m))]) for k, m in zip(asked["keys"], asked.n, strict=True)]
-    return pd.DataFrame({"block": asked.block, "part": asked.part, "n": asked.n, "keys": asked["keys"], "values": told})
+    return pd.DataFrame({"id": asked.id, "part": asked.part, "n": asked.n, "keys": [b""] * len(asked) if bare else asked["keys"], "values": told})
 
 
 def _types(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,45 +403,40 @@ def _types(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 SCORED = "uid bigint, doc_id bigint, held_out boolean, n_bytes bigint, n_words bigint, n_known bigint, ln_p double, log10_counts double"
 
 
-def _told(answers: pd.DataFrame, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """All keys of a block in order, with their values."""
-    if not len(answers):
-        return np.zeros(0, np.int64), np.zeros(0, kind)
-    keys = np.concatenate([_unpack_keys(k, n) for k, n in zip(answers["keys"], answers.n, strict=True)])
-    order = np.argsort(keys)
-    return keys[order], np.concatenate([_unpack(v, n, kind) for v, n in zip(answers["values"], answers.n, strict=True)])[order]
+def _told(answers: dict[int, bytes], keys: np.ndarray, kind: int, parts: int, root: int) -> np.ndarray:
+    """The values of a block's distinct keys, from one array per part."""
+    out = np.zeros(len(keys), np.float32 if kind == GRAM else np.int64)
+    for part, at in _dealt(keys, kind, parts, root):
+        out[at] = _unpack(answers[part], len(at), out.dtype.type)
+    return out
 
 
-def _score(pieces: pd.DataFrame, answers: pd.DataFrame, parts: int) -> pd.DataFrame:
+def _score(block: pd.DataFrame, answers: pd.DataFrame, parts: int, root: int) -> pd.DataFrame:
     """Sums per piece of a block: ln probability of its bytes, and log10(count + 1) of its words."""
-    if not len(pieces):
+    if not len(block):
         return pd.DataFrame({c.split()[0]: [] for c in SCORED.split(", ")})
-    gram_keys, gram_ln = _told(answers[answers.part < parts], np.float32)
-    term_keys, term_n = _told(answers[answers.part >= parts], np.int64)
-    size = len(pieces)
+    uid, doc_id, held, sizes, body = (block[c].iloc[0] for c in ("uid", "doc_id", "held_out", "sizes", "body"))
+    leads, bodies = _opened(sizes, body)
+    size, held = len(sizes), np.asarray(held, bool)
+    by_part = dict(zip(answers.part, answers["values"], strict=True))
+    (gram_keys, _), (term_keys, _) = _block_seen(held, leads, bodies).values()
+    gram_ln, term_n = (_told(by_part, keys, kind, parts, root) for kind, keys in ((GRAM, gram_keys), (TERM, term_keys)))
     ln_p, n_words, n_known, log10_counts = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
-    held = pieces.held_out.to_numpy(dtype=bool)
-    n_bytes = np.zeros(size, np.int64)
-    for at, keys, owner, stream in _chunks(list(pieces.lead), list(pieces.body)):
-        # One sort of (key, piece) instead of a search per byte.
-        bits = max(1, int(owner[-1]).bit_length()) if len(owner) else 1
-        wide = 8 * (DEPTH + 1) + bits <= 64
-        if wide:
-            pairs, times = _runs((keys << np.uint64(bits)) | owner.astype(np.uint64))
-            key, piece = (pairs >> np.uint64(bits)).astype(np.int64), (pairs & np.uint64((1 << bits) - 1)).astype(np.int64)
-        else:
-            key, piece, times = keys.view(np.int64), owner, np.ones(len(keys), np.int64)
-        value = gram_ln[np.searchsorted(gram_keys, key)]
+    for at, grams, owner, stream in _chunks(leads, bodies):
         stop = at + int(owner[-1]) + 1
-        ln_p[at:stop] += np.bincount(piece, value.astype(np.float64) * times, minlength=stop - at)
-        n_bytes[at:stop] += np.bincount(owner, minlength=stop - at)
+        # One sort instead of a search per byte.
+        order = np.argsort(grams.view(np.int64))
+        keys = grams.view(np.int64)[order]
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        value = gram_ln[np.searchsorted(gram_keys, keys[first])].astype(np.float64)[np.cumsum(first) - 1]
+        ln_p[at:stop] += np.bincount(owner[order], value, minlength=stop - at)
         hashes, of = _terms(stream, owner)
         if len(hashes):
             count = term_n[np.searchsorted(term_keys, hashes)]
             n_words[at:stop] += np.bincount(of, minlength=stop - at)
             n_known[at:stop] += np.bincount(of[count > 0], minlength=stop - at)
             log10_counts[at:stop] += np.bincount(of, np.log10(count + 1.0), minlength=stop - at)
-    return pd.DataFrame({"uid": pieces.uid.to_numpy(), "doc_id": pieces.doc_id, "held_out": held, "n_bytes": n_bytes, "n_words": n_words,
+    return pd.DataFrame({"uid": uid, "doc_id": pd.array(list(doc_id), "Int64"), "held_out": held, "n_bytes": sizes, "n_words": n_words,
                          "n_known": n_known, "ln_p": ln_p, "log10_counts": log10_counts})
 
 
@@ -383,28 +451,35 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     spark = docs.sparkSession
     scratch = Scratch(spark, "scoring")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), held_out(doc_id, folds, fold).alias("held_out"), F.col(text).alias("text"))
-    pieces = scratch.save(rows.mapInArrow(_pieces, PIECES), "pieces")
-    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    seen = scratch.save(pieces.mapInArrow(lambda batches: _seen(batches, parts), SEEN), "seen")
-    groups = seen.select("block").distinct().count() // GROUP_BLOCKS + 1
-    # A context may be in a large share of all pairs, a hashed word's part may not: only pairs are merged in two steps.
-    group = F.when(F.col("part") < parts, F.pmod(F.xxhash64("block"), F.lit(groups))).otherwise(F.lit(0)).alias("group")
-    asked = seen.select("*", group)
-    merged = asked.select("part", "group", "n", "keys", "counts").groupBy("part", "group").applyInPandas(_summed, SUMS)
-    totals = scratch.save((merged.groupBy("part").applyInPandas(_summed, SUMS) if groups > 1 else merged), "totals")
-
-    grams = totals.filter(F.col("part") < parts)
-    top = grams.mapInPandas(_roots, "part int, key bigint, n bigint, w array<double>").groupBy().applyInPandas(
-        _top, "part int, key bigint, a array<double>, b array<double>")
-    model = grams.groupBy("part").cogroup(top.groupBy("part")).applyInPandas(_log_probabilities, VALUES)
-    words = totals.filter(F.col("part") >= parts).select("part", "n", "keys", F.col("counts").alias("values"))
-    last_group = F.when(F.col("part") < parts, F.lit(groups - 1)).otherwise(F.lit(0)).cast("bigint")
-    values = model.unionByName(words).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_group)).alias("group"))
-    types = totals.filter(F.col("part") >= parts).mapInPandas(_types, "types bigint").agg(F.sum("types")).first()[0] or 0
-
-    answers = asked.select("block", "part", "n", "keys", F.col("group").cast("bigint").alias("group")).groupBy("part", "group").cogroup(
-        values.groupBy("part", "group")).applyInPandas(lambda a, v: _answers(a, v, parts), ANSWERS)
-    scored = pieces.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda p, a: _score(p, a, parts), SCORED)
+    texts = scratch.save(rows.mapInArrow(_blocks, BLOCKS), "blocks")
+    n_blocks = texts.count()
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * math.isqrt(n_blocks))
+    root = 2 if n_blocks < LONG_ROOT_BLOCKS else 3
+
+    arrays = scratch.save(texts.mapInArrow(lambda batches: _seen(batches, parts, root), SEEN), "seen")
+    groups = max(1, -(-n_blocks // GROUP_BLOCKS))
+    rounds = [arrays.withColumn("up", F.pmod(F.xxhash64("id"), F.lit(groups)))]
+    while True:
+        totals = scratch.save(rounds[-1].groupBy("part", "up").applyInPandas(_summed, SEEN), "merged")
+        if groups == 1:
+            break
+        groups = -(-groups // GROUP_BLOCKS)
+        rounds.append(totals.withColumn("up", F.floor(F.col("id") / GROUP_BLOCKS)))
+
+    grams, words = totals.filter(F.col("part") < parts), totals.filter(F.col("part") >= parts)
+    roots = scratch.save(grams.mapInPandas(lambda frames: _roots(frames, root), ROOTS), "roots")
+    last_byte = F.shiftright("key", 8 * root).bitwiseAND(255)
+    ones = roots.groupBy(last_byte).applyInPandas(lambda rows: _to_one(rows, root), ROOTS.partition(", ")[2]).groupBy().applyInPandas(_to_none, SHARES)
+    top = roots.groupBy(last_byte).cogroup(ones.groupBy(F.shiftright("key", 8).bitwiseAND(255))).applyInPandas(
+        lambda rows, above: _top(rows, above, root), "part int, " + SHARES)
+    model = grams.groupBy("part").cogroup(top.groupBy("part")).applyInPandas(lambda own, above: _log_probabilities(own, above, root), VALUES)
+    values = model.unionByName(words.withColumnRenamed("counts", "values"))
+    types = words.mapInPandas(_types, "types bigint").agg(F.sum("types")).first()[0] or 0
+
+    for step, asked in reversed([*enumerate(rounds)]):
+        values = asked.drop("counts").groupBy("part", "up").cogroup(values.groupBy("part", "id")).applyInPandas(
+            _answering(parts, bare=step == 0), VALUES)
+    scored = texts.groupBy("block").cogroup(values.groupBy("id")).applyInPandas(lambda block, own: _score(block, own, parts, root), SCORED)
     sums = ["n_bytes", "n_words", "n_known", "ln_p", "log10_counts"]
     scored = scratch.save(scored.groupBy("uid", "doc_id", "held_out").agg(*[F.sum(c).alias(c) for c in sums]), "scores")
     ends, words_in_train = scored.filter(~F.col("held_out")).agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()

@@ -96,12 +96,26 @@ def test_scores_match_symbol_by_symbol(spark):
     compare(spark, [*enumerate(TEXTS), (None, "the cat"), (4, "repeated id"), (4, "repeated id")])
 
 
-def test_many_blocks(spark, monkeypatch):
-    """A block per document, merged two at a time."""
-    monkeypatch.setattr(scoring, "GROUP_BLOCKS", 2)
+@pytest.mark.parametrize("long_root", [1, 256])
+def test_many_blocks(spark, monkeypatch, long_root):
+    """A block per document, merged two at a time in several rounds, below contexts of two or three bytes, a few pairs at a time."""
+    for name, size in (("GROUP_BLOCKS", 2), ("BLOCK_BYTES", 0), ("SLICE", 3), ("LONG_ROOT_BLOCKS", long_root)):
+        monkeypatch.setattr(scoring, name, size)
     compare(spark, [*enumerate(TEXTS)][:20])
 
 
+def test_slices_hold_whole_subtrees(monkeypatch):
+    import numpy as np
+
+    keys = np.sort(np.random.default_rng(3).integers(-2**63, 2**63 - 1, 500) >> 50 << 50)
+    for size in (1, 7, 100, 1000):
+        monkeypatch.setattr(scoring, "SLICE", size)
+        cuts = [*scoring._slices(keys, 2)]
+        assert [a for a, _ in cuts] == [0, *[b for _, b in cuts[:-1]]] and cuts[-1][1] == len(keys)
+        assert all(keys[a - 1] >> 48 != keys[a] >> 48 for a, _ in cuts[1:])
+        assert size < 1000 or len(cuts) == 1
+
+
 def test_small_blocks_and_pieces(spark, monkeypatch):
     """Cuts inside documents and chunks change nothing."""
     for name, size in (("PIECE_BYTES", 7), ("CHUNK_BYTES", 16)):
@@ -123,19 +137,24 @@ def test_all_held_out_and_empty(spark):
     assert scoring.score(spark.createDataFrame([], "doc_id bigint, text string, extra int")).count() == 0
 
 
-def test_probabilities_add_up(spark):
+@pytest.mark.parametrize("root", [2, 3])
+def test_probabilities_add_up(monkeypatch, root):
     """Over all next bytes after a context, the tree's probabilities sum to one."""
     import numpy as np
     import pandas as pd
 
     rng = np.random.default_rng(1)
-    keys, n = np.unique((rng.integers(97, 99, 300) << 40) | (rng.integers(97, 100, 300) << 32) | (rng.integers(97, 100, 300) << 24) | (rng.integers(97, 100, 300) << 16)
-                        | (rng.integers(97, 100, 300) << 8) | rng.integers(97, 103, 300), return_counts=True)
+    letters = [97 + rng.integers(0, k, 300) for k in (2, 3, 3, 3, 2, 2, 2, 6)]
+    keys, n = np.unique(sum(x.astype(np.int64) << 8 * (7 - i) for i, x in enumerate(letters)), return_counts=True)
     context = int(keys[5]) >> 8
     every = np.union1d(keys, (context << 8) | np.arange(256))
     counts = np.where(np.isin(every, keys), n[np.searchsorted(keys, np.minimum(every, keys[-1]))], 0)
-    frame = pd.DataFrame({"part": [0], "n": [len(every)], "keys": [scoring._pack_keys(every)], "counts": [scoring._pack(counts)]})
-    out = scoring._log_probabilities(frame, scoring._top(pd.concat(scoring._roots(iter([frame])))))
+    frame = pd.DataFrame({"id": [0], "part": [0], "n": [len(every)], "keys": [scoring._pack_keys(every)], "counts": [scoring._pack(counts)]})
+    monkeypatch.setattr(scoring, "SLICE", 50)
+    roots = pd.concat(scoring._roots(iter([frame]), root))
+    byte = [group for _, group in roots.groupby((roots.key.to_numpy() >> 8 * root) & 255)]
+    ones = scoring._to_none(pd.concat([scoring._to_one(rows, root) for rows in byte]))
+    out = scoring._log_probabilities(frame, pd.concat([scoring._top(rows, ones, root) for rows in byte]), root)
     value = scoring._unpack(out["values"].iloc[0], len(every), np.float32)
     assert np.exp(value[every // 256 == context].astype(float)).sum() == pytest.approx(1.0, abs=1e-6)
 
