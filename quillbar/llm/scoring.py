@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quillbar.llm.common import Scratch, held_out, mixed, word_hashes, words_joined
 
-DEPTH = 7  # a pair of context and byte fills 64 bits
+DEPTH = 6  # at most 7, as a pair of context and byte is a 64-bit number
 LONG_ROOT_BLOCKS = 256  # subtrees below contexts of 2 bytes are weighted apart, from so many blocks on below 3
 END = 255  # never a byte of UTF-8
 BLOCK_BYTES = 16 << 20

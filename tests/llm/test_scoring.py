@@ -108,11 +108,12 @@ def test_slices_hold_whole_subtrees(monkeypatch):
     import numpy as np
 
     keys = np.sort(np.random.default_rng(3).integers(-2**63, 2**63 - 1, 500) >> 50 << 50)
+    shift = 8 * (scoring.DEPTH - 1)
     for size in (1, 7, 100, 1000):
         monkeypatch.setattr(scoring, "SLICE", size)
         cuts = [*scoring._slices(keys, 2)]
         assert [a for a, _ in cuts] == [0, *[b for _, b in cuts[:-1]]] and cuts[-1][1] == len(keys)
-        assert all(keys[a - 1] >> 48 != keys[a] >> 48 for a, _ in cuts[1:])
+        assert all(keys[a - 1] >> shift != keys[a] >> shift for a, _ in cuts[1:])
         assert size < 1000 or len(cuts) == 1
 
 
@@ -144,8 +145,8 @@ def test_probabilities_add_up(monkeypatch, root):
     import pandas as pd
 
     rng = np.random.default_rng(1)
-    letters = [97 + rng.integers(0, k, 300) for k in (2, 3, 3, 3, 2, 2, 2, 6)]
-    keys, n = np.unique(sum(x.astype(np.int64) << 8 * (7 - i) for i, x in enumerate(letters)), return_counts=True)
+    letters = [97 + rng.integers(0, k, 300) for k in (2, 3, 3, 3, *[2] * (scoring.DEPTH - 4), 6)]
+    keys, n = np.unique(sum(x.astype(np.int64) << 8 * (scoring.DEPTH - i) for i, x in enumerate(letters)), return_counts=True)
     context = int(keys[5]) >> 8
     every = np.union1d(keys, (context << 8) | np.arange(256))
     counts = np.where(np.isin(every, keys), n[np.searchsorted(keys, np.minimum(every, keys[-1]))], 0)
