@@ -2,9 +2,9 @@
 
 Generators propose spans generously and may overlap. Candidates in the shape of a fixed pattern carry a label: whether the pattern's check
 passed. What passes is also written in other spellings, right and wrong ones, whose candidates are labelled by what they were made
-from; dates and prose with an "at" are wrong rows. A boosted model of format and context learns from a bounded sample of these; per kind, the lowest
-threshold that is precise enough on rows that the trees did not learn from decides which other candidates are taken. What the fixed
-patterns find always stays.
+from; dates and prose with an "at" are wrong rows. A boosted model of format and context learns from all of these, counted by equal
+features; per kind, the lowest threshold that is precise enough on rows that the trees did not learn from decides which other
+candidates are taken. What the fixed patterns find always stays.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbar.llm.boosting import Boosted
+from quillbar.llm.boosting import Boosted, Part, binned, grow
 from quillbar.llm.common import Scratch
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_ROWS = 20_000  # labelled candidates that the model is fitted on, at most
+LOCAL_CELLS = 50_000  # distinct binned rows that the driver fits on by itself; tasks sum up more of them
 PRECISION = 0.98
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -274,6 +274,8 @@ def sampled(rows: DataFrame, sample_rows: int) -> pd.DataFrame:
 
 FOLDS = 3
 LEAST_OF_A_KIND = 10
+BALANCED_ROWS = 20_000  # groups weigh alike for the edges of the bins beyond this number of candidates
+STEPS = 10_000  # scores that differ by less count as one for the thresholds
 
 
 def _threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray, precision: float) -> float:
@@ -283,29 +285,106 @@ def _threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray, precision: floa
     return max(0.5, float(p[order][good[-1]])) if len(good) else 2.0
 
 
-def fit(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> Model:
-    """Fitted on at most ``sample_rows`` labelled candidates, drawn one by one from those of all documents at a rate per kind and label, and
-    weighted by it.
+def _edges(cells: DataFrame, counts: dict[tuple[int, bool], float], bins: int) -> list[np.ndarray]:
+    """Quantiles of each feature over all candidates, by counts per value. In large tables each kind and label weighs up to the same, so that a
+    frequent one does not take all bins. Values are rounded here, so that there are few of them."""
+    quotas = _quotas(counts, BALANCED_ROWS) if sum(counts.values()) > BALANCED_ROWS else counts
+    value = F.round(F.least("value", F.lit(4096.0)) * 1024) / 1024
+    each = cells.select("kind", "y", "weight", F.posexplode("x").alias("feature", "value")).groupBy("kind", "y", "feature", value.alias("value"))
+    table = each.agg(F.sum("weight").alias("weight")).toPandas()
+    table["weight"] *= [quotas[g] / counts[g] for g in zip(table.kind, table.y, strict=True)]
+    out = []
+    for _, one in table.groupby("feature"):
+        one = one.groupby("value").weight.sum()  # in order of the values
+        reached = one.to_numpy().cumsum()
+        places = np.searchsorted(reached, np.linspace(0, 1, bins + 1)[1:-1] * reached[-1])
+        out.append(np.unique(one.index.to_numpy()[np.minimum(places, len(one) - 1)]))
+    return out
+
+
+def _into_bins(batches: Iterator[pa.RecordBatch], edges: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = batch.column("x").flatten().to_numpy().reshape(len(batch), -1)
+        bins = pa.array([row.tobytes() for row in binned(x, edges)] if len(batch) else [], pa.binary())
+        yield pa.RecordBatch.from_arrays([bins, *[batch.column(c) for c in ("kind", "y", "fold", "weight")]], ["bins", "kind", "y", "fold", "weight"])
 
-    Thresholds come from the scores of each row by trees that did not learn from it. A kind with under ``LEAST_OF_A_KIND`` right
-    rows takes the threshold of all kinds together, so a small table switches no kind off. No model without right and wrong rows, as
-    in an empty table.
+
+def _part(table: pd.DataFrame) -> Part:
+    """Cells as rows of the models: one per fold without its rows, then one with all."""
+    bins = np.frombuffer(b"".join(table.bins), np.uint8).reshape(len(table), -1)
+    weight, fold = table.weight.to_numpy(), table.fold.to_numpy()
+    return Part(bins, table.y.to_numpy(dtype=float), np.stack([*(weight * (fold != f) for f in range(FOLDS)), weight]))
+
+
+def _level_sums(parts: Iterator[pd.DataFrame], models: list[Boosted], level: int) -> Iterator[pd.DataFrame]:
+    total = 0
+    for table in parts:
+        if len(table):
+            total = total + _part(table).sums(models, level)
+    if not isinstance(total, int):
+        yield pd.DataFrame({"place": np.arange(total.size), "value": total.ravel()})
+
+
+def _scores(table: pd.DataFrame, part: Part, models: list[Boosted]) -> pd.DataFrame:
+    """``kind, step, good, weight, p``: sums by the step of the score that the model without the row's fold gives; ``p`` is the least score."""
+    p = np.choose(table.fold.to_numpy(), [part.score(f, models[f]) for f in range(FOLDS)])
+    rows = pd.DataFrame({"kind": table.kind.to_numpy(), "step": np.floor(p * STEPS).astype(int), "good": table.weight.to_numpy() * table.y.to_numpy(), "weight": table.weight.to_numpy(), "p": p})
+    return rows.groupby(["kind", "step"], as_index=False).agg({"good": "sum", "weight": "sum", "p": "min"})
+
+
+def _fitted(cells: DataFrame, models: list[Boosted], local_cells: int) -> pd.DataFrame:
+    """Grows the models and gives the ``_scores`` of all cells. Few cells come to the driver; more stay where they are, and only sums come."""
+    table = cells.limit(local_cells + 1).toPandas()
+    if len(table) <= local_cells:
+        table = table.sort_values(["bins", "kind", "y", "fold"])
+        part = _part(table)
+        grow(models, part.sums)
+        return _scores(table, part, models)
+
+    def sums(models: list[Boosted], level: int) -> np.ndarray:
+        parts = cells.mapInPandas(lambda parts: _level_sums(parts, models, level), "place bigint, value double")
+        found = parts.groupBy("place").agg(F.sum("value").alias("value")).toPandas().sort_values("place")
+        n_features = len(models[0].edges)
+        return found.value.to_numpy().reshape(len(models), 2, 1 << level, n_features, models[0].bins)
+
+    grow(models, sums)
+    scored = cells.mapInPandas(lambda parts: (_scores(t, _part(t), models) for t in parts if len(t)), "kind int, step bigint, good double, weight double, p double")
+    return scored.groupBy("kind", "step").agg(F.sum("good").alias("good"), F.sum("weight").alias("weight"), F.min("p").alias("p")).toPandas()
+
+
+def fit(docs: DataFrame, text: str = "text", sample_rows: int | None = None, precision: float = PRECISION, local_cells: int = LOCAL_CELLS) -> Model:
+    """Fitted on all labelled candidates of all documents; with ``sample_rows`` on a weighted sample of them (``sampled``).
+
+    Candidates with the same features and label count as one row with their number as its weight, and the trees need sums per node and
+    bin only, so nothing grows with the table but the tasks. Thresholds come from the scores of each row by trees that did not learn
+    from it. A kind with under ``LEAST_OF_A_KIND`` right rows takes the threshold of all kinds together, so a small table switches
+    no kind off. No model without right and wrong rows, as in an empty table.
     """
-    table = sampled(labelled(docs, text), sample_rows)
-    if table.y.nunique() < 2:
+    spark, found = docs.sparkSession, labelled(docs, text)
+    rows = found.select("kind", "y", "x", F.pmod(F.xxhash64("row", "kind", "start"), F.lit(1 << 40)).alias("place"), F.lit(1.0).alias("weight"))
+    if sample_rows is not None:
+        drawn = sampled(found, sample_rows)
+        listed = [(int(k), bool(y), [float(v) for v in x], int(at), float(w)) for k, y, x, at, w in drawn[["kind", "y", "x", "place", "weight"]].itertuples(index=False)]
+        rows = spark.createDataFrame(listed, "kind int, y boolean, x array<double>, place bigint, weight double")
+    scratch = Scratch(spark, "pii-cells")
+    cells = rows.groupBy("kind", "y", "x", (F.col("place") % FOLDS).cast("int").alias("fold")).agg(F.sum("weight").alias("weight"))
+    cells = scratch.save(cells, "vectors")
+    counted = cells.groupBy("kind", "y", "fold").agg(F.sum("weight").alias("n")).toPandas()
+    if counted.y.nunique() < 2:
         return Model()
-    x, y, weight = np.stack(table.x.to_list()), table.y.to_numpy(dtype=float), table.weight.to_numpy(dtype=float)
-    fold, p = np.arange(len(y)) % FOLDS, np.zeros(len(y))
-    np.random.default_rng(0).shuffle(fold)
-    for f in range(FOLDS):
-        kept = fold != f
-        if kept.any() and not kept.all():
-            p[~kept] = Boosted().fit(x[kept], y[kept], weight[kept] / weight[kept].mean()).probability(x[~kept])
-    pooled, thresholds = _threshold(p, y, weight, precision), []
-    for k in range(len(KINDS)):
-        own = x[:, k] == 1
-        thresholds.append(_threshold(p[own], y[own], weight[own], precision) if y[own].sum() >= LEAST_OF_A_KIND else pooled)
-    return Model(Boosted().fit(x, y, weight / weight.mean()), thresholds)
+    counts = {(int(k), bool(y)): float(n) for (k, y), n in counted.groupby(["kind", "y"]).n.sum().items()}
+    models = [Boosted() for _ in range(FOLDS + 1)]
+    edges = _edges(cells, counts, models[0].bins)
+    for f, model in enumerate(models):
+        kept = counted[counted.fold != f]
+        model.begin(edges, float(kept.n[kept.y].sum()), float(kept.n.sum()))
+    kept = cells.mapInArrow(lambda batches: _into_bins(batches, edges), "bins binary, kind int, y boolean, fold int, weight double")
+    kept = scratch.save(kept.groupBy("bins", "kind", "y", "fold").agg(F.sum("weight").alias("weight")), "cells")
+    steps = _fitted(kept, models, local_cells)
+    lowest = lambda t: _threshold(t.p.to_numpy(), (t.good / t.weight).to_numpy(), t.weight.to_numpy(), precision)
+    every = steps.groupby("step", as_index=False).agg({"good": "sum", "weight": "sum", "p": "min"})
+    own = [steps[steps.kind == k] for k in range(len(KINDS))]
+    return Model(models[FOLDS], [lowest(t if t.good.sum() >= LEAST_OF_A_KIND else every) for t in own])
 
 
 def _found(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

@@ -156,3 +156,23 @@ def test_trees_learn_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 3] > 0.3)).astype(float)
     model = Boosted().fit(x[:3000], y[:3000])
     assert ((model.probability(x[3000:]) > 0.5) == y[3000:]).mean() > 0.95
+
+
+def test_the_model_counts_every_candidate(spark, monkeypatch):
+    """More candidates than a sample held: each stands in the scores that the thresholds come from, and none is drawn."""
+    docs = spark.createDataFrame(corpus() * 6, "doc_id bigint, text string").withColumn("doc_id", F.monotonically_increasing_id())
+    scores, fitted = [], pii._fitted
+    monkeypatch.setattr(pii, "_fitted", lambda *a: scores.append(fitted(*a)) or scores[-1])
+    monkeypatch.setattr(pii, "sampled", lambda *a: pytest.fail("a sample is drawn"))
+    pii.fit(docs)
+    labelled = pii.labelled(docs)
+    assert scores[0].weight.sum() == labelled.count() > 20_000
+    assert scores[0].good.sum() == labelled.filter("y").count()
+
+
+def test_tasks_grow_the_trees_of_the_driver(spark):
+    df = spark.createDataFrame(corpus()[:160], "doc_id bigint, text string").repartition(3)
+    here, there = pii.fit(df), pii.fit(df, local_cells=0)
+    assert np.allclose(here.thresholds, there.thresholds)
+    x = np.array([pii.features(t, c) for _, t in corpus()[:400] for c in pii.candidates(t)])
+    assert np.allclose(here.trees.probability(x), there.trees.probability(x))
