@@ -51,7 +51,13 @@ def _records(piece, row_tag: str):
         return F.when(torn | many, failed).otherwise(found)
 
     tokens = F.filter(F.regexp_extract_all(piece, F.lit(pattern), F.lit(0)), lambda t: ~(t.startswith("<!--") & t.endswith("-->")))
-    return _let(tokens, decided)
+    # Most pieces name the tag once, in a whole opening tag, and hold no mark of a comment or CDATA: what begins there is the record.
+    before, after = F.substring_index(piece, f"<{row_tag}", 1), F.substring_index(piece, f"<{row_tag}", -1)
+    once = F.octet_length(before) + F.octet_length(after) + len(f"<{row_tag}".encode()) == F.octet_length(piece)
+    whole_tag = after.startswith(">") | F.rlike(after, F.lit(rf"^(?=[\s/>]){inside_tag}(?<!/>)"))
+    marked = F.contains(piece, F.lit("<!")) | F.contains(piece, F.lit("-->")) | F.contains(piece, F.lit("]]>"))
+    record = F.array(F.concat(F.lit(f"<{row_tag}"), after, F.lit(f"</{row_tag}>")))
+    return F.when(once & ~marked & whole_tag, record).otherwise(_let(tokens, decided))
 
 
 def read_xml_split(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | str) -> DataFrame:
@@ -65,7 +71,9 @@ def read_xml_split(spark: SparkSession, path: str | list[str], row_tag: str, sch
     if isinstance(schema, str) and not schema.lower().startswith("struct<"):
         ddl = T.StructType.fromDDL(schema).simpleString()
     text = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    pieces = text.select(F.explode(F.split("value", rf"</{re.escape(row_tag)}\s+>", -1)).alias("_piece"))
+    blanks = F.contains("value", F.lit(f"</{row_tag}"))  # the only end tags that are left have blanks
+    cut = F.when(blanks, F.split("value", rf"</{re.escape(row_tag)}\s+>", -1)).otherwise(F.array("value"))
+    pieces = text.select(F.explode(cut).alias("_piece"))
     records = pieces.select(F.explode(_records(F.col("_piece"), row_tag)).alias("_record"))
     return records.select(F.from_xml("_record", ddl, {"rowTag": row_tag, "mode": "FAILFAST"}).alias("_rec")).select("_rec.*")
 

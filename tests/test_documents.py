@@ -378,3 +378,18 @@ def test_merged_schema(spark, tmp_path):
     rows = {r._id: r for r in xml.read_xml(spark, str(tmp_path), "o", schema).collect()}
     assert [(i.q, i.w) for i in rows[1].item] == [(1, None)] and [(i.q, i.w) for i in rows[2].item] == [(2, None), (3, "a")] and rows[3].item is None
     assert rows[1].code == "001" and rows[2].n == 2.5 and rows[2].ok is False
+
+
+def test_plain_records_are_cut_without_tokens(spark, out, monkeypatch):
+    """A piece that names its tag once and holds no comment or CDATA is not taken apart; all others are, with the same records."""
+    from quillbar.sources import xml
+
+    plain = "<rows><row><a>1</a></row>\n<row b='x > y' c=\"'\"><a>é</a></row><row\n><a>3</a></row></rows>"
+    odd = "<row><a>4</a></row ><row/><row><a>5<!-- <row> --></a></row><rows><row><a>6</a></row></rows><row a='7'/><row><a><![CDATA[8]]></a></row>"
+    spark.createDataFrame([(plain,), (odd,)], "value string").coalesce(1).write.text(out)
+    read = lambda: sorted(r.a or "" for r in xml.read_xml_split(spark, out, "row", "a string").collect())
+    assert read() == ["", "", "1", "3", "4", "5", "6", "8", "é"]
+    pieces = spark.createDataFrame([("<all><row><a>1</a>",), ("\n<row b='x > y' c=\"'\"><a>é</a>",), ("<row\n><a>3</a>",)], "p string")
+    monkeypatch.setattr(xml, "_let", lambda value, body: F.raise_error(F.lit("taken apart")).cast("array<string>"))
+    found = pieces.select(F.explode(xml._records(F.col("p"), "row")).alias("r")).collect()
+    assert [r.r for r in found] == ["<row><a>1</a></row>", "<row b='x > y' c=\"'\"><a>é</a></row>", "<row\n><a>3</a></row>"]
