@@ -210,8 +210,8 @@ def xml_merged_schema(spark, sf):
     weight = F.when(k % 3 == 0, (k % 7).cast("string")).otherwise((k % 7 + 0.5).cast("string"))
     shown = orders.select(k.alias("k"), F.lpad(k.cast("string"), 8, "0").alias("code"), weight.alias("weight"), "item")
     single = (F.size("item") == 1) & (F.col("k") % 3 == 0)
-    sinks.write_xml(shown.filter(single).select("code", "weight", F.get("item", F.lit(0)).alias("item")), f"{path}/single", "orders", "order")
-    sinks.write_xml(shown.filter(~single).drop("k"), f"{path}/many", "orders", "order")
+    sinks.write_xml(shown.filter(single).select("code", "weight", F.get("item", F.lit(0)).alias("item")), f"{path}/single", "orders", "order", records_per_file=50_000)
+    sinks.write_xml(shown.filter(~single).drop("k"), f"{path}/many", "orders", "order", records_per_file=50_000)
     schema = xml.merged_schema(spark, f"{path}/*", "order")
     return xml.read_xml(spark, f"{path}/*", "order", schema).select("code", F.explode("item").alias("i"), "weight").select("code", "i.line", "i.mode", "weight")
 
