@@ -28,3 +28,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         if not moved:
             scratch.drop(both)
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``labels`` after further ``links``: only the components that these connect are worked on, and what they become is passed on to the nodes."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    known = scratch.save(labels.unionByName(ends.select("node", F.col("node").alias("label"))), "known")
+    of = lambda name: known.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    moved = components(between, scratch).select(F.col("node").alias("label"), F.col("label").alias("now"))
+    return scratch.save(known.join(moved, "label", "left").select("node", F.coalesce("now", "label").alias("label")), "merged")

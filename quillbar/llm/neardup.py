@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillbar.llm.common import Scratch, mixed, word_hashes, words_joined
-from quillbar.llm.graph import components
+from quillbar.llm.graph import components, merged
 
 SHINGLE = 5
 BANDS, ROWS, BINS = 32, 4, 2048
@@ -202,8 +202,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         of = lambda name, key: sets.select(F.col("node").alias(key), F.col("shingles").alias(f"set_{name}"))
         return likely_ones.join(of("a", "a"), "a").join(of("b", "_b"), (F.col("b") == F.col("_b")) & exact).select("a", "b")
 
-    links = scratch.save(tested(pairs), "links")
-    labels = components(links, scratch)
+    labels = components(scratch.save(tested(pairs), "links"), scratch)
 
     def still_open() -> DataFrame:
         """Members of the buckets that hold several components."""
@@ -221,8 +220,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         new = scratch.save(tested(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()), "links")
         if not new.limit(1).count():
             break
-        links, turn = links.unionByName(new), turn + 1
-        labels = components(links, scratch)
+        labels, turn = merged(labels, new, scratch), turn + 1
         open_rows = still_open()
 
     # Every pair across the components of a bucket. The full sets are compared inside the join, so that only links leave it.
@@ -231,7 +229,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     across = half("a").join(half("b"), (half("a").band == half("b").band) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & exact)
     more = scratch.save(across.select("a", "b").distinct(), "more")
     if more.limit(1).count():
-        labels = components(links.unionByName(more), scratch)
+        labels = merged(labels, more, scratch)
 
     least = classes.select("node", "least").join(labels, "node").groupBy("label").agg(F.min("least").alias("component"))
     named = scratch.save(labels.join(least, "label").select("node", "component"), "named")

@@ -119,3 +119,20 @@ def test_large_bucket_of_chains_and_cliques(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.groups(df).collect())
     assert got == sorted(expected(rows))
+
+
+def test_later_links_do_not_bring_back_the_earlier_ones(spark, monkeypatch):
+    """Components of later rounds come from the new links alone, and are those of all links together."""
+    from quillbar.llm import graph
+    from quillbar.llm.common import Scratch
+
+    rng, scratch = random.Random(4), Scratch(spark, "graph")
+    pairs = lambda low, high, n: [(a, b) for a, b in ((rng.randrange(low, high), rng.randrange(low, high)) for _ in range(n)) if a != b]
+    first, later = pairs(0, 300, 120), [*pairs(0, 330, 12), (400, 401), (402, 401), (5, 400)]
+    of = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    whole = graph.components(of(first + later), scratch)
+    asked, plain = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda links, s: asked.append(links.count()) or plain(links, s))
+    found = graph.merged(plain(of(first), scratch), of(later), scratch)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    assert asked == [len(later)]
