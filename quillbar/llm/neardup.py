@@ -4,11 +4,11 @@
    and a packed signature: the hashes fall into ``BINS`` bins by their top bits, and of the minimum of each bin one low bit is kept, beside
    one bit that tells whether the bin has any.
 2. Documents with equal sets are one class from there on, so exact copies cost one row, however many.
-3. Classes that share a band key are candidates. Each bucket first links its members to its smallest and its largest one, large buckets
-   also to drawn ones as long as that links any; groups of near copies fall into few components that way. What then shares a bucket
-   across components is compared inside the join: by the packed signatures, whose collision-corrected estimate must come near the
-   limit, then by the full sets. So only links leave the join, and no pair that shares a bucket goes untested unless its documents
-   are already connected.
+3. Classes that share a band key are candidates. Each bucket first links its members to its smallest and its largest one, a large
+   bucket also to drawn ones as long as that links any of its own; groups of near copies fall into few components that way. What then
+   shares a bucket across components is compared inside the join: by the packed signatures, whose collision-corrected estimate must
+   come near the limit, then by the full sets. So only links leave the join, and no pair that shares a bucket goes untested unless its
+   documents are already connected.
 4. Every pair is confirmed on the full sets before it links.
 """
 
@@ -32,7 +32,7 @@ MINIMA = BANDS * ROWS
 # filled, one minimum more or less counts more.
 LEAST_ESTIMATE, SMALL, LEAST_OF_SMALL = 0.685, 100, 0.5
 CHUNK_BYTES = 4 << 20
-LARGE_BUCKET = 64
+LARGE_BUCKET, PIVOTS = 64, 4  # members from which on a bucket is compared with drawn ones first, and about how many in the first round
 
 _RNG = np.random.default_rng(75)
 _FACTORS = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -187,47 +187,54 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     star = members.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
     pairs = scratch.save(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
 
-    known = reps.select(F.col("uid").alias("node"), "doc_id", "tag", "bits")
-    side = lambda name, *more: known.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in more])
-    near = likely(F.col("bits_a"), F.col("bits_b"))
-    wanted = members.select("node").distinct().join(known.select("node", "doc_id", "tag"), "node")
-    found = keyed.join(wanted.withColumnRenamed("doc_id", "_id"), (F.col("_id").eqNullSafe(F.col("doc_id"))) & (keyed.tag == wanted.tag)).select("node", "text")
+    wanted = members.select("node").distinct().join(reps.select(F.col("uid").alias("node"), F.col("doc_id").alias("_id"), "tag"), "node")
+    found = keyed.join(wanted, (F.col("_id").eqNullSafe(F.col("doc_id"))) & (keyed.tag == wanted.tag)).select("node", "text")
     sets = scratch.save(found.dropDuplicates(["node"]).mapInArrow(_sets, "node bigint, shingles array<bigint>"), "sets")
-    exact = linked(F.col("set_a"), F.col("set_b"), percent)
-
-    def tested(candidates: DataFrame) -> DataFrame:
-        """Candidates ``a, b`` that are links: by the estimate, then by their full sets."""
-        right = side("b", "bits").withColumnRenamed("b", "_b")
-        likely_ones = candidates.join(side("a", "bits"), "a").join(right, (F.col("b") == F.col("_b")) & near).select("a", "b")
-        of = lambda name, key: sets.select(F.col("node").alias(key), F.col("shingles").alias(f"set_{name}"))
-        return likely_ones.join(of("a", "a"), "a").join(of("b", "_b"), (F.col("b") == F.col("_b")) & exact).select("a", "b")
-
-    labels = components(scratch.save(tested(pairs), "links"), scratch)
-
-    def still_open() -> DataFrame:
-        """Members of the buckets that hold several components."""
-        labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    # Signature, band keys and full set of the members, the only ones that are compared.
+    held = scratch.save(sets.withColumnRenamed("shingles", "set").join(reps.select(F.col("uid").alias("node"), "bits", "bands"), "node"), "held")
+    scratch.drop(reps), scratch.drop(sets)
+    side = lambda name, column: held.select(F.col("node").alias(f"_{name}"), F.col(column).alias(f"{column}_{name}"))
+    near, exact = likely(F.col("bits_a"), F.col("bits_b")), linked(F.col("set_a"), F.col("set_b"), percent)
+
+    likely_ones = pairs.join(side("a", "bits"), F.col("a") == F.col("_a")).join(side("b", "bits"), (F.col("b") == F.col("_b")) & near).select("a", "b")
+    links = likely_ones.join(side("a", "set"), F.col("a") == F.col("_a")).join(side("b", "set"), (F.col("b") == F.col("_b")) & exact).select("a", "b")
+    labels = components(scratch.save(links, "links"), scratch)
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """Those of ``band, node`` in buckets that hold several components, with their ``label`` and the bucket's ``n`` rows."""
+        labelled = rows.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
         several = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y")
         return scratch.save(labelled.join(several.select("band", "n"), "band"), "open")
 
-    # Large buckets first: all their members against one of them that is drawn anew each time, as long as that links any.
-    open_rows, turn = still_open(), 0
+    of = lambda name, i: F.get(F.col(f"bands_{name}"), F.lit(i))
+    first_shared = F.col("band_a") == F.coalesce(*[F.when(of("a", i) == of("b", i), of("a", i)) for i in range(BANDS)])
+
+    def across(some: DataFrame, others: DataFrame, once: Column) -> DataFrame:
+        """Links ``band, a, b`` between members of a bucket in different components. All tests stand in the join, the cheap ones first, so
+        that only links leave it."""
+        half = lambda rows, name: rows.join(held, "node").select(
+            F.col("band").alias(f"band_{name}"), F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("label", "bits", "bands", "set")])
+        small, large = F.least(F.size("set_a"), F.size("set_b")), F.greatest(F.size("set_a"), F.size("set_b"))
+        fits = (F.col("label_a") != F.col("label_b")) & (100 * small >= percent * large)
+        joined = half(some, "a").join(half(others, "b"), (F.col("band_a") == F.col("band_b")) & once & fits & near & exact)
+        return joined.select(F.col("band_a").alias("band"), "a", "b")
+
+    # Large buckets first: all their members against some that are drawn, twice as many each time. A bucket goes on as long as that links
+    # any of its members; the rounds never see the others again.
+    open_rows = still_open(members)
+    large, pivots = open_rows.filter(F.col("n") > LARGE_BUCKET), PIVOTS
     while True:
-        drawn = F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn)))
-        large = open_rows.filter(F.col("n") > LARGE_BUCKET)
-        pivots = large.groupBy("band").agg(drawn.alias("pivot"))
-        star = large.join(pivots, "band").filter("label <> pivot.label").select("node", F.col("pivot.node").alias("other"))
-        new = scratch.save(tested(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()), "links")
+        drawn = large.filter(F.pmod(F.xxhash64("band", "node", F.lit(pivots)), F.col("n")) < pivots)
+        new = scratch.save(across(large, drawn, F.lit(True)), "links")
         if not new.limit(1).count():
             break
-        labels, turn = merged(labels, new, scratch), turn + 1
-        open_rows = still_open()
-
-    # Every pair across the components of a bucket. The full sets are compared inside the join, so that only links leave it.
-    rows = open_rows.join(known.select("node", "bits"), "node").join(sets.select("node", F.col("shingles").alias("set")), "node")
-    half = lambda name: rows.select("band", F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("label", "bits", "set")])
-    across = half("a").join(half("b"), (half("a").band == half("b").band) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & near & exact)
-    more = scratch.save(across.select("a", "b").distinct(), "more")
+        labels, pivots = merged(labels, new.select("a", "b").distinct(), scratch), 2 * pivots
+        large = still_open(large.join(new.select("band").distinct(), "band", "left_semi"))
+
+    # Every pair across the components of a bucket, in the first of the buckets that both are in.
+    if pivots > PIVOTS:
+        open_rows = still_open(open_rows)
+    more = scratch.save(across(open_rows, open_rows, (F.col("a") < F.col("b")) & first_shared).select("a", "b"), "more")
     if more.limit(1).count():
         labels = merged(labels, more, scratch)
 

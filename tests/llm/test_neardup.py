@@ -121,6 +121,36 @@ def test_large_bucket_of_chains_and_cliques(spark):
     assert got == sorted(expected(rows))
 
 
+def test_rounds_leave_settled_buckets_alone(spark, monkeypatch):
+    """Many texts share half of their words, so that their buckets stay open without a link; some others link in later rounds only."""
+    from quillbar.llm.common import Scratch
+
+    rng = random.Random(5)
+    common, base = rng.choices(WORDS, k=60), [f"b{k}" for k in range(150)]
+    rows = [" ".join([*common, *[f"own{i}x{k}" for k in range(30)]]) for i in range(600)]
+    # Texts with four changed words link with that one alone that has none, and few of them meet it as a bucket's first or last.
+    for i in range(123):
+        text = list(base)
+        for at in rng.sample(range(2, 148, 6), 4 if i else 0):
+            text[at] = f"e{i}x{at}"
+        rows.append(" ".join([*text, f"end{i}"]))
+    rng.shuffle(rows)
+    rows, saved, plain = [*enumerate(rows)], [], Scratch.save
+
+    def save(self, df, name):
+        out = plain(self, df, name)
+        if name == "open":
+            saved.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", save)
+    monkeypatch.setattr(neardup, "LARGE_BUCKET", 8)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.groups(df).collect())
+    assert got == sorted(expected(rows))
+    assert saved[1] <= saved[0] / 2, saved
+
+
 def test_later_links_do_not_bring_back_the_earlier_ones(spark, monkeypatch):
     """Components of later rounds come from the new links alone, and are those of all links together."""
     from quillbar.llm import graph
